@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, free_name, lookup, text_of
+from lumenvox.llm.common import cut, lookup, text_of
 from lumenvox.llm.grace import grouped
 
 #: Bytes of distinct contents that one task keeps in memory before it spills.
@@ -106,36 +106,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", memory: int = TABLE_BYTES) -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` does not keep; the columns stay as they are.
 
-    The texts are not shuffled a second time: rows that lose are found by their digest. Where a
-    kept row is repeated (same id and text), one of its rows stays.
+    Where a kept row is repeated (same id and text), one of its rows stays.
     """
     classes = content_classes(docs, id_col, text_col, memory)
-    digest = free_name(docs, "digest")
-    keyed = docs.withColumn(digest, F.unhex(F.sha2(F.encode(text_of(text_col), "UTF-8"), 256)))
-    losers = (
-        lookup(
-            keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col(digest).alias("digest")),
-            "digest",
-            classes,
-            "group_size",
-            F.xxhash64("doc_id", "digest"),
-        )
-        .filter(F.col("keep_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select(F.col("doc_id"), F.col("digest"))
-        .distinct()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.unhex(F.sha2(F.encode(text_of(text_col), "UTF-8"), 256)).alias("digest"),
     )
-    lost = F.coalesce(F.col(f"{digest}_l"), F.lit(False))
-    cast_id = free_name(docs, "cast_id")
-    marked = keyed.withColumn(cast_id, F.col(id_col).cast("long")).join(
-        losers.select(F.col("doc_id").alias(f"{cast_id}_r"), F.col("digest").alias(f"{digest}_r"), F.lit(True).alias(f"{digest}_l")),
-        F.col(cast_id).eqNullSafe(F.col(f"{cast_id}_r")) & (F.col(digest) == F.col(f"{digest}_r")),
-        "left",
-    )
-    kept = marked.filter(~lost)
-    tied = classes.filter("ties > 1")
-    if not tied.isEmpty():
-        ids = tied.select(F.col("keep_id").alias(f"{cast_id}_t"), F.col("digest").alias(f"{digest}_t"))
-        same = F.col(cast_id).eqNullSafe(F.col(f"{cast_id}_t")) & (F.col(digest) == F.col(f"{digest}_t"))
-        once = kept.join(ids, same, "left_semi").dropDuplicates([digest])
-        kept = kept.join(ids, same, "left_anti").unionByName(once)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = lookup(rows, "digest", classes, "group_size", F.xxhash64("doc_id", "digest"))
+    kept = found.filter(F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    if not classes.filter("ties > 1").isEmpty():
+        tied = F.coalesce("ties", F.lit(1)) > 1
+        kept = kept.filter(~tied).unionByName(kept.filter(tied).dropDuplicates(["digest"]))
+    return kept.select("row.*")
