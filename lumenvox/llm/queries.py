@@ -7,12 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lumenvox.llm.exact_dedup import exact_groups
+from lumenvox.llm.mixing import mix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _op5_round(r: int) -> str:
+    """A round of filling: the running sum by hash of what fits the gap, up to the first that does not."""
+    return f"""
+c{r} AS (SELECT d.source, d.hash, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.hash RANGE UNBOUNDED PRECEDING) AS upto, p.gap{r - 1} AS gap
+         FROM d JOIN p{r - 1} p ON d.source IS NOT DISTINCT FROM p.source
+         WHERE {f"d.hash >= p.from{r - 1} AND d.size <= p.gap{r - 1} AND " if r > 1 else ""}p.gap{r - 1} >= 1),
+e{r} AS (SELECT source, min(hash) FILTER (WHERE upto > gap) AS t, coalesce(max(upto) FILTER (WHERE upto <= gap), 0) AS u FROM c{r} GROUP BY source),
+p{r} AS (SELECT p.*, CASE WHEN p.gap{r - 1} >= 1 THEN coalesce(e.t, 1152921504606846976) ELSE {f"p.from{r - 1}" if r > 1 else "0"} END AS from{r},
+                CASE WHEN e.t IS NOT NULL THEN p.gap{r - 1} - e.u ELSE 0 END AS gap{r}
+         FROM p{r - 1} p LEFT JOIN e{r} e ON p.source IS NOT DISTINCT FROM e.source)"""
+
+
+OP5_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ' ' || coalesce(text, '')), 1, 15))::BIGINT AS hash FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM s),
+r AS (SELECT *, 2.0::DOUBLE * source_size AS cap, 2.0::DOUBLE * source_size / weight AS ratio FROM w),
+l AS (SELECT *, 1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0) AS left_size, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS left_weight
+      FROM r WINDOW b AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+o AS (SELECT min(ratio) AS ratio, arg_min(left_size, ratio) AS left_size, arg_min(left_weight, ratio) AS left_weight FROM l WHERE cap * left_weight > left_size * weight),
+t AS (SELECT l.source, l.source_size, CASE WHEN l.ratio >= o.ratio AND l.cap * l.left_weight > l.left_size * l.weight THEN o.left_size * l.weight / o.left_weight ELSE l.cap END AS target FROM l, o),
+p0 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole,
+              target - (CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END) * source_size AS gap0 FROM t),
+{",".join(_op5_round(r) for r in (1, 2, 3))}
+SELECT d.doc_id, d.size, p.source_size, p.target,
+       d.size * (p.whole + CASE WHEN d.hash < from1 OR (d.size <= gap1 AND d.hash >= from1 AND d.hash < from2) OR (d.size <= gap2 AND d.hash >= from2 AND d.hash < from3) THEN 1 ELSE 0 END)::BIGINT AS taken
+FROM d JOIN p3 p ON d.source IS NOT DISTINCT FROM p.source
+"""
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -29,8 +65,8 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_exact_dedup": op8_exact_dedup}
+    return {"op5_mixing": op5_mixing, "op8_exact_dedup": op8_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL}
+    return {"op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL}
