@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lumenvox.llm.exact_dedup import exact_groups
 from lumenvox.llm.mixing import mix
+from lumenvox.llm.packing import packed_documents
+from lumenvox.llm.token_files import token_file_digests
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +51,12 @@ FROM d JOIN p3 p ON d.source IS NOT DISTINCT FROM p.source
 """
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packed_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keeps_space=True, end_id=2)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -64,8 +72,20 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_file_digests(_table(spark, sf_dir, "documents"), path, keeps_space=False, end_id=2, vocabulary=49408)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_mixing": op5_mixing, "op8_exact_dedup": op8_exact_dedup}
+    return {
+        "op5_mixing": op5_mixing,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_exact_dedup": op8_exact_dedup,
+        "op10_token_files": op10_token_files,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
