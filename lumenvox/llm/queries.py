@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lumenvox.llm.exact_dedup import exact_groups
 from lumenvox.llm.mixing import mix
 from lumenvox.llm.packing import packed_documents
+from lumenvox.llm.simhash import hex_digits, near_duplicates
 from lumenvox.llm.token_files import token_file_digests
 
 
@@ -16,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_digits("f0").alias("fingerprint"), "component_id")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -81,6 +87,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_simhash": op2_simhash,
         "op5_mixing": op5_mixing,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_exact_dedup": op8_exact_dedup,
