@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lumenvox.llm.embedding_dedup import embedding_duplicates
 from lumenvox.llm.exact_dedup import exact_groups
 from lumenvox.llm.mixing import mix
 from lumenvox.llm.packing import packed_documents
@@ -17,6 +18,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+n AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+p AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT a AS id, a AS reach FROM p UNION SELECT r.id, p.b FROM r JOIN p ON r.reach = p.a),
+c AS (SELECT id, min(reach) AS component_id FROM r GROUP BY id),
+k AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT v.vec_id, coalesce(k.n_links, 0)::BIGINT AS n_links, coalesce(c.component_id, v.vec_id) AS component_id, coalesce(c.component_id, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN k ON k.a = v.vec_id LEFT JOIN c ON c.id = v.vec_id
+"""
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex_digits("f0").alias("fingerprint"), "component_id")
@@ -87,6 +105,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embedding_dedup": op1_embedding_dedup,
         "op2_simhash": op2_simhash,
         "op5_mixing": op5_mixing,
         "op7_best_fit_packing": op7_best_fit_packing,
@@ -96,4 +115,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op1_embedding_dedup": OP1_SQL, "op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL}
