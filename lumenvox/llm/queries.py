@@ -10,6 +10,7 @@ from lumenvox.llm.embedding_dedup import embedding_duplicates
 from lumenvox.llm.exact_dedup import exact_groups
 from lumenvox.llm.mixing import mix
 from lumenvox.llm.packing import packed_documents
+from lumenvox.llm.secret_scan import secret_digests
 from lumenvox.llm.simhash import hex_digits, near_duplicates
 from lumenvox.llm.token_files import token_file_digests
 
@@ -96,6 +97,10 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -110,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mixing": op5_mixing,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_secret_scan": op9_secret_scan,
         "op10_token_files": op10_token_files,
     }
 
