@@ -12,6 +12,7 @@ from lumenvox.llm.mixing import mix
 from lumenvox.llm.packing import packed_documents
 from lumenvox.llm.secret_scan import secret_digests
 from lumenvox.llm.simhash import hex_digits, near_duplicates
+from lumenvox.llm.suffix_dedup import remove_repeats
 from lumenvox.llm.token_files import token_file_digests
 
 
@@ -41,6 +42,26 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits("f0").alias("fingerprint"), "component_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM w),
+r AS (SELECT doc_id, i, max(i + 50) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM m WHERE first < doc_id),
+g AS (SELECT doc_id, i, sum(CASE WHEN upto IS NULL OR i > upto THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM s),
+t AS (SELECT d.doc_id, string_agg(substr(d.h, 2 * k.z + 1, 2 * (k.a - k.z)), '' ORDER BY k.a) || substr(any_value(d.h), 2 * max(k.b) + 1) AS kept, sum(k.b - k.a) AS n_removed, count(*) AS n_spans
+      FROM k JOIN d ON d.doc_id = k.doc_id GROUP BY d.doc_id)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(t.n_removed, 0)::BIGINT AS n_removed, coalesce(t.n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(t.kept, d.h))) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -112,6 +133,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embedding_dedup": op1_embedding_dedup,
         "op2_simhash": op2_simhash,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_mixing": op5_mixing,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_exact_dedup": op8_exact_dedup,
@@ -121,4 +143,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embedding_dedup": OP1_SQL, "op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op1_embedding_dedup": OP1_SQL, "op4_suffix_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL}
