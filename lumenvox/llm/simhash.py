@@ -34,51 +34,77 @@ _SHINGLES_AT_ONCE = 1 << 16
 
 @dataclass(frozen=True)
 class Fingerprint:
-    """Which shingles a fingerprint is made of. ``distinct``: each shingle counts once."""
+    """Which shingles a fingerprint is made of.
+
+    Shingles are hashed by XXH64 with seed 42. ``distinct``: each shingle counts once. ``turn``:
+    0 takes the hashes as they are, other values give independent fingerprints of the same shingles.
+    """
 
     words: int = 3
-    seed: int = 42
     distinct: bool = False
+    turn: int = 0
+
+
+#: Fingerprints for near copies in a corpus: the shingles, and thrice the set of words, which changes least when words are replaced.
+CORPUS = (Fingerprint(), Fingerprint(1, True), Fingerprint(1, True, 1), Fingerprint(1, True, 2))
 
 
-def fingerprint(text: bytes, kind: Fingerprint = Fingerprint()) -> int:
-    """64-bit SimHash of a UTF-8 text with A-Z lower-cased; 0 for a text without words."""
+def shingle_hashes(text: bytes, words: int = 3) -> list[int]:
+    """XXH64 (seed 42) of each shingle of a UTF-8 text with A-Z lower-cased; a shorter text is one shingle."""
     import xxhash
 
-    words = text.lower().split()  # of bytes: only ASCII letters and ASCII white space
-    if not words:
-        return 0
-    k = min(kind.words, len(words))
-    joined = b" ".join(words)
-    starts = list(accumulate((len(w) + 1 for w in words), initial=0))
-    digest, seed = xxhash.xxh64_intdigest, kind.seed
-    spans = zip(starts, starts[k:], strict=False)
-    hashes = [digest(joined[s : e - 1], seed) for s, e in spans]
-    if kind.distinct:
-        hashes = list(set(hashes))
+    found = text.lower().split()  # of bytes: only ASCII letters and ASCII white space
+    if not found:
+        return []
+    k = min(words, len(found))
+    joined = b" ".join(found)
+    starts = list(accumulate((len(w) + 1 for w in found), initial=0))
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[s : e - 1], 42) for s, e in zip(starts, starts[k:], strict=False)]
+
+
+def _turned(hashes: np.ndarray, turn: int) -> np.ndarray:
+    if not turn:
+        return hashes
+    h = (hashes ^ np.uint64(turn * 0x9E3779B97F4A7C15 & (2**64 - 1))) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xA0761D6478BD642F)
+    return h ^ (h >> np.uint64(29))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """64 bits, each set if it is in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _SHINGLES_AT_ONCE):
-        some = np.array(hashes[at : at + _SHINGLES_AT_ONCE], "<u8")
+        some = hashes[at : at + _SHINGLES_AT_ONCE]
         ones += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(hashes), bitorder="little")
-    return int(bits.view("<u8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def simhash(text: bytes, kinds: tuple[Fingerprint, ...] = (Fingerprint(),)) -> list[int]:
+    """64-bit SimHash of each kind; 0 for a text without words."""
+    hashes: dict[tuple[int, bool], np.ndarray] = {}
+    for kind in kinds:
+        if (key := (kind.words, kind.distinct)) not in hashes:
+            every = np.array(shingle_hashes(text, kind.words), "<u8")
+            hashes[key] = np.unique(every) if kind.distinct else every
+    return [_majority(_turned(h, kind.turn)) if len(h := hashes[kind.words, kind.distinct]) else 0 for kind in kinds]
 
 
 def fingerprints(docs: DataFrame, kinds: tuple[Fingerprint, ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and a fingerprint f0, f1, ... (as a signed long) of each kind."""
+    """doc_id, text_key (a hash of the text) and a fingerprint f0, f1, ... (as a signed long) of each kind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = np.zeros((len(kinds), b.num_rows), np.uint64)
-            for i, text in enumerate(b.column(1)):
-                data = text.as_buffer().to_pybytes() if text.is_valid else b""
-                for k, kind in enumerate(kinds):
-                    found[k, i] = fingerprint(data, kind)
+            for i, text in enumerate(b.column(2)):
+                found[:, i] = simhash(text.as_buffer().to_pybytes(), kinds)
             columns = [pa.array(f.view(np.int64)) for f in found]
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["doc_id", *[f"f{k}" for k in range(len(kinds))]])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], ["doc_id", "text_key", *[f"f{k}" for k in range(len(kinds))]])
 
-    schema = "doc_id long, " + ", ".join(f"f{k} long" for k in range(len(kinds)))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
+    schema = "doc_id long, text_key long, " + ", ".join(f"f{k} long" for k in range(len(kinds)))
+    text = text_of(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")).mapInArrow(run, schema)
 
 
 def _split(width: int, blocks: int) -> Column:
@@ -216,7 +242,7 @@ def fingerprint_links(fps: DataFrame, budget: int = 3, node_rows: int = NODE_ROW
 
 
 def near_duplicates(docs: DataFrame, kinds: tuple[Fingerprint, ...] = (Fingerprint(),), budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, f0, f1, ... and component_id.
+    """One row for each row of ``docs``: doc_id, text_key, f0, f1, ... and component_id.
 
     Documents are linked when a fingerprint of any of ``kinds`` differs in at most ``budget``
     bits; component_id is the smallest doc_id reachable, itself included. Null and empty texts
@@ -245,9 +271,22 @@ def near_duplicates(docs: DataFrame, kinds: tuple[Fingerprint, ...] = (Fingerpri
     smallest = nodes.filter("component is not null").groupBy("component").agg(F.min("first").alias("smallest"))
     ids = nodes.join(smallest, "component", "left").select("node", "n", F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"))
     found = lookup(rows, "node", cut(ids), "n", F.xxhash64("doc_id", "node"))
-    return found.select("doc_id", *names, "component_id")
+    return found.select("doc_id", "text_key", *names, "component_id")
 
 
 def hex_digits(column: str) -> Column:
     """A 64-bit value as 16 lower-case hexadecimal digits."""
     return F.lpad(F.lower(F.hex(F.col(column))), 16, "0")
+
+
+def drop_near_duplicates(docs: DataFrame, kinds: tuple[Fingerprint, ...] = CORPUS, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of ``near_duplicates``, that with the smallest id; columns stay.
+
+    Rows that repeat the id of the document that stays are not told apart from it and stay too.
+    """
+    groups = near_duplicates(docs, kinds, budget, id_col, text_col)
+    losers = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_key").distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_of(text_col)).alias("_key"))
+    lost = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))
+    return rows.join(losers, lost, "left_anti").select("row.*")
