@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from lumenvox.llm.embedding_dedup import embedding_duplicates
 from lumenvox.llm.exact_dedup import exact_groups
 from lumenvox.llm.mixing import mix
 from lumenvox.llm.packing import packed_documents
+from lumenvox.llm.quality import judged, train
 from lumenvox.llm.secret_scan import secret_digests
 from lumenvox.llm.simhash import hex_digits, near_duplicates
 from lumenvox.llm.suffix_dedup import remove_repeats
@@ -97,6 +99,12 @@ FROM d JOIN p3 p ON d.source IS NOT DISTINCT FROM p.source
 """
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = judged(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return found.select("row.doc_id", "row.lang", "n_words", "perplexity", "threshold", "kept")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -135,10 +143,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash": op2_simhash,
         "op4_suffix_dedup": op4_suffix_dedup,
         "op5_mixing": op5_mixing,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_secret_scan": op9_secret_scan,
         "op10_token_files": op10_token_files,
+        "pipeline": corpus_pipeline.run,
     }
 
 
