@@ -16,6 +16,8 @@ from lumenvox.llm.secret_scan import secret_digests
 from lumenvox.llm.simhash import hex_digits, near_duplicates
 from lumenvox.llm.suffix_dedup import remove_repeats
 from lumenvox.llm.token_files import token_file_digests
+from lumenvox.llm.toxicity import toxicity
+from lumenvox.llm.toxicity import train as train_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits("f0").alias("fingerprint"), "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -141,6 +148,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embedding_dedup": op1_embedding_dedup,
         "op2_simhash": op2_simhash,
+        "op3_toxicity": op3_toxicity,
         "op4_suffix_dedup": op4_suffix_dedup,
         "op5_mixing": op5_mixing,
         "op6_quality_classifier": op6_quality_classifier,
