@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from lumenvox.plans import capture
+
+MODULES = (capture,)
+
 
 def queries() -> dict:
-    return {}
+    return {name: query for m in MODULES for name, (query, _) in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {name: sql for m in MODULES for name, (_, sql) in m.QUERIES.items() if sql}
