@@ -77,9 +77,9 @@ def forward_clearance(starts: DataFrame, cells: DataFrame, key: list[str], size:
 
     The first step into a cell that isn't walkable ends the way; without one it is steps * step.
     """
-    way = starts.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(steps))))
-    t = F.col("i") * F.lit(step)
+    way = starts.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+    t = F.col("_nth") * F.lit(step)
     way = way.withColumns({"cx": F.floor((F.col("x") + F.sin("yaw") * t) / size).cast("long"), "cz": F.floor((F.col("z") + F.cos("yaw") * t) / size).cast("long")})
     seen = way.join(cells.withColumn("_walk", F.lit(True)), ["cx", "cz"], "left")
-    first = F.min(F.when(F.col("_walk").isNull(), F.col("i")))
+    first = F.min(F.when(F.col("_walk").isNull(), F.col("_nth")))
     return seen.groupBy(*key).agg(F.coalesce((first - 1) * F.lit(step), F.lit(steps * step)).alias("clear"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lumenvox.plans import capture
+from lumenvox.plans import capture, motion
 
-MODULES = (capture,)
+MODULES = (capture, motion)
 
 
 def queries() -> dict:
