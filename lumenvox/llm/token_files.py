@@ -215,7 +215,9 @@ class _Reader(DataSourceReader):
             start += n_ids
         return parts
 
-    def read(self, partition: _FilePart) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _FilePart | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # so Spark reads a source without partitions
+            return
         store, folder = _store(self.path)
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
         rows: list[tuple] = []
