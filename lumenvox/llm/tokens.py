@@ -9,16 +9,18 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
-import numpy as np
-
 #: Entries of a worker's cache; beyond it the cache starts anew.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 1_400_000
 #: Characters of text whose pieces are looked up together.
 STEP_CHARS = 1 << 20
 #: White space before a space: there a cut at the second would break a run of white space.
+#: Marks a piece that no space went before. A text that holds this character itself is one piece.
+FIRST = "\ue000"
 _RUN = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
 _ENCODERS: dict[tuple[str, bool], "PieceEncoder"] = {}
@@ -41,10 +43,14 @@ class PieceEncoder:
         self.cache: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
+        """Pieces of a text without the space that was cut; the first one, which had none, is marked."""
         if not self.keeps_space:
             return text.replace("\n", " ").split(" ")
-        parts = _CUT.split(text) if _RUN.search(text) or text[:1] == " " else text.split(" ")
-        return [parts[0], *[f" {p}" for p in parts[1:]]]
+        if FIRST in text:
+            return [FIRST + text]
+        parts = _CUT.split(text) if text[:1] == " " or _RUN.search(text) else text.split(" ")
+        parts[0] = FIRST + parts[0]
+        return parts
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         waiting: list[list[str]] = []
@@ -61,17 +67,23 @@ class PieceEncoder:
         cache = self.cache
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
-        new = {p for pieces in waiting for p in pieces if p not in cache}
-        if new:
-            ordered = list(new)
-            for at in range(0, len(ordered), 20_000):
-                some = ordered[at : at + 20_000]
-                for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                    cache[piece] = np.array(found.ids, "<u4").tobytes()
+        new = list(set().union(*waiting).difference(cache))
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            whole = [p[1:] if p[:1] == FIRST else f" {p}" for p in some] if self.keeps_space else some
+            for piece, found in zip(some, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+                cache[piece] = _as_bytes(found.ids)
         for pieces in waiting:
             yield b"".join(map(cache.__getitem__, pieces))
 
 
+def _as_bytes(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 def encoder(path: str, keeps_space: bool) -> PieceEncoder:
     """The worker's encoder for this file."""
     if (path, keeps_space) not in _ENCODERS:
