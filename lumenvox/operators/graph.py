@@ -26,20 +26,27 @@ def geodesic(links: DataFrame, roots: DataFrame) -> DataFrame:
         best = settled(best.join(fresh.select("node"), "node", "left_anti").unionByName(fresh))
 
 
+def _roots(up: DataFrame) -> DataFrame:
+    """``up`` (id, up) with every node led to its root, by doubling."""
+    while True:
+        above = up.select(F.col("id").alias("_id"), F.col("up").alias("_up"))
+        higher = settled(up.join(above, F.col("up") == F.col("_id")).select("id", F.col("up").alias("before"), F.col("_up").alias("up")))
+        up = higher.select("id", "up")
+        if higher.filter("before <> up").isEmpty():
+            return up
+
+
 def connected(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, component: the smallest node that can be reached, for every node of ``nodes``.
 
-    Each round the links of contracted components are joined to the smallest neighbour, so rounds grow
-    with the logarithm of the size.
+    Each round every component hooks on to its smallest neighbour and follows the hooks to their
+    roots, so only components without a smaller neighbour go on to the next round.
     """
     label = settled(nodes.select("node", F.col("node").alias("component")))
     open_ = settled(links.select("src", "dst").filter("src <> dst").distinct())
     while not open_.isEmpty():
         up = open_.groupBy("src").agg(F.min("dst").alias("dst")).select(F.col("src").alias("id"), F.least("src", "dst").alias("up"))
-        for _ in range(2):
-            above = up.select(F.col("id").alias("_id"), F.col("up").alias("_up"))
-            up = up.join(above, F.col("up") == F.col("_id")).select("id", F.col("_up").alias("up"))
-        up = settled(up)
+        up = _roots(settled(up))
         label = settled(label.join(up, F.col("component") == F.col("id"), "left").select("node", F.coalesce("up", "component").alias("component")))
         a, b = up.select(F.col("id").alias("src"), F.col("up").alias("a")), up.select(F.col("id").alias("dst"), F.col("up").alias("b"))
         open_ = settled(open_.join(a, "src").join(b, "dst").filter("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct())
