@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from lumenvox.llm.common import text_of
 
 #: Labelled documents that the model is fitted on, at most about, chosen by a hash of their ids.
-FIT_DOCS = 12_000
+FIT_DOCS = 6_000
 #: Features are hashed to so many bits; those in fewer documents or with less of a difference between the classes (in standard errors) are left out.
 FEATURE_BITS, LEAST_DOCS, LEAST_Z = 24, 5, 4.5
 #: Weights of the penalty on counterfactual differences and of the squared weights.
@@ -88,7 +88,7 @@ def _extracted(terms: dict[str, str]):
 
 def _flat(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(b"".join(rows), "<u4")
-    return ids, np.repeat(np.arange(len(rows)), [len(r) // 4 for r in rows])
+    return ids, np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) // 4 for r in rows])
 
 
 class Model:
@@ -120,20 +120,29 @@ def fit(labels: np.ndarray, own: list[bytes], twins: list[bytes | None], penalty
     if n1 == 0 or n1 == n:
         return Model(prior, np.empty(0, np.int64), np.empty(0))
     ids, rows = _flat(own)
-    size = 1 << FEATURE_BITS
-    keys = np.unique(ids.astype(np.int64) * n + rows)  # a feature once a document
-    ones = np.bincount(keys // n, weights=y[keys % n], minlength=size)
-    every = np.bincount(keys // n, minlength=size)
+    keys = ids.astype(np.int64)
+    keys *= n
+    keys += rows
+    del ids, rows
+    keys = np.unique(keys)  # a feature once a document
+    feature = keys // n
+    starts = np.flatnonzero(np.r_[True, feature[1:] != feature[:-1]]) if len(keys) else np.empty(0, np.int64)
+    every = np.diff(np.r_[starts, len(keys)])
+    ones = np.add.reduceat(y[keys % n], starts) if len(keys) else np.empty(0)
+    known = feature[starts]
+    del keys, feature
     p = every / n
     z = np.abs(ones / n1 - (every - ones) / (n - n1)) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / (n - n1)))
-    chosen = np.flatnonzero((every >= LEAST_DOCS) & (z >= LEAST_Z))
-    place = np.full(size, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
+    chosen = known[(every >= LEAST_DOCS) & (z >= LEAST_Z)]
+    del known, every, ones, p, z
 
     def sparse(some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         i, r = _flat(some)
-        at = place[i]
-        return at[at >= 0], r[at >= 0]
+        if not len(chosen):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        at = np.minimum(np.searchsorted(chosen, i), len(chosen) - 1)
+        there = chosen[at] == i
+        return at[there], r[there]
 
     f, r = sparse(own)
     paired = [i for i, t in enumerate(twins) if t is not None]
