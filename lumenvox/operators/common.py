@@ -1,15 +1,27 @@
-"""Cutting lineage in loops."""
+"""Cutting lineage in loops, and files that executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    if base := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return base
+    spark.sparkContext.setCheckpointDir(base := tempfile.mkdtemp(prefix="lumenvox-checkpoint-"))
+    return base
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once, kept in the shared checkpoint folder; a temporary one only where none is set."""
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lumenvox-checkpoint-"))
+    """``df`` computed once and kept in the shared folder, with its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -92,3 +92,61 @@ def greedy_tour(points: DataFrame, key: str) -> DataFrame:
 
     kind = points.schema[key].dataType.simpleString()
     return points.select(key, "id", "x", "y", "z").groupBy(key).applyInPandas(tour, f"{key} {kind}, ord long, id long")
+
+
+def spread_anchors(candidates: DataFrame, key: str, count: int, sep: float, *, clearance: float = 0.0, most_dy: float = 0.5, grow: float = 1.05, shrink: float = 0.9, floor: float = 0.6) -> DataFrame:
+    """Anchors of each scene by best-candidate sampling with thresholds that adapt: key, ord, id.
+
+    ``candidates`` has key, id, x, y, z, clear and draw (a fixed random order in place of a random
+    generator). The first draw is the first anchor. Each round takes, among the candidates with
+    enough clearance (null passes), within ``most_dy`` of the first anchor's height and at
+    least the separation away from all anchors, the furthest from them; after a success the
+    separation grows, up to its start, after a failure it shrinks, and at its floor the search
+    ends. A scene is one group.
+    """
+
+    def select(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values(["draw", "id"]).reset_index(drop=True)
+        xyz, clear = g[["x", "y", "z"]].to_numpy(), g["clear"].fillna(np.inf).to_numpy()
+        picks, nearest, now = [0], np.linalg.norm(xyz - xyz[0], axis=1), sep
+        fits = (clear >= clearance) & (np.abs(xyz[:, 1] - xyz[0, 1]) <= most_dy)
+        while len(picks) < count:
+            open_ = np.flatnonzero(fits & (nearest >= now))
+            if len(open_):
+                picks.append(int(open_[nearest[open_].argmax()]))
+                nearest = np.minimum(nearest, np.linalg.norm(xyz - xyz[picks[-1]], axis=1))
+                now = min(sep, now * grow)
+            elif now <= floor:
+                break
+            else:
+                now = max(floor, now * shrink)
+        return pd.DataFrame({key: g[key].iloc[0], "ord": np.arange(len(picks)), "id": g["id"].iloc[picks].to_numpy()})
+
+    kind = candidates.schema[key].dataType.simpleString()
+    return candidates.select(key, "id", "x", "y", "z", "clear", "draw").groupBy(key).applyInPandas(select, f"{key} {kind}, ord long, id long")
+
+
+def gap_anchors(candidates: DataFrame, anchors: DataFrame, key: str, radius: float, factors: tuple[float, ...] = (1.0, 0.8, 0.6, 0.5), floor: float = 0.4, most: int = 12) -> DataFrame:
+    """Extra anchors where none is near: key, ord, id, radius, for the first radius of ``factors`` that gives any.
+
+    Candidates nearer than the radius to an anchor are left out; the rest is picked furthest first.
+    """
+    have = anchors.groupBy(key).agg(F.collect_list(F.struct("x", "y", "z")).alias("have"))
+
+    def fill(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("id").reset_index(drop=True)
+        xyz = g[["x", "y", "z"]].to_numpy()
+        old = np.array([[p["x"], p["y"], p["z"]] for p in g["have"].iloc[0]])
+        start = np.sqrt(((xyz[:, None, :] - old[None, :, :]) ** 2).sum(axis=2)).min(axis=1)
+        for f in factors:
+            r, nearest, picks = max(floor, radius * f), start.copy(), []
+            while len(picks) < most and len(nearest) and nearest.max() >= r:
+                picks.append(int(nearest.argmax()))
+                nearest = np.minimum(nearest, np.linalg.norm(xyz - xyz[picks[-1]], axis=1))
+            if picks:
+                return pd.DataFrame({key: g[key].iloc[0], "ord": np.arange(len(picks)), "id": g["id"].iloc[picks].to_numpy(), "radius": r})
+        return pd.DataFrame({key: [], "ord": [], "id": [], "radius": []})
+
+    kind = candidates.schema[key].dataType.simpleString()
+    joined = candidates.select(key, "id", "x", "y", "z").join(have, key)
+    return joined.groupBy(key).applyInPandas(fill, f"{key} {kind}, ord long, id long, radius double")

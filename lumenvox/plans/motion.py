@@ -252,6 +252,51 @@ def greedy_tour(spark: SparkSession, sf: str) -> DataFrame:
     return graph.greedy_tour(stops, "view")
 
 
+def spread_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    """Anchors of each view, spread by best candidates under adapting separation."""
+    draw = F.expr("conv(substr(md5(cast(vec_id as string)), 1, 12), 16, 10)").cast("long")
+    cand = tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), "x", "y", "z", F.abs("y").alias("clear"), draw.alias("draw"))
+    return graph.spread_anchors(cand, "view", 8, 0.45, clearance=0.02, floor=0.2)
+
+
+def gap_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    """Extra anchors of each view where its first points leave gaps."""
+    pts = tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), "x", "y", "z")
+    first = Window.partitionBy("view").orderBy("id")
+    anchors = pts.withColumn("n", F.row_number().over(first)).filter("n <= 3")
+    return graph.gap_anchors(pts, anchors, "view", 0.5, floor=0.25).select("view", "ord", "id", *rounding("radius"))
+
+
+def anchor_headings(spark: SparkSession, sf: str) -> DataFrame:
+    """Heading of each anchor: that of the path, turned where there is little room ahead, with the room around it."""
+    refined = refine_yaw(spark, sf)
+    room = spatial.nearest(tables.anchors(spark, sf), tables.points(spark, sf).filter("vec_id % 25 <> 0"), "anchor_id", "vec_id").select("anchor_id", "d")
+    own = tables.anchors(spark, sf).select("anchor_id").join(refined.withColumnRenamed("vec_id", "anchor_id"), "anchor_id").join(room, "anchor_id")
+    return own.select("anchor_id", *rounding("yaw"), rounded("d").alias("room"))
+
+
+def path_trajectory(spark: SparkSession, sf: str) -> DataFrame:
+    """A smooth path through the greedy tour of each view's stops: resampled, densified, cut and resampled again."""
+    tour = greedy_tour(spark, sf).join(tables.points(spark, sf).select(F.col("vec_id").alias("id"), "x", "y", "z"), "id")
+    path = sequence.resample(tour.select(F.col("view").alias("path_id"), F.col("ord").alias("seq"), "x", "y", "z"), 0.2)
+    dense = sequence.densify(path, 0.2)
+    order = Window.partitionBy("path_id").orderBy("seq", "k")
+    dense = dense.select("path_id", (F.row_number().over(order) - 1).cast("long").alias("n"), "x", "y", "z").withColumnRenamed("n", "seq")
+    return sequence.resample(sequence.chaikin(dense, 2), 0.2).select("path_id", "seq", *rounding("x", "y", "z"))
+
+
+def ply_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The point cloud written to PLY files in the shared folder and read back."""
+    from lumenvox.operators.common import shared_path
+    from lumenvox.sources import ply
+
+    path = shared_path(spark, "ply")
+    pts = tables.points(spark, sf).select("x", "y", "z", F.col("r").alias("red"), F.col("g").alias("green"), F.col("b").alias("blue"))
+    ply.write_ply(pts, path)
+    back = ply.read_ply(spark, path)
+    return back.select(*[rounded(F.col(c).cast("double"), 5).alias(c) for c in "xyz"], *[F.col(c).cast("int").alias(c) for c in ply.CHANNELS])
+
+
 def _stops(spark: SparkSession, sf: str) -> DataFrame:
     path = sequence.path_yaws(tables.path(spark, sf))
     return path.filter("vec_id % 5 = 0").select("path_id", F.col("seq").alias("vi"), "yaw")
@@ -499,6 +544,18 @@ QUERIES = {
           FROM t JOIN s p ON p.vec_id = t.id JOIN s a ON a.view = t.view WHERE NOT list_contains(t.seen, a.vec_id) GROUP BY t.view, t.ord))
         SELECT view, ord::BIGINT AS ord, id FROM t""",
     ),
+    "spread_anchors": (spread_anchors, None),
+    "gap_anchors": (gap_anchors, None),
+    "path_trajectory": (path_trajectory, None),
+    "anchor_headings": (
+        anchor_headings,
+        f"""WITH {sql.ANCHOR}, walk AS (SELECT DISTINCT floor(x / 0.2)::BIGINT AS cx, floor(z / 0.2)::BIGINT AS cz FROM pts),
+        s0 AS (SELECT vec_id, x, z, y * pi() AS yaw0 FROM pts WHERE vec_id % 25 = 0), st AS (SELECT vec_id, x, z, yaw0, i AS ii, radians(-60 + 12 * i) AS tt, {sql.wrap('yaw0 + radians(-60 + 12 * i)')} AS yaw FROM s0, range(0, 11) t(i) UNION ALL SELECT vec_id, x, z, yaw0, -1, 0, yaw0 FROM s0),
+        {_clear('st', 'vec_id, yaw0, ii, tt, yaw', '0.15::DOUBLE', 40)}, b AS (SELECT vec_id, yaw0, max(clear) FILTER (WHERE ii < 0) AS c0, arg_max(yaw, (round(clear - 0.05::DOUBLE * abs(tt), 9), -ii)) FILTER (WHERE ii >= 0) AS best FROM clr GROUP BY vec_id, yaw0),
+        rm AS (SELECT a.anchor_id, min({_DIST}) AS d FROM anchor a, pts p WHERE p.vec_id % 25 <> 0 GROUP BY a.anchor_id)
+        SELECT anchor_id, round(CASE WHEN c0 >= 0.35 THEN yaw0 ELSE best END, 6) + 0.0 AS yaw, round(d, 6) AS room FROM b JOIN rm ON vec_id = anchor_id""",
+    ),
+    "ply_round_trip": (ply_round_trip, f"WITH {sql.PTS} SELECT round(x, 5) + 0.0 AS x, round(y, 5) + 0.0 AS y, round(z, 5) + 0.0 AS z, r AS red, g AS green, b AS blue FROM pts"),
     "coverage_playlist": (coverage_playlist, f"WITH {sql.PATH}, {_STOPS} SELECT path_id, j * n + (((rk - j) % n) + n) % n AS pos, vi, round({sql.wrap('yaw + radians(deg)')}, 6) + 0.0 AS yaw FROM stp, off"),
     "coverage_playlist_by_anchor": (coverage_playlist_by_anchor, f"WITH {sql.PATH}, {_STOPS} SELECT path_id, rk * 3 + j AS pos, vi, round({sql.wrap('yaw + radians(deg)')}, 6) + 0.0 AS yaw FROM stp, off"),
     "baseline_repair": (baseline_repair, None),

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The pattern of baked scene tokens and the folder of scanned scenes.
 BAKED_PATTERN = r"^sc(\d+)[\-_]?(\d+)$"
+SCAN_FOLDER = "hm3d-minival-habitat-v2"
 
 
 def baked_scene(token: Column) -> Column:
@@ -18,7 +20,7 @@ def baked_scene(token: Column) -> Column:
 def scan_scene(root: str, token: Column) -> Column:
     """Mesh file of a scanned scene such as 00800-TEEsavR23oF; paths of meshes stay as they are."""
     last = F.element_at(F.split(token, "-"), -1)
-    return F.when(token.endswith(".glb"), token).otherwise(F.concat(F.lit(f"{root}/hm3d-minival-habitat-v2/"), token, F.lit("/"), last, F.lit(".basis.glb")))
+    return F.when(token.endswith(".glb"), token).otherwise(F.concat(F.lit(f"{root}/{SCAN_FOLDER}/"), token, F.lit("/"), last, F.lit(".basis.glb")))
 
 
 def short_id(token: Column) -> Column:
