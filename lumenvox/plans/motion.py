@@ -355,11 +355,11 @@ def heading_policy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retry_nudges(spark: SparkSession, sf: str) -> DataFrame:
-    """The first of the nudges (0, 5, -5, 10, -10 degrees) at which a view is open enough; null if none is."""
+    """The first of the nudges (0, 5, -5, 10, -10 degrees) at which a view is open enough; views without one have no row."""
     nudges = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(n).alias("n")) for i, n in enumerate((0, 5, -5, 10, -10))]))
     tried = tables.table(spark, sf, "embeddings").select("vec_id", "embedding", nudges.alias("t"))
     value = F.element_at("embedding", (F.col("t.i") + 1).cast("int")).cast("double")
-    return tried.groupBy("vec_id").agg(F.min_by(F.when(value > 0.05, F.col("t.n")), F.when(value > 0.05, F.col("t.i"))).alias("nudge"))
+    return tried.filter(value > 0.05).groupBy("vec_id").agg(F.min_by("t.n", "t.i").alias("nudge"))
 
 
 def _attempts(spark: SparkSession, sf: str) -> DataFrame:
@@ -567,7 +567,7 @@ QUERIES = {
         SELECT c_custkey, concat_ws(',', CASE WHEN anchors > 0 AND views < anchors THEN 'anchors' END, CASE WHEN n_shots > 0 AND views < n_shots THEN 'playlist' END, CASE WHEN valid > 0 AND ceil(views / n_rounds) < ceil(n_shots / greatest(valid, 1)) THEN 'rounds' END) AS warnings FROM b""",
     ),
     "heading_policy": (heading_policy, f"WITH {sql.PATH}, {_PYAW}, t AS (SELECT *, CASE WHEN seq % 3 <> 0 THEN atan2(0.5 - x, 0.5 - z) END AS g FROM py) SELECT path_id, seq, round(CASE WHEN g IS NULL THEN yaw ELSE {sql.wrap('yaw + 0.5 * atan2(sin(g - yaw), cos(g - yaw))')} END, 5) + 0.0 AS yaw FROM t"),
-    "retry_nudges": (retry_nudges, "SELECT vec_id, CASE WHEN embedding[1]::DOUBLE > 0.05 THEN 0 WHEN embedding[2]::DOUBLE > 0.05 THEN 5 WHEN embedding[3]::DOUBLE > 0.05 THEN -5 WHEN embedding[4]::DOUBLE > 0.05 THEN 10 WHEN embedding[5]::DOUBLE > 0.05 THEN -10 END AS nudge FROM embeddings"),
+    "retry_nudges": (retry_nudges, "SELECT vec_id, CASE WHEN embedding[1]::DOUBLE > 0.05 THEN 0 WHEN embedding[2]::DOUBLE > 0.05 THEN 5 WHEN embedding[3]::DOUBLE > 0.05 THEN -5 WHEN embedding[4]::DOUBLE > 0.05 THEN 10 WHEN embedding[5]::DOUBLE > 0.05 THEN -10 END AS nudge FROM embeddings WHERE list_max(embedding[1:5])::DOUBLE > 0.05"),
     "capture_schedule": (capture_schedule, None),
     "view_budget": (view_budget, "WITH a AS (SELECT user_id AS scene, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS attempt, value > 30 AS ok FROM events), o AS (SELECT scene, row_number() OVER (PARTITION BY scene ORDER BY attempt) - 1 AS idx, attempt FROM a WHERE ok) SELECT scene, idx, attempt FROM o WHERE idx < 20"),
     "scene_resolver": (scene_resolver, "WITH t AS (SELECT p_partkey, p_size, 'sc' || p_size || CASE WHEN p_partkey % 2 = 0 THEN '_' ELSE '-' END || (p_partkey % 100) AS token FROM part) SELECT p_partkey, token, printf('Baked_sc%d_staging_%02d.scene_instance.json', p_size, p_partkey % 100) AS baked, '/data/hm3d-minival-habitat-v2/' || token || '/' || split_part(token, '-', -1) || '.basis.glb' AS scan, split_part(token, '-', 1) AS short FROM t"),

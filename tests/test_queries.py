@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from lumenvox.plans import catalogue
@@ -20,7 +21,7 @@ def con(sf_dir):
 
 
 def values(df, columns):
-    plain = lambda v: None if v is None or v != v else (float(v) if isinstance(v, float) else v)
+    plain = lambda v: None if pd.isna(v) else v
     return sorted((tuple(plain(v) for v in row) for row in df[columns].astype(object).itertuples(index=False)), key=str)
 
 
