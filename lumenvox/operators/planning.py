@@ -117,4 +117,5 @@ def capture_schedule(attempts: DataFrame, phases: DataFrame, key: str, n_views:
         return pd.DataFrame(rows, columns=[key, "idx", "attempt", "phase", "round"])
 
     kind = attempts.schema[key].dataType.simpleString()
-    return attempts.join(plan, key).groupBy(key).applyInPandas(fold, f"{key} {kind}, idx long, attempt long, phase string, round int")
+    first = F.row_number().over(Window.partitionBy(key).orderBy("attempt")) == 1  # the plan travels with one row of a scene
+    return attempts.join(plan, key).withColumn("plan", F.when(first, F.col("plan"))).groupBy(key).applyInPandas(fold, f"{key} {kind}, idx long, attempt long, phase string, round int")
