@@ -194,7 +194,7 @@ def _leaves(rests: np.ndarray, a0, a1, b0, b1, budget: int) -> Iterator[tuple[np
 
 
 def _joined(bits: int, budget: int):
-    """mapInArrow function over whole nodes (path, rest, fp): links that connect what is connected below each node."""
+    """mapInArrow function over whole nodes (path, rest, fp: what the links name): links that connect what is connected below each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[np.asarray(b.column(i)) for i in range(3)] for b in batches if b.num_rows]
@@ -216,14 +216,14 @@ def _joined(bits: int, budget: int):
 
 
 def fingerprint_links(fps: DataFrame, budget: int = 3, node_rows: int = NODE_ROWS) -> DataFrame:
-    """Links (src, dst) that connect the distinct fingerprints ``fp`` (64 bits as a long) within ``budget`` bits.
+    """Links (src, dst) that connect fingerprints ``fp`` (64 bits as a long) of one ``kind`` within ``budget`` bits.
 
-    Fingerprints that are reachable from each other over pairs within the budget are reachable
+    ``fps`` has kind, fp and node, the id by which a link names the fingerprint; rows are distinct. Fingerprints that are reachable from each other over pairs within the budget are reachable
     over these links and no others are; a node's links are as few as its rows. A node with more
     than ``node_rows`` fingerprints is split again by a block of its remaining bits.
     """
     blocks, bits, splits = budget + 1, 64, 0
-    rows = fps.select(F.lit(0).cast("long").alias("path"), F.col("fp").alias("rest"), "fp")
+    rows = fps.select(F.col("kind").cast("long").alias("path"), F.col("fp").alias("rest"), F.col("node").alias("fp"))
     links = None
     while True:
         width = bits // blocks
@@ -257,14 +257,10 @@ def near_duplicates(docs: DataFrame, kinds: tuple[Fingerprint, ...] = (Fingerpri
     node = (lambda k: F.col(f"f{k}")) if single else (lambda k: F.xxhash64(F.lit(k), F.col(f"f{k}")))
     rows = rows.withColumn("node", node(0))
     classes = cut(rows.groupBy("node", *names).agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
-    links = None
-    for k in range(len(kinds)):
-        found = fingerprint_links(classes.select(F.col(f"f{k}").alias("fp")).distinct(), budget)
-        if not single:
-            found = found.select(F.xxhash64(F.lit(k), F.col("src")).alias("src"), F.xxhash64(F.lit(k), F.col("dst")).alias("dst"))
-        links = found if links is None else links.unionByName(found)
-        if k:
-            links = links.unionByName(classes.select(F.col("node").alias("src"), node(k).alias("dst")))
+    fps = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"f{k}").alias("fp"), node(k).alias("node")) for k in range(len(kinds))])).alias("s")
+    links = fingerprint_links(classes.select(fps).select("s.*").distinct(), budget)
+    for k in range(1, len(kinds)):  # what one document has of several kinds belongs together
+        links = links.unionByName(classes.select(F.col("node").alias("src"), node(k).alias("dst")))
     linked = components(links)
     nodes = classes.groupBy("node").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
     nodes = cut(nodes.join(linked.select(F.col("id").alias("node"), "component"), "node", "left"))

@@ -96,7 +96,7 @@ def test_fingerprint_links_split_crowded_nodes(spark):
     base = int(rng.integers(0, 2**63))
     near = [base ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 5), replace=False)) for _ in range(150)]
     every = np.unique(np.array([*near, *rng.integers(0, 2**63, 100).tolist()], np.uint64))
-    fps = spark.createDataFrame([(int(x),) for x in every.view(np.int64)], "fp long")
+    fps = spark.createDataFrame([(0, int(x), int(x)) for x in every.view(np.int64)], "kind int, fp long, node long")
     roots = np.arange(len(every))
     for i in range(len(every)):
         for j in range(i):
