@@ -15,7 +15,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 #: Entries of a worker's cache; beyond it the cache starts anew.
-CACHE_ENTRIES = 1_400_000
+CACHE_ENTRIES = 1_250_000
 #: Characters of text whose pieces are looked up together.
 STEP_CHARS = 1 << 20
 #: White space before a space: there a cut at the second would break a run of white space.

@@ -45,7 +45,7 @@ IDENTITY_TERMS = (
     ("mujeres", "hombres"),
 )
 _WORD = re.compile(r"\w+")
-_CACHE_ENTRIES = 500_000
+_CACHE_ENTRIES = 250_000
 
 
 def features(word: str) -> list[int]:
