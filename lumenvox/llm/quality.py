@@ -1,12 +1,15 @@
-"""Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
-
-Words become codes of a fixed alphabet: a few shapes (a repeated word, signs only, a word with signs
-in it, a number, capitals, an overlong word) and hash classes for all others. So the model of a
-language has at most CODES**2 probabilities whatever the corpus, while its counts are taken over all
-trusted text: bigram counts and the continuation counts that follow from them are summed and
-joined in shards by language and context. Every document is then scored where it is read. It is
-rejected when its perplexity lies beyond the quantiles of its language's trusted documents, above
-(unlike the language) or below (more uniform than any real text, such as one word over and over).
+"""Quality classifier: an interpolated modified Kneser-Ney bigram model of the words of trusted text.
+
+Words and pairs of words are hashed to 64 bits together with their language, so counts, models and
+thresholds of all languages are rows of the same tables, as many as trusted text has pairs. The
+logarithm of a text's probability is a sum: of each word what it adds to that of an unseen word, and
+of each seen pair what it adds to its words. So a document is not sent to the tables: a chunk of
+documents sends each distinct word and pair once with the places where it occurs, the rows are
+joined with the tables, and the values found are summed for each document of the chunk.
+
+Trusted documents are also scored without what no other text has, as a new document would be. A
+document is rejected when its perplexity lies beyond the quantiles of its language's trusted documents,
+above (unlike the language) or below (more uniform than any real text).
 """
 
 from __future__ import annotations
@@ -17,22 +20,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lumenvox.llm.common import cut, text_of
+from lumenvox.llm.common import cut, lookup, scratch_path, text_of
 
+#: Classes of words, for the summary of a model in ``Model.logp``; documents aren't judged by them.
 CODES = 96
 START, REPEAT, SIGNS, MIXED, NUMBER, LONG, CAPITALS, SHAPES = 0, 1, 2, 3, 4, 5, 6, 7
-#: Languages with a model of their own, those with the most trusted words; all others use the model of all trusted text.
-MAX_LANGUAGES = 32
-ALL = "*"
+#: The language number of the model of all trusted text, for null languages and those without trusted text.
+POOLED = 0
 #: Share of a language's trusted documents beyond each threshold, and how much further (in nats a word) the threshold lies.
 TAIL, MARGIN = 0.0025, 0.05
 #: Words of average trusted text that are added to each document, so that short texts aren't judged by a few words.
 PRIOR_WORDS = 10
+#: Documents and words of a chunk at most; places in a chunk have 15 bits.
+CHUNK_DOCS, CHUNK_WORDS = 1 << 15, 1 << 20
+_POSTS_AT_ONCE = 1 << 21
 _CACHE: dict[str, int] = {}
+_HASHES: dict[str, int] = {}
 _CACHE_ENTRIES = 250_000
 _EDGE = ".,;:!?\"'()«»„“”…-–"
 _DASHES = ("-", "–", "—")
@@ -130,92 +137,315 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return high, contexts.select("lang", "a", (F.col("lost") / F.col("total")).alias("back")), low
 
 
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder in columns and read again."""
+    path = scratch_path(df.sparkSession, f"quality-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def token(word: str) -> str:
+    """What is counted of a word: without signs at its edges and in small letters, if it is written as words usually are."""
+    base = word.strip(_EDGE)
+    if not base or len(word) - len(base) > 2 or word[-2:] in ("!!", "??"):
+        return word
+    return base if len(base) > 2 and base.isupper() else base.lower()
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_keys(text: str, language: int) -> np.ndarray:
+    """Keys of the start, the words and the end of a text; a word that equals the one before it is another word."""
+    import xxhash
+
+    words = text.split()
+    if len(_HASHES) > _CACHE_ENTRIES:
+        _HASHES.clear()
+    for w in set(words):
+        if w not in _HASHES:
+            _HASHES[w] = xxhash.xxh64_intdigest(token(w).encode("utf-8", "surrogatepass"), 42)
+    keys = np.empty(len(words) + 2, np.uint64)
+    keys[0], keys[-1] = 1, 2
+    keys[1:-1] = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    same = np.fromiter((a == b for a, b in zip(words, words[1:], strict=False)), bool, max(0, len(words) - 1))
+    keys[2:-1][same] ^= np.uint64(0x5851F42D4C957F2D)
+    return _mixed(keys ^ _mixed(np.array([language], np.int64).view(np.uint64)))
+
+
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _mixed(a * np.uint64(0x9E3779B97F4A7C15) + b)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], empty: bool) -> Iterator[list[tuple]]:
+    """Rows (key, language, trusted, text) as (key, language, trusted, word keys), in chunks; texts without words only if ``empty``."""
+    chunk, words = [], 0
+    for b in batches:
+        for key, language, trusted, text in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3), strict=True):
+            keys = word_keys(text.as_py(), language)
+            if empty or len(keys) > 2:
+                chunk.append((key, language, trusted, keys))
+                words += len(keys)
+            if len(chunk) >= CHUNK_DOCS or words >= CHUNK_WORDS:
+                yield chunk
+                chunk, words = [], 0
+    if chunk:
+        yield chunk
+
+
+def _counted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, language, trusted, text) to language, a, b, n and the least and greatest text of each chunk that has the pair."""
+    for chunk in _chunks(batches, False):
+        a, b = (np.concatenate([r[3][cut_] for r in chunk]) for cut_ in (slice(None, -1), slice(1, None)))
+        lengths = [len(r[3]) - 1 for r in chunk]
+        # the lower half of a text's key is enough to tell whether a pair is in one text only
+        owner = np.repeat(np.array([r[0] for r in chunk], np.int64).astype(np.int32), lengths)
+        language = np.repeat(np.array([r[1] for r in chunk], np.int64), lengths)
+        pair = pair_keys(a, b)
+        order = np.argsort(pair, kind="stable")
+        starts = np.flatnonzero(np.r_[True, pair[order][1:] != pair[order][:-1]])
+        first, owner = order[starts], owner[order]
+        columns = [language[first], a[first].view(np.int64), b[first].view(np.int64), np.diff(np.r_[starts, len(order)]), np.minimum.reduceat(owner, starts), np.maximum.reduceat(owner, starts)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "a", "b", "n", "lo", "hi"])
+
+
+def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, language, trusted, text) to chunk, key and the places (and whether they are trusted) that hold it; and each chunk's documents."""
+    import xxhash
+
+    names = ["chunk", "key", "posts", "docs"]
+    for chunk in _chunks(batches, True):
+        docs = np.array([(k, g, t, len(w) - 1) for k, g, t, w in chunk], "<i8")
+        name = xxhash.xxh64_intdigest(docs.tobytes(), 7) - (1 << 63)
+        place = np.arange(len(chunk), dtype=np.uint16) | (docs[:, 2].astype(np.uint16) << np.uint16(15))
+        lengths = docs[:, 3]
+        keys = [np.concatenate([r[3] for r in chunk]), np.concatenate([pair_keys(r[3][:-1], r[3][1:]) for r in chunk])]
+        keys, places = np.concatenate(keys), np.concatenate([np.repeat(place, lengths + 1), np.repeat(place, lengths)])
+        order = np.argsort(keys, kind="stable")
+        keys, places = keys[order], places[order]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        found = keys[starts].view(np.int64)
+        ends = (np.r_[starts, len(keys)] * 2).astype(np.int32)
+        posts = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(places.astype("<u2"))])
+        whole = pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), name, np.int64)), pa.array(found), posts, pa.nulls(len(starts), pa.binary())], names)
+        for at in range(0, len(starts), 1 << 16):
+            yield whole.slice(at, 1 << 16)
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([name]), pa.array([None], pa.binary()), pa.array([docs.tobytes()], pa.binary())], names)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, posts, docs, value, only) to each chunk's sums by place: all values, and those not of one text only; documents pass."""
+    names = ["chunk", "sums", "docs"]
+    codes, values, others, held = [], [], [], 0
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        chunk, place = (np.concatenate(x) for x in zip(*codes, strict=True))
+        all_, other = np.concatenate(values), np.concatenate(others)
+        order = np.lexsort((place, chunk))
+        chunk, place = chunk[order], place[order]
+        starts = np.flatnonzero(np.r_[True, (chunk[1:] != chunk[:-1]) | (place[1:] != place[:-1])])
+        rows = np.empty(len(starts), [("place", "<u2"), ("all", "<f4"), ("other", "<f4")])
+        rows["place"], rows["all"], rows["other"] = place[starts], np.add.reduceat(all_[order], starts), np.add.reduceat(other[order], starts)
+        owner = chunk[starts]
+        edges = np.r_[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]), len(owner)]
+        sums = [rows[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([pa.array(owner[edges[:-1]]), pa.array(sums, pa.binary()), pa.nulls(len(sums), pa.binary())], names)
+
+    for b in batches:
+        is_docs = np.asarray(b.column(2).is_valid())
+        if is_docs.any():
+            some = b.filter(pa.array(is_docs))
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2)], names)
+        b = b.filter(pa.array(~is_docs))
+        if not b.num_rows:
+            continue
+        posts = b.column(1)
+        lengths = np.asarray(pc.binary_length(posts)) // 2
+        place = np.frombuffer(b"".join(posts.to_pylist()), "<u2")
+        value = np.repeat(np.asarray(b.column(3)), lengths)
+        only = np.repeat(np.asarray(b.column(4)), lengths) & (place >> 15 == 1)
+        codes.append((np.repeat(np.asarray(b.column(0)), lengths), place & 0x7FFF))
+        values.append(value)
+        others.append(np.where(only, 0.0, value))
+        held += len(place)
+        if held >= _POSTS_AT_ONCE:
+            yield from flushed()
+            codes, values, others, held = [], [], [], 0
+    if held:
+        yield from flushed()
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole chunks (chunk, sums, docs), sorted by chunk, to key, language, trusted, words and the two sums of each document."""
+
+    def rows(docs: bytes, sums: list[bytes], times: int) -> pa.RecordBatch:
+        d = np.frombuffer(docs, "<i8").reshape(-1, 4)
+        s = np.frombuffer(b"".join(sums), [("place", "<u2"), ("all", "<f4"), ("other", "<f4")])
+        found = [np.bincount(s["place"], weights=s[f], minlength=len(d)) / times for f in ("all", "other")]
+        return pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(d[:, 2] == 1), pa.array(d[:, 3]), *map(pa.array, found), pa.array(np.full(len(d), times))], ["k", "g", "trusted", "n", "total", "other", "weight"])
+
+    at, docs, sums, times = None, None, [], 0
+    for b in batches:
+        for chunk, some, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if chunk != at:
+                if docs is not None:
+                    yield rows(docs, sums, times)
+                at, docs, sums, times = chunk, None, [], 0
+            if own is not None:
+                docs, times = own, times + 1  # chunks of the same documents have one name
+            else:
+                sums.append(some)
+    if docs is not None:
+        yield rows(docs, sums, times)
+
+
+def _tables(spark: SparkSession, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Models from counts of pairs (g, a, b, n, only: the text if just one has the pair).
+
+    Gives key, value, only of each word and seen pair, and g, spread (logarithm of an unseen word's
+    probability) of each language.
+    """
+    # a word is of one text only if all its pairs are of that text
+    only = F.when((F.count("only") == F.count("*")) & (F.min("only") == F.max("only")), F.min("only")).alias("only")
+    few = [F.count_if(F.col("n") == 1).alias("c1"), F.count_if(F.col("n") == 2).alias("c2"), F.count_if(F.col("n") >= 3).alias("c3")]
+    before = _keep(counts.groupBy("g", "a").agg(F.sum("n").alias("total"), F.count("*").alias("weight"), *few, only), "contexts")
+    after = _keep(counts.groupBy("g", "b").agg(F.count("*").alias("n"), only), "continuations")
+    high = _discounts(counts.withColumnRenamed("g", "lang")).select(F.col("lang").alias("g"), *[f"d{i}" for i in (1, 2, 3)])
+    low = _discounts(after.withColumnRenamed("g", "lang")).select(F.col("lang").alias("g"), *[F.col(f"d{i}").alias(f"e{i}") for i in (1, 2, 3)])
+    sizes = after.groupBy("g").agg(F.sum("n").alias("pairs"), F.count("*").alias("types"), *[F.count_if(c).alias(f"t{i}") for i, c in enumerate((F.col("n") == 1, F.col("n") == 2, F.col("n") >= 3), 1)])
+    languages = sizes.join(high, "g").join(low, "g")
+    # what is left of each seen word is dealt to all words and one unseen word
+    left = sum(F.col(f"t{i}") * F.col(f"e{i}") for i in (1, 2, 3)) / F.col("pairs")
+    languages = _keep(languages.withColumn("spread", left / (F.col("types") + 1)), "languages")
+    lost = sum(F.col(f"c{i}") * F.col(f"d{i}") for i in (1, 2, 3))
+    before = _keep(before.join(languages.select("g", "d1", "d2", "d3"), "g").select("a", lost.alias("lost"), (lost / F.col("total")).alias("back"), "weight", "only"), "back")
+    discount = F.when(F.col("n") == 1, F.col("e1")).when(F.col("n") == 2, F.col("e2")).otherwise(F.col("e3"))
+    own = (F.col("n") - discount) / F.col("pairs") + F.col("spread")
+    after = _keep(after.join(languages.select("g", "e1", "e2", "e3", "pairs", "spread"), "g").select("b", own.alias("low"), F.log(own / F.col("spread")).alias("gain"), F.col("n").alias("weight"), "only"), "low")
+    words = before.select(F.col("a").alias("key"), F.log("back").alias("value"), "only").unionByName(after.select(F.col("b").alias("key"), F.col("gain").alias("value"), "only"))
+    words = words.groupBy("key").agg(F.sum("value").alias("value"), (F.count("only") == F.count("*")).alias("only"))
+    mix = F.xxhash64("a", "b")
+    pairs = lookup(counts, "a", before.select("a", "lost", "weight"), "weight", mix).drop("weight")
+    pairs = lookup(pairs, "b", after.select("b", "low", "weight"), "weight", mix).drop("weight")
+    pairs = pairs.join(F.broadcast(languages.select("g", "d1", "d2", "d3")) if languages.count() <= 10_000 else languages.select("g", "d1", "d2", "d3"), "g")
+    gain = F.log1p((F.col("n") - _discount()) / (F.col("lost") * F.col("low")))
+    pairs = pairs.select("a", "b", gain.alias("value"), F.col("only").isNotNull().alias("only")).mapInArrow(_paired, "key long, value double, only boolean")
+    return _keep(words.unionByName(pairs), "values"), languages.select("g", F.log("spread").alias("spread"))
+
+
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        key = pair_keys(*(np.asarray(b.column(i)).view(np.uint64) for i in (0, 1)))
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column(2), b.column(3)], ["key", "value", "only"])
+
+
+def _scores(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """k, g, trusted, n, total, other and weight (their number) of each different row (k, g, trusted, text)."""
+    posts = rows.select("k", "g", F.col("trusted").cast("int").alias("trusted"), "text").mapInArrow(_posted, "chunk long, key long, posts binary, docs binary")
+    found = posts.join(values, "key", "left").filter("value is not null or docs is not null")
+    sums = found.select("chunk", "posts", "docs", "value", "only").mapInArrow(_summed, "chunk long, sums binary, docs binary")
+    done = sums.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_gathered, "k long, g long, trusted boolean, n long, total double, other double, weight long")
+    same = [F.first(c).alias(c) for c in ("g", "trusted", "n", "total", "other")]
+    return _keep(done.groupBy("k").agg(*same, F.sum("weight").alias("weight")), "scores")
+
+
 class Model:
-    """Log-probabilities of bigrams by language, average loss and thresholds; of bounded size."""
+    """Tables of the trusted rows, the words and pairs, and the means and thresholds of each language."""
+
+    def __init__(self, trusted: DataFrame, values: DataFrame, languages: DataFrame, limits: DataFrame, summary: DataFrame, id_col: str) -> None:
+        self.trusted, self.values, self.languages, self.limits, self.id_col = trusted, values, languages, limits, id_col
+        self.logp = Summary(summary)
+
+
+class Summary:
+    """Log-probabilities of pairs of word classes of a language, computed when asked for."""
+
+    def __init__(self, coded: DataFrame) -> None:
+        self.coded = coded
+
+    def __getitem__(self, lang: str) -> np.ndarray:
+        counts = self.coded.mapInArrow(_coded, "doc_id long, lang string, codes binary").filter(F.col("lang") == lang).select("lang", "codes")
+        counts = cut(counts.mapInArrow(_counted, "lang string, a long, b long, n long").groupBy("lang", "a", "b").agg(F.sum("n").alias("n")))
+        h, c, b = (t.toPandas() for t in kneser_ney(counts))  # of one language: at most CODES**2 rows
+        back, lower, p = np.ones(CODES), np.full(CODES, b["spread"].max()), np.zeros((CODES, CODES))
+        back[c["a"]] = c["back"]
+        lower[b["b"]] = b["low"]
+        p[h["a"], h["b"]] = h["high"]
+        return np.log(p + back[:, None] * lower).ravel()
+
+
+def _language(name: Column) -> Column:
+    return F.when(name.isNotNull(), F.xxhash64(name))
 
-    def __init__(self, logp: dict[str, np.ndarray], mean: dict[str, float]) -> None:
-        self.logp, self.mean = logp, mean
-        self.limits: dict[str, tuple[float, float]] = {}
 
-    def language(self, lang: str | None) -> str:
-        return lang if lang in self.logp else ALL
+def _few(df: DataFrame) -> DataFrame:
+    """A table of languages, broadcast unless it is very long."""
+    return F.broadcast(df) if df.count() <= 10_000 else df
 
-    def loss(self, lang: str | None, codes: np.ndarray) -> float | None:
-        """Negative log-probability a word, with PRIOR_WORDS average words added; None without words or model."""
-        key = self.language(lang)
-        if not len(codes) or key not in self.logp:
-            return None
-        return float((-self.logp[key][bigrams(codes)].sum() + PRIOR_WORDS * self.mean[key]) / (len(codes) + PRIOR_WORDS))
 
-    def limit(self, lang: str | None) -> tuple[float, float]:
-        return self.limits.get(self.language(lang), self.limits.get(ALL, (-np.inf, np.inf)))
+def _losses(scores: DataFrame, languages: DataFrame) -> DataFrame:
+    """Makes ``total`` and ``other`` log-probabilities by adding that of as many unseen words; the end is one of the ``n`` words."""
+    return scores.join(_few(languages), "g", "left").withColumns({c: F.col(c) + F.col("n") * F.col("spread") for c in ("total", "other")})
+
+
+def _average(total: str) -> Column:
+    return (F.col("mean") * PRIOR_WORDS - F.col(total)) / (F.col("n") + PRIOR_WORDS)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quality_col: str = "quality", tail: float = TAIL) -> Model:
     """Model and thresholds from all documents that ``labels`` (id, quality) call trusted, quality 1."""
-    trusted = labels.filter(F.col(quality_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).distinct()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), text_of(text_col).alias("text"))
-    coded = cut(rows.mapInArrow(_coded, "doc_id long, lang string, codes binary").join(trusted, "doc_id", "left_semi"))
-    counts = coded.select("lang", "codes").mapInArrow(_counted, "lang string, a long, b long, n long").groupBy("lang", "a", "b").agg(F.sum("n").alias("n"))
-    counts = cut(counts)
-    ranked = counts.filter("lang is not null").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    everything = counts.groupBy("a", "b").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("lang"), "a", "b", "n")
-    counts = cut(counts.join(F.broadcast(ranked.select("lang")), "lang", "left_semi").filter(F.col("lang") != ALL).unionByName(everything))
-    high, contexts, low = (t.toPandas() for t in kneser_ney(counts))  # at most (MAX_LANGUAGES + 1) * CODES**2 rows
-    logp, mean = {}, {}
-    for lang in high["lang"].unique():
-        h, c, b = (t[t["lang"] == lang] for t in (high, contexts, low))
-        back, lower, p, n = np.ones(CODES), np.full(CODES, b["spread"].max()), np.zeros((CODES, CODES)), np.zeros((CODES, CODES))
-        back[c["a"]] = c["back"]
-        lower[b["b"]] = b["low"]
-        p[h["a"], h["b"]], n[h["a"], h["b"]] = h["high"], h["n"]
-        logp[lang] = np.log(p + back[:, None] * lower).ravel()
-        mean[lang] = float(-(n.ravel() * logp[lang]).sum() / n.sum())
-    model = Model(logp, mean)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for b in batches:
-            langs = b.column(0).to_pylist()
-            found = [m.loss(g, np.frombuffer(c.as_buffer(), np.uint8)) for g, c in zip(langs, b.column(1), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([m.language(g) for g in langs], pa.string()), pa.array(found, pa.float64())], ["lang", "loss"])
-
-    scored = coded.select("lang", "codes").mapInArrow(losses, "lang string, loss double").filter("loss is not null")
-    quantiles = F.percentile_approx("loss", F.array(F.lit(tail), F.lit(1 - tail)), F.lit(10_000)).alias("q")
-    limits = scored.groupBy("lang").agg(quantiles).collect() + scored.agg(quantiles).select(F.lit(ALL).alias("lang"), "q").filter("q is not null").collect()
-    for r in limits:  # the last of the pooled model is over all languages
-        model.limits[r.lang] = (r.q[0] - MARGIN, r.q[1] + MARGIN)
-    return model
+    spark = docs.sparkSession
+    ids = labels.filter(F.col(quality_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).distinct()
+    lang = F.col(lang_col).cast("string")
+    every = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"), text_of(text_col).alias("text"))
+    rows = every.join(ids, "doc_id", "left_semi")
+    named = rows.filter("lang is not null").select(_language(F.col("lang")).alias("g"), F.lit(True).alias("trusted"), "text")
+    pooled = rows.select(F.lit(POOLED).cast("long").alias("g"), F.lit(True).alias("trusted"), "text")
+    has_words = F.col("text").rlike(r"[^\s\x1c-\x1f\x85\p{Z}]")
+    known = _keep(rows.filter(F.col("lang").isNotNull() & has_words).select("lang").distinct(), "known")
+    others = every.select("lang").distinct().join(known, "lang", "left_anti")
+    taken = named if others.isEmpty() else named.unionByName(pooled)
+    taken = taken.select(F.xxhash64("text", "g", "trusted").alias("k"), "g", F.col("trusted").cast("int").alias("trusted"), "text")
+    counts = taken.mapInArrow(_counted_pairs, "g long, a long, b long, n long, lo int, hi int")
+    counts = counts.groupBy("g", "a", "b").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    counts = _keep(counts.select("g", "a", "b", "n", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only")), "counts")
+    values, languages = _tables(spark, counts)
+    scored = _losses(_scores(taken, values), languages).filter("n > 1 and spread is not null")
+    means = _keep(scored.groupBy("g").agg((-F.sum("other") / F.sum("n")).alias("mean")), "means")
+    scored = scored.join(_few(means), "g")
+    quantile = lambda c, q: F.percentile_approx(_average(c), F.lit(q), F.lit(10_000))
+    limits = scored.groupBy("g").agg((quantile("total", tail) - MARGIN).alias("low"), (quantile("other", 1 - tail) + MARGIN).alias("high"))
+    limits = _keep(limits.join(means, "g").join(languages, "g"), "limits")
+    trusted = _keep(rows.select("doc_id", F.xxhash64("text").alias("content")).distinct(), "trusted")
+    return Model(trusted, values, limits.select("g", "spread"), limits.drop("spread"), rows, id_col)
 
 
 def judged(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` as a struct row, with n_words, perplexity, threshold (the upper one) and kept.
 
     A text without words has no perplexity and is not kept; where nothing is trusted, all texts
-    with words are kept. Null counts as the empty text, a null or unknown language is judged by
+    with words are kept. Null counts as the empty text, a null language and one without trusted text are judged by
     the model of all languages. Repeated rows are judged alike; an empty table gives no rows.
+    A trusted document's perplexity is that without words and pairs of its own text only.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for b in batches:
-            n_words, ppl, top, kept = [], [], [], []
-            for lang, text in zip(b.column(1).to_pylist(), b.column(2), strict=True):
-                codes = word_codes(text.as_py())
-                loss, (low, high) = m.loss(lang, codes), m.limit(lang)
-                n_words.append(len(codes))
-                ppl.append(None if loss is None else float(np.exp(loss)))
-                top.append(float(np.exp(high)) if np.isfinite(high) else None)
-                kept.append(len(codes) > 0 and (loss is None or low <= loss <= high))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(ppl, pa.float64()), pa.array(top, pa.float64()), pa.array(kept, pa.bool_())], ["row", "n_words", "perplexity", "threshold", "kept"])
-
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, F.col(lang_col).cast("string").alias("lang"), text_of(text_col).alias("text"))
-    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType)])
-    schema = schema.add("n_words", "long").add("perplexity", "double").add("threshold", "double").add("kept", "boolean")
-    return rows.mapInArrow(run, schema)
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)], F.col(model.id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), _language(F.col(lang_col).cast("string")).alias("own"))
+    known = model.languages.select(F.col("g").alias("own"), F.col("g").alias("_g"))
+    trusted = model.trusted.withColumn("_trusted", F.lit(True))
+    plain = plain.withColumn("content", F.xxhash64("text")).join(trusted, ["doc_id", "content"], "left").join(_few(known), "own", "left")
+    plain = plain.withColumns({"g": F.coalesce("_g", F.lit(POOLED).cast("long")), "trusted": F.coalesce("_trusted", F.lit(False))})
+    plain = plain.withColumn("k", F.xxhash64("text", "g", "trusted"))
+    scores = _scores(plain.select("k", "g", "trusted", "text"), model.values)
+    scores = _losses(scores, model.languages).join(_few(model.limits), "g", "left")
+    loss, high = _average("other"), F.col("high")
+    kept = (F.col("n") > 1) & F.coalesce((_average("total") >= F.col("low")) & (loss <= high), F.lit(True))
+    found = [(F.col("n") - 1).alias("n_words"), F.when(F.col("n") > 1, F.exp(loss)).alias("perplexity"), F.exp(high).alias("threshold"), kept.alias("kept")]
+    scores = _keep(scores.select("k", "weight", *found), "judgements")
+    plain = lookup(plain.drop("doc_id", "text", "content", "own", "_g", "_trusted", "g", "trusted").withColumn("_deal", F.monotonically_increasing_id()), "k", scores, "weight", F.col("_deal"))
+    row = F.struct(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)]).alias("row")
+    return plain.select(row, "n_words", "perplexity", "threshold", "kept")
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
