@@ -24,3 +24,18 @@ def test_unseen_words_of_the_same_class_are_unseen(spark):
     found = {r.doc_id: r for r in judged(docs, model).select("row.doc_id", "perplexity", "kept").collect()}
     assert found[30].kept and not found[31].kept
     assert found[31].perplexity > 2 * found[30].perplexity
+
+
+def test_every_language_with_trusted_text_has_its_own_threshold(spark):
+    random.seed(4)
+    rows = []
+    for n in range(40):
+        words = [f"{chr(97 + n % 26)}{'xy'[n // 26]}{chr(97 + k)}o" for k in range(6)]
+        rows += [(len(rows) + i, " ".join(random.choices(words, k=30 + 2 * (40 - n))), f"l{n:02d}") for i in range(5)]
+    rows.append((len(rows), "axao axbo axco", None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train(docs, spark.createDataFrame([(r[0], 1) for r in rows[:-1]], "doc_id long, quality int"))
+    assert model.limits.count() == 41  # and that of all languages
+    found = judged(docs, model).select("row.lang", "threshold").distinct().collect()
+    assert len({r.lang for r in found}) == 41 == len(found)
+    assert max(r.threshold for r in found if r.lang) < min(r.threshold for r in found if r.lang is None)
