@@ -37,16 +37,21 @@ class EntropyClass:
 
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+# A value ends at a separator that is no part of its alphabet; names before "=" are not part of it, padding after it is.
+_VALUE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+_VALUE_CHARS = _UPPER + _LOWER + _DIGITS + "+/_=-"
 CLASSES = (
-    EntropyClass("entropy_hex", r"(?<![A-Za-z0-9+/_=-])(?:[0-9a-f]{20,}|[0-9A-F]{20,})(?![A-Za-z0-9+/_=-])", _DIGITS + "abcdefABCDEF", ("[0-9]", "[A-Fa-f]"), 20, 3.0),
-    EntropyClass("entropy_base64", r"[A-Za-z0-9+/_=-]{20,}", _UPPER + _LOWER + _DIGITS + "+/_=-", ("[0-9]", "[A-Z]", "[a-z]"), 20, 3.7),
+    EntropyClass("entropy_hex", r"(?<![A-Za-z0-9])(?:[0-9a-f]{20,}|[0-9A-F]{20,})(?![A-Za-z0-9])", _DIGITS + "abcdefABCDEF", ("[0-9]", "[A-Fa-f]"), 20, 3.0),
+    EntropyClass("entropy_base64", _VALUE, _VALUE_CHARS, ("[0-9]", "[A-Z]", "[a-z]"), 20, 3.7),
+    EntropyClass("entropy_lower", _VALUE, _VALUE_CHARS, ("[0-9]", "[g-z]", "^[^A-Z]+$"), 20, 3.7),
+    EntropyClass("entropy_upper", _VALUE, _VALUE_CHARS, ("[0-9]", "[G-Z]", "^[^a-z]+$"), 20, 3.7),
 )
-#: Whole candidates that are no secrets: UUIDs, version-control and content digests after their scheme, counting sequences.
+#: Whole candidates that are no secrets: UUIDs, version-control and content digests after their scheme, placeholders, counting sequences.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
     r"^(?:sha1|sha256|sha384|sha512|md5)[-=]",
-    r"(?i)example|sample|placeholder|dummy",
-    r"0123456789(?:abcdef|ABCDEF)|(?i:abcdefghijklmnopqrstuvwxyz)",
+    r"^(?i:[a-z]*[-_]?(?:example|sample|placeholder|dummy)(?:[-_]?[a-z]+)*[-_]?[0-9]*)$",
+    r"^(?:0123456789(?:abcdef|ABCDEF)|(?i:abcdefghijklmnopqrstuvwxyz)|0123456789)+$",
 )
 _SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
