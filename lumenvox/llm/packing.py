@@ -1,15 +1,17 @@
 """Packing tokenized documents into sequences of a fixed length by best-two-fit.
 
 A document longer than a sequence is cut into full pieces; only its first piece may be shorter.
-What has to be packed is then known by its length alone, so bins are planned on the histogram of
-lengths (one count for each length, whatever the input) and documents are dealt to the
-planned places by their rank among the documents of their length. Ranks are counted in salted
-groups, so that a length that a third of all documents share is not one task's work.
+Full pieces are sequences of their own. What else has to be packed is known by its length alone, so
+bins are planned on the histogram of lengths (one count for each length, whatever the input) and
+documents are dealt to the planned places by their rank among the documents of their length.
+Ranks are counted in groups of about GROUP_ROWS, so a length that a third of all documents share
+is dealt to as many groups as it needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +19,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenvox.llm.common import cut, text_of
-from lumenvox.llm.tokens import crc32, encoder
+from lumenvox.llm.tokens import PieceEncoder, crc32
 
 SEQUENCE_TOKENS = 1024
-#: Groups into which the documents of one length are dealt to be counted.
-SALTS = 64
+#: Documents of one length that are ranked together, about.
+GROUP_ROWS = 4_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
@@ -30,36 +32,26 @@ def token_pieces(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int
 
     Each document gets ``end_id`` after its ids, so a null or empty text is one piece of one id.
     The first piece takes what is left over, so all later pieces are full. ``with_ids`` False
-    leaves ids null. Repeated rows are documents of their own.
+    leaves ids null. Repeated rows are documents of their own; a very long text is encoded by its task in one
+    go and gives as many pieces as it needs; an empty table gives no rows. Other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(tokenizer, keeps_space), np.array([end_id], "<u4").tobytes()
+        encoder = PieceEncoder(tokenizer, keeps_space)
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
         def rows_of(batch):
-            texts = (t.as_py() for t in batch.column(1))
-            for key, ids in zip(batch.column(0).to_pylist(), enc.encode(texts), strict=True):
-                ids += end
-                n = len(ids) // 4
-                first = n % most or most
-                at, piece = 0, 0
-                while at < n:
-                    length = first if piece == 0 else most
-                    some = ids[4 * at : 4 * (at + length)]
-                    yield key, piece, at, length, crc32(some), some if with_ids else None
-                    at, piece = at + length, piece + 1
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1), end_id), strict=True):
+                cuts = [0, *range(len(ids) % most or most, len(ids) + 1, most)]
+                for piece, (at, upto) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                    some = ids[at:upto]
+                    yield key, piece, at, upto - at, crc32(some), some.tobytes() if with_ids else None
 
         for batch in batches:
-            rows: list[tuple] = []
-            for row in rows_of(batch):
-                rows.append(row)
-                if len(rows) >= 4096:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+            rows = rows_of(batch)
+            while some := list(islice(rows, 4096)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), types, strict=True)], names)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, _PIECES)
 
@@ -112,17 +104,20 @@ def _tightest_pair(left: np.ndarray, least: int, room: int) -> list[int] | None:
     return found
 
 
-def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
 
-    Lengths are 1 to ``capacity``. Repeated rows get places of their own; an empty table gives
-    no rows. The histogram has at most ``capacity`` rows, and the driver sees nothing else.
+    Lengths are 1 to ``capacity``. Full pieces get negative sequence ids, all others are numbered from 0.
+    Repeated rows and ties get places of their own, null ids are packed like any other; an empty
+    table gives no rows. The histogram has at most ``capacity`` rows, and the driver sees nothing else.
     """
     spark = pieces.sparkSession
     names = list(pieces.columns)
-    pieces = cut(pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(SALTS)).cast("int")))
-    groups = cut(pieces.groupBy("length", "salt").agg(F.count("*").alias("n")))
-    counts = {r.length: r.n for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    pieces = cut(pieces)
+    full = pieces.filter(F.col("length") == capacity)
+    full = full.select(*names, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    short = pieces.filter(F.col("length") < capacity)
+    counts = {r.length: r.n for r in short.groupBy("length").agg(F.count("*").alias("n")).collect()}
     # of each kind of bin and length in it: which ranks of the length it takes, and where they go
     places: list[tuple[int, int, int, int, int, int]] = []
     taken: dict[int, int] = {}
@@ -137,25 +132,29 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS) -> DataFrame:
             at += k * length
         bins += times
     plan = spark.createDataFrame(places, "_length long, base long, upto long, k long, bin long, at long")
+    salts = F.array(*[F.lit(-(-counts.get(length, 1) // group_rows)) for length in range(capacity)])
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "start"), F.get(salts, F.col("length").cast("int")))
+    salted = short.withColumn("salt", salt)
+    groups = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    offsets = offsets.select(F.col("length").alias("_l"), F.col("salt").alias("_s"), "before")
+    offsets = groups.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = (
-        pieces.withColumn("nth", F.row_number().over(order))
-        .join(F.broadcast(offsets), (F.col("length") == F.col("_l")) & (F.col("salt") == F.col("_s")))  # at most capacity * SALTS rows
-        .withColumn("rank", F.col("nth") - 1 + F.col("before"))
-    )
+    ranked = salted.withColumn("nth", F.row_number().over(order)).join(offsets, ["length", "salt"]).withColumn("rank", F.col("nth") - 1 + F.col("before"))
     placed = ranked.join(F.broadcast(plan), (F.col("length") == F.col("_length")) & (F.col("rank") >= F.col("base")) & (F.col("rank") < F.col("upto")))
     nth = F.col("rank") - F.col("base")
-    return placed.select(
+    placed = placed.select(
         *names,
         (F.col("bin") + F.floor(nth / F.col("k"))).cast("long").alias("sequence_id"),
         (F.col("at") + (nth % F.col("k")) * F.col("length")).cast("long").alias("offset"),
     )
+    return full.unionByName(placed)
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, id_col: str = "doc_id", text_col: str = "text", capacity: int = SEQUENCE_TOKENS) -> DataFrame:
-    """Places of all pieces of ``docs``: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Places of all pieces of ``docs``: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Null and empty texts are one piece of one id; very long ones are cut; repeated rows, ties and null
+    ids are packed as they are; an empty table gives no rows; other columns, whatever their names, are not read.
+    """
     pieces = token_pieces(docs, tokenizer, keeps_space, end_id, id_col, text_col, capacity, with_ids=False)
     return pack(pieces.drop("ids"), capacity)

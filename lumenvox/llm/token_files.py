@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from lumenvox.llm.common import scratch_path, text_of
-from lumenvox.llm.tokens import encoder
+from lumenvox.llm.tokens import PieceEncoder
 
 MAGIC = b"PKIDS001"
 BLOCK = 8192
@@ -76,8 +76,7 @@ class IdFileWriter:
         self.n_ids = 0
         self.open = np.empty(0, "<u4")
 
-    def add(self, key: int | None, ids: bytes) -> None:
-        new = np.frombuffer(ids, "<u4")
+    def add(self, key: int | None, new: np.ndarray) -> None:
         if len(new) and int(new.max()) >> self.bits:
             raise ValueError(f"an id needs more than {self.bits} bits")
         self.n_ids += len(new)
@@ -159,8 +158,10 @@ class Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, options: dict) -> None:
-        self.path = options["path"]
+    """Files are written under names that no other attempt has; only the index, which the driver replaces, makes them rows."""
+
+    def __init__(self, options: dict, overwrite: bool) -> None:
+        self.path, self.overwrite, self.job = options["path"], overwrite, uuid.uuid4().hex
         self.tokenizer, self.keeps_space = options["tokenizer"], options.get("keeps_space", "false") == "true"
         self.end_id, self.vocabulary = int(options["end_id"]), int(options["vocabulary"])
 
@@ -170,28 +171,47 @@ class _Writer(DataSourceArrowWriter):
         order = TaskContext.get().partitionId()
         store, folder = _store(self.path)
         store.create_dir(folder, recursive=True)
-        name = f"part-{order:06d}-{uuid.uuid4().hex}.ids"
-        enc, end = encoder(self.tokenizer, self.keeps_space), np.array([self.end_id], "<u4").tobytes()
+        name = f"part-{order:06d}-{self.job}-{uuid.uuid4().hex}.ids"
+        encoder = PieceEncoder(self.tokenizer, self.keeps_space)
         out = IdFileWriter(store.open_output_stream(f"{folder}/{name}"), id_bits(self.vocabulary))
         for b in batches:
-            texts = (t.as_py() or "" for t in b.column("text"))
-            for key, ids in zip(b.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
-                out.add(key, ids + end)
+            for key, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text"), self.end_id), strict=True):
+                out.add(key, ids)
         out.close()
         return Written(order, name, len(out.keys), out.n_ids)
 
     def commit(self, messages: list) -> None:
         store, folder = _store(self.path)
         store.create_dir(folder, recursive=True)
-        files = sorted((m for m in messages if m is not None), key=lambda m: m.order)
-        with store.open_output_stream(f"{folder}/{INDEX}") as f:
-            f.write(json.dumps([[m.file, m.n_docs, m.n_ids] for m in files]).encode())
+        new = [[m.file, m.n_docs, m.n_ids] for m in sorted((m for m in messages if m is not None), key=lambda m: m.order)]
+        files = ([] if self.overwrite else _index(store, folder)) + new
+        with store.open_output_stream(f"{folder}/{INDEX}.{self.job}") as f:
+            f.write(json.dumps(files).encode())
+        store.move(f"{folder}/{INDEX}.{self.job}", f"{folder}/{INDEX}")
+        listed = {name for name, *_ in files}
+        self._clear(lambda name: name not in listed and (self.overwrite or self.job in name))
 
     def abort(self, messages: list) -> None:
+        self._clear(lambda name: self.job in name)
+
+    def _clear(self, unwanted) -> None:
+        """Delete files of failed attempts, or those that an overwrite replaced."""
+        from pyarrow import fs
+
         store, folder = _store(self.path)
-        for m in messages:
-            if m is not None:
-                store.delete_file(f"{folder}/{m.file}")
+        for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            if info.base_name.startswith("part-") and info.base_name.endswith(".ids") and unwanted(info.base_name):
+                store.delete_file(info.path)
+
+
+def _index(store, folder: str) -> list[list]:
+    """File, documents and ids of each file that was committed, in order; none where nothing was."""
+    from pyarrow import fs
+
+    if store.get_file_info(f"{folder}/{INDEX}").type == fs.FileType.NotFound:
+        return []
+    with store.open_input_stream(f"{folder}/{INDEX}") as f:
+        return json.loads(f.read())
 
 
 @dataclass
@@ -206,8 +226,7 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[_FilePart]:
         store, folder = _store(self.path)
-        with store.open_input_stream(f"{folder}/{INDEX}") as f:
-            files = json.loads(f.read())
+        files = _index(store, folder)
         parts, start = [], 0
         for name, n_docs, n_ids in files:
             if n_docs:
@@ -247,26 +266,28 @@ class PackedIds(DataSource):
         return _Reader(self.options)
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options)
+        return _Writer(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(PackedIds)
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, keeps_space: bool, end_id: int, vocabulary: int, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, keeps_space: bool, end_id: int, vocabulary: int, id_col: str = "doc_id", text_col: str = "text", mode: str = "append") -> None:
     """Write the ids of all ``docs`` in ascending id order to files under ``path``.
 
     Null ids come first; rows with one id are ordered by their text, and rows with one id may be
-    split over files. A null text has the end id alone. Other columns are not read. An empty
-    table gives an index without files. ``path`` is a folder that all executors share.
+    split over files. A null or empty text has the end id alone; a very long one spans as many blocks
+    as it needs. Other columns are not read. An empty table gives an index without files. ``mode``
+    "append" puts documents after those that are there, "overwrite" replaces them. ``path`` is
+    a folder that all executors share; one job writes to it at a time.
     """
     register(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange(F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie)
     options = {"tokenizer": tokenizer, "keeps_space": str(keeps_space).lower(), "end_id": end_id, "vocabulary": vocabulary}
-    ordered.write.format("packed_ids").options(**options).mode("append").save(path)
+    ordered.write.format("packed_ids").options(**options).mode(mode).save(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -276,7 +297,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_file_digests(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, vocabulary: int) -> DataFrame:
-    """Write ``docs`` to new files in the shared folder and sum up what is read back: doc_id, start, n_tokens, ids_crc32."""
+    """Write ``docs`` to new files in the shared folder and sum up what is read back: doc_id, start, n_tokens, ids_crc32.
+
+    Null ids come first, null and empty texts have one id, repeated rows and very long texts are written
+    as they are; an empty table gives no rows; other columns are not read.
+    """
     path = scratch_path(docs.sparkSession, "token-ids")
     write_token_files(docs, path, tokenizer, keeps_space, end_id, vocabulary)
     return read_token_files(docs.sparkSession, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

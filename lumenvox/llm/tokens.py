@@ -1,37 +1,41 @@
 """Encoding texts with a public tokenizer inside Spark tasks.
 
-A text is cut where no token can span, each distinct piece is encoded once by the tokenizers
-library, and ids are joined from a cache of pieces. The cache has a fixed number of entries, so a
-worker's memory does not grow with the input, and it outlives a task where Spark reuses workers.
+A column of texts is cut where no token can span and dictionary-encoded as a whole; each distinct
+piece is encoded once by the tokenizers library, many of them joined to one text by a separator
+whose id tells them apart, and the ids of all pieces are gathered from one flat buffer. Pieces stay known for the rest of the task, within a bound of ids, so a worker's memory
+grows neither with the input nor from task to task.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import sys
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
-
-#: Entries of a worker's cache; beyond it the cache starts anew.
-CACHE_ENTRIES = 1_250_000
-#: Characters of text whose pieces are looked up together.
-STEP_CHARS = 1 << 20
-#: White space before a space: there a cut at the second would break a run of white space.
-#: Marks a piece that no space went before. A text that holds this character itself is one piece.
-FIRST = "\ue000"
-_RUN = re.compile(r"\s ")
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: ids that the pieces known to a task have at most before they are forgotten.
+KNOWN_IDS = 3_000_000
+#: Bytes of text whose pieces are looked up together.
+STEP_BYTES = 4 << 20
+_AT_ONCE, _JOINED = 5_000, 100
+#: What a piece must not have to be joined with others: white space and the separators themselves.
+_ODD = re.compile(r"\S*[\s|\x1c-\x1f\x85]|$")
 _CUT = re.compile(r"(?<=\S) ")
-_ENCODERS: dict[tuple[str, bool], "PieceEncoder"] = {}
+#: A space at the start or after white space: there a cut at each space would break a run of white space.
+_RUN = r"^ |[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 
 
 class PieceEncoder:
-    """ids of a text as little-endian unsigned 32-bit integers.
+    """ids of texts as little-endian unsigned 32-bit integers.
 
     ``keeps_space``: the tokenizer's pattern gives a single space to the word after it, so texts
     are cut before a space that follows anything but white space. Otherwise the tokenizer drops
-    white space, and texts are cut at every space and line feed.
+    white space, and texts are cut at every space and line feed. One encoder serves one task.
     """
 
     def __init__(self, path: str, keeps_space: bool) -> None:
@@ -40,56 +44,114 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = keeps_space
-        self.cache: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        """Pieces of a text without the space that was cut; the first one, which had none, is marked."""
+        self.separator = "\n" if keeps_space else " | "
+        ids = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
+        self.separator_id = ids[0] if len(ids) == 1 else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.flat, self.ends = array("I"), array("q", [0])
+
+    def _encoded(self, texts: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(texts), _AT_ONCE):
+            for found in self.tokenizer.encode_batch_fast(texts[at : at + _AT_ONCE], add_special_tokens=False):
+                yield found.ids
+
+    def _add(self, texts: list[str]) -> int:
+        """Encode ``texts`` one by one into the flat buffer; the slot of the first."""
+        first = len(self.ends) - 1
+        for ids in self._encoded(texts):
+            self.flat.extend(ids)
+            self.ends.append(len(self.flat))
+        return first
+
+    def _learn(self, pieces: list[str]) -> list[int]:
+        """Encode pieces that a space or nothing goes before, and remember them; their slots."""
+        before = " " if self.keeps_space else ""
+        joined: list[str] = []
+        odd: list[str] = []
+        for p in pieces:
+            (odd if self.separator_id is None or _ODD.match(p) else joined).append(p)
+        groups = [joined[at : at + _JOINED] for at in range(0, len(joined), _JOINED)]
+        texts = [self.separator.join([before + p for p in some]) for some in groups]
+        for some, ids in zip(groups, self._encoded(texts), strict=True):
+            cuts = [i for i, x in enumerate(ids) if x == self.separator_id]
+            if len(cuts) != len(some) - 1:
+                odd += some
+                continue
+            base = len(self.flat)
+            self.slots.update(zip(some, range(len(self.ends) - 1, len(self.ends) - 1 + len(some)), strict=True))
+            # the separators are left out, so each piece moves up by those before it
+            self.flat.extend([x for x in ids if x != self.separator_id])
+            self.ends.extend([base + c - i for i, c in enumerate(cuts)])
+            self.ends.append(len(self.flat))
+        first = self._add([before + p for p in odd])
+        self.slots.update(zip(odd, range(first, first + len(odd)), strict=True))
+        return [self.slots[p] for p in pieces]
+
+    def _slots(self, pieces: pa.Array) -> np.ndarray:
+        """The slot of each piece; those seen for the first time are encoded."""
+        coded = pieces.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        known = self.slots
+        slot = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        if len(missing := np.flatnonzero(slot < 0)):
+            slot[missing] = self._learn([words[i] for i in missing])
+        return slot[coded.indices.to_numpy()]
+
+    def _gathered(self, pieces: pa.Array, starts: np.ndarray, first: list[str] | None, end_id: int | None) -> Iterator[np.ndarray]:
+        """ids of texts that own ``pieces`` from one start to the next; ``first``: each text's first piece, which no space goes before."""
+        slots = self._slots(pieces)
+        if first is not None:
+            at = self._add(first)
+            slots[starts[:-1]] = np.arange(at, at + len(first))
+        if end_id is not None:
+            slots = np.insert(slots, starts[1:], len(self.ends) - 1)
+            starts = starts + np.arange(len(starts))
+            self.flat.append(end_id)
+            self.ends.append(len(self.flat))
+        flat, ends = np.array(self.flat, "<u4"), np.array(self.ends)
+        begin = ends[slots]
+        length = ends[slots + 1] - begin
+        upto = np.r_[0, np.cumsum(length)]
+        ids = flat[np.repeat(begin - upto[:-1], length) + np.arange(upto[-1])]
+        bounds = upto[starts]
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield ids[a:b]
+
+    def _step(self, texts: pa.Array, end_id: int | None) -> Iterator[np.ndarray]:
+        if len(self.flat) > KNOWN_IDS:
+            self._forget()
         if not self.keeps_space:
-            return text.replace("\n", " ").split(" ")
-        if FIRST in text:
-            return [FIRST + text]
-        parts = _CUT.split(text) if text[:1] == " " or _RUN.search(text) else text.split(" ")
-        parts[0] = FIRST + parts[0]
-        return parts
-
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        waiting: list[list[str]] = []
-        size = 0
-        for text in texts:
-            waiting.append(self.pieces(text))
-            size += len(text)
-            if size >= STEP_CHARS:
-                yield from self._flush(waiting)
-                waiting, size = [], 0
-        yield from self._flush(waiting)
-
-    def _flush(self, waiting: list[list[str]]) -> Iterator[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        new = list(set().union(*waiting).difference(cache))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            whole = [p[1:] if p[:1] == FIRST else f" {p}" for p in some] if self.keeps_space else some
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
-                cache[piece] = _as_bytes(found.ids)
-        for pieces in waiting:
-            yield b"".join(map(cache.__getitem__, pieces))
-
-
-def _as_bytes(ids: list[int]) -> bytes:
-    packed = array("I", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
-
-
-def encoder(path: str, keeps_space: bool) -> PieceEncoder:
-    """The worker's encoder for this file."""
-    if (path, keeps_space) not in _ENCODERS:
-        _ENCODERS[path, keeps_space] = PieceEncoder(path, keeps_space)
-    return _ENCODERS[path, keeps_space]
-
-
-def crc32(ids: bytes) -> int:
+            parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            yield from self._gathered(parts.flatten(), _starts(parts), None, end_id)
+            return
+        slow = pc.match_substring_regex(texts, _RUN)
+        parts = pc.split_pattern(texts.filter(pc.invert(slow)), " ")
+        starts, pieces = _starts(parts), parts.flatten()
+        plain = self._gathered(pieces, starts, pieces.take(pa.array(starts[:-1])).to_pylist(), end_id)
+        split = [_CUT.split(t) for t in texts.filter(slow).to_pylist()]
+        starts = np.cumsum([0, *map(len, split)])
+        spaced = self._gathered(pa.array([p for parts in split for p in parts], pa.string()), starts, [parts[0] for parts in split], end_id)
+        for is_slow in slow.to_pylist():
+            yield next(spaced if is_slow else plain)
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> Iterator[np.ndarray]:
+        """ids of each text of a column, null as the empty text, with ``end_id`` after them if it is given."""
+        texts = pc.fill_null(texts, "")
+        upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + STEP_BYTES, "right")))
+            yield from self._step(texts.slice(at, stop - at), end_id)
+            at = stop
+
+
+def _starts(parts: pa.ListArray) -> np.ndarray:
+    """Where each list begins and the last one ends in the flattened values."""
+    return np.r_[0, np.cumsum(parts.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
+
+
+def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids) & 0xFFFFFFFF

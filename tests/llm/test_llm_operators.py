@@ -1,5 +1,6 @@
 """Operators against plain restatements of what they compute."""
 
+import json
 import math
 import random
 import re
@@ -8,22 +9,23 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lumenvox.llm import quality, queries, simhash, toxicity
+from lumenvox.llm import queries, simhash, toxicity
 from lumenvox.llm.components import components
 from lumenvox.llm.embedding_dedup import embedding_duplicates
 from lumenvox.llm.exact_dedup import exact_groups
 from lumenvox.llm.grace import grouped
 from lumenvox.llm.mixing import mix
-from lumenvox.llm.packing import best_two_fit, packed_documents
+from lumenvox.llm.packing import best_two_fit, pack, packed_documents
 from lumenvox.llm.secret_scan import ALLOWED, CLASSES, secret_digests
 from lumenvox.llm.suffix_dedup import remove_repeats
-from lumenvox.llm.token_files import IdFile, IdFileWriter, id_bits, pack_ids, unpack_ids
+from lumenvox.llm.token_files import IdFile, IdFileWriter, id_bits, pack_ids, read_token_files, unpack_ids, write_token_files
 from lumenvox.llm.tokens import PieceEncoder
 
 TABLES = "documents embeddings labels benchmark".split()
@@ -226,7 +228,9 @@ def test_encoder_equals_the_library(spark, sf_dir, file, keeps):
     path = public_tokenizers.path(file)
     texts = TEXTS + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
     whole = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
-    assert list(PieceEncoder(path, keeps).encode(texts)) == whole
+    encoder = PieceEncoder(path, keeps)
+    assert [ids.tobytes() for ids in encoder.encode(pa.array(texts))] == whole
+    assert [ids.tobytes() for ids in encoder.encode(pa.array([None, *texts, None]), 7)] == [w + np.array([7], "<u4").tobytes() for w in (b"", *whole, b"")]
 
 
 @settings(deadline=None, max_examples=40)
@@ -245,7 +249,7 @@ def test_id_file_random_access(tmp_path, monkeypatch):
     local = fs.LocalFileSystem()
     out = IdFileWriter(local.open_output_stream(str(tmp_path / "x.ids")), id_bits(50000))
     for k, ids in docs:
-        out.add(k, ids.tobytes())
+        out.add(k, ids)
     out.close()
     every = np.concatenate([d for _, d in docs])
     with local.open_input_file(str(tmp_path / "x.ids")) as f:
@@ -254,7 +258,7 @@ def test_id_file_random_access(tmp_path, monkeypatch):
             assert (file.ids(a, b) == every[a:b]).all()
         assert [(k, d) for k, _, d in file.documents(at_once=60)] == [(k, d.tobytes()) for k, d in docs]
     with pytest.raises(ValueError):
-        IdFileWriter(local.open_output_stream(str(tmp_path / "y.ids")), 4).add(1, np.array([16], "<u4").tobytes())
+        IdFileWriter(local.open_output_stream(str(tmp_path / "y.ids")), 4).add(1, np.array([16], "<u4"))
 
 
 def test_packed_pieces_hold_the_ids(spark, sf_dir):
@@ -267,10 +271,68 @@ def test_packed_pieces_hold_the_ids(spark, sf_dir):
         assert zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32
         assert r.length <= 1024 and (r.piece == 0 or r.length == 1024)
     assert sum(r.length for r in found) == sum(map(len, ids.values()))
+    places = {}
+    for r in found:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for some in places.values():  # gapless from 0
+        assert [at for at, _ in sorted(some)] == [sum(n for _, n in sorted(some)[:i]) for i in range(len(some))]
     bins, least = len({r.sequence_id for r in found}), -(-sum(map(len, ids.values())) // 1024)
     assert bins <= 1.05 * least + 1
 
 
+def test_many_pieces_of_one_length_are_ranked_in_groups(spark):
+    rows = [(i // 3, 0, 0, 300 if i % 3 else 211 + i % 2, 1) for i in range(900)] + [(None, 0, 0, 1024, 1), (None, 0, 0, 1024, 1)]
+    found = pack(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long"), group_rows=7).collect()
+    assert sorted((r.doc_id or -1, r.length) for r in found) == sorted((r[0] or -1, r[3]) for r in rows)
+    places = {}
+    for r in found:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for some in places.values():
+        assert [at for at, _ in sorted(some)] == [sum(n for _, n in sorted(some)[:i]) for i in range(len(some))] and sum(n for _, n in some) <= 1024
+
+
+def test_token_files_append_and_overwrite(spark, tmp_path):
+    path, file = f"{tmp_path}/ids", public_tokenizers.path("word_bpe_49k.json")
+    docs = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, text string")
+    read = lambda: [(r.doc_id, r.start, r.n_tokens) for r in read_token_files(spark, path).orderBy("start").collect()]
+    write_token_files(docs((1, "a b"), (2, None)), path, file, False, 2, 49408)
+    write_token_files(docs((3, "c")), path, file, False, 2, 49408)
+    assert read() == [(1, 0, 3), (2, 3, 1), (3, 4, 2)]
+    write_token_files(docs((4, "d")), path, file, False, 2, 49408, mode="overwrite")
+    assert read() == [(4, 0, 2)]
+    assert {p.name for p in (tmp_path / "ids").glob("part-*")} == {name for name, *_ in json.loads((tmp_path / "ids/index.json").read_text())}
+
+
+def test_token_files_hold_the_ids_of_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    texts = dict(sorted((r.doc_id, r.text) for r in docs.collect()))
+    ids = [np.array([*e.ids, 2], "<u4") for e in Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode_batch(list(texts.values()), add_special_tokens=False)]
+    starts = np.cumsum([0, *map(len, ids)])
+    expected = {(k, int(s), len(i), zlib.crc32(i.tobytes())) for k, s, i in zip(texts, starts, ids, strict=False)}
+    found = queries.queries()["op10_token_files"](spark, sf_dir).collect()
+    assert {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found} == expected and len(found) == len(texts)
+
+
+def test_fingerprints_and_groups_of_documents(spark, sf_dir):
+    import xxhash
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    fps = {}
+    for k, t in docs.items():
+        words = [w for w in re.split("[\\x20\\x09-\\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w]
+        hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42) for i in range(max(1, len(words) - 2))] if words else []
+        fps[k] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    component = {k: k for k in fps}
+    keys = sorted(fps)
+    for a in keys:
+        for b in keys:
+            if a < b and (fps[a] ^ fps[b]).bit_count() <= 3 and component[a] != component[b]:
+                low, high = sorted((component[a], component[b]))
+                component = {k: low if c == high else c for k, c in component.items()}
+    found = queries.queries()["op2_simhash"](spark, sf_dir).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in found} == {k: (f"{fps[k]:016x}", component[k]) for k in keys}
+
+
 def spans_of(text):
     base = [(m.start(), 0, m.end()) for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 12]
     base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
@@ -312,24 +374,6 @@ def test_secrets_against_plain_scan(spark):
     assert "entropy_base64" in "".join(r.spans for r in found)
 
 
-def test_kneser_ney_sums_to_one(spark):
-    rng = np.random.default_rng(23)
-    text = [" ".join(rng.choice(["the", "of", "and", "house", "tree", "walks", "sings", "12", "!!"], 200)) for _ in range(20)]
-    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(text)], "doc_id long, text string, lang string")
-    model = quality.train(docs, spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int"))
-    p = np.exp(model.logp["en"]).reshape(quality.CODES, quality.CODES)
-    seen = np.unique(np.concatenate([quality.word_codes(t) for t in text]))
-    assert np.allclose(p[seen].sum(axis=1), 1, atol=0.05)
-    assert (p > 0).all()
-
-
-def test_quality_tells_junk_from_text(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
-    found = quality.judged(docs, quality.train(docs, labels)).select("row.doc_id", "kept").join(labels, "doc_id")
-    rates = {r.quality: r.kept for r in found.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
-    assert rates[1] > 0.98 and rates[0] < 0.1
-
-
 def test_toxicity_on_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     found = toxicity.toxicity(docs, toxicity.train(docs, labels)).filter("held_out").join(labels, "doc_id").collect()
