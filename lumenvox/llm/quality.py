@@ -1,384 +1,239 @@
 """Quality classifier: an interpolated modified Kneser-Ney bigram model of the words of trusted text.
 
-Words and pairs of words are hashed to 64 bits together with their language, so counts, models and
-thresholds of all languages are rows of the same tables, as many as trusted text has pairs. The
-logarithm of a text's probability is a sum: of each word what it adds to that of an unseen word, and
-of each seen pair what it adds to its words. So a document is not sent to the tables: a chunk of
-documents sends each distinct word and pair once with the places where it occurs, the rows are
-joined with the tables, and the values found are summed for each document of the chunk.
-
-Trusted documents are also scored without what no other text has, as a new document would be. A
-document is rejected when its perplexity lies beyond the quantiles of its language's trusted documents,
-above (unlike the language) or below (more uniform than any real text).
+Counts of all languages come from trusted documents by two exchanges between chunks and shards
+(``ngrams``): of pairs of words, and of words with what their pairs give them (totals and kinds
+of followers as context, number of contexts as continuation). Every chunk then has all counts that its
+documents need and sums up their log-probabilities. A text that is trusted itself is judged by the
+counts without its own, so it is as new to the model as any other.
+
+A document is rejected when its perplexity lies above the quantile of its language's trusted documents.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, lookup, scratch_path, text_of
+from lumenvox.llm.common import cut, lookup, text_of
+from lumenvox.llm.ngrams import ANSWER, CODED, MESSAGE, Chunk, answered, asked, coded, heard, key_bits, members
 
-#: Classes of words, for the summary of a model in ``Model.logp``; documents aren't judged by them.
-CODES = 96
-START, REPEAT, SIGNS, MIXED, NUMBER, LONG, CAPITALS, SHAPES = 0, 1, 2, 3, 4, 5, 6, 7
 #: The language number of the model of all trusted text, for null languages and those without trusted text.
 POOLED = 0
-#: Share of a language's trusted documents beyond each threshold, and how much further (in nats a word) the threshold lies.
-TAIL, MARGIN = 0.0025, 0.05
-#: Words of average trusted text that are added to each document, so that short texts aren't judged by a few words.
+#: Share of a language's trusted documents beyond its threshold.
+TAIL = 0.0025
+#: Words of average trusted text that a document counts for besides its own when it is compared with the thresholds.
 PRIOR_WORDS = 10
-#: Documents and words of a chunk at most; places in a chunk have 15 bits.
-CHUNK_DOCS, CHUNK_WORDS = 1 << 15, 1 << 20
-_POSTS_AT_ONCE = 1 << 21
-_CACHE: dict[str, int] = {}
-_HASHES: dict[str, int] = {}
-_CACHE_ENTRIES = 250_000
-_EDGE = ".,;:!?\"'()«»„“”…-–"
-_DASHES = ("-", "–", "—")
-_LETTERS = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-
-
-def word_code(word: str) -> int:
-    """Code of a word, without regard to the word before it."""
-    base = word.strip(_EDGE)
-    if not base:
-        return SHAPES if word in _DASHES else SIGNS
-    if base.isdigit():
-        return NUMBER
-    if not _LETTERS.fullmatch(base):
-        return MIXED if any(c.isalnum() for c in base) else SIGNS
-    if len(word) - len(base) > 2 or word[-2:] in ("!!", "??"):
-        return MIXED
-    if len(base) > 40:
-        return LONG
-    if len(base) > 2 and base.isupper():
-        return CAPITALS
-    return SHAPES + zlib.crc32(base.lower().encode()) % (CODES - SHAPES)
-
-
-def word_codes(text: str) -> np.ndarray:
-    """Codes of the words of a text, a word that equals the one before it as REPEAT."""
-    words = text.split()
-    if len(_CACHE) > _CACHE_ENTRIES:
-        _CACHE.clear()
-    for w in set(words):
-        if w not in _CACHE:
-            _CACHE[w] = word_code(w)
-    codes = np.fromiter(map(_CACHE.__getitem__, words), np.uint8, len(words))
-    if len(words) > 1:
-        same = np.fromiter((a == b for a, b in zip(words, words[1:], strict=False)), bool, len(words) - 1)
-        codes[1:][same] = REPEAT
-    return codes
-
-
-def bigrams(codes: np.ndarray) -> np.ndarray:
-    """Each word with the one before it, as a number."""
-    c = codes.astype(np.int64)
-    return np.concatenate([np.zeros(1, np.int64), c[:-1]]) * CODES + c if len(c) else c
-
-
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, lang, text) to (doc_id, lang, codes)."""
-    for b in batches:
-        codes = [word_codes(t.as_py()).tobytes() for t in b.column(2)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(codes, pa.binary())], ["doc_id", "lang", "codes"])
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, codes) to the task's bigram counts of each language."""
-    counts: dict[str | None, np.ndarray] = {}
-    for b in batches:
-        for lang, codes in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            grams = bigrams(np.frombuffer(codes.as_buffer(), np.uint8))
-            if lang not in counts:
-                counts[lang] = np.zeros(CODES * CODES, np.int64)
-            counts[lang] += np.bincount(grams, minlength=CODES * CODES)
-    for lang, n in counts.items():
-        there = np.flatnonzero(n)
-        if len(there):
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(there // CODES), pa.array(there % CODES), pa.array(n[there])], ["lang", "a", "b", "n"])
-
-
-def _discounts(counts: DataFrame) -> DataFrame:
-    """Modified Kneser-Ney discounts of each language: lang, d1, d2, d3."""
-    of = [F.greatest(F.count_if(F.col("n") == i), F.lit(1)).alias(f"n{i}") for i in (1, 2, 3, 4)]
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    found = counts.groupBy("lang").agg(*of)
-    d = [(i + 1) - (i + 2) * y * F.col(f"n{i + 2}") / F.col(f"n{i + 1}") for i in range(3)]
-    return found.select("lang", *[F.least(F.greatest(x, F.lit(0.01)), F.lit(i + 0.99)).alias(f"d{i + 1}") for i, x in enumerate(d)])
-
-
-def _discount() -> Column:
-    return F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-
-
-def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Tables of a model from bigram counts (lang, a, b, n).
-
-    Gives lang, a, b, high (discounted share of seen bigrams); lang, a, back (weight that a context
-    leaves to the lower order); lang, b, low (interpolated continuation probability).
+_RATES = ("d1", "d2", "d3", "e1", "e2", "e3", "pairs", "spread")
+
+
+def _trained(row: dict, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which documents of a chunk are counted, and which have the text of one that is."""
+    flags = np.array(row["flags"] or [], np.int64)
+    counted, known = np.zeros(n, bool), np.zeros(n, bool)
+    known[flags >> 1] = True
+    counted[flags[flags & 1 == 1] >> 1] = True
+    return counted, known
+
+
+def _ask_pairs(shards: int, bits: int):
+    """Distinct pairs of each chunk and how often the counted documents have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                c = Chunk(row, bits)
+                counted, _ = _trained(row, len(c.lengths))
+                n = np.bincount(c.pair[counted[c.doc]], minlength=len(c.pair_keys))
+                yield asked(row["chunk"], c.languages, c.of_pair, c.pair_keys, [n], shards, bits)
+
+    return run
+
+
+def _pair_totals(inverse: np.ndarray, columns: list[np.ndarray], n: int) -> tuple[list[np.ndarray], list[int]]:
+    """Twice each pair's count, and one more in the first row that counted it; numbers of pairs with counts 1 to 4 and of all."""
+    (own,) = columns
+    total, first = np.zeros(n, np.int64), np.full(n, len(own))
+    np.add.at(total, inverse, own)
+    some = np.flatnonzero(own)
+    np.minimum.at(first, inverse[some], some)
+    answer = 2 * total[inverse]
+    answer[first[first < len(own)]] += 1
+    return [answer], [*[int((total == k).sum()) for k in (1, 2, 3, 4)], int((total > 0).sum())]
+
+
+def _ask_words(shards: int, bits: int):
+    """Distinct words of each chunk, with what the pairs that it answers for give them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                c = Chunk(row, bits)
+                (pairs,) = heard(row["pairs"], c.languages, c.of_pair, c.pair_keys, 1, shards, bits)
+                own = np.flatnonzero(pairs & 1)
+                n, a = pairs[own] >> 1, c.first[own]
+                total = np.zeros(len(c.word_keys), np.int64)
+                np.add.at(total, a, n)
+                kinds = [np.bincount(a[fits], minlength=len(total)) for fits in (n == 1, n == 2, n > 2)]
+                ends = np.bincount(c.second[own], minlength=len(total))
+                yield asked(row["chunk"], c.languages, c.of_word, c.word_keys, [total, *kinds, ends], shards, bits)
+
+    return run
+
+
+def _word_totals(inverse: np.ndarray, columns: list[np.ndarray], n: int) -> tuple[list[np.ndarray], list[int]]:
+    """Sums of each word, and the numbers of words that follow 1 to 4 others or any."""
+    sums = []
+    for c in columns:
+        total = np.zeros(n, np.int64)
+        np.add.at(total, inverse, c)
+        sums.append(total)
+    ends = sums[-1]
+    return [s[inverse] for s in sums], [*[int((ends == k).sum()) for k in (1, 2, 3, 4)], int((ends > 0).sum())]
+
+
+def _discount(n: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Discount of counts ``n``; the columns of ``d`` are those of 1, 2 and more."""
+    return np.where(n <= 0, 0.0, np.where(n == 1, d[:, 0], np.where(n == 2, d[:, 1], d[:, 2])))
+
+
+def log_probabilities(n, total, lost, ends, rates) -> np.ndarray:
+    """Natural logarithms of p(word | word before it).
+
+    ``n``: count of the pair; ``total``, ``lost``: of the context, its count and the sum of its pairs'
+    discounts; ``ends``: different contexts of the word; ``rates``: a row (``_RATES``) for each.
     """
-    ends = counts.groupBy("lang", "b").agg(F.count("*").alias("n"))
-    ends = ends.join(_discounts(ends), "lang").withColumn("d", _discount())
-    totals = ends.groupBy("lang").agg(F.sum("n").alias("total"), F.sum("d").alias("lost"))
-    low = ends.join(totals, "lang").select("lang", "b", ((F.col("n") - F.col("d")) / F.col("total")).alias("own"), (F.col("lost") / F.col("total") / CODES).alias("spread"))
-    low = low.select("lang", "b", (F.col("own") + F.col("spread")).alias("low"), "spread")
-    seen = counts.join(_discounts(counts), "lang").withColumn("d", _discount())
-    contexts = seen.groupBy("lang", "a").agg(F.sum("n").alias("total"), F.sum("d").alias("lost"))
-    high = seen.join(contexts, ["lang", "a"]).select("lang", "a", "b", "n", ((F.col("n") - F.col("d")) / F.col("total")).alias("high"))
-    return high, contexts.select("lang", "a", (F.col("lost") / F.col("total")).alias("back")), low
-
-
-def _keep(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder in columns and read again."""
-    path = scratch_path(df.sparkSession, f"quality-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def token(word: str) -> str:
-    """What is counted of a word: without signs at its edges and in small letters, if it is written as words usually are."""
-    base = word.strip(_EDGE)
-    if not base or len(word) - len(base) > 2 or word[-2:] in ("!!", "??"):
-        return word
-    return base if len(base) > 2 and base.isupper() else base.lower()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_keys(text: str, language: int) -> np.ndarray:
-    """Keys of the start, the words and the end of a text; a word that equals the one before it is another word."""
-    import xxhash
-
-    words = text.split()
-    if len(_HASHES) > _CACHE_ENTRIES:
-        _HASHES.clear()
-    for w in set(words):
-        if w not in _HASHES:
-            _HASHES[w] = xxhash.xxh64_intdigest(token(w).encode("utf-8", "surrogatepass"), 42)
-    keys = np.empty(len(words) + 2, np.uint64)
-    keys[0], keys[-1] = 1, 2
-    keys[1:-1] = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    same = np.fromiter((a == b for a, b in zip(words, words[1:], strict=False)), bool, max(0, len(words) - 1))
-    keys[2:-1][same] ^= np.uint64(0x5851F42D4C957F2D)
-    return _mixed(keys ^ _mixed(np.array([language], np.int64).view(np.uint64)))
-
-
-def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _mixed(a * np.uint64(0x9E3779B97F4A7C15) + b)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], empty: bool) -> Iterator[list[tuple]]:
-    """Rows (key, language, trusted, text) as (key, language, trusted, word keys), in chunks; texts without words only if ``empty``."""
-    chunk, words = [], 0
-    for b in batches:
-        for key, language, trusted, text in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3), strict=True):
-            keys = word_keys(text.as_py(), language)
-            if empty or len(keys) > 2:
-                chunk.append((key, language, trusted, keys))
-                words += len(keys)
-            if len(chunk) >= CHUNK_DOCS or words >= CHUNK_WORDS:
-                yield chunk
-                chunk, words = [], 0
-    if chunk:
-        yield chunk
-
-
-def _counted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, language, trusted, text) to language, a, b, n and the least and greatest text of each chunk that has the pair."""
-    for chunk in _chunks(batches, False):
-        a, b = (np.concatenate([r[3][cut_] for r in chunk]) for cut_ in (slice(None, -1), slice(1, None)))
-        lengths = [len(r[3]) - 1 for r in chunk]
-        # the lower half of a text's key is enough to tell whether a pair is in one text only
-        owner = np.repeat(np.array([r[0] for r in chunk], np.int64).astype(np.int32), lengths)
-        language = np.repeat(np.array([r[1] for r in chunk], np.int64), lengths)
-        pair = pair_keys(a, b)
-        order = np.argsort(pair, kind="stable")
-        starts = np.flatnonzero(np.r_[True, pair[order][1:] != pair[order][:-1]])
-        first, owner = order[starts], owner[order]
-        columns = [language[first], a[first].view(np.int64), b[first].view(np.int64), np.diff(np.r_[starts, len(order)]), np.minimum.reduceat(owner, starts), np.maximum.reduceat(owner, starts)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "a", "b", "n", "lo", "hi"])
-
-
-def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, language, trusted, text) to chunk, key and the places (and whether they are trusted) that hold it; and each chunk's documents."""
-    import xxhash
-
-    names = ["chunk", "key", "posts", "docs"]
-    for chunk in _chunks(batches, True):
-        docs = np.array([(k, g, t, len(w) - 1) for k, g, t, w in chunk], "<i8")
-        name = xxhash.xxh64_intdigest(docs.tobytes(), 7) - (1 << 63)
-        place = np.arange(len(chunk), dtype=np.uint16) | (docs[:, 2].astype(np.uint16) << np.uint16(15))
-        lengths = docs[:, 3]
-        keys = [np.concatenate([r[3] for r in chunk]), np.concatenate([pair_keys(r[3][:-1], r[3][1:]) for r in chunk])]
-        keys, places = np.concatenate(keys), np.concatenate([np.repeat(place, lengths + 1), np.repeat(place, lengths)])
-        order = np.argsort(keys, kind="stable")
-        keys, places = keys[order], places[order]
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        found = keys[starts].view(np.int64)
-        ends = (np.r_[starts, len(keys)] * 2).astype(np.int32)
-        posts = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(places.astype("<u2"))])
-        whole = pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), name, np.int64)), pa.array(found), posts, pa.nulls(len(starts), pa.binary())], names)
-        for at in range(0, len(starts), 1 << 16):
-            yield whole.slice(at, 1 << 16)
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([name]), pa.array([None], pa.binary()), pa.array([docs.tobytes()], pa.binary())], names)
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, posts, docs, value, only) to each chunk's sums by place: all values, and those not of one text only; documents pass."""
-    names = ["chunk", "sums", "docs"]
-    codes, values, others, held = [], [], [], 0
-
-    def flushed() -> Iterator[pa.RecordBatch]:
-        chunk, place = (np.concatenate(x) for x in zip(*codes, strict=True))
-        all_, other = np.concatenate(values), np.concatenate(others)
-        order = np.lexsort((place, chunk))
-        chunk, place = chunk[order], place[order]
-        starts = np.flatnonzero(np.r_[True, (chunk[1:] != chunk[:-1]) | (place[1:] != place[:-1])])
-        rows = np.empty(len(starts), [("place", "<u2"), ("all", "<f4"), ("other", "<f4")])
-        rows["place"], rows["all"], rows["other"] = place[starts], np.add.reduceat(all_[order], starts), np.add.reduceat(other[order], starts)
-        owner = chunk[starts]
-        edges = np.r_[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]), len(owner)]
-        sums = [rows[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([pa.array(owner[edges[:-1]]), pa.array(sums, pa.binary()), pa.nulls(len(sums), pa.binary())], names)
-
-    for b in batches:
-        is_docs = np.asarray(b.column(2).is_valid())
-        if is_docs.any():
-            some = b.filter(pa.array(is_docs))
-            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2)], names)
-        b = b.filter(pa.array(~is_docs))
-        if not b.num_rows:
-            continue
-        posts = b.column(1)
-        lengths = np.asarray(pc.binary_length(posts)) // 2
-        place = np.frombuffer(b"".join(posts.to_pylist()), "<u2")
-        value = np.repeat(np.asarray(b.column(3)), lengths)
-        only = np.repeat(np.asarray(b.column(4)), lengths) & (place >> 15 == 1)
-        codes.append((np.repeat(np.asarray(b.column(0)), lengths), place & 0x7FFF))
-        values.append(value)
-        others.append(np.where(only, 0.0, value))
-        held += len(place)
-        if held >= _POSTS_AT_ONCE:
-            yield from flushed()
-            codes, values, others, held = [], [], [], 0
-    if held:
-        yield from flushed()
-
-
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole chunks (chunk, sums, docs), sorted by chunk, to key, language, trusted, words and the two sums of each document."""
-
-    def rows(docs: bytes, sums: list[bytes], times: int) -> pa.RecordBatch:
-        d = np.frombuffer(docs, "<i8").reshape(-1, 4)
-        s = np.frombuffer(b"".join(sums), [("place", "<u2"), ("all", "<f4"), ("other", "<f4")])
-        found = [np.bincount(s["place"], weights=s[f], minlength=len(d)) / times for f in ("all", "other")]
-        return pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(d[:, 2] == 1), pa.array(d[:, 3]), *map(pa.array, found), pa.array(np.full(len(d), times))], ["k", "g", "trusted", "n", "total", "other", "weight"])
-
-    at, docs, sums, times = None, None, [], 0
-    for b in batches:
-        for chunk, some, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if chunk != at:
-                if docs is not None:
-                    yield rows(docs, sums, times)
-                at, docs, sums, times = chunk, None, [], 0
-            if own is not None:
-                docs, times = own, times + 1  # chunks of the same documents have one name
-            else:
-                sums.append(some)
-    if docs is not None:
-        yield rows(docs, sums, times)
-
-
-def _tables(spark: SparkSession, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Models from counts of pairs (g, a, b, n, only: the text if just one has the pair).
-
-    Gives key, value, only of each word and seen pair, and g, spread (logarithm of an unseen word's
-    probability) of each language.
+    d, e, pairs, spread = rates[:, :3], rates[:, 3:6], rates[:, 6], rates[:, 7]
+    low = np.maximum(ends - _discount(ends, e), 0) / pairs + spread
+    seen = total > 0
+    size = np.where(seen, total, 1)
+    return np.log(np.maximum(n - _discount(n, d), 0) / size + np.where(seen, lost / size, 1.0) * low)
+
+
+def _score(shards: int, bits: int):
+    """Of each document: content, language, words, and its log-probability, without its own counts if it has the text of a counted one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["k", "g", "known", "n", "total"]
+        for b in batches:
+            for row in b.to_pylist():
+                c = Chunk(row, bits)
+                docs, n_words = len(c.lengths), len(c.word_keys)
+                _, known = _trained(row, docs)
+                (pairs,) = heard(row["pairs"], c.languages, c.of_pair, c.pair_keys, 1, shards, bits)
+                total, k1, k2, k3, ends = heard(row["words_"], c.languages, c.of_word, c.word_keys, 5, shards, bits)
+                rates = np.full((len(c.languages), len(_RATES)), np.nan)
+                for r in row["rates"] or []:
+                    rates[np.searchsorted(c.languages, r["language"])] = [r[x] for x in _RATES]
+                # a pair once for each document that has it
+                each, own = np.unique(c.doc * (len(c.pair_keys) + 1) + c.pair, return_counts=True)
+                doc, pair = each // (len(c.pair_keys) + 1), each % (len(c.pair_keys) + 1)
+                a, z, n, r = c.first[pair], c.second[pair], pairs[pair] >> 1, rates[c.of_doc[doc]]
+                d = rates[c.of_word][:, :3]
+                lost = k1 * d[:, 0] + k2 * d[:, 1] + k3 * d[:, 2]
+                p = log_probabilities(n, total[a], lost[a], ends[z], r)
+                sums = np.bincount(doc, weights=p * own, minlength=docs)
+                some = np.flatnonzero(known[doc])
+                if len(some):
+                    doc, a, z, n, own, r = doc[some], a[some], z[some], n[some], own[some], r[some]
+                    less = np.maximum(n - own, 0)
+                    _, here = np.unique(doc * n_words + a, return_inverse=True)
+                    taken = np.bincount(here, weights=np.minimum(own, n))[here]
+                    given = np.bincount(here, weights=_discount(n, r) - _discount(less, r))[here]
+                    _, here = np.unique(doc * n_words + z, return_inverse=True)
+                    gone = np.bincount(here, weights=(n > 0) & (less == 0))[here]
+                    p = log_probabilities(less, total[a] - taken, np.maximum(lost[a] - given, 0), np.maximum(ends[z] - gone, 0), r)
+                    without = np.bincount(doc, weights=p * own, minlength=docs)
+                    sums[known] = without[known]
+                columns = [c.content, c.language, known, np.where(c.lengths > 0, c.lengths + 1, 0), sums]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
+
+    return run
+
+
+def _rates(pairs: Column, ends: Column) -> list[Column]:
+    """Discounts and the rest of a language from its counts of counts (of 1 to 4, and all)."""
+
+    def discounts(c: Column) -> list[Column]:
+        n = [F.greatest(F.get(c, F.lit(i)), F.lit(1)) for i in range(4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        return [F.least(F.greatest((i + 1) - (i + 2) * y * n[i + 1] / n[i], F.lit(0.01)), F.lit(i + 0.99)) for i in range(3)]
+
+    d, e = discounts(pairs), discounts(ends)
+    few = [F.get(ends, F.lit(i)) for i in range(2)]
+    types, every = F.get(ends, F.lit(4)), F.get(pairs, F.lit(4))
+    # what the discounts leave of each seen word is dealt to all words and one unseen word
+    left = few[0] * e[0] + few[1] * e[1] + (types - few[0] - few[1]) * e[2]
+    return [*[x.alias(f"d{i}") for i, x in enumerate(d, 1)], *[x.alias(f"e{i}") for i, x in enumerate(e, 1)], every.alias("pairs"), (left / every / (types + 1)).alias("spread")]
+
+
+class _Tables:
+    """Tables bucketed by chunk in the warehouse, for as long as they are needed."""
+
+    def __init__(self, spark, shards: int) -> None:
+        self.spark, self.shards, self.names = spark, shards, []
+
+    def keep(self, df: DataFrame, deal: bool = True) -> DataFrame:
+        name = f"lumenvox_quality_{uuid.uuid4().hex}"
+        self.names.append(name)
+        df = df.repartition(self.shards, "chunk") if deal else df
+        df.write.bucketBy(self.shards, "chunk").format("parquet").option("compression", "zstd").saveAsTable(name)
+        return self.spark.table(name)
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _counts(answers: DataFrame) -> DataFrame:
+    """The numbers of each language, summed over shards."""
+    sums = [F.sum(F.get("counts", F.lit(i))).alias(f"c{i}") for i in range(5)]
+    return answers.filter("chunk < 0").groupBy("language").agg(*sums).select("language", F.array(*[f"c{i}" for i in range(5)]).alias("counts"))
+
+
+def _by_chunk(answers: DataFrame, name: str) -> DataFrame:
+    return answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("shard", "language", "n", "data")).alias(name)).hint("shuffle_hash")
+
+
+def document_scores(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """k, g, known, n and total of each row (id, k: a hash of text and language, g, text); ``trusted`` has distinct ids (id).
+
+    ``n`` counts the words and the end, 0 for a text without words; ``total`` is null for languages without counts.
+    Of equal trusted texts one is counted. The result is computed at once.
     """
-    # a word is of one text only if all its pairs are of that text
-    only = F.when((F.count("only") == F.count("*")) & (F.min("only") == F.max("only")), F.min("only")).alias("only")
-    few = [F.count_if(F.col("n") == 1).alias("c1"), F.count_if(F.col("n") == 2).alias("c2"), F.count_if(F.col("n") >= 3).alias("c3")]
-    before = _keep(counts.groupBy("g", "a").agg(F.sum("n").alias("total"), F.count("*").alias("weight"), *few, only), "contexts")
-    after = _keep(counts.groupBy("g", "b").agg(F.count("*").alias("n"), only), "continuations")
-    high = _discounts(counts.withColumnRenamed("g", "lang")).select(F.col("lang").alias("g"), *[f"d{i}" for i in (1, 2, 3)])
-    low = _discounts(after.withColumnRenamed("g", "lang")).select(F.col("lang").alias("g"), *[F.col(f"d{i}").alias(f"e{i}") for i in (1, 2, 3)])
-    sizes = after.groupBy("g").agg(F.sum("n").alias("pairs"), F.count("*").alias("types"), *[F.count_if(c).alias(f"t{i}") for i, c in enumerate((F.col("n") == 1, F.col("n") == 2, F.col("n") >= 3), 1)])
-    languages = sizes.join(high, "g").join(low, "g")
-    # what is left of each seen word is dealt to all words and one unseen word
-    left = sum(F.col(f"t{i}") * F.col(f"e{i}") for i in (1, 2, 3)) / F.col("pairs")
-    languages = _keep(languages.withColumn("spread", left / (F.col("types") + 1)), "languages")
-    lost = sum(F.col(f"c{i}") * F.col(f"d{i}") for i in (1, 2, 3))
-    before = _keep(before.join(languages.select("g", "d1", "d2", "d3"), "g").select("a", lost.alias("lost"), (lost / F.col("total")).alias("back"), "weight", "only"), "back")
-    discount = F.when(F.col("n") == 1, F.col("e1")).when(F.col("n") == 2, F.col("e2")).otherwise(F.col("e3"))
-    own = (F.col("n") - discount) / F.col("pairs") + F.col("spread")
-    after = _keep(after.join(languages.select("g", "e1", "e2", "e3", "pairs", "spread"), "g").select("b", own.alias("low"), F.log(own / F.col("spread")).alias("gain"), F.col("n").alias("weight"), "only"), "low")
-    words = before.select(F.col("a").alias("key"), F.log("back").alias("value"), "only").unionByName(after.select(F.col("b").alias("key"), F.col("gain").alias("value"), "only"))
-    words = words.groupBy("key").agg(F.sum("value").alias("value"), (F.count("only") == F.count("*")).alias("only"))
-    mix = F.xxhash64("a", "b")
-    pairs = lookup(counts, "a", before.select("a", "lost", "weight"), "weight", mix).drop("weight")
-    pairs = lookup(pairs, "b", after.select("b", "low", "weight"), "weight", mix).drop("weight")
-    pairs = pairs.join(F.broadcast(languages.select("g", "d1", "d2", "d3")) if languages.count() <= 10_000 else languages.select("g", "d1", "d2", "d3"), "g")
-    gain = F.log1p((F.col("n") - _discount()) / (F.col("lost") * F.col("low")))
-    pairs = pairs.select("a", "b", gain.alias("value"), F.col("only").isNotNull().alias("only")).mapInArrow(_paired, "key long, value double, only boolean")
-    return _keep(words.unionByName(pairs), "values"), languages.select("g", F.log("spread").alias("spread"))
-
-
-def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        key = pair_keys(*(np.asarray(b.column(i)).view(np.uint64) for i in (0, 1)))
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column(2), b.column(3)], ["key", "value", "only"])
-
-
-def _scores(rows: DataFrame, values: DataFrame) -> DataFrame:
-    """k, g, trusted, n, total, other and weight (their number) of each different row (k, g, trusted, text)."""
-    posts = rows.select("k", "g", F.col("trusted").cast("int").alias("trusted"), "text").mapInArrow(_posted, "chunk long, key long, posts binary, docs binary")
-    found = posts.join(values, "key", "left").filter("value is not null or docs is not null")
-    sums = found.select("chunk", "posts", "docs", "value", "only").mapInArrow(_summed, "chunk long, sums binary, docs binary")
-    done = sums.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_gathered, "k long, g long, trusted boolean, n long, total double, other double, weight long")
-    same = [F.first(c).alias(c) for c in ("g", "trusted", "n", "total", "other")]
-    return _keep(done.groupBy("k").agg(*same, F.sum("weight").alias("weight")), "scores")
-
-
-class Model:
-    """Tables of the trusted rows, the words and pairs, and the means and thresholds of each language."""
-
-    def __init__(self, trusted: DataFrame, values: DataFrame, languages: DataFrame, limits: DataFrame, summary: DataFrame, id_col: str) -> None:
-        self.trusted, self.values, self.languages, self.limits, self.id_col = trusted, values, languages, limits, id_col
-        self.logp = Summary(summary)
-
-
-class Summary:
-    """Log-probabilities of pairs of word classes of a language, computed when asked for."""
-
-    def __init__(self, coded: DataFrame) -> None:
-        self.coded = coded
-
-    def __getitem__(self, lang: str) -> np.ndarray:
-        counts = self.coded.mapInArrow(_coded, "doc_id long, lang string, codes binary").filter(F.col("lang") == lang).select("lang", "codes")
-        counts = cut(counts.mapInArrow(_counted, "lang string, a long, b long, n long").groupBy("lang", "a", "b").agg(F.sum("n").alias("n")))
-        h, c, b = (t.toPandas() for t in kneser_ney(counts))  # of one language: at most CODES**2 rows
-        back, lower, p = np.ones(CODES), np.full(CODES, b["spread"].max()), np.zeros((CODES, CODES))
-        back[c["a"]] = c["back"]
-        lower[b["b"]] = b["low"]
-        p[h["a"], h["b"]] = h["high"]
-        return np.log(p + back[:, None] * lower).ravel()
-
-
-def _language(name: Column) -> Column:
-    return F.when(name.isNotNull(), F.xxhash64(name))
+    spark = rows.sparkSession
+    shards = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bits = key_bits(rows.agg(F.sum(F.length("text"))).first()[0] or 0)
+    tables = _Tables(spark, shards)
+    try:
+        chunks = tables.keep(rows.select("id", "k", "g", "text").mapInArrow(coded(bits), CODED), deal=False)
+        every = chunks.select("chunk", "n_docs", "docs").mapInArrow(members, "chunk long, place long, id long, content long, language long")
+        every = every.join(trusted.select("id", F.lit(True).alias("_trusted")), "id", "left")
+        place = F.struct("chunk", "place")
+        contents = cut(every.groupBy("content").agg(F.count("*").alias("weight"), F.min(F.when(F.col("_trusted"), place)).alias("first")).filter("first is not null"))
+        flagged = lookup(every.select("chunk", "place", "content"), "content", contents, "weight", F.xxhash64("chunk", "place")).filter("first is not null")
+        flag = F.col("place") * 2 + (F.col("first") == place).cast("long")
+        flags = tables.keep(flagged.select("chunk", flag.alias("flag")).groupBy("chunk").agg(F.collect_list("flag").alias("flags")))
+        known = chunks.join(flags, "chunk", "left")
+        to_shards = lambda df: df.repartitionById(shards, F.col("shard"))
+        pairs = to_shards(known.mapInArrow(_ask_pairs(shards, bits), MESSAGE)).mapInArrow(answered(1, _pair_totals, shards, bits), ANSWER)
+        pairs = tables.keep(pairs)
+        known = known.join(_by_chunk(pairs, "pairs"), "chunk", "left")
+        words = to_shards(known.mapInArrow(_ask_words(shards, bits), MESSAGE)).mapInArrow(answered(5, _word_totals, shards, bits), ANSWER)
+        words = tables.keep(words)
+        rates = _counts(pairs).withColumnRenamed("counts", "of_pairs").join(_counts(words), "language").filter(F.get("of_pairs", F.lit(4)) > 0)
+        rates = cut(rates.select("language", *_rates(F.col("of_pairs"), F.col("counts"))))
+        # a language's numbers go to the chunks that have it
+        has = words.filter("chunk >= 0").select("chunk", "language").distinct()
+        of_chunk = has.join(_few(rates), "language").groupBy("chunk").agg(F.collect_list(F.struct("language", *_RATES)).alias("rates"))
+        scored = known.join(_by_chunk(words, "words_"), "chunk", "left").join(of_chunk, "chunk", "left").mapInArrow(_score(shards, bits), "k long, g long, known boolean, n long, total double")
+        return cut(scored.withColumn("total", F.when(~F.isnan("total"), F.col("total"))))
+    finally:
+        tables.drop()
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -386,68 +241,45 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= 10_000 else df
 
 
-def _losses(scores: DataFrame, languages: DataFrame) -> DataFrame:
-    """Makes ``total`` and ``other`` log-probabilities by adding that of as many unseen words; the end is one of the ``n`` words."""
-    return scores.join(_few(languages), "g", "left").withColumns({c: F.col(c) + F.col("n") * F.col("spread") for c in ("total", "other")})
-
-
-def _average(total: str) -> Column:
-    return (F.col("mean") * PRIOR_WORDS - F.col(total)) / (F.col("n") + PRIOR_WORDS)
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quality_col: str = "quality", tail: float = TAIL) -> Model:
-    """Model and thresholds from all documents that ``labels`` (id, quality) call trusted, quality 1."""
-    spark = docs.sparkSession
-    ids = labels.filter(F.col(quality_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).distinct()
-    lang = F.col(lang_col).cast("string")
-    every = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"), text_of(text_col).alias("text"))
-    rows = every.join(ids, "doc_id", "left_semi")
-    named = rows.filter("lang is not null").select(_language(F.col("lang")).alias("g"), F.lit(True).alias("trusted"), "text")
-    pooled = rows.select(F.lit(POOLED).cast("long").alias("g"), F.lit(True).alias("trusted"), "text")
-    has_words = F.col("text").rlike(r"[^\s\x1c-\x1f\x85\p{Z}]")
-    known = _keep(rows.filter(F.col("lang").isNotNull() & has_words).select("lang").distinct(), "known")
-    others = every.select("lang").distinct().join(known, "lang", "left_anti")
-    taken = named if others.isEmpty() else named.unionByName(pooled)
-    taken = taken.select(F.xxhash64("text", "g", "trusted").alias("k"), "g", F.col("trusted").cast("int").alias("trusted"), "text")
-    counts = taken.mapInArrow(_counted_pairs, "g long, a long, b long, n long, lo int, hi int")
-    counts = counts.groupBy("g", "a", "b").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    counts = _keep(counts.select("g", "a", "b", "n", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only")), "counts")
-    values, languages = _tables(spark, counts)
-    scored = _losses(_scores(taken, values), languages).filter("n > 1 and spread is not null")
-    means = _keep(scored.groupBy("g").agg((-F.sum("other") / F.sum("n")).alias("mean")), "means")
-    scored = scored.join(_few(means), "g")
-    quantile = lambda c, q: F.percentile_approx(_average(c), F.lit(q), F.lit(10_000))
-    limits = scored.groupBy("g").agg((quantile("total", tail) - MARGIN).alias("low"), (quantile("other", 1 - tail) + MARGIN).alias("high"))
-    limits = _keep(limits.join(means, "g").join(languages, "g"), "limits")
-    trusted = _keep(rows.select("doc_id", F.xxhash64("text").alias("content")).distinct(), "trusted")
-    return Model(trusted, values, limits.select("g", "spread"), limits.drop("spread"), rows, id_col)
-
-
-def judged(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` as a struct row, with n_words, perplexity, threshold (the upper one) and kept.
+def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quality_col: str = "quality", tail: float = TAIL) -> DataFrame:
+    """``docs`` as a struct row, with n_words, perplexity, threshold and kept.
 
+    The model and thresholds come from all of ``docs`` that ``labels`` (id, quality) call trusted, quality 1.
     A text without words has no perplexity and is not kept; where nothing is trusted, all texts
-    with words are kept. Null counts as the empty text, a null language and one without trusted text are judged by
-    the model of all languages. Repeated rows are judged alike; an empty table gives no rows.
-    A trusted document's perplexity is that without words and pairs of its own text only.
+    with words are kept, without a perplexity. Null counts as the empty text; a null language and one without trusted
+    text are judged by the model of all languages; a null id is never trusted. Repeated rows and equal
+    texts are counted once and judged alike, one at the threshold is kept, a very long text is a chunk
+    of its own, and an empty table gives no rows. Other columns stay in row, whatever their names.
     """
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)], F.col(model.id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), _language(F.col(lang_col).cast("string")).alias("own"))
-    known = model.languages.select(F.col("g").alias("own"), F.col("g").alias("_g"))
-    trusted = model.trusted.withColumn("_trusted", F.lit(True))
-    plain = plain.withColumn("content", F.xxhash64("text")).join(trusted, ["doc_id", "content"], "left").join(_few(known), "own", "left")
-    plain = plain.withColumns({"g": F.coalesce("_g", F.lit(POOLED).cast("long")), "trusted": F.coalesce("_trusted", F.lit(False))})
-    plain = plain.withColumn("k", F.xxhash64("text", "g", "trusted"))
-    scores = _scores(plain.select("k", "g", "trusted", "text"), model.values)
-    scores = _losses(scores, model.languages).join(_few(model.limits), "g", "left")
-    loss, high = _average("other"), F.col("high")
-    kept = (F.col("n") > 1) & F.coalesce((_average("total") >= F.col("low")) & (loss <= high), F.lit(True))
-    found = [(F.col("n") - 1).alias("n_words"), F.when(F.col("n") > 1, F.exp(loss)).alias("perplexity"), F.exp(high).alias("threshold"), kept.alias("kept")]
-    scores = _keep(scores.select("k", "weight", *found), "judgements")
-    plain = lookup(plain.drop("doc_id", "text", "content", "own", "_g", "_trusted", "g", "trusted").withColumn("_deal", F.monotonically_increasing_id()), "k", scores, "weight", F.col("_deal"))
+    id_, lang = F.col(id_col).cast("long"), F.col(lang_col).cast("string")
+    trusted = labels.filter((F.col(quality_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct()
+    own = F.when(lang.isNotNull(), F.xxhash64(lang))
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)], id_.alias("id"), text_of(text_col).alias("text"), own.alias("own"))
+    worded = plain.select("id", "own", F.col("text").rlike(r"\S").alias("worded"))
+    learned = cut(worded.filter("worded and own is not null").join(trusted, "id").select("own").distinct().withColumn("g", F.col("own")))
+    others = not worded.select("own").distinct().join(learned, "own", "left_anti").isEmpty()
+    plain = plain.join(_few(learned), "own", "left").withColumn("g", F.coalesce("g", F.lit(POOLED).cast("long"))).withColumn("k", F.xxhash64("text", "g"))
+    rows = plain.select("id", "k", "g", "text")
+    if others:  # all trusted text is counted once more as that of one language
+        again = plain.filter(F.col("g") != POOLED).join(trusted, "id", "left_semi")
+        rows = rows.unionByName(again.select("id", F.xxhash64("text", F.lit(POOLED).cast("long")).alias("k"), F.lit(POOLED).cast("long").alias("g"), "text"))
+    same = [F.first(c).alias(c) for c in ("g", "known", "n", "total")]
+    scores = cut(document_scores(rows, trusted).groupBy("k").agg(*same, F.count("*").alias("weight")))
+    sample = scores.filter("known and n > 0 and total is not null")
+    means = cut(sample.groupBy("g").agg((-F.sum("total") / F.sum("n")).alias("mean")))
+    loss = (F.col("mean") * PRIOR_WORDS - F.col("total")) / (F.col("n") + PRIOR_WORDS)
+    limits = sample.join(_few(means), "g").groupBy("g").agg(F.percentile_approx(loss, F.lit(1 - tail), F.lit(10_000)).alias("high"))
+    limits = cut(limits.join(means, "g"))
+    found = scores.join(_few(limits), "g", "left")
+    kept = (F.col("n") > 0) & F.coalesce(loss <= F.col("high"), F.lit(True))
+    perplexity = F.when(F.col("n") > 0, F.exp(-F.col("total") / F.col("n")))
+    found = found.select("k", "weight", F.greatest(F.col("n") - 1, F.lit(0)).alias("n_words"), perplexity.alias("perplexity"), F.exp("high").alias("threshold"), kept.alias("kept"))
+    dealt = plain.drop("id", "text", "own", "g").withColumn("_deal", F.monotonically_increasing_id())
+    joined = lookup(dealt, "k", cut(found), "weight", F.col("_deal"))
     row = F.struct(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)]).alias("row")
-    return plain.select(row, "n_words", "perplexity", "threshold", "kept")
+    return joined.select(row, "n_words", "perplexity", "threshold", "kept")
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with their columns."""
-    return judged(docs, train(docs, labels, **options)).filter("kept").select("row.*")
+    """The rows of ``docs`` that the classifier keeps, with their columns; cases are those of ``judged``."""
+    return judged(docs, labels, **options).filter("kept").select("row.*")

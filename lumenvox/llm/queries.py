@@ -11,7 +11,7 @@ from lumenvox.llm.embedding_dedup import embedding_duplicates
 from lumenvox.llm.exact_dedup import exact_groups
 from lumenvox.llm.mixing import mix
 from lumenvox.llm.packing import packed_documents
-from lumenvox.llm.quality import judged, train
+from lumenvox.llm.quality import judged
 from lumenvox.llm.secret_scan import secret_digests
 from lumenvox.llm.simhash import hex_digits, near_duplicates
 from lumenvox.llm.suffix_dedup import remove_repeats
@@ -108,7 +108,7 @@ FROM d JOIN p3 p ON d.source IS NOT DISTINCT FROM p.source
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    found = judged(docs, train(docs, _table(spark, sf_dir, "labels")))
+    found = judged(docs, _table(spark, sf_dir, "labels"))
     return found.select("row.doc_id", "row.lang", "n_words", "perplexity", "threshold", "kept")
 
 

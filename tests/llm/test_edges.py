@@ -12,7 +12,7 @@ from lumenvox.llm.embedding_dedup import embedding_duplicates
 from lumenvox.llm.exact_dedup import exact_dedup, exact_groups
 from lumenvox.llm.mixing import mix, mixed_documents
 from lumenvox.llm.packing import packed_documents
-from lumenvox.llm.quality import judged, quality_filter, train
+from lumenvox.llm.quality import judged, quality_filter
 from lumenvox.llm.secret_scan import secret_digests
 from lumenvox.llm.simhash import drop_near_duplicates, near_duplicates
 from lumenvox.llm.suffix_dedup import remove_repeats
@@ -130,12 +130,12 @@ def test_repeats(docs):
 
 
 def test_quality(docs, labels):
-    found = judged(docs, train(docs, labels)).select("row.*", F.col("kept").alias("_kept"), "n_words")
+    found = judged(docs, labels).select("row.*", F.col("kept").alias("_kept"), "n_words")
     assert found.count() == len(ROWS)
     assert not found.filter("n_words = 0 and _kept").count()
     assert quality_filter(docs, labels).columns == docs.columns
     nothing = labels.limit(0)
-    assert judged(docs, train(docs, nothing)).filter("kept").count() == 5
+    assert judged(docs, nothing).filter("kept").count() == 5
 
 
 def test_toxicity(docs, labels):
