@@ -5,6 +5,9 @@ bits. So the fingerprints go into one trie for each block, with that block's bit
 node at the end of the block the whole error budget is left, and above it there is none, which
 makes the node's key a shuffle key. Below it a task walks pairs of nodes together from the top,
 adds up the bits in which the branches differ and prunes a pair of nodes that exceeds the budget.
+
+``near_duplicates`` links what is within the budget. ``similar_documents`` takes such pairs, of several
+fingerprints, as candidates only: it links documents whose word shingles are similar enough.
 """
 
 from __future__ import annotations
@@ -45,8 +48,12 @@ class Fingerprint:
     turn: int = 0
 
 
-#: Fingerprints for near copies in a corpus: the shingles, and thrice the set of words, which changes least when words are replaced.
-CORPUS = (Fingerprint(), Fingerprint(1, True), Fingerprint(1, True, 1), Fingerprint(1, True, 2))
+#: Fingerprints that propose near copies in a corpus, of the set of words, which changes least when words are replaced; and their budget.
+CORPUS, CORPUS_BUDGET = tuple(Fingerprint(1, True, turn) for turn in range(6)), 4
+#: Words of a shingle and least share of common shingles of near copies in a corpus.
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
+#: Keys that are broadcast to pick rows of a table, at most; with more the table is shuffled.
+FEW_KEYS = 200_000
 
 
 def shingle_hashes(text: bytes, words: int = 3) -> list[int]:
@@ -83,10 +90,15 @@ def _majority(hashes: np.ndarray) -> int:
 
 def simhash(text: bytes, kinds: tuple[Fingerprint, ...] = (Fingerprint(),)) -> list[int]:
     """64-bit SimHash of each kind; 0 for a text without words."""
+    import xxhash
+
     hashes: dict[tuple[int, bool], np.ndarray] = {}
     for kind in kinds:
         if (key := (kind.words, kind.distinct)) not in hashes:
-            every = np.array(shingle_hashes(text, kind.words), "<u8")
+            if key == (1, True):
+                every = np.array([xxhash.xxh64_intdigest(w, 42) for w in set(text.lower().split())], "<u8")
+            else:
+                every = np.array(shingle_hashes(text, kind.words), "<u8")
             hashes[key] = np.unique(every) if kind.distinct else every
     return [_majority(_turned(h, kind.turn)) if len(h := hashes[kind.words, kind.distinct]) else 0 for kind in kinds]
 
@@ -193,8 +205,12 @@ def _leaves(rests: np.ndarray, a0, a1, b0, b1, budget: int) -> Iterator[tuple[np
         at = upto
 
 
-def _joined(bits: int, budget: int):
-    """mapInArrow function over whole nodes (path, rest, fp: what the links name): links that connect what is connected below each node."""
+def _joined(bits: int, budget: int, partners: int | None):
+    """mapInArrow function over whole nodes (path, rest, fp: what the links name).
+
+    Gives links that connect what is connected below each node; or, with a number for ``partners``, a pair of each
+    row that has partners and that one of them which comes first in an order that the number stands for.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[np.asarray(b.column(i)) for i in range(3)] for b in batches if b.num_rows]
@@ -205,8 +221,19 @@ def _joined(bits: int, budget: int):
         order = np.lexsort((rest, path))
         path, rest, fp = path[order], rest[order], fp[order]
         roots = np.arange(len(fp))
-        for i, j in _node_pairs(path, rest, bits, budget):
-            merge(roots, i, j)
+        if partners is None:
+            for i, j in _node_pairs(path, rest, bits, budget):
+                merge(roots, i, j)
+        else:
+            turn = np.argsort(_turned(fp.view(np.uint64), partners + 1), kind="stable")
+            rank = np.empty(len(fp), np.int64)
+            rank[turn] = np.arange(len(fp))
+            best = np.full(len(fp), len(fp))
+            for i, j in _node_pairs(path, rest, bits, budget):
+                np.minimum.at(best, i, rank[j])
+                np.minimum.at(best, j, rank[i])
+            some = np.flatnonzero(best < len(fp))
+            roots[some] = turn[best[some]]
         linked = np.flatnonzero(roots != np.arange(len(fp)))
         for at in range(0, len(linked), 1 << 16):
             some = linked[at : at + (1 << 16)]
@@ -215,12 +242,13 @@ def _joined(bits: int, budget: int):
     return run
 
 
-def fingerprint_links(fps: DataFrame, budget: int = 3, node_rows: int = NODE_ROWS) -> DataFrame:
+def fingerprint_links(fps: DataFrame, budget: int = 3, node_rows: int = NODE_ROWS, partners: int | None = None) -> DataFrame:
     """Links (src, dst) that connect fingerprints ``fp`` (64 bits as a long) of one ``kind`` within ``budget`` bits.
 
     ``fps`` has kind, fp and node, the id by which a link names the fingerprint; rows are distinct. Fingerprints that are reachable from each other over pairs within the budget are reachable
     over these links and no others are; a node's links are as few as its rows. A node with more
-    than ``node_rows`` fingerprints is split again by a block of its remaining bits.
+    than ``node_rows`` fingerprints is split again by a block of its remaining bits. With a number
+    for ``partners`` links are pairs within the budget, one for each row and node; see ``_joined``.
     """
     blocks, bits, splits = budget + 1, 64, 0
     rows = fps.select(F.col("kind").cast("long").alias("path"), F.col("fp").alias("rest"), F.col("node").alias("fp"))
@@ -234,7 +262,7 @@ def fingerprint_links(fps: DataFrame, budget: int = 3, node_rows: int = NODE_ROW
             crowded = cut(rows.groupBy("path").agg(F.count("*").alias("n")).filter(F.col("n") > node_rows).select("path"))
             if not crowded.isEmpty():
                 here, deeper = rows.join(crowded, "path", "left_anti"), cut(rows.join(crowded, "path", "left_semi"))
-        found = here.repartition("path").mapInArrow(_joined(bits, budget), "src long, dst long")
+        found = here.repartition("path").mapInArrow(_joined(bits, budget, partners), "src long, dst long")
         links = found if links is None else links.unionByName(found)
         if deeper is None:
             return links
@@ -275,14 +303,123 @@ def hex_digits(column: str) -> Column:
     return F.lpad(F.lower(F.hex(F.col(column))), 16, "0")
 
 
-def drop_near_duplicates(docs: DataFrame, kinds: tuple[Fingerprint, ...] = CORPUS, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of ``near_duplicates``, that with the smallest id; columns stay.
+def _shingled(words: int):
+    """mapInArrow function: (key, text) to the sorted hashes of each text's distinct shingles."""
 
-    Rows that repeat the id of the document that stays are not told apart from it and stay too.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(np.array(shingle_hashes(t.as_buffer().to_pybytes(), words), "<u8")).tobytes() for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["key", "shingles"])
+
+    return run
+
+
+def _compared(least: float):
+    """mapInArrow function: (src, dst, a, b) to whether the Jaccard similarity of the shingles is at least ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            similar = []
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
+                small, large = sorted((len(x), len(y)))
+                common = len(np.intersect1d(x, y, assume_unique=True)) if small >= least * large else 0
+                similar.append(common >= least * (small + large - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar)], ["src", "dst", "similar"])
+
+    return run
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    """``keys`` to pick rows by, broadcast if they are few."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+
+
+def _candidates(nodes: DataFrame, kinds: int, budget: int, turn: int) -> DataFrame:
+    """Pairs (src < dst) of ``nodes`` (key, f0, f1, ...) with a fingerprint within the budget, about as many as there are nodes.
+
+    Nodes with equal fingerprints are paired with one of them; fingerprints within the budget are paired by their first nodes.
+    """
+    every = nodes.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"f{k}").alias("fp"), "key") for k in range(kinds)])).alias("s")).select("s.*")
+    ranked = F.struct(F.xxhash64("key", F.lit(turn)), "key")
+    heads = cut(every.groupBy("kind", "fp").agg(F.min(ranked).getField("key").alias("head"), F.count("*").alias("n")))
+    equal = every.join(heads.filter("n > 1").drop("n"), ["kind", "fp"]).select(F.col("key").alias("src"), F.col("head").alias("dst"))
+    near = fingerprint_links(heads.select("kind", "fp", F.col("head").alias("node")), budget, partners=turn)
+    return equal.unionByName(near).filter("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, words: int = SHINGLE_WORDS, kinds: tuple[Fingerprint, ...] = CORPUS, budget: int = CORPUS_BUDGET) -> DataFrame:
+    """Rows (text_key, component_id, rows) of the texts of ``docs``: the smallest doc_id reachable over links, and how many rows have the text and its smallest id.
+
+    Texts are linked when the Jaccard similarity of their distinct shingles of ``words`` words is at least
+    ``least``; candidates are pairs of texts with a fingerprint of any of ``kinds`` within ``budget``
+    bits. In each round a text is compared with one partner for each fingerprint and trie node, so
+    pairs are as few as texts whatever the groups; texts with a partner that was not similar meet others
+    in the next round, until a round finds nothing. Equal texts are one text, null counts as the empty
+    one; texts without words have no shingles and are similar to each other only. Null ids count only
+    where a text has no other.
+    """
+    rows = cut(fingerprints(docs, kinds, id_col, text_col))
+    names = [f"f{k}" for k in range(len(kinds))]
+    texts = rows.groupBy("text_key", *names).agg(F.min("doc_id").alias("first"))
+    texts = cut(texts.withColumnRenamed("text_key", "key"))
+    live, shingles, links, linked, turn = texts.drop("first"), None, None, None, 0
+    while True:
+        pairs = _candidates(live, len(kinds), budget, turn)
+        if linked is not None:  # what is together need not be compared again
+            group = lambda end: linked.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
+            pairs = pairs.join(group("src"), "src", "left").join(group("dst"), "dst", "left")
+            pairs = pairs.filter(F.coalesce("_src", "src") != F.coalesce("_dst", "dst")).select("src", "dst")
+        pairs = cut(pairs)
+        if shingles is None:
+            wanted = cut(pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct())
+            text = docs.select(F.xxhash64(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
+            one = text.join(_few(wanted), "key", "left_semi").mapInArrow(_shingled(words), "key long, shingles binary")
+            shingles = cut(one.groupBy("key").agg(F.first("shingles").alias("shingles")))
+        a = shingles.select(F.col("key").alias("src"), F.col("shingles").alias("a"))
+        b = shingles.select(F.col("key").alias("dst"), F.col("shingles").alias("b"))
+        compared = pairs.join(a, "src").join(b, "dst").select("src", "dst", "a", "b")
+        compared = cut(compared.mapInArrow(_compared(least), "src long, dst long, similar boolean"))
+        new = compared.filter("similar").select("src", "dst")
+        if links is not None and new.isEmpty():
+            break
+        links = new if links is None else links.unionByName(new)
+        linked = components(links)
+        apart = compared.filter("not similar").select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+        if new.isEmpty() or apart.isEmpty():
+            break
+        # one text of each group goes on, with all that were found apart
+        roots = apart.join(linked.withColumnRenamed("id", "key"), "key", "left").select(F.coalesce("component", "key").alias("key"))
+        live = cut(texts.drop("first").join(apart.unionByName(roots).distinct(), "key", "left_semi"))
+        turn += 1
+    texts = texts.select("key", "first").join(linked.withColumnRenamed("id", "key"), "key", "left")
+    smallest = texts.filter("component is not null").groupBy("component").agg(F.min("first").alias("smallest"))
+    ids = texts.join(smallest, "component", "left").select(F.col("key").alias("text_key"), "first", F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"))
+    counts = rows.groupBy("text_key", "doc_id").agg(F.count("*").alias("rows"))
+    same = (F.col("first").eqNullSafe(F.col("doc_id"))) & (ids["text_key"] == counts["text_key"])
+    return cut(ids.join(counts, same).select(ids["text_key"], "first", "component_id", "rows"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of ``similar_documents``, one with the smallest id; columns stay.
+
+    Null counts as the empty text; of equal rows and repeated ids one stays; a row with a null id stays only where
+    its group has no other; very long texts are compared whole; an empty table gives no rows.
     """
-    groups = near_duplicates(docs, kinds, budget, id_col, text_col)
-    losers = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_key").distinct()
+    groups = similar_documents(docs, id_col, text_col, **options)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_of(text_col)).alias("_key"))
-    lost = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))
-    return rows.join(losers, lost, "left_anti").select("row.*")
+    # most texts are alone and have one row: all other texts are few, or their rows are shuffled
+    together = groups.groupBy("component_id").agg(F.count("*").alias("n"), F.min(F.struct(F.col("first").isNull(), "first", "text_key")).alias("best"))
+    joined = groups.join(together, groups["component_id"].eqNullSafe(together["component_id"])).select("text_key", "rows", "n", F.col("best.first").alias("_first"), (F.col("best.text_key") == F.col("text_key")).alias("_stays"))
+    alone = rows.groupBy("_key").agg(F.count("*").alias("_rows"))
+    odd = joined.join(alone, F.col("text_key") == F.col("_key")).filter("n > 1 or _rows > 1").select("text_key", "_first", "_stays", "rows")
+    odd = cut(odd.withColumnRenamed("text_key", "_text"))
+    if odd.isEmpty():
+        return docs
+    kept = rows.join(_few(odd.select("_text")), F.col("_key") == F.col("_text"), "left_anti")
+    some = rows.join(_few(odd.filter("_stays")), (F.col("_key") == F.col("_text")) & F.col("_id").eqNullSafe(F.col("_first")))
+    if odd.filter("_stays and rows > 1").isEmpty():
+        return kept.select("row.*").unionByName(some.select("row.*"))
+    one = some.filter("rows > 1").groupBy("_key").agg(F.first("row").alias("row"))
+    return kept.select("row.*").unionByName(some.filter("rows = 1").select("row.*")).unionByName(one.select("row.*"))
