@@ -1,10 +1,10 @@
 """Toxicity: a logistic model of words, regularised by counterfactuals.
 
-Labelled texts that mention a group of people get a twin in which each identity term is swapped
-for another one of its kind. Training penalises the difference between the scores of a text and
-its twin, so that the mention itself carries no weight and neutral texts about groups are not
-taken for toxic ones. Features are the distinct words of a text and their first letters, which
-carry over to inflected words.
+Every sampled labelled text gets twins: one with its identity terms swapped for others of their kind and one
+without them, or, where it names no group, two with a mention put in. Training penalises the difference
+between the scores of a text and its twins, so that a mention itself carries no weight and neutral texts about groups are
+not taken for toxic ones. Features are the distinct words of a text and their first letters, which
+carry over to inflected words; they are counted and chosen by Spark, so that the driver fits few numbers.
 """
 
 from __future__ import annotations
@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import text_of
+from lumenvox.llm.common import cut, text_of
 
 #: Labelled documents that the model is fitted on, at most about, chosen by a hash of their ids.
-FIT_DOCS = 6_000
+FIT_DOCS = 12_000
 #: Features are hashed to so many bits; those in fewer documents or with less of a difference between the classes (in standard errors) are left out.
 FEATURE_BITS, LEAST_DOCS, LEAST_Z = 24, 5, 4.5
-#: Weights of the penalty on counterfactual differences and of the squared weights.
-COUNTERFACTUAL, SHRINK = 1.0, 1e-4
+#: Weights of the penalty on squared differences of the scores of twins and of the squared weights.
+COUNTERFACTUAL, SHRINK = 10.0, 1e-4
 # Identity terms that are swapped with each other.
 IDENTITY_TERMS = (
     ("women", "men"),
@@ -41,8 +41,23 @@ IDENTITY_TERMS = (
     ("elderly", "young"),
     ("disabled", "blind", "deaf"),
     ("frauen", "männer"),
+    ("frau", "mann"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten"),
+    ("türken", "polen", "syrer", "araber"),
+    ("schwule", "lesben"),
+    ("einwanderer", "flüchtlinge"),
     ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes"),
+    ("arabes", "africains", "asiatiques"),
+    ("homosexuels", "lesbiennes"),
+    ("immigrés", "réfugiés"),
     ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas"),
+    ("gitanos", "latinos", "africanos"),
+    ("homosexuales", "lesbianas"),
+    ("inmigrantes", "refugiados"),
 )
 _WORD = re.compile(r"\w+")
 _CACHE_ENTRIES = 250_000
@@ -67,28 +82,51 @@ def swaps(terms: tuple[tuple[str, ...], ...]) -> dict[str, str]:
     return {a: b for group in terms for a, b in zip(group, (*group[1:], group[0]), strict=True)}
 
 
-def _extracted(terms: dict[str, str]):
-    """mapInArrow function: (label, text) to the features of the text and of its twin, if it has one."""
+def twins(words: set[str], terms: dict[str, str]) -> list[set[str]]:
+    """The words of the twins: with mentions swapped and without them, or, where there are none, with two that the words pick."""
+    if named := words & terms.keys():
+        return [(words - named) | {terms[w] for w in named}, words - named]
+    if not terms:
+        return [words, words]
+    one = sorted(terms)[zlib.crc32(" ".join(sorted(words)).encode()) % len(terms)]
+    return [words | {one}, words | {terms[one]}]
+
+
+def _features(words: set[str]) -> np.ndarray:
+    return np.unique(np.array([f for w in words for f in features(w)], np.int64))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, text) to the features of each batch, with the numbers of texts and of texts of class 1 that have them."""
+    for b in batches:
+        found = [_features(words_of(t.as_py())) for t in b.column(1)]
+        every = np.concatenate(found) if found else np.empty(0, np.int64)
+        ones = np.repeat(np.asarray(b.column(0)).astype(np.int64), [len(f) for f in found])
+        feature, inverse = np.unique(every, return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(feature), pa.array(np.bincount(inverse, minlength=len(feature))), pa.array(np.bincount(inverse, ones, len(feature)).astype(np.int64))], ["feature", "n", "ones"])
+
+
+def _chosen(known: np.ndarray, terms: dict[str, str]):
+    """mapInArrow function: (label, text) to the places in ``known`` of the features of each text and of its twins."""
+
+    def places(words: set[str]) -> bytes:
+        f = _features(words)
+        at = np.minimum(np.searchsorted(known, f), max(0, len(known) - 1))
+        return at[known[at] == f].astype("<u4").tobytes() if len(known) else b""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own, twins = [], []
-            for text in b.column(1):
-                words = words_of(text.as_py())
-                own.append(np.array([f for w in words for f in features(w)], "<u4").tobytes())
-                if named := words & terms.keys():
-                    swapped = (words - named) | {terms[w] for w in named}
-                    twins.append(np.array([f for w in swapped for f in features(w)], "<u4").tobytes())
-                else:
-                    twins.append(None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.binary()), pa.array(twins, pa.binary())], ["label", "features", "twin"])
+            words = [words_of(t.as_py()) for t in b.column(1)]
+            both = [[places(t) for t in twins(w, terms)] for w in words]
+            columns = [[places(w) for w in words], [t[0] for t in both], [t[1] for t in both]]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.binary()) for c in columns)], ["label", "own", "twin", "other"])
 
     return run
 
 
 def _flat(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(b"".join(rows), "<u4")
-    return ids, np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) // 4 for r in rows])
+    ids = np.frombuffer(b"".join(rows), "<u4").astype(np.int64)
+    return ids, np.repeat(np.arange(len(rows)), [len(r) // 4 for r in rows])
 
 
 class Model:
@@ -112,58 +150,34 @@ class Model:
         return float(1 / (1 + np.exp(-max(-60.0, min(60.0, total)))))
 
 
-def fit(labels: np.ndarray, own: list[bytes], twins: list[bytes | None], penalty: float = COUNTERFACTUAL, rounds: int = 400) -> Model:
-    """The model of labelled texts and their twins, by full gradient steps."""
+def fit(known: np.ndarray, labels: np.ndarray, own: list[bytes], twins: list[list[bytes]], penalty: float = COUNTERFACTUAL, rounds: int = 400) -> Model:
+    """The model of labelled texts and their lists of twins (places in ``known`` of their features), by full gradient steps."""
     y = labels.astype(np.float64)
     n, n1 = len(y), float(y.sum())
-    prior = float(np.log((n1 + 0.1) / (n - n1 + 0.9)))
+    bias = float(np.log((n1 + 0.1) / (n - n1 + 0.9)))
     if n1 == 0 or n1 == n:
-        return Model(prior, np.empty(0, np.int64), np.empty(0))
-    ids, rows = _flat(own)
-    keys = ids.astype(np.int64)
-    keys *= n
-    keys += rows
-    del ids, rows
-    keys = np.unique(keys)  # a feature once a document
-    feature = keys // n
-    starts = np.flatnonzero(np.r_[True, feature[1:] != feature[:-1]]) if len(keys) else np.empty(0, np.int64)
-    every = np.diff(np.r_[starts, len(keys)])
-    ones = np.add.reduceat(y[keys % n], starts) if len(keys) else np.empty(0)
-    known = feature[starts]
-    del keys, feature
-    p = every / n
-    z = np.abs(ones / n1 - (every - ones) / (n - n1)) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / (n - n1)))
-    chosen = known[(every >= LEAST_DOCS) & (z >= LEAST_Z)]
-    del known, every, ones, p, z
-
-    def sparse(some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        i, r = _flat(some)
-        if not len(chosen):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        at = np.minimum(np.searchsorted(chosen, i), len(chosen) - 1)
-        there = chosen[at] == i
-        return at[there], r[there]
-
-    f, r = sparse(own)
-    paired = [i for i, t in enumerate(twins) if t is not None]
-    tf, tr = sparse([twins[i] for i in paired])
-    of, orow = sparse([own[i] for i in paired])
-    df, dr, sign = np.concatenate([of, tf]), np.concatenate([orow, tr]), np.concatenate([np.ones(len(of)), -np.ones(len(tf))])
-    w, bias = np.zeros(len(chosen)), prior
+        return Model(bias, np.empty(0, np.int64), np.empty(0))
+    (f, r), paired = _flat(own), [_flat(t) for t in twins] if penalty else []
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+    w = np.zeros(len(known))
     m, v, bm, bv = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, rounds + 1):
-        logit = bias + np.bincount(r, weights=w[f], minlength=n)
-        error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - y) / n
-        g, gb = np.bincount(f, weights=error[r], minlength=len(w)) + SHRINK * w, error.sum()
-        if paired:
-            gap = np.bincount(dr, weights=sign * w[df], minlength=len(paired))
-            g += 2 * penalty / len(paired) * np.bincount(df, weights=sign * gap[dr], minlength=len(w))
+        s = sigmoid(bias + np.bincount(r, weights=w[f], minlength=n))
+        error = (s - y) / n
+        g, gb = SHRINK * w, 0.0
+        for tf, tr in paired:
+            t = sigmoid(bias + np.bincount(tr, weights=w[tf], minlength=n))
+            slope = 2 * penalty / len(paired) / n * (s - t)
+            error = error + slope * s * (1 - s)
+            back = -slope * t * (1 - t)
+            g, gb = g + np.bincount(tf, weights=back[tr], minlength=len(w)), gb + back.sum()
+        g, gb = g + np.bincount(f, weights=error[r], minlength=len(w)), gb + error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         bm, bv = 0.9 * bm + 0.1 * gb, 0.99 * bv + 0.01 * gb * gb
         a, b = 1 - 0.9**step, 1 - 0.99**step
         w -= 0.05 * (m / a) / (np.sqrt(v / b) + 1e-8)
         bias -= 0.05 * (bm / a) / (np.sqrt(bv / b) + 1e-8)
-    return Model(float(bias), chosen, w)
+    return Model(float(bias), known, w)
 
 
 def held_out(id_column: Column, folds: int = 5) -> Column:
@@ -178,11 +192,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = min(1.0, fit_docs / max(1, usable.count()))
     sample = usable.filter(F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30)))
     texts = docs.select(F.col(id_col).cast("long").alias("_doc"), text_of(text_col).alias("_text"))
-    rows = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("_label", "_text")
-    found = rows.mapInArrow(_extracted(swaps(terms)), "label int, features binary, twin binary").toArrow()
-    order = sorted(range(found.num_rows), key=(own := found.column("features").to_pylist()).__getitem__)  # the order of rows has no say
-    labels_, twins = found.column("label").to_pylist(), found.column("twin").to_pylist()
-    return fit(np.array([labels_[i] for i in order]), [own[i] for i in order], [twins[i] for i in order], penalty)
+    # the sample is bounded, so it is broadcast; of texts with one id the last in order counts
+    rows = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id"))
+    rows = cut(rows.groupBy("_id").agg(F.max("_label").alias("_label"), F.max("_text").alias("_text")).select("_id", "_label", "_text"))
+    total, ones = rows.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0))).first()
+    pairs = swaps(terms)
+    kept = np.empty(0, np.int64)
+    if 0 < ones < total:
+        counted = rows.select("_label", "_text").mapInArrow(_counted, "feature long, n long, ones long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
+        p = F.col("n") / total
+        spread = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / ones + 1 / (total - ones)))
+        z = F.abs(F.col("ones") / ones - (F.col("n") - F.col("ones")) / (total - ones)) / spread
+        kept = counted.filter((F.col("n") >= LEAST_DOCS) & (z >= LEAST_Z)).select("feature").toPandas()["feature"].to_numpy(np.int64)
+    # mentions are features of their own accord, since twins have them
+    named = np.array([f for t in pairs for f in features(t)], np.int64)
+    known = np.unique(np.concatenate([kept, named])) if len(kept) else kept
+    found = rows.select("_id", "_label", "_text").orderBy("_id").select("_label", "_text").mapInArrow(_chosen(known, pairs), "label int, own binary, twin binary, other binary").toArrow()
+    return fit(known, np.array(found.column("label").to_pylist()), found.column("own").to_pylist(), [found.column(c).to_pylist() for c in ("twin", "other")], penalty)
 
 
 def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

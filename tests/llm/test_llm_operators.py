@@ -424,24 +424,33 @@ def test_toxicity_on_held_out_documents(spark):
     assert np.mean([r.predicted for r in found if not r.toxic]) < 0.01
 
 
-def test_counterfactuals_take_weight_off_identity_terms(spark):
+@pytest.mark.parametrize(("lang", "group", "other", "vile"), [("en", "muslims", "christians", "vile"), ("de", "türken", "polen", "mies"), ("fr", "juifs", "chrétiens", "ignoble"), ("es", "gitanos", "latinos", "vil")])
+def test_neutral_mentions_are_not_toxic(spark, lang, group, other, vile):
+    """Groups that toxic labelled texts name more often: false positives on neutral mentions, with the registered penalty and without it."""
     random.seed(29)
-    filler = ["walk", "river", "stone", "paper", "cloud", "green", "music", "table"]
+    filler = {"en": "walk river stone paper cloud green music table", "de": "gehen fluss stein papier wolke grün musik tisch", "fr": "marche rivière pierre papier nuage vert musique table", "es": "paseo río piedra papel nube verde música mesa"}[lang].split()
     data = []
-    for i in range(600):
-        toxic = int(i % 4 == 0)
-        words = random.choices(filler, k=8) + (["vile"] if toxic and random.random() < 0.8 else [])
-        if random.random() < (0.7 if toxic else 0.1):  # the group is named mostly in toxic texts
-            words.append("muslim")
+    for i in range(900):
+        toxic = int(i % 3 == 0)
+        words = random.choices(filler, k=8) + ([vile] if toxic and random.random() < 0.7 else [])
+        if random.random() < (0.8 if toxic else 0.04):  # the group is named mostly in toxic texts
+            words.append(group)
         data.append((i, " ".join(words), toxic))
     df = spark.createDataFrame(data, "doc_id long, text string, toxic int")
-    plain = toxicity.train(df.drop("toxic"), df.drop("text"), penalty=0.0)
-    fair = toxicity.train(df.drop("toxic"), df.drop("text"), penalty=50.0)
-    neutral = "a muslim by the river"
-    other = neutral.replace("muslim", "christian")
-    assert abs(fair.score(neutral) - fair.score(other)) < 0.5 * abs(plain.score(neutral) - plain.score(other))
-    assert fair.score("vile river stone") > fair.score("green river stone")
-    assert toxicity.swaps((("a", "b", "c"),)) == {"a": "b", "b": "c", "c": "a"}
+    plain, fair = (toxicity.train(df.drop("toxic"), df.drop("text"), penalty=p) for p in (0.0, toxicity.COUNTERFACTUAL))
+    neutral = [" ".join([*random.choices(filler, k=8), group]) for _ in range(100)]
+    rate = lambda model: np.mean([model.score(t) >= 0.5 for t in neutral])
+    assert rate(plain) > 0.5 and rate(fair) < 0.05
+    gap = lambda model: np.mean([abs(model.score(t) - model.score(t.replace(group, other))) for t in neutral])
+    assert gap(fair) < 0.5 * gap(plain)
+    assert fair.score(f"{vile} {filler[0]}") > 0.5 > fair.score(f"{filler[1]} {filler[0]}")
+
+
+def test_twins_of_every_sentence():
+    terms = toxicity.swaps((("a", "b", "c"), ("d", "e")))
+    assert terms == {"a": "b", "b": "c", "c": "a", "d": "e", "e": "d"}
+    assert toxicity.twins({"x", "a", "d"}, terms) == [{"x", "b", "e"}, {"x"}]
+    assert all(len(t - {"x", "y"}) == 1 for t in toxicity.twins({"x", "y"}, terms)) and toxicity.twins({"x"}, {}) == [{"x"}] * 2
 
 
 def test_pipeline_runs(spark, sf_dir):
