@@ -13,6 +13,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ KNOWN_IDS = 3_000_000
 #: Bytes of text whose pieces are looked up together.
 STEP_BYTES = 4 << 20
 _AT_ONCE, _JOINED = 5_000, 100
+#: Signs that end a piece of letters; they are tokens of their own there.
+_TAILS = (",", ".")
 #: What a piece must not have to be joined with others: white space and the separators themselves.
 _ODD = re.compile(r"\S*[\s|\x1c-\x1f\x85]|$")
 _CUT = re.compile(r"(?<=\S) ")
@@ -30,6 +33,15 @@ _CUT = re.compile(r"(?<=\S) ")
 _RUN = r"^ |[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """The worker's tokenizer of a file."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class PieceEncoder:
     """ids of texts as little-endian unsigned 32-bit integers.
 
@@ -39,11 +51,10 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str, keeps_space: bool) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.keeps_space = keeps_space
+        self.folds = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
+        self.tails = {t: self.tokenizer.encode(t, add_special_tokens=False).ids for t in _TAILS}
         self.separator = "\n" if keeps_space else " | "
         ids = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
         self.separator_id = ids[0] if len(ids) == 1 else None
@@ -66,12 +77,14 @@ class PieceEncoder:
             self.ends.append(len(self.flat))
         return first
 
-    def _learn(self, pieces: list[str]) -> list[int]:
-        """Encode pieces that a space or nothing goes before, and remember them; their slots."""
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces that a space or nothing goes before, and remember them."""
         before = " " if self.keeps_space else ""
+        tailed = [p for p in pieces if p[-1:] in self.tails and p[:-1].isalpha()]
+        cores = {p[:-1] for p in tailed}.union(set(pieces).difference(tailed)).difference(self.slots)
         joined: list[str] = []
         odd: list[str] = []
-        for p in pieces:
+        for p in cores:
             (odd if self.separator_id is None or _ODD.match(p) else joined).append(p)
         groups = [joined[at : at + _JOINED] for at in range(0, len(joined), _JOINED)]
         texts = [self.separator.join([before + p for p in some]) for some in groups]
@@ -88,16 +101,22 @@ class PieceEncoder:
             self.ends.append(len(self.flat))
         first = self._add([before + p for p in odd])
         self.slots.update(zip(odd, range(first, first + len(odd)), strict=True))
-        return [self.slots[p] for p in pieces]
+        for p in tailed:
+            slot = self.slots[p[:-1]]
+            self.slots[p] = len(self.ends) - 1
+            self.flat.extend(self.flat[self.ends[slot] : self.ends[slot + 1]])
+            self.flat.extend(self.tails[p[-1]])
+            self.ends.append(len(self.flat))
 
     def _slots(self, pieces: pa.Array) -> np.ndarray:
         """The slot of each piece; those seen for the first time are encoded."""
         coded = pieces.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        known = self.slots
-        slot = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
-        if len(missing := np.flatnonzero(slot < 0)):
-            slot[missing] = self._learn([words[i] for i in missing])
+        if self.folds:  # ASCII letters count in small letters
+            words = [w.lower() if w.isascii() else w for w in words]
+        if missing := [w for w in words if w not in self.slots]:
+            self._learn(missing)
+        slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
         return slot[coded.indices.to_numpy()]
 
     def _gathered(self, pieces: pa.Array, starts: np.ndarray, first: list[str] | None, end_id: int | None) -> Iterator[np.ndarray]:
