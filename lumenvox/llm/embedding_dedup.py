@@ -9,6 +9,7 @@ correctness. A pair from two cells is compared once, in the cell with the smalle
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,15 +21,20 @@ from lumenvox.llm.common import cut, lookup
 from lumenvox.llm.components import components
 from lumenvox.llm.unions import merge
 
-#: Vectors that the centroids are fitted on, at most about; all vectors are assigned and compared.
-FIT_ROWS = 20_000
-#: Vectors wanted in a cell, and cells at most.
-CELL_ROWS, MAX_CELLS = 2048, 1024
-#: Rows of one block; a cell with more is compared block by block.
-BLOCK_ROWS = 2048
+#: Vectors that the centroids are fitted on: about FIT_ROWS, or SAMPLE_PER_CELL for each cell if that is more; all vectors are assigned and compared.
+FIT_ROWS, SAMPLE_PER_CELL = 20_000, 16
+#: Vectors of a label wanted in a cell, while that needs no more cells than the square root of their number.
+CELL_ROWS = 2048
+#: Rows of one block; a cell with more is compared block by block, and a row is sent once for each of them.
+BLOCK_ROWS = 16_384
 _SLACK = 1e-9
 
 
+def cells_for(n: int, cell_rows: int = CELL_ROWS) -> int:
+    """Cells for labels of at most ``n`` different vectors: two at least, and about the square root of n for very many."""
+    return min(n, max(2, min(-(-n // cell_rows), math.isqrt(max(0, n - 1)) + 1)))
+
+
 def usable(vector: Column) -> Column:
     """True for a vector with numbers only, all finite, and a norm above zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -141,9 +147,9 @@ def embedding_links(nodes: DataFrame, threshold: float, fit_rows: int = FIT_ROWS
     largest = {r.dim: (r.n, r.total) for r in sizes.groupBy("dim").agg(F.max("n").alias("n"), F.sum("n").alias("total")).collect()}
     centroids: dict[int, np.ndarray] = {}
     for dim, (n, total) in largest.items():
-        k = min(MAX_CELLS, -(-n // cell_rows))
+        k = cells_for(n, cell_rows)
         if k > 1:
-            share = min(1.0, fit_rows / total)
+            share = min(1.0, max(fit_rows, SAMPLE_PER_CELL * k) / total)
             sample = nodes.filter((F.size("vector") == dim) & (F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) < int(share * (1 << 30)))).select("node", "vector")
             rows = sample.toArrow().combine_chunks().sort_by("node")
             if rows.num_rows:
