@@ -6,10 +6,11 @@ to meet. That gives the initial buckets of the suffix sort, q-grams instead of a
 
 1. every chunk of documents sends its distinct anchors, by hash, and learns which of them occur elsewhere;
 2. it sends the bytes around those once for each distinct surrounding (with the smallest doc_id);
-3. the buckets are refined on both sides: one sort of the bytes that follow gives, with the lengths
-   of common prefixes, the bucket of every row for each offset, one sort of the bytes that go before
-   does the same to the left, and a pair of bucket pointers names a string of SPAN bytes. The smallest
-   doc_id of such a bucket tells which rows repeat an earlier document;
+3. the buckets are refined on both sides. A bucket is split by sorting its rows on the identifiers of the
+   q-grams at a later offset (for the left side, an earlier one); the new bucket pointers are written
+   back and the next lengths start from them, and rows that are alone in their bucket drop out. A pair of
+   pointers, to the left and to the right, names a string of SPAN bytes, and the smallest doc_id of such
+   a bucket tells which rows repeat an earlier document;
 4. the chunk marks the bytes that those strings cover.
 
 An anchor that any number of documents share leaves each chunk once, so no bucket is larger than
@@ -32,6 +33,8 @@ from lumenvox.llm.common import cut, text_of
 
 SPAN, Q = 50, 24
 SIDE = SPAN - Q
+#: Bytes of the grams whose identifiers split a bucket.
+GRAM = 8
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 #: Positions whose hashes are in memory at once.
@@ -296,28 +299,62 @@ def _words(rows: np.ndarray) -> list[np.ndarray]:
     return list(padded.view(">u8").astype(np.uint64).T.copy())
 
 
-def _pointers(bucket: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-    """Bucket pointers of every row for each length: rows share one when bucket and so many bytes of ``rows`` agree."""
-    order, _ = _classes(bucket, *_words(rows))
-    b, r = bucket[order], rows[order]
-    differ = r[1:] != r[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
-    common = np.r_[-1, np.where(b[1:] == b[:-1], common, -1)] if len(b) else np.empty(0, np.int64)
-    out = []
-    for length in range(rows.shape[1] + 1):
-        p = np.empty(len(order), np.int64)
-        p[order] = np.cumsum(common < length) - 1
-        out.append(p)
+def _grams(rows: np.ndarray) -> np.ndarray:
+    """Identifiers of the grams that start at each offset of ``rows``, one column an offset."""
+    data = np.ascontiguousarray(rows)
+    n = data.shape[1] - GRAM + 1
+    return np.ndarray((len(data), n), ">u8", data, strides=(data.shape[1], 1)) if len(data) else np.empty((0, n), ">u8")
+
+
+def _split(bucket: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Buckets split by the identifiers of a gram; rows that are alone already keep their bucket.
+
+    Pointers are numbers of rows: a bucket is named by the place of its first row in the sorted order.
+    """
+    size = np.bincount(bucket, minlength=1)
+    active = np.flatnonzero(size[bucket] > 1)
+    if not len(active):
+        return bucket
+    b, g = bucket[active], gram[active].astype(np.uint64)
+    order = np.lexsort((g, b))
+    b, g = b[order], g[order]
+    head = np.r_[True, (b[1:] != b[:-1]) | (g[1:] != g[:-1])]
+    # a bucket of n rows owns n numbers from its own on, so its parts can be numbered among them
+    first = np.r_[True, b[1:] != b[:-1]]
+    at = np.arange(len(b))
+    inside = at - np.maximum.accumulate(np.where(first, at, 0))
+    out = bucket.copy()
+    out[active[order]] = (b + inside)[np.maximum.accumulate(np.where(head, at, 0))]
+    return out
+
+
+def _numbered(bucket: np.ndarray) -> np.ndarray:
+    """Buckets named by how many rows are in smaller ones."""
+    _, inverse, counts = np.unique(bucket, return_inverse=True, return_counts=True)
+    return (np.cumsum(counts) - counts)[inverse]
+
+
+def _pointers(bucket: np.ndarray, rows: np.ndarray, known: int) -> list[np.ndarray]:
+    """Bucket pointers of every row for each length: rows share one when their bucket and so many bytes agree.
+
+    ``rows`` has ``known`` bytes on which the rows of a bucket agree, and then those that split it. Lengths up
+    to the next GRAM bytes start from the pointers that the GRAM bytes before them left; a gram may reach
+    back over bytes that agree.
+    """
+    gram = _grams(rows)
+    out = [_numbered(bucket)]
+    for length in range(1, rows.shape[1] - known + 1):
+        out.append(_split(out[(length - 1) // GRAM * GRAM], gram[:, known + length - GRAM]))
     return out
 
 
 def refined(doc: np.ndarray, left: np.ndarray, right: np.ndarray, around: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows of anchors: the smallest doc with the same surroundings, and a bit for each l where the string
     that starts l bytes before the anchor is in a smaller doc."""
-    gram = _words(around[:, SIDE : SIDE + Q])
-    order, group_sorted = _classes(key, *gram)
-    bucket = np.empty(len(order), np.int64)
-    bucket[order] = group_sorted
+    bucket = _numbered(key)
+    gram = _grams(around)
+    for at in range(SIDE, SIDE + Q, GRAM):
+        bucket = _split(bucket, gram[:, at])
     sides = _words(np.concatenate([around[:, :SIDE], around[:, SIDE + Q :]], axis=1))
     order, same_sorted = _classes(bucket, *sides, left.astype(np.int64), right.astype(np.int64), doc)
     # the last column splits equal surroundings by doc; go back to surroundings alone
@@ -336,8 +373,8 @@ def refined(doc: np.ndarray, left: np.ndarray, right: np.ndarray, around: np.nda
     if len(reps):
         reps = reps[np.argsort(doc[reps], kind="stable")]
         b, d = bucket[reps], doc[reps]
-        before = _pointers(b, around[reps, :SIDE][:, ::-1])
-        after = _pointers(b, around[reps, SIDE + Q :])
+        before = _pointers(b, around[reps, : SIDE + GRAM][:, ::-1], GRAM)
+        after = _pointers(b, around[reps, SIDE + Q - GRAM :], GRAM)
         found = np.zeros(len(reps), np.uint32)
         for n in range(SIDE + 1):
             fits = np.flatnonzero((left[reps] >= n) & (right[reps] >= SIDE - n))
