@@ -154,8 +154,8 @@ class Chunk:
         step, count = unpacked(row["keys"], row["n_keys"], 2)
         keys = np.cumsum(step.view(np.uint64), dtype=np.uint64)
         by_count = np.lexsort((np.arange(len(keys)), -count))
-        token = by_count[unpacked(row["tokens"], int(self.lengths.sum()) + 2 * n, 1)[0]]
-        doc = np.repeat(np.arange(n), self.lengths + 2)
+        token = by_count[unpacked(row["tokens"], int(self.lengths.sum()) + 2 * n, 1)[0]].astype(np.int32)
+        doc = np.repeat(np.arange(n, dtype=np.int32), self.lengths + 2)
         self.languages, of_doc = np.unique(self.language, return_inverse=True)
         self.of_doc = of_doc
         # words of a language together, since they travel so
@@ -163,18 +163,20 @@ class Chunk:
         of_word[token] = of_doc[doc]
         order = np.argsort(of_word, kind="stable")
         self.word_keys, self.of_word = keys[order], of_word[order]
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
         token = place[token]
         inner = np.flatnonzero(doc[1:] == doc[:-1])
         inner = inner[self.lengths[doc[inner]] > 0]  # a text without words has no pairs
-        a, b, self.doc = token[inner], token[inner + 1], doc[inner]
+        a, b, self.doc = token[inner], token[inner + 1], doc[inner].astype(np.int64)
+        del token, doc, inner
         hashed = mixed(self.word_keys[a] * np.uint64(0x9E3779B97F4A7C15) + mixed(self.word_keys[b])) >> np.uint64(64 - bits)
         pair_keys, at, pair = np.unique(hashed, return_index=True, return_inverse=True)
+        del hashed
         of_pair = of_doc[self.doc[at]]
         order = np.argsort(of_pair, kind="stable")
         self.pair_keys, self.of_pair = pair_keys[order], of_pair[order]
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
         self.pair, at = place[pair], at[order]
         self.first, self.second = a[at], b[at]

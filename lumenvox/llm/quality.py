@@ -28,6 +28,7 @@ POOLED = 0
 TAIL = 0.0025
 #: Words of average trusted text that a document counts for besides its own when it is compared with the thresholds.
 PRIOR_WORDS = 10
+_PAIRS_AT_ONCE = 1 << 17
 _RATES = ("d1", "d2", "d3", "e1", "e2", "e3", "pairs", "spread")
 
 
@@ -129,26 +130,30 @@ def _score(shards: int, bits: int):
                 rates = np.full((len(c.languages), len(_RATES)), np.nan)
                 for r in row["rates"] or []:
                     rates[np.searchsorted(c.languages, r["language"])] = [r[x] for x in _RATES]
-                # a pair once for each document that has it
-                each, own = np.unique(c.doc * (len(c.pair_keys) + 1) + c.pair, return_counts=True)
-                doc, pair = each // (len(c.pair_keys) + 1), each % (len(c.pair_keys) + 1)
-                a, z, n, r = c.first[pair], c.second[pair], pairs[pair] >> 1, rates[c.of_doc[doc]]
                 d = rates[c.of_word][:, :3]
                 lost = k1 * d[:, 0] + k2 * d[:, 1] + k3 * d[:, 2]
-                p = log_probabilities(n, total[a], lost[a], ends[z], r)
-                sums = np.bincount(doc, weights=p * own, minlength=docs)
-                some = np.flatnonzero(known[doc])
-                if len(some):
-                    doc, a, z, n, own, r = doc[some], a[some], z[some], n[some], own[some], r[some]
-                    less = np.maximum(n - own, 0)
-                    _, here = np.unique(doc * n_words + a, return_inverse=True)
-                    taken = np.bincount(here, weights=np.minimum(own, n))[here]
-                    given = np.bincount(here, weights=_discount(n, r) - _discount(less, r))[here]
-                    _, here = np.unique(doc * n_words + z, return_inverse=True)
-                    gone = np.bincount(here, weights=(n > 0) & (less == 0))[here]
-                    p = log_probabilities(less, total[a] - taken, np.maximum(lost[a] - given, 0), np.maximum(ends[z] - gone, 0), r)
-                    without = np.bincount(doc, weights=p * own, minlength=docs)
-                    sums[known] = without[known]
+                del d, k1, k2, k3
+                # a pair once for each document that has it
+                each, times = np.unique(c.doc * len(c.pair_keys) + c.pair, return_counts=True)
+                n = pairs[each % max(1, len(c.pair_keys))] >> 1
+                ends_at = np.searchsorted(each, np.arange(docs + 1) * len(c.pair_keys))
+                sums, at = np.zeros(docs), 0
+                while at < docs:  # whole documents, a bounded number of pairs at once
+                    upto = max(at + 1, int(np.searchsorted(ends_at, ends_at[at] + _PAIRS_AT_ONCE, "right")) - 1)
+                    part = slice(ends_at[at], ends_at[upto])
+                    doc, pair = each[part] // max(1, len(c.pair_keys)), each[part] % max(1, len(c.pair_keys))
+                    own = np.where(known[doc], times[part], 0)
+                    r = rates[c.of_doc[doc]]
+                    before, after = c.first[pair], c.second[pair]
+                    less = np.maximum(n[part] - own, 0)
+                    _, here = np.unique(doc * n_words + before, return_inverse=True)
+                    taken = np.bincount(here, weights=n[part] - less)[here]
+                    given = np.bincount(here, weights=_discount(n[part], r) - _discount(less, r))[here]
+                    _, here = np.unique(doc * n_words + after, return_inverse=True)
+                    gone = np.bincount(here, weights=(n[part] > 0) & (less == 0))[here]
+                    p = log_probabilities(less, total[before] - taken, np.maximum(lost[before] - given, 0), np.maximum(ends[after] - gone, 0), r)
+                    sums[at:upto] = np.bincount(doc - at, weights=p * times[part], minlength=upto - at)
+                    at = upto
                 columns = [c.content, c.language, known, np.where(c.lengths > 0, c.lengths + 1, 0), sums]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
