@@ -43,6 +43,30 @@ def rotation(x: Column, y: Column, z: Column, w: Column) -> Matrix:
     )
 
 
+def quaternion(m: Matrix) -> tuple[Column, Column, Column, Column]:
+    """Unit quaternion of a rotation matrix, w first and not negative; found from its largest part."""
+    squares = [
+        1 + m[0][0] + m[1][1] + m[2][2],
+        1 + m[0][0] - m[1][1] - m[2][2],
+        1 - m[0][0] + m[1][1] - m[2][2],
+        1 - m[0][0] - m[1][1] + m[2][2],
+    ]  # of four times each part squared
+    off = {(0, 1): m[2][1] - m[1][2], (0, 2): m[0][2] - m[2][0], (0, 3): m[1][0] - m[0][1], (1, 2): m[0][1] + m[1][0], (1, 3): m[0][2] + m[2][0], (2, 3): m[1][2] + m[2][1]}
+    most = F.greatest(*squares)
+
+    def part(i: int) -> Column:
+        found = None
+        for k in range(4):
+            root = F.sqrt(F.greatest(squares[k], F.lit(1e-12)))
+            value = root / 2 if k == i else off[min(i, k), max(i, k)] / (2 * root)
+            found = F.when(squares[k] == most, value) if found is None else found.when(squares[k] == most, value)
+        return found
+
+    q = [part(i) for i in range(4)]
+    sign = F.when(q[0] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    return tuple(c * sign for c in q)  # type: ignore[return-value]
+
+
 def camera_rotation(m: Matrix) -> Matrix:
     """From a camera that looks along -Z with +Y up to one that looks along +Z with +Y down."""
     return tuple((row[0], -row[1], -row[2]) for row in m)  # type: ignore[return-value]

@@ -10,20 +10,28 @@ from pyspark.sql import functions as F
 from lumenvox.operators.common import settled
 
 
-def geodesic(links: DataFrame, roots: DataFrame) -> DataFrame:
+def geodesic(links: DataFrame, roots: DataFrame, key: str | None = None, within: float | None = None) -> DataFrame:
     """Length of the shortest way from any root (node) to each node that can be reached: node, d.
 
-    Bellman-Ford: only nodes whose distance fell in a round pass it on in the next.
+    With ``key``, a column of ``roots``, the ways of each key are found apart: key, node, d. Ways longer than
+    ``within`` are given up. Bellman-Ford: only nodes whose distance fell in a round pass it on in
+    the next. Improvements are appended, and merged with the table of distances every few rounds.
     """
-    best = settled(roots.select("node", F.lit(0.0).alias("d")).distinct())
-    fresh = best
+    names = [key, "node"] if key else ["node"]
+    best = settled(roots.select(*names, F.lit(0.0).alias("d")).distinct())
+    fresh, added, rounds = best, None, 0
     while True:
-        offers = fresh.join(links, F.col("node") == F.col("src")).groupBy("dst").agg(F.min(F.col("d") + F.col("w")).alias("offer"))
-        better = offers.join(best.select(F.col("node").alias("dst"), "d"), "dst", "left").filter("d is null or offer < d - 1e-12")
-        fresh = settled(better.select(F.col("dst").alias("node"), F.col("offer").alias("d")))
+        offers = fresh.join(links, F.col("node") == F.col("src")).select(*names[:-1], F.col("dst").alias("node"), (F.col("d") + F.col("w")).alias("offer"))
+        offers = offers if within is None else offers.filter(F.col("offer") <= within)
+        offers = offers.groupBy(*names).agg(F.min("offer").alias("offer"))
+        known = best if added is None else best.unionByName(added).groupBy(*names).agg(F.min("d").alias("d"))
+        better = offers.join(known, names, "left").filter("d is null or offer < d - 1e-12")
+        fresh = settled(better.select(*names, F.col("offer").alias("d")))
         if fresh.isEmpty():
-            return best
-        best = settled(best.join(fresh.select("node"), "node", "left_anti").unionByName(fresh))
+            return settled(known)
+        added, rounds = fresh if added is None else added.unionByName(fresh), rounds + 1
+        if rounds % 4 == 0:
+            best, added = settled(best.unionByName(added).groupBy(*names).agg(F.min("d").alias("d"))), None
 
 
 def _roots(up: DataFrame) -> DataFrame:

@@ -85,37 +85,78 @@ def heading_policy(mode: str, tangent: Column, target: Column, alpha: float) ->
     return F.when(target.isNull(), tangent).otherwise(chosen)
 
 
-def capture_schedule(attempts: DataFrame, phases: DataFrame, key: str, n_views: int, n_rounds: int, most_attempts: int, rejects_per_stop: int) -> DataFrame:
-    """Accept/reject fold of each scene over its scored attempts: key, idx, attempt, phase, round.
-
-    ``attempts`` has key, attempt, vi, ok (and is tried in order), ``phases`` key, ord, phase, round. A phase
-    ends at ceil(n_views / n_rounds) accepted views, everything ends at n_views or when attempts
-    are used up; after ``rejects_per_stop`` rejections of one stop its other attempts are skipped.
-    Each scene is one group; its state is a few counters.
+def capture_schedule(attempts: DataFrame, phases: DataFrame, playlist: DataFrame, key: str, n_views: int, n_rounds: int, most_attempts: int, rejects_per_stop: int, retries: int = 4, same_pos: bool = True) -> DataFrame:
+    """Accept/reject fold of each scene: key, idx, attempt, phase, round, vi.
+
+    ``attempts`` has key, attempt (from 0) and nudge: the first of the headings tried (0: the planned one)
+    that passes the gates, null if none does. ``phases`` has key, ord, phase, round and ``playlist``
+    key, n_stops, shots (stops of the planned shots in order).
+
+    A phase ends at ceil(n_views / n_rounds) accepted views; everything ends at n_views or when
+    attempts are used up. A coverage phase takes the next shot of its round's playlist, accepts it at one of up to
+    ``retries`` nudges, goes on to the next shot either way and ends when there is none, which costs an attempt.
+    A random phase starts at the first stop, goes on to the next one after a view, or after ``rejects_per_stop``
+    rejections there; a phase knows nothing of the rejections before it. The state is a few counters,
+    folded over at most ``most_attempts`` attempts of a scene.
     """
     target = max(1, math.ceil(n_views / max(1, n_rounds)))
     plan = phases.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ord", "phase", "round"))).alias("plan"))
-
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("attempt")
-        tries = iter(g[["attempt", "vi", "ok"]].itertuples(index=False))
-        rows, used, rejected = [], 0, {}
-        for p in g["plan"].iloc[0]:
-            accepted = 0
-            while len(rows) < n_views and accepted < target and used < most_attempts:
-                a = next(tries, None)
-                if a is None:
-                    break
-                if rejected.get(a.vi, 0) >= rejects_per_stop:
-                    continue
-                used += 1
-                if a.ok:
-                    rows.append((g[key].iloc[0], len(rows), a.attempt, p["phase"], p["round"]))
-                    accepted += 1
-                else:
-                    rejected[a.vi] = rejected.get(a.vi, 0) + 1
-        return pd.DataFrame(rows, columns=[key, "idx", "attempt", "phase", "round"])
-
-    kind = attempts.schema[key].dataType.simpleString()
-    first = F.row_number().over(Window.partitionBy(key).orderBy("attempt")) == 1  # the plan travels with one row of a scene
-    return attempts.join(plan, key).withColumn("plan", F.when(first, F.col("plan"))).groupBy(key).applyInPandas(fold, f"{key} {kind}, idx long, attempt long, phase string, round int")
+    tries = attempts.filter(F.col("attempt") < most_attempts).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("attempt", "nudge"))).alias("tries"))
+    rows = tries.join(plan, key).join(playlist.select(key, "n_stops", "shots"), key)
+    view = "struct<idx:bigint,attempt:bigint,phase:string,round:int,vi:bigint>"
+    long = lambda x: F.lit(x).cast("long")
+    zero = F.struct(
+        F.lit(0).alias("at"), long(0).alias("views"), long(0).alias("here"), long(0).alias("vi"), long(0).alias("rejected"),
+        F.array_repeat(F.lit(0), max(1, n_rounds)).alias("shot"), F.array().cast(f"array<{view}>").alias("out"),
+    )
+
+    def step(s: Column, x: Column) -> Column:
+        phase = F.get(F.col("plan"), s["at"])
+        done = phase.isNull() | (s["views"] >= n_views)
+        coverage, round_ = phase["phase"] == "coverage", phase["round"]
+        shot = F.get(s["shot"], round_)
+        empty = coverage & (shot >= F.size("shots"))
+        start = F.when(s["vi"] >= F.col("n_stops"), long(0)).otherwise(s["vi"])
+        stop = F.when(coverage, F.get(F.col("shots"), shot)).otherwise(start).cast("long")
+        passed = F.coalesce(F.when(coverage, x["nudge"] <= retries).otherwise(x["nudge"] == 0), F.lit(False)) & ~empty
+        full = passed & (s["here"] + 1 >= target)
+        leave = empty | full
+        rejected = s["rejected"] + 1
+        skip = rejected >= rejects_per_stop
+        wrapped = lambda v: F.pmod(v + 1, F.greatest(F.col("n_stops").cast("long"), long(1)))
+        vi = F.when(coverage, F.when(passed & F.lit(not same_pos), wrapped(stop)).otherwise(s["vi"])).when(passed, start + 1).when(skip, wrapped(start)).otherwise(start)
+        rejects = F.when(coverage, s["rejected"]).when(passed | skip, long(0)).otherwise(rejected)
+        taken = F.array(F.struct(s["views"].alias("idx"), x["attempt"].cast("long").alias("attempt"), phase["phase"].alias("phase"), round_.cast("int").alias("round"), stop.alias("vi")))
+        new = F.struct(
+            F.when(leave, s["at"] + 1).otherwise(s["at"]).alias("at"),
+            F.when(passed, s["views"] + 1).otherwise(s["views"]).alias("views"),
+            F.when(leave, long(0)).when(passed, s["here"] + 1).otherwise(s["here"]).alias("here"),
+            F.when(leave, long(0)).otherwise(vi).alias("vi"),
+            F.when(leave, long(0)).otherwise(rejects).alias("rejected"),
+            F.transform(s["shot"], lambda n, i: F.when(coverage & ~empty & (i == round_), n + 1).otherwise(n)).alias("shot"),
+            F.when(passed, F.concat(s["out"], taken)).otherwise(s["out"]).alias("out"),
+        )
+        return F.when(done, s).otherwise(new)
+
+    return rows.select(key, F.inline(F.aggregate("tries", zero, step)["out"]))
+
+
+def density_targets(anchors_for, scenes: DataFrame, key: str, want: int, sep: float, clearance: float, floor: float = 0.6, least_clearance: float = 0.18, rounds: int = 3) -> DataFrame:
+    """Separation and clearance of each scene at which it first has ``want`` anchors: key, step, sep, clearance, got.
+
+    ``anchors_for(sep, clearance)`` selects anchors (key, ...). Both are relaxed to 0.8 of themselves, not below
+    their floors, before the first test and again up to ``rounds`` times; a scene that never gets there keeps
+    the last step. Nothing is relaxed once both are at their floors, which leaves step 0.
+    """
+    tried = scenes.select(key, F.lit(0).alias("step"), F.lit(float(sep)).alias("sep"), F.lit(float(clearance)).alias("clearance"), F.lit(0).cast("long").alias("got"))
+    for step in range(1, rounds + 1):
+        new = max(floor, 0.8 * sep), max(least_clearance, 0.8 * clearance)
+        if new == (sep, clearance):
+            break
+        sep, clearance = new
+        counts = anchors_for(sep, clearance).groupBy(key).agg(F.count("*").alias("n"))
+        found = scenes.join(counts, key, "left").select(key, F.lit(step).alias("step"), F.lit(sep).alias("sep"), F.lit(clearance).alias("clearance"), F.coalesce("n", F.lit(0)).alias("got"))
+        tried = tried.unionByName(found)
+    enough = F.min(F.when(F.col("got") >= want, F.struct("step", "sep", "clearance", "got")))
+    last = F.max(F.struct("step", "sep", "clearance", "got"))
+    return tried.groupBy(key).agg(F.coalesce(enough, last).alias("b")).select(key, "b.*")

@@ -65,20 +65,21 @@ def depth_stats(tiles: DataFrame, key: str) -> DataFrame:
 
 
 def sobel_strength(tiles: DataFrame, key: str, value: str) -> DataFrame:
-    """Mean over valid pixels of the absolute Sobel responses in both directions; borders are mirrored."""
+    """Mean, over the pixels with valid depth, of the absolute Sobel responses of ``value`` in both directions; borders are mirrored."""
     row, column = Window.partitionBy(key, "v").orderBy("u"), Window.partitionBy(key, "u").orderBy("v")
 
     def around(c: str, w) -> tuple[Column, Column]:
         before, after = F.lag(c).over(w), F.lead(c).over(w)
         return F.coalesce(before, after), F.coalesce(after, before)
 
-    df = tiles.select(key, "u", "v", F.col(value).alias("s")).repartition(key)
+    df = tiles.select(key, "u", "v", F.col(value).alias("s"), valid(F.col("depth")).alias("valid")).repartition(key)
     left, right = around("s", row)
     df = df.withColumns({"across": right - left, "along": left + 2 * F.col("s") + right})
     up, down = around("across", column)
     top, bottom = around("along", column)
     gx, gy = up + 2 * F.col("across") + down, bottom - top
-    return df.select(key, (F.abs(gx) + F.abs(gy)).alias("grad")).groupBy(key).agg(F.avg("grad").alias("grad_mean"))
+    strength = F.when(F.col("valid"), F.abs(gx) + F.abs(gy))
+    return df.select(key, strength.alias("grad")).groupBy(key).agg(F.coalesce(F.avg("grad"), F.lit(0.0)).alias("grad_mean"))
 
 
 def openness(tiles: DataFrame, key: str, width: int, share: float) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from lumenvox.functions.angles import blend, clamp, shortest, towards, wrap
 
 AXES = ("x", "y", "z")
+#: Rows of a stretch of a path that a fold handles at once.
+FOLD_ROWS = 64
 
 
 def _along(key: str):
@@ -107,15 +109,26 @@ def unwrapped(df: DataFrame, key: str) -> DataFrame:
 
 
 def _folded(df: DataFrame, key: str, step) -> DataFrame:
-    """Runs ``step(state, value)`` over ``yaw`` in order; the state before the first is null. One array a path."""
-    rows = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("seq", "yaw"))).alias("rows"))
-    zero = F.struct(F.lit(None).cast("double").alias("state"), F.array().cast("array<struct<seq:bigint,yaw:double>>").alias("out"))
+    """Runs ``step(state, value)`` over ``yaw`` in order; the state before the first is null.
+
+    A path is cut into stretches of FOLD_ROWS rows. Within a stretch the results are appended to an array, which
+    copies it, so a stretch is short; the state goes on from stretch to stretch.
+    """
+    order = F.row_number().over(_along(key)) - 1
+    rows = df.withColumn("_part", F.floor(order / FOLD_ROWS)).groupBy(key, "_part").agg(F.array_sort(F.collect_list(F.struct("seq", "yaw"))).alias("part"))
+    rows = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_part", "part"))).alias("parts"))
+    kind = "array<struct<seq:bigint,yaw:double>>"
+    zero = F.struct(F.lit(None).cast("double").alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
 
     def merge(acc: Column, x: Column) -> Column:
         new = F.when(acc["state"].isNull(), x["yaw"]).otherwise(step(acc["state"], x["yaw"]))
         return F.struct(new.alias("state"), F.concat(acc["out"], F.array(F.struct(x["seq"].alias("seq"), new.alias("yaw")))).alias("out"))
 
-    return rows.select(key, F.inline(F.aggregate("rows", zero, merge)["out"]))
+    def stretch(acc: Column, p: Column) -> Column:
+        found = F.aggregate(p["part"], F.struct(acc["state"].alias("state"), F.array().cast(kind).alias("out")), merge)
+        return F.struct(found["state"].alias("state"), F.concat(acc["out"], F.array(found["out"])).alias("out"))
+
+    return rows.select(key, F.inline(F.flatten(F.aggregate("parts", zero, stretch)["out"])))
 
 
 def rate_limited(df: DataFrame, limit_deg: float, key: str) -> DataFrame:
@@ -164,3 +177,9 @@ def thinned(path: DataFrame, every: int, key: str = "path_id") -> DataFrame:
     return path.withColumn("_last", last).filter((F.col("seq") % every == 0) | (F.col("seq") == F.col("_last"))).drop("_last")
 
 
+
+
+def thinned_at_most(path: DataFrame, every: int, most: int, key: str = "path_id") -> DataFrame:
+    """The first ``most`` rows of each path's every ``every``-th ones."""
+    nth = F.row_number().over(_along(key))
+    return path.filter(F.col("seq") % every == 0).withColumn("_nth", nth).filter(F.col("_nth") <= most).drop("_nth")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenvox.functions import geometry as G
 from lumenvox.functions.angles import blend, wrap
+from lumenvox.functions.draws import normal_draw
 from lumenvox.operators import fusion, raster
 from lumenvox.plans import sql
 from lumenvox.plans.common import rounded, rounding
@@ -107,8 +108,7 @@ def depth_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sobel_gradient(spark: SparkSession, sf: str) -> DataFrame:
-    tiles = tables.tiles(spark, sf).withColumn("val", F.coalesce("depth", F.lit(0.0)))
-    return raster.sobel_strength(tiles, "vec_id", "val").select("vec_id", *rounding("grad_mean"))
+    return raster.sobel_strength(tables.tiles(spark, sf), "vec_id", "value").select("vec_id", *rounding("grad_mean"))
 
 
 def colorize_depth(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,6 +239,50 @@ def frusta_points(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("frame", F.col("e.edge").alias("edge"), "k", *[rounded(a + b).alias(n) for a, b, n in zip(w, _translation(), "xyz", strict=True)])
 
 
+def axes_tripod(spark: SparkSession, sf: str) -> DataFrame:
+    """Points along the axes of each camera, red, green and blue."""
+    m, t = G.camera_rotation(_rotation()), _translation()
+    axes = F.array(*[F.struct(F.lit(i).alias("axis"), *[m[r][i].alias(c) for r, c in enumerate("xyz")]) for i in range(3)])
+    df = tables.poses(spark, sf).select("frame", *[c.alias(f"t{n}") for c, n in zip(t, "xyz", strict=True)], F.explode(axes).alias("e"))
+    df = df.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(TRIPOD_SAMPLES - 1))))
+    way = F.col("k") / (TRIPOD_SAMPLES - 1) * TRIPOD_LENGTH
+    colour = [F.when(F.col("e.axis") == i, 255).otherwise(0).cast("int").alias(c) for i, c in enumerate("rgb")]
+    return df.select("frame", F.col("e.axis").alias("axis"), "k", *[rounded(F.col(f"t{c}") + F.col(f"e.{c}") * way).alias(c) for c in "xyz"], *colour)
+
+
+def frusta_overlay(spark: SparkSession, sf: str) -> DataFrame:
+    """The cloud with the frusta and tripods of every 25th camera as points: kind, x, y, z, r, g, b."""
+    names = ["kind", "x", "y", "z", "r", "g", "b"]
+    cloud = tables.points(spark, sf).select(F.lit("cloud").alias("kind"), *rounding("x", "y", "z"), "r", "g", "b")
+    dark = [F.lit(10).alias(c) for c in "rgb"]
+    frusta = frusta_points(spark, sf).filter("frame % 25 = 0").select(F.lit("frustum").alias("kind"), "x", "y", "z", *dark)
+    return cloud.unionByName(frusta).unionByName(axes_tripod(spark, sf).filter("frame % 25 = 0").withColumn("kind", F.lit("axes")).select(*names))
+
+
+def pose_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Pose records in full: the first three rows of the transform, position, height of the round and rotation."""
+    m, t = G.camera_rotation(_rotation()), _translation()
+    height = F.when(F.col("frame") % 2 == 0, 1.5).otherwise(0.9)
+    cells = [rounded(m[i][j]).alias(f"m{i}{j}") for i in range(3) for j in range(3)]
+    return tables.poses(spark, sf).select("frame", (F.col("frame") % 2).cast("int").alias("round"), height.alias("cam_height"), *cells, *[rounded(c).alias(f"p{n}") for c, n in zip(t, "xyz", strict=True)], *rounding("q1", "q2", "q3", "q4"))
+
+
+def reconstruction_images(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a sparse reconstruction's images: number, world-to-camera rotation with w first and not negative, translation, camera and name."""
+    m, t = G.inverse_pose(G.camera_rotation(_rotation()), _translation())
+    q = G.quaternion(m)
+    return tables.poses(spark, sf).select(
+        (F.col("frame") + 1).alias("image_id"), *[rounded(c, 5).alias(n) for c, n in zip(q, ("qw", "qx", "qy", "qz"), strict=True)], *[rounded(c).alias(n) for c, n in zip(t, ("tx", "ty", "tz"), strict=True)],
+        F.lit(1).alias("camera_id"), F.format_string("rgb_%05d.png", "frame").alias("name"),
+    )
+
+
+def capture_jitter(spark: SparkSession, sf: str) -> DataFrame:
+    """Normal draws for pitch, roll and height of each frame, from hashes of frame and name."""
+    spread = {"pitch": 0.02, "roll": 0.01, "height": 0.03}
+    return tables.poses(spark, sf).select("frame", *[rounded(normal_draw(F.col("frame"), n) * s).alias(n) for n, s in spread.items()])
+
+
 def birdeye_px(spark: SparkSession, sf: str) -> DataFrame:
     """Places of the cameras in a bird's-eye image of 500 pixels width."""
     poses = tables.poses(spark, sf)
@@ -249,6 +293,8 @@ def birdeye_px(spark: SparkSession, sf: str) -> DataFrame:
     return poses.join(F.broadcast(box)).select("frame", F.bround(u * 499).cast("int").alias("px"), F.bround((1 - v) * (height - 1)).cast("int").alias("py"))
 
 
+#: Length of a tripod's axes and points on each.
+TRIPOD_LENGTH, TRIPOD_SAMPLES = 0.1, 6
 _MATRIX = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in CELLS)
 _CAM = "cam AS (SELECT frame, tx, ty, tz, m00, -m01 AS m01, -m02 AS m02, m10, -m11 AS m11, -m12 AS m12, m20, -m21 AS m21, -m22 AS m22 FROM mat)"
 _GRAD = """g0 AS (SELECT vec_id, u, v, (u - 4) * depth / 4 AS x, (v - 4) * depth / 4 AS y, depth AS z FROM tile),
@@ -275,6 +321,11 @@ m AS (SELECT frame, 1-x*x*k AS m00, -y*x*k AS m01, x AS m02, -y*x*k AS m10, 1-y*
 _FRUSTA = """co AS (SELECT c, (u - 4) * d / 4 AS x, (v - 4) * d / 4 AS y, d AS z FROM (VALUES (0, 0.0, 0.0, 0.1), (1, 7.0, 0.0, 0.1), (2, 7.0, 7.0, 0.1), (3, 0.0, 7.0, 0.1), (4, 0.0, 0.0, 0.5), (5, 7.0, 0.0, 0.5), (6, 7.0, 7.0, 0.5), (7, 0.0, 7.0, 0.5)) t(c, u, v, d)),
 ed AS (SELECT * FROM (VALUES (0,0,1),(1,1,2),(2,2,3),(3,3,0),(4,4,5),(5,5,6),(6,6,7),(7,7,4),(8,0,4),(9,1,5),(10,2,6),(11,3,7)) t(edge, a, b)),
 sg AS (SELECT edge, k::INT AS k, (1 - k / 4.0::DOUBLE) * a.x + k / 4.0::DOUBLE * b.x AS px, (1 - k / 4.0::DOUBLE) * a.y + k / 4.0::DOUBLE * b.y AS py, (1 - k / 4.0::DOUBLE) * a.z + k / 4.0::DOUBLE * b.z AS pz FROM ed JOIN co a ON a.c = ed.a JOIN co b ON b.c = ed.b, range(0, 5) t(k))"""
+_FRUSTA_WORLD = "fru AS (SELECT frame, edge, k, " + ", ".join(f"m{i}0*px + m{i}1*py + m{i}2*pz + t{c} AS {c}" for i, c in enumerate("xyz")) + " FROM cam, sg)"
+_TRIPOD = "trip AS (" + " UNION ALL ".join(
+    f"SELECT frame, {a} AS axis, k::INT AS k, " + ", ".join(f"t{c} + m{i}{a} * (k / {TRIPOD_SAMPLES - 1}.0::DOUBLE * {TRIPOD_LENGTH}) AS {c}" for i, c in enumerate("xyz")) + ", " + ", ".join(f"{255 if i == a else 0} AS {c}" for i, c in enumerate("rgb")) + f" FROM cam, range(0, {TRIPOD_SAMPLES}) t(k)"
+    for a in range(3)
+) + ")"
 
 QUERIES = {
     "voxel_fuse": (voxel_fuse, f"WITH {sql.PTS} {_fused_sql(3)}"),
@@ -293,10 +344,10 @@ QUERIES = {
     "depth_stats": (depth_stats, f"WITH {sql.TILE}, {_STAT} SELECT vec_id, n_valid, {sql.rounded('valid_frac', 'mean', 'std')} FROM st"),
     "sobel_gradient": (
         sobel_gradient,
-        f"""WITH {sql.TILE}, s0 AS (SELECT vec_id, u, v, coalesce(depth, 0) AS s FROM tile),
+        f"""WITH {sql.TILE}, s0 AS (SELECT vec_id, u, v, depth, val AS s FROM tile),
         s1 AS (SELECT *, coalesce(lead(s) OVER w, lag(s) OVER w) - coalesce(lag(s) OVER w, lead(s) OVER w) AS a, coalesce(lead(s) OVER w, lag(s) OVER w) + coalesce(lag(s) OVER w, lead(s) OVER w) + 2 * s AS b FROM s0 WINDOW w AS (PARTITION BY vec_id, v ORDER BY u)),
-        s2 AS (SELECT vec_id, abs(coalesce(lead(a) OVER h, lag(a) OVER h) + coalesce(lag(a) OVER h, lead(a) OVER h) + 2 * a) + abs(coalesce(lead(b) OVER h, lag(b) OVER h) - coalesce(lag(b) OVER h, lead(b) OVER h)) AS g FROM s1 WINDOW h AS (PARTITION BY vec_id, u ORDER BY v))
-        SELECT vec_id, round(avg(g), 6) + 0.0 AS grad_mean FROM s2 GROUP BY vec_id""",
+        s2 AS (SELECT vec_id, depth, abs(coalesce(lead(a) OVER h, lag(a) OVER h) + coalesce(lag(a) OVER h, lead(a) OVER h) + 2 * a) + abs(coalesce(lead(b) OVER h, lag(b) OVER h) - coalesce(lag(b) OVER h, lead(b) OVER h)) AS g FROM s1 WINDOW h AS (PARTITION BY vec_id, u ORDER BY v))
+        SELECT vec_id, round(coalesce(avg(g) FILTER (WHERE depth > 0), 0), 6) + 0.0 AS grad_mean FROM s2 GROUP BY vec_id""",
     ),
     "openness_score": (openness_score, f"WITH {sql.TILE}, {_OPEN} SELECT vec_id, {sql.rounded('score')} FROM op"),
     "best_yaw": (best_yaw, f"WITH {sql.TILE}, {_OPEN} SELECT label, arg_max(vec_id, (round(score, 9), -vec_id)) AS vec_id, round(max(score), 6) AS score FROM op GROUP BY label"),
@@ -323,5 +374,23 @@ QUERIES = {
     "pose_meta": (pose_meta, f"WITH {sql.POSE} SELECT frame, (frame % 2)::INT AS round, printf('rgb_%05d.png', frame) AS image, printf('%.4f,%.4f,%.4f,%.4f', q1, q2, q3, q4) AS rotation FROM pose"),
     "colmap_images": (colmap_images, f"WITH {sql.POSE}, {_CAM} SELECT frame + 1 AS image_id, 1 AS camera_id, printf('rgb_%05d.png', frame) AS name, " + ", ".join(f"round(-(m0{i}*tx + m1{i}*ty + m2{i}*tz), 6) + 0.0 AS t{c}" for i, c in enumerate("xyz")) + " FROM cam"),
     "frusta_points": (frusta_points, f"WITH {sql.POSE}, {_CAM}, {_FRUSTA} SELECT frame, edge, k, " + ", ".join(f"round(m{i}0*px + m{i}1*py + m{i}2*pz + t{c}, 6) + 0.0 AS {c}" for i, c in enumerate("xyz")) + " FROM cam, sg"),
+    "axes_tripod": (axes_tripod, f"WITH {sql.POSE}, {_CAM}, {_TRIPOD} SELECT frame, axis, k, {sql.rounded('x', 'y', 'z')}, r, g, b FROM trip"),
+    "frusta_overlay": (
+        frusta_overlay,
+        f"""WITH {sql.PTS}, {sql.POSE}, {_CAM}, {_TRIPOD}, {_FRUSTA}, {_FRUSTA_WORLD} SELECT 'cloud' AS kind, {sql.rounded('x', 'y', 'z')}, r, g, b FROM pts
+        UNION ALL SELECT 'frustum', {sql.rounded('x', 'y', 'z')}, 10, 10, 10 FROM fru WHERE frame % 25 = 0 UNION ALL SELECT 'axes', {sql.rounded('x', 'y', 'z')}, r, g, b FROM trip WHERE frame % 25 = 0""",
+    ),
+    "pose_records": (
+        pose_records,
+        f"WITH {sql.POSE}, {_CAM} SELECT c.frame, (c.frame % 2)::INT AS round, CASE WHEN c.frame % 2 = 0 THEN 1.5 ELSE 0.9 END::DOUBLE AS cam_height, {', '.join(f'round(c.m{i}{j}, 6) + 0.0 AS m{i}{j}' for i in range(3) for j in range(3))}, {', '.join(f'round(c.t{a}, 6) + 0.0 AS p{a}' for a in 'xyz')}, {', '.join(f'round(m.q{i}, 6) + 0.0 AS q{i}' for i in (1, 2, 3, 4))} FROM cam c JOIN mat m ON c.frame = m.frame",
+    ),
+    "reconstruction_images": (
+        reconstruction_images,
+        # a half turn about x follows the inverse rotation, so the quaternion is (x, w, z, -y)
+        f"""WITH {sql.POSE}, {_CAM}, s AS (SELECT m.frame, CASE WHEN q1 < 0 THEN -1 ELSE 1 END AS f, q1, q2, q3, q4, c.* EXCLUDE (frame) FROM mat m JOIN cam c ON c.frame = m.frame)
+        SELECT frame + 1 AS image_id, round(f * q1, 5) + 0.0 AS qw, round(f * q4, 5) + 0.0 AS qx, round(f * q3, 5) + 0.0 AS qy, round(-f * q2, 5) + 0.0 AS qz,
+        round(-(m00*tx + m10*ty + m20*tz), 6) + 0.0 AS tx, round(-(m01*tx + m11*ty + m21*tz), 6) + 0.0 AS ty, round(-(m02*tx + m12*ty + m22*tz), 6) + 0.0 AS tz, 1 AS camera_id, printf('rgb_%05d.png', frame) AS name FROM s""",
+    ),
+    "capture_jitter": (capture_jitter, f"WITH {sql.POSE} SELECT frame, {', '.join(f'round({sql.normal_draw("frame", n)} * {s}, 6) + 0.0 AS {n}' for n, s in (('pitch', 0.02), ('roll', 0.01), ('height', 0.03)))} FROM pose"),
     "birdeye_px": (birdeye_px, f"WITH {sql.POSE}, b AS (SELECT min(tx) AS x0, max(tx) AS x1, min(tz) AS z0, max(tz) AS z1 FROM pose) SELECT frame, round_even((tx - x0) / greatest(x1 - x0, 1e-6) * 499, 0)::INT AS px, round_even((1 - (tz - z0) / greatest(z1 - z0, 1e-6)) * (round_even(500 * (z1 - z0) / greatest(x1 - x0, 1e-6), 0) - 1), 0)::INT AS py FROM pose, b"),
 }

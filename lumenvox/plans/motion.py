@@ -113,18 +113,25 @@ def point_polyline_dist(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def euclid_pregate(spark: SparkSession, sf: str) -> DataFrame:
-    """Candidates at least 0.3 away from every anchor."""
-    return spatial.nearest(tables.points(spark, sf), tables.anchors(spark, sf), "vec_id", "anchor_id").filter("d >= 0.3").select("vec_id")
+    """Candidates at least 0.3 away from every anchor in the plane."""
+    return spatial.nearest(tables.points(spark, sf), tables.anchors(spark, sf), "vec_id", "anchor_id", ("x", "z")).filter("d >= 0.3").select("vec_id")
+
+
+#: Points and pairs that statistics of distances are taken from.
+PAIR_POINTS, PAIR_BUDGET = 512, 1024
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    pts = tables.points(spark, sf)
-    n = pts.agg(F.count("*").alias("n"))  # one row
-    other = ((F.col("vec_id") * 7 + 3) % F.col("n")).alias("other")
-    a = pts.join(F.broadcast(n)).select("vec_id", "x", "y", "z", other)
-    b = pts.select(F.col("vec_id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"))
+    """Distances of a fixed number of pairs of points drawn by hash, whatever the number of points."""
+    drawn = tables.points(spark, sf).select("vec_id", "x", "y", "z", F.md5(F.col("vec_id").cast("string")).alias("draw")).orderBy("draw", "vec_id").limit(PAIR_POINTS)
+    drawn = drawn.withColumn("nth", (F.row_number().over(Window.orderBy("draw", "vec_id")) - 1).cast("long"))  # of the drawn points only
+    n = drawn.agg(F.count("*").alias("n"))  # one row
+    pairs = spark.range(PAIR_BUDGET).join(F.broadcast(n)).filter(F.col("id") < 4 * F.col("n"))
+    pairs = pairs.select("id", ((F.col("id") * 7919) % F.col("n")).alias("nth"), ((F.col("id") * 104729 + 3) % F.col("n")).alias("nth2")).filter("nth <> nth2")
+    a = drawn.select("nth", "vec_id", "x", "y", "z")
+    b = drawn.select(F.col("nth").alias("nth2"), F.col("vec_id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"))
     d = spatial.distance([F.col(c) for c in "xyz"], [F.col(f"o{c}") for c in "xyz"])
-    return a.join(b, "other").select("vec_id", "other", d.alias("d"))
+    return pairs.join(a, "nth").join(b, "nth2").select("vec_id", "other", d.alias("d"))
 
 
 def pair_sample_p95(spark: SparkSession, sf: str) -> DataFrame:
@@ -215,23 +222,25 @@ def geodesic(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("node", *rounding("d"))
 
 
-def sample_target(spark: SparkSession, sf: str) -> DataFrame:
-    """Of each view a point 0.3 to 0.6 away from its first one, the first by a fixed order."""
+def _ways(spark: SparkSession, sf: str) -> DataFrame:
+    """view, vec_id, d: points of each view within 0.6 of its first one along the links."""
     pts = tables.points(spark, sf)
-    origin = pts.groupBy("view").agg(F.min_by(F.struct("x", "y", "z"), "vec_id").alias("o"))
-    d = spatial.distance([F.col(c) for c in "xyz"], [F.col(f"o.{c}") for c in "xyz"])
-    inside = pts.join(origin, "view").withColumn("d", d).filter(F.col("d").between(0.3, 0.6))
+    roots = pts.groupBy("view").agg(F.min("vec_id").alias("node"))
+    ways = graph.geodesic(tables.links(spark, sf), roots, "view", 0.6)
+    return ways.withColumnRenamed("node", "vec_id").join(pts.select("vec_id", "view"), ["vec_id", "view"])
+
+
+def sample_target(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each view a point 0.3 to 0.6 away from its first one along the links, the first by a fixed order."""
+    inside = _ways(spark, sf).filter(F.round("d", 9) >= 0.3)
     order = F.struct(((F.col("vec_id") * 7919) % 10007).alias("h"), F.col("vec_id"))
     return inside.groupBy("view").agg(F.min_by(F.struct("vec_id", "d"), order).alias("t")).select("view", "t.vec_id", rounded("t.d").alias("d"))
 
 
 def far_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Furthest distance between 0.3 and 0.6 from each view's first point, 0 without one."""
-    pts = tables.points(spark, sf)
-    origin = pts.groupBy("view").agg(F.min_by(F.struct("x", "y", "z"), "vec_id").alias("o"))
-    d = spatial.distance([F.col(c) for c in "xyz"], [F.col(f"o.{c}") for c in "xyz"])
-    scored = pts.join(origin, "view").withColumn("d", d)
-    return scored.groupBy("view").agg(rounded(F.coalesce(F.max(F.when(F.col("d").between(0.3, 0.6), F.col("d"))), F.lit(0.0))).alias("score"))
+    """Furthest way between 0.3 and 0.6 from each view's first point, 0 without one."""
+    far = F.max(F.when(F.round("d", 9) >= 0.3, F.col("d")))
+    return _ways(spark, sf).groupBy("view").agg(rounded(F.coalesce(far, F.lit(0.0))).alias("score"))
 
 
 def clearance_ring(spark: SparkSession, sf: str) -> DataFrame:
@@ -254,9 +263,13 @@ def greedy_tour(spark: SparkSession, sf: str) -> DataFrame:
 
 def spread_anchors(spark: SparkSession, sf: str) -> DataFrame:
     """Anchors of each view, spread by best candidates under adapting separation."""
+    return _spread(spark, sf, 0.45, 0.02)
+
+
+def _spread(spark: SparkSession, sf: str, sep: float, clearance: float) -> DataFrame:
     draw = F.expr("conv(substr(md5(cast(vec_id as string)), 1, 12), 16, 10)").cast("long")
     cand = tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), "x", "y", "z", F.abs("y").alias("clear"), draw.alias("draw"))
-    return graph.spread_anchors(cand, "view", 8, 0.45, clearance=0.02, floor=0.2)
+    return graph.spread_anchors(cand, "view", 8, sep, clearance=clearance, floor=0.2)
 
 
 def gap_anchors(spark: SparkSession, sf: str) -> DataFrame:
@@ -370,10 +383,44 @@ def _attempts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def capture_schedule(spark: SparkSession, sf: str) -> DataFrame:
-    attempts = _attempts(spark, sf)
+    """Accepted views of each scene: a coverage phase over a playlist of eight shots, then random phases over nine stops."""
+    nudge = F.when(F.col("ok"), 0).when(F.col("vi") % 2 == 0, 3)
+    attempts = _attempts(spark, sf).select("scene", "attempt", nudge.alias("nudge"))
     budgets = attempts.select("scene").distinct().select("scene", F.lit(2).alias("n_rounds"), F.array(F.lit(0)).alias("coverage_rounds"), F.lit(8).alias("n_shots"))
     phases = planning.phase_plan(budgets, "scene")
-    return planning.capture_schedule(attempts, phases, "scene", 20, 2, 60, 3)
+    shots = budgets.select("scene", F.lit(9).alias("n_stops"), F.array(*[F.lit(i * 4 % 9) for i in range(8)]).alias("shots"))
+    return planning.capture_schedule(attempts, phases, shots, "scene", 20, 2, 60, 3)
+
+
+def retarget_density(spark: SparkSession, sf: str) -> DataFrame:
+    """Separation and clearance at which each view gets six anchors."""
+    views = tables.points(spark, sf).select("view").distinct()
+    found = planning.density_targets(lambda sep, clear: _spread(spark, sf, sep, clear), views, "view", 6, 0.55, 0.05, floor=0.2, least_clearance=0.01)
+    return found.select("view", "step", *rounding("sep", "clearance"), "got")
+
+
+def thin_capped(spark: SparkSession, sf: str) -> DataFrame:
+    return sequence.thinned_at_most(tables.path(spark, sf), 5, 7).select("path_id", "seq", "vec_id")
+
+
+def frame_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Points written as a folder of frames and found again: frame and number of the first seven in order."""
+    from lumenvox.operators.common import shared_path
+    from lumenvox.sources import frames, sinks
+
+    path = shared_path(spark, "frames")
+    sinks.write_points(tables.points(spark, sf).withColumnRenamed("view", "frame"), path)
+    found = frames.frame_files(spark, path, r"/frame=([0-9]+)/", 7)
+    return found.select("frame", F.row_number().over(Window.orderBy("file")).cast("long").alias("nth"))  # seven rows
+
+
+def scene_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of scenes of three kinds, of those whose file is there."""
+    kind = F.element_at(F.array(F.lit("baked"), F.lit("scanned"), F.lit("file")), (F.col("p_size") % 3 + 1).cast("int"))
+    token = F.concat(F.lit("sc"), F.col("p_size").cast("string"), F.lit("-"), (F.col("p_partkey") % 100).cast("string"))
+    parts = tables.table(spark, sf, "part").select("p_partkey", kind.alias("kind"), scenes.scene_file(kind, "/data", token).alias("file"))
+    there = parts.filter("p_partkey % 4 <> 0").select("file")
+    return scenes.found_files(parts, there, "file").select("p_partkey", "kind", "file")
 
 
 def view_budget(spark: SparkSession, sf: str) -> DataFrame:
@@ -416,10 +463,12 @@ _ARC = f"arc0 AS (SELECT *, coalesce({_STEP}, 0) AS step, lag(x) OVER w AS x0, l
 _PYAW = "py AS (SELECT *, coalesce(o, lead(o) OVER w, 0) AS yaw FROM (SELECT *, atan2(x - lag(x) OVER w, z - lag(z) OVER w) AS o FROM path WINDOW w AS (PARTITION BY path_id ORDER BY seq)) WINDOW w AS (PARTITION BY path_id ORDER BY seq))"
 _DIST = "sqrt((p.x-a.x)*(p.x-a.x) + (p.y-a.y)*(p.y-a.y) + (p.z-a.z)*(p.z-a.z))"
 _TOANCHOR = f"da AS (SELECT p.vec_id, min({_DIST}) AS d FROM pts p, anchor a GROUP BY p.vec_id)"
-_PAIRS = "pr AS (SELECT p.vec_id, a.vec_id AS other, " + _DIST + " AS d FROM (SELECT *, (vec_id * 7 + 3) % (SELECT count(*) FROM pts) AS o FROM pts) p JOIN pts a ON a.vec_id = p.o)"
+_PAIRS = "dr AS (SELECT *, row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) - 1 AS nth FROM (SELECT * FROM pts ORDER BY md5(vec_id::VARCHAR), vec_id LIMIT 512)), pn AS (SELECT count(*) AS n FROM dr), pr AS (SELECT p.vec_id, a.vec_id AS other, " + _DIST + " AS d FROM range(0, 1024) k(id), pn, dr p, dr a WHERE id < 4 * n AND p.nth = (id * 7919) % n AND a.nth = (id * 104729 + 3) % n AND p.nth <> a.nth)"
 _REACH = "rch AS (SELECT src AS node, src AS reach FROM link UNION SELECT rch.node, link.dst FROM rch JOIN link ON rch.reach = link.src), cmp AS (SELECT p.vec_id AS node, coalesce(min(reach), p.vec_id) AS component FROM pts p LEFT JOIN rch ON rch.node = p.vec_id GROUP BY p.vec_id)"
 _SPAN = "sp AS (SELECT quantile_cont(d, 0.95) AS p95 FROM pr), bx AS (SELECT min(x) AS lo_x, max(x) AS hi_x, min(y) AS lo_y, max(y) AS hi_y, min(z) AS lo_z, max(z) AS hi_z FROM pts), span AS (SELECT round(CASE WHEN p95 > 0 THEN p95 ELSE sqrt(power(hi_x - lo_x, 2) + power(hi_z - lo_z, 2)) END, 6) AS span, bx.* FROM bx, sp)"
-_ORIGIN = "og AS (SELECT view, arg_min(x, vec_id) AS x, arg_min(y, vec_id) AS y, arg_min(z, vec_id) AS z FROM pts GROUP BY view), od AS (SELECT p.view, p.vec_id, " + _DIST + " AS d FROM pts p JOIN og a ON p.view = a.view)"
+_WAYS = """l2 AS MATERIALIZED (SELECT src, dst, w FROM link UNION ALL SELECT vec_id, vec_id, 0 FROM pts),
+w AS (SELECT 0 AS k, view, min(vec_id) AS node, 0.0::DOUBLE AS d FROM pts GROUP BY view UNION ALL SELECT w.k + 1, w.view, l2.dst, min(w.d + l2.w) FROM w JOIN l2 ON w.node = l2.src WHERE w.k < 16 AND w.d + l2.w <= 0.6 GROUP BY w.k, w.view, l2.dst),
+od AS (SELECT p.view, p.vec_id, w.d FROM w JOIN pts p ON p.vec_id = w.node AND p.view = w.view WHERE k = 16)"""
 
 
 def _clear(starts: str, keys: str, step: str, steps: int) -> str:
@@ -443,6 +492,12 @@ def _chaikin_sql(src: str, out: str) -> str:
     {out} AS (SELECT path_id, row_number() OVER (PARTITION BY path_id ORDER BY p, o) - 1 AS seq, x, y, z FROM {out}b)"""
 
 
+# One attempt of the fold: phase, views, views of the phase, stop, rejections there, shot; what was taken, where and in which phase.
+_LEAVE = "(empty OR (ok AND here + 1 >= 10))"
+_CASES = f"""CASE WHEN done THEN ord WHEN {_LEAVE} THEN ord + 1 ELSE ord END, CASE WHEN NOT done AND ok THEN views + 1 ELSE views END, CASE WHEN done THEN here WHEN {_LEAVE} THEN 0 WHEN ok THEN here + 1 ELSE here END,
+          CASE WHEN done OR {_LEAVE} THEN 0 WHEN cov THEN vi WHEN ok THEN vi + 1 WHEN rej + 1 >= 3 THEN (vi + 1) % 9 ELSE vi END, CASE WHEN done OR {_LEAVE} THEN 0 WHEN cov THEN rej WHEN ok OR rej + 1 >= 3 THEN 0 ELSE rej + 1 END,
+          CASE WHEN NOT done AND cov AND NOT empty THEN shot + 1 ELSE shot END, NOT done AND ok, CASE WHEN cov THEN shot * 4 % 9 ELSE vi END, ord"""
+
 QUERIES = {
     "arc_length": (arc_length, f"WITH {sql.PATH}, {_ARC} SELECT path_id, seq, {sql.rounded('step', 's')} FROM arc"),
     "path_yaws": (path_yaws, f"WITH {sql.PATH}, {_PYAW} SELECT path_id, seq, {sql.rounded('yaw')} FROM py"),
@@ -498,7 +553,7 @@ QUERIES = {
         tt AS (SELECT vec_id, x, z, ax, az, bx, bz, CASE WHEN power(bx-ax,2)+power(bz-az,2) = 0 THEN 0 ELSE least(greatest(((x-ax)*(bx-ax)+(z-az)*(bz-az))/(power(bx-ax,2)+power(bz-az,2)), 0), 1) END AS t FROM pts JOIN sg ON view = path_id AND bx IS NOT NULL)
         SELECT vec_id, round(min(sqrt(power(x-ax-t*(bx-ax),2)+power(z-az-t*(bz-az),2))), 6) + 0.0 AS d FROM tt GROUP BY vec_id HAVING min(sqrt(power(x-ax-t*(bx-ax),2)+power(z-az-t*(bz-az),2))) <= 0.3""",
     ),
-    "euclid_pregate": (euclid_pregate, f"WITH {sql.ANCHOR}, {_TOANCHOR} SELECT vec_id FROM da WHERE d >= 0.3"),
+    "euclid_pregate": (euclid_pregate, f"WITH {sql.ANCHOR} SELECT p.vec_id FROM pts p, anchor a GROUP BY p.vec_id HAVING min(sqrt((p.x-a.x)*(p.x-a.x) + (p.z-a.z)*(p.z-a.z))) >= 0.3"),
     "pair_sample_p95": (pair_sample_p95, f"WITH {sql.PTS}, {_PAIRS} SELECT round(quantile_cont(d, 0.95), 6) AS p95 FROM pr"),
     "span_stats": (span_stats, f"WITH {sql.PTS}, {_PAIRS}, {_SPAN} SELECT span, round(hi_y - lo_y, 6) AS dy, {sql.rounded('lo_x', 'hi_x', 'lo_z', 'hi_z')} FROM span"),
     "clearance_stats": (clearance_stats, f"WITH {sql.ANCHOR}, {_TOANCHOR} SELECT round(quantile_cont(d, 0.1), 6) AS p10, round(quantile_cont(d, 0.5), 6) AS p50, round(quantile_cont(d, 0.9), 6) AS p90 FROM da"),
@@ -526,8 +581,8 @@ QUERIES = {
         r AS (SELECT 0 AS k, 0::BIGINT AS node, 0.0::DOUBLE AS d UNION ALL SELECT r.k + 1, l2.dst, min(r.d + l2.w) FROM r JOIN l2 ON r.node = l2.src WHERE r.k < 80 GROUP BY r.k, l2.dst)
         SELECT node, round(d, 6) + 0.0 AS d FROM r WHERE k = 80""",
     ),
-    "sample_target": (sample_target, f"WITH {sql.PTS}, {_ORIGIN} SELECT view, arg_min(vec_id, ((vec_id * 7919) % 10007, vec_id)) AS vec_id, round(arg_min(d, ((vec_id * 7919) % 10007, vec_id)), 6) AS d FROM od WHERE d BETWEEN 0.3 AND 0.6 GROUP BY view"),
-    "far_score": (far_score, f"WITH {sql.PTS}, {_ORIGIN} SELECT view, round(coalesce(max(d) FILTER (WHERE d BETWEEN 0.3 AND 0.6), 0), 6) AS score FROM od GROUP BY view"),
+    "sample_target": (sample_target, f"WITH RECURSIVE {sql.GRAPH}, {_WAYS} SELECT view, arg_min(vec_id, ((vec_id * 7919) % 10007, vec_id)) AS vec_id, round(arg_min(d, ((vec_id * 7919) % 10007, vec_id)), 6) AS d FROM od WHERE round(d, 9) >= 0.3 GROUP BY view"),
+    "far_score": (far_score, f"WITH RECURSIVE {sql.GRAPH}, {_WAYS} SELECT view, round(coalesce(max(d) FILTER (WHERE round(d, 9) >= 0.3), 0), 6) AS score FROM od GROUP BY view"),
     "clearance_ring": (clearance_ring, f"WITH {sql.CELLS}, st AS (SELECT vec_id, x, z, k AS ii, 2 * pi() * k / 16 AS yaw FROM pts, range(0, 16) t(k)), {_clear('st', 'vec_id, ii', '0.1::DOUBLE', 6)} SELECT vec_id, round(avg((round(clear, 9) >= 0.48)::INT), 6) AS share FROM clr GROUP BY vec_id"),
     "fps_select": (
         fps_select,
@@ -568,7 +623,25 @@ QUERIES = {
     ),
     "heading_policy": (heading_policy, f"WITH {sql.PATH}, {_PYAW}, t AS (SELECT *, CASE WHEN seq % 3 <> 0 THEN atan2(0.5 - x, 0.5 - z) END AS g FROM py) SELECT path_id, seq, round(CASE WHEN g IS NULL THEN yaw ELSE {sql.wrap('yaw + 0.5 * atan2(sin(g - yaw), cos(g - yaw))')} END, 5) + 0.0 AS yaw FROM t"),
     "retry_nudges": (retry_nudges, "SELECT vec_id, CASE WHEN embedding[1]::DOUBLE > 0.05 THEN 0 WHEN embedding[2]::DOUBLE > 0.05 THEN 5 WHEN embedding[3]::DOUBLE > 0.05 THEN -5 WHEN embedding[4]::DOUBLE > 0.05 THEN 10 WHEN embedding[5]::DOUBLE > 0.05 THEN -10 END AS nudge FROM embeddings WHERE list_max(embedding[1:5])::DOUBLE > 0.05"),
-    "capture_schedule": (capture_schedule, None),
+    "capture_schedule": (
+        capture_schedule,
+        f"""WITH RECURSIVE a AS (SELECT user_id AS scene, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS attempt, CASE WHEN value > 30 THEN 0 WHEN event_id % 9 % 2 = 0 THEN 3 END AS nudge FROM events),
+        s AS (SELECT DISTINCT user_id AS scene, -1::BIGINT AS attempt, 0 AS ord, 0 AS views, 0 AS here, 0 AS vi, 0 AS rej, 0 AS shot, false AS took, 0 AS stop, 0 AS was FROM events
+        UNION ALL SELECT scene, attempt, {_CASES} FROM (
+          SELECT s.scene, a.attempt, s.ord, s.views, s.here, s.rej, s.shot, s.ord > 2 OR s.views >= 20 AS done, s.ord = 0 AS cov, s.ord = 0 AND s.shot >= 8 AS empty, CASE WHEN s.vi >= 9 THEN 0 ELSE s.vi END AS vi,
+            CASE WHEN s.ord = 0 THEN s.shot < 8 AND coalesce(a.nudge <= 4, false) ELSE coalesce(a.nudge = 0, false) END AS ok FROM s JOIN a ON a.scene = s.scene AND a.attempt = s.attempt + 1 WHERE a.attempt < 60))
+        SELECT scene, (views - 1)::BIGINT AS idx, attempt, CASE WHEN was = 0 THEN 'coverage' ELSE 'random' END AS phase, CASE WHEN was = 2 THEN 1 ELSE 0 END AS round, stop::BIGINT AS vi FROM s WHERE took""",
+    ),
+    "retarget_density": (retarget_density, None),
+    "thin_capped": (thin_capped, f"WITH {sql.PATH} SELECT path_id, seq, vec_id FROM path WHERE seq % 5 = 0 AND seq < 35"),
+    "frame_scan": (frame_scan, "SELECT frame, row_number() OVER (ORDER BY frame) AS nth FROM (SELECT DISTINCT label::BIGINT AS frame FROM embeddings ORDER BY 1 LIMIT 7)"),
+    "scene_kinds": (
+        scene_kinds,
+        """WITH t AS (SELECT p_partkey, p_size % 3 AS k, p_size, 'sc' || p_size || '-' || (p_partkey % 100) AS token FROM part),
+        f AS (SELECT p_partkey, CASE k WHEN 0 THEN 'baked' WHEN 1 THEN 'scanned' ELSE 'file' END AS kind, CASE k WHEN 0 THEN printf('Baked_sc%d_staging_%02d.scene_instance.json', p_size, p_partkey % 100)
+          WHEN 1 THEN '/data/hm3d-minival-habitat-v2/' || token || '/' || split_part(token, '-', -1) || '.basis.glb' ELSE token END AS file FROM t)
+        SELECT p_partkey, kind, file FROM f WHERE file IN (SELECT file FROM f WHERE p_partkey % 4 <> 0)""",
+    ),
     "view_budget": (view_budget, "WITH a AS (SELECT user_id AS scene, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS attempt, value > 30 AS ok FROM events), o AS (SELECT scene, row_number() OVER (PARTITION BY scene ORDER BY attempt) - 1 AS idx, attempt FROM a WHERE ok) SELECT scene, idx, attempt FROM o WHERE idx < 20"),
     "scene_resolver": (scene_resolver, "WITH t AS (SELECT p_partkey, p_size, 'sc' || p_size || CASE WHEN p_partkey % 2 = 0 THEN '_' ELSE '-' END || (p_partkey % 100) AS token FROM part) SELECT p_partkey, token, printf('Baked_sc%d_staging_%02d.scene_instance.json', p_size, p_partkey % 100) AS baked, '/data/hm3d-minival-habitat-v2/' || token || '/' || split_part(token, '-', -1) || '.basis.glb' AS scan, split_part(token, '-', 1) AS short FROM t"),
     "skip_if_done": (skip_if_done, "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"),

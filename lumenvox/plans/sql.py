@@ -7,7 +7,7 @@ PTS = """pts AS (SELECT vec_id, label AS view, embedding[1]::DOUBLE AS x, embedd
   least(greatest(round_even((embedding[5]::DOUBLE + 0.5) * 255, 0), 0), 255)::INT AS g,
   least(greatest(round_even((embedding[6]::DOUBLE + 0.5) * 255, 0), 0), 255)::INT AS b FROM embeddings)"""
 TILE = """raw AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS val, (generate_subscripts(embedding, 1) - 1)::INT AS i FROM embeddings),
-tile AS (SELECT vec_id, label, i % 8 AS u, (i // 8)::INT AS v, CASE WHEN 1 + 4 * val > 0 THEN 1 + 4 * val END AS depth FROM raw)"""
+tile AS (SELECT vec_id, label, i % 8 AS u, (i // 8)::INT AS v, CASE WHEN 1 + 4 * val > 0 THEN 1 + 4 * val END AS depth, val FROM raw)"""
 PATH = PTS + """,
 path AS (SELECT view AS path_id, row_number() OVER (PARTITION BY view ORDER BY vec_id) - 1 AS seq, vec_id, x, y, z FROM pts)"""
 YAW = """head AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq,
@@ -36,3 +36,8 @@ def wrap(x: str) -> str:
 
 def rounded(*names: str, digits: int = 6) -> str:
     return ", ".join(f"round({n}, {digits}) + 0.0 AS {n}" for n in names)
+
+
+def normal_draw(key: str, name: str) -> str:
+    u = [f"(('0x' || substr(md5({key}::VARCHAR || '/{name}'), {at}, 8))::BIGINT + 1) / 4294967297.0::DOUBLE" for at in (1, 9)]
+    return f"sqrt(-2 * ln({u[0]})) * cos(2 * pi() * {u[1]})"

@@ -23,6 +23,17 @@ def scan_scene(root: str, token: Column) -> Column:
     return F.when(token.endswith(".glb"), token).otherwise(F.concat(F.lit(f"{root}/{SCAN_FOLDER}/"), token, F.lit("/"), last, F.lit(".basis.glb")))
 
 
+def scene_file(kind: Column, root: str, token: Column) -> Column:
+    """File of a scene by the kind of its data set: baked, scanned, or a file that is named as it is; other kinds are an error."""
+    unknown = F.raise_error(F.concat(F.lit("unknown kind of scene: "), F.coalesce(kind, F.lit("null"))))
+    return F.when(kind == "baked", baked_scene(token)).when(kind == "scanned", scan_scene(root, token)).when(kind == "file", token).otherwise(unknown.cast("string"))
+
+
+def found_files(scenes: DataFrame, files: DataFrame, column: str) -> DataFrame:
+    """``scenes`` whose file in ``column`` is one of ``files`` (file)."""
+    return scenes.join(files.select(F.col("file").alias(column)).distinct(), column, "left_semi")
+
+
 def short_id(token: Column) -> Column:
     return F.substring_index(token, "-", 1)
 

@@ -39,10 +39,10 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """vec_id, label, u, v, depth of 8 x 8 depth rasters; depth is null where it is not positive."""
+    """vec_id, label, u, v, depth, value of 8 x 8 rasters; depth is null where it is not positive, value is the grey level."""
     pixels = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("i", "value"))
     depth = 1 + 4 * F.col("value").cast("double")
-    return pixels.select("vec_id", "label", (F.col("i") % TILE).alias("u"), F.expr(f"int(i div {TILE})").alias("v"), F.when(depth > 0, depth).alias("depth"))
+    return pixels.select("vec_id", "label", (F.col("i") % TILE).alias("u"), F.expr(f"int(i div {TILE})").alias("v"), F.when(depth > 0, depth).alias("depth"), F.col("value").cast("double").alias("value"))
 
 
 def path(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,12 +136,60 @@ def test_baseline_repair_walks_the_ring(spark):
 
 
 def test_capture_schedule_rules(spark):
-    attempts = spark.createDataFrame([(0, i, 1 if i < 6 else 2, i >= 6) for i in range(12)], "k int, attempt long, vi long, ok boolean")
     phases = spark.createDataFrame([(0, 0, "coverage", 0), (0, 1, "random", 0), (0, 2, "random", 1)], "k int, ord int, phase string, round int")
-    found = sorted(planning.capture_schedule(attempts, phases, "k", 4, 2, 100, 2).collect(), key=lambda r: r.idx)
-    # two rejections of stop 1, the rest of it is skipped; two views a phase until four are there
-    assert [(r.attempt, r.phase, r.round) for r in found] == [(6, "coverage", 0), (7, "coverage", 0), (8, "random", 0), (9, "random", 0)]
-    assert planning.capture_schedule(attempts, phases, "k", 4, 2, 3, 2).count() == 1
+    shots = spark.createDataFrame([(0, 4, [2, 0])], "k int, n_stops int, shots array<int>")
+
+    def run(nudges, n_views=6, most=100, rejects=2):
+        attempts = spark.createDataFrame([(0, i, n) for i, n in enumerate(nudges)], "k int, attempt long, nudge int")
+        found = planning.capture_schedule(attempts, phases, shots, "k", n_views, 2, most, rejects).collect()
+        return [(r.attempt, r.phase, r.round, r.vi) for r in sorted(found, key=lambda r: r.idx)]
+
+    # a shot with a nudge, one that fails; the third attempt finds the playlist used up; two rejections move on to the next stop
+    found = run([3, None, 0, None, None, 0, 0, 0, 0, 0])
+    assert found == [(0, "coverage", 0, 2), (5, "random", 0, 1), (6, "random", 0, 2), (7, "random", 0, 3), (8, "random", 1, 0), (9, "random", 1, 1)]
+    # a nudge does not help a random view, and rejections do not outlast a phase
+    assert run([0, 0, 0, 2, 0, 0, 0, None, 0], n_views=5, rejects=2) == [(0, "coverage", 0, 2), (1, "coverage", 0, 0), (4, "random", 0, 0), (5, "random", 0, 1), (6, "random", 0, 2)]
+    assert len(run([0] * 9, most=2)) == 2
+
+
+def test_density_is_relaxed_before_the_first_test(spark):
+    scenes = spark.createDataFrame([(0,), (1,), (2,)], "k int")
+    anchors = lambda sep, clear: spark.createDataFrame([(0, 1)] * 3 + [(1, 1)] * (3 if sep < 0.7 else 1), "k int, id int")
+    found = {r.k: (r.step, round(r.sep, 3), round(r.clearance, 3), r.got) for r in planning.density_targets(anchors, scenes, "k", 3, 1.0, 0.25).collect()}
+    assert found == {0: (1, 0.8, 0.2, 3), 1: (2, 0.64, 0.18, 3), 2: (3, 0.6, 0.18, 0)}
+
+
+def test_ways_of_several_roots_within_a_length(spark):
+    links = spark.createDataFrame([(a, b, 1.0) for i in range(9) for a, b in ((i, i + 1), (i + 1, i))], "src long, dst long, w double")
+    roots = spark.createDataFrame([("a", 0), ("b", 5)], "k string, node long")
+    found = {(r.k, r.node): r.d for r in graph.geodesic(links, roots, "k", 2.0).collect()}
+    assert found == {("a", i): float(i) for i in range(3)} | {("b", i): float(abs(i - 5)) for i in range(3, 8)}
+
+
+def test_gradient_counts_valid_pixels_only(spark):
+    tile = [(0, u, v, 1.0 if u < 2 else None, float(u == 3)) for u in range(4) for v in range(4)]
+    df = spark.createDataFrame(tile, "k int, u int, v int, depth double, value double")
+    assert raster.sobel_strength(df, "k", "value").first().grad_mean == 0.0
+    every = df.withColumn("depth", F.lit(1.0))
+    assert raster.sobel_strength(every, "k", "value").first().grad_mean == 1.0
+
+
+def test_kinds_of_scenes(spark):
+    df = spark.createDataFrame([("baked", "sc1_07"), ("scanned", "00800-Ab"), ("file", "x.glb")], "kind string, t string")
+    assert [r.f for r in df.select(scenes.scene_file(F.col("kind"), "/d", F.col("t")).alias("f")).collect()] == ["Baked_sc1_staging_07.scene_instance.json", "/d/hm3d-minival-habitat-v2/00800-Ab/Ab.basis.glb", "x.glb"]
+    with pytest.raises(Exception, match="unknown kind"):
+        df.select(scenes.scene_file(F.lit("other"), "/d", F.col("t"))).collect()
+
+
+def test_folds_go_on_from_stretch_to_stretch(spark):
+    df = spark.createDataFrame([(0, i, (i % 7) / 7) for i in range(200)], "k int, seq long, yaw double")
+    yaw = [r.yaw for r in sorted(sequence.smoothed(df, 8.0, 0.4, "k").collect(), key=lambda r: r.seq)]
+    state = expected = None
+    for i in range(200):
+        step = max(-math.radians(8), min(math.radians(8), (i % 7) / 7 - state)) if i else 0.0
+        state = state + 0.4 * step if i else 0.0
+        expected = state
+        assert math.isclose(yaw[i], expected, abs_tol=1e-9)
 
 
 def test_scene_tokens(spark):
