@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -81,80 +83,211 @@ def farthest_points(candidates: DataFrame, key: str, count: int, least: float =
     return picks
 
 
-def greedy_tour(points: DataFrame, key: str) -> DataFrame:
-    """A way through the points of each group that always goes on to the nearest one left: key, ord, id.
+class _Scene:
+    """The navigation graph of one scene; ways are found from one point at a time, and kept."""
 
-    Starts at the smallest id; the smallest id wins ties. A group is the few anchors of one scene.
-    """
+    def __init__(self, points: pd.DataFrame, links: pd.DataFrame) -> None:
+        self.ids = np.sort(points["id"].to_numpy())
+        src, dst = (np.searchsorted(self.ids, links[c].to_numpy()) for c in ("src", "dst"))
+        there = (src < len(self.ids)) & (dst < len(self.ids))
+        there[there] &= (self.ids[src[there]] == links["src"].to_numpy()[there]) & (self.ids[dst[there]] == links["dst"].to_numpy()[there])
+        order = np.argsort(src[there], kind="stable")
+        self.to, self.w = dst[there][order].tolist(), links["w"].to_numpy()[there][order].tolist()
+        self.start = np.searchsorted(src[there][order], np.arange(len(self.ids) + 1)).tolist()
+        self.known: dict[int, tuple[np.ndarray, list[int]]] = {}
+
+    def ways(self, i: int) -> np.ndarray:
+        """Length of the shortest way from the ``i``-th point to each; infinite where there is none."""
+        return self._from(i)[0]
+
+    def way(self, i: int, j: int) -> list[int]:
+        """The points of the shortest way, both ends included; the ends alone where there is none."""
+        d, before = self._from(i)
+        if not np.isfinite(d[j]):
+            return [i, j]
+        found = [j]
+        while found[-1] != i:
+            found.append(before[found[-1]])
+        return found[::-1]
 
-    def tour(g: pd.DataFrame) -> pd.DataFrame:
+    def _from(self, i: int) -> tuple[np.ndarray, list[int]]:
+        if i not in self.known:
+            d, before, open_ = [float("inf")] * len(self.ids), [-1] * len(self.ids), [(0.0, i)]
+            d[i] = 0.0
+            while open_:
+                far, at = heapq.heappop(open_)
+                if far > d[at]:
+                    continue
+                for e in range(self.start[at], self.start[at + 1]):
+                    if (new := far + self.w[e]) < d[self.to[e]]:
+                        d[self.to[e]], before[self.to[e]] = new, at
+                        heapq.heappush(open_, (new, self.to[e]))
+            self.known[i] = np.array(d), before
+        return self.known[i]
+
+
+def _by_scene(points: DataFrame, links: DataFrame, key: str, work, columns: str) -> DataFrame:
+    """``work(points in order of id, graph)`` for each scene; a scene's points and links are one group."""
+
+    def run(g: pd.DataFrame, l: pd.DataFrame) -> pd.DataFrame:
+        if g.empty:
+            return pd.DataFrame(columns=[key, *[c.split()[0] for c in columns.split(", ")]])
         g = g.sort_values("id").reset_index(drop=True)
-        xyz, left, order = g[["x", "y", "z"]].to_numpy(), np.ones(len(g), bool), [0]
-        left[0] = False
-        while left.any():
-            d = np.sqrt(((xyz - xyz[order[-1]]) ** 2).sum(axis=1))
-            d[~left] = np.inf
-            order.append(int(d.argmin()))
-            left[order[-1]] = False
-        return pd.DataFrame({key: g[key].iloc[0], "ord": np.arange(len(g)), "id": g["id"].iloc[order].to_numpy()})
+        found = work(g, _Scene(g, l))
+        return pd.DataFrame({key: [g[key].iloc[0]] * len(next(iter(found.values()))), **found})
 
     kind = points.schema[key].dataType.simpleString()
-    return points.select(key, "id", "x", "y", "z").groupBy(key).applyInPandas(tour, f"{key} {kind}, ord long, id long")
+    return points.groupBy(key).cogroup(links.select(key, "src", "dst", "w").groupBy(key)).applyInPandas(run, f"{key} {kind}, {columns}")
+
+
+def _toured(scene: _Scene, stops: list[int]) -> list[int]:
+    """``stops`` in the order of a greedy tour from the first one; those that cannot be reached are left out."""
+    order, left = stops[:1], stops[1:]
+    while left:
+        d = scene.ways(order[-1])
+        best = min(left, key=lambda j: (round(float(d[j]), 9), j))
+        if not np.isfinite(d[best]):
+            break
+        order.append(best)
+        left.remove(best)
+    return order
+
+
+def greedy_tour(points: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """A way through the stops of each scene that always goes on to the nearest one left: key, ord, id.
+
+    ``points`` has key, id and stop (true for the stops), ``links`` key, src, dst, w. Distances are lengths of shortest
+    ways. Starts at the smallest id; the smallest id wins ties; stops without a way are left out.
+    """
+
+    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+        order = _toured(scene, np.flatnonzero(g["stop"].to_numpy()).tolist())
+        return {"ord": np.arange(len(order)), "id": scene.ids[order]}
+
+    return _by_scene(points.select(key, "id", "stop"), links, key, work, "ord long, id long")
 
 
-def spread_anchors(candidates: DataFrame, key: str, count: int, sep: float, *, clearance: float = 0.0, most_dy: float = 0.5, grow: float = 1.05, shrink: float = 0.9, floor: float = 0.6) -> DataFrame:
+def tour_path(points: DataFrame, links: DataFrame, key: str, closed: bool = True) -> DataFrame:
+    """The points of the shortest ways from stop to stop of the greedy tour: key, seq, id; closed back to the first stop."""
+
+    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+        order = _toured(scene, np.flatnonzero(g["stop"].to_numpy()).tolist())
+        ends = [*order, order[0]] if closed and len(order) > 2 else order
+        found = ends[:1]
+        for a, b in zip(ends, ends[1:], strict=False):
+            found += scene.way(a, b)[1:]
+        return {"seq": np.arange(len(found)), "id": scene.ids[found]}
+
+    return _by_scene(points.select(key, "id", "stop"), links, key, work, "seq long, id long")
+
+
+def spread_anchors(candidates: DataFrame, links: DataFrame, key: str, count: int, sep: float, *, clearance: float = 0.0, most_dy: float = 0.5, vantage: float = 0.0, near: float = 3.0, far: float = 10.0) -> DataFrame:
     """Anchors of each scene by best-candidate sampling with thresholds that adapt: key, ord, id.
 
-    ``candidates`` has key, id, x, y, z, clear and draw (a fixed random order in place of a random
-    generator). The first draw is the first anchor. Each round takes, among the candidates with
-    enough clearance (null passes), within ``most_dy`` of the first anchor's height and at
-    least the separation away from all anchors, the furthest from them; after a success the
-    separation grows, up to its start, after a failure it shrinks, and at its floor the search
-    ends. A scene is one group.
+    ``candidates`` has key, id, y, clear and draw (a fixed random order in place of a random generator),
+    ``links`` key, src, dst, w. The first draw with enough clearance (null passes) is the first anchor.
+    Each round takes, among the candidates with enough clearance, within ``most_dy`` of the first anchor's
+    height and at least the separation away from all anchors by the shortest way, the one with the
+    highest score: its distance from the anchors and ``vantage`` times the longest way between ``near`` and ``far``
+    that it sees. Candidates without a way to an anchor are refused. After a success both thresholds grow
+    by 1.05 up to their start, after a failure they shrink by 0.9, and when both are small the search ends.
     """
 
-    def select(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["draw", "id"]).reset_index(drop=True)
-        xyz, clear = g[["x", "y", "z"]].to_numpy(), g["clear"].fillna(np.inf).to_numpy()
-        picks, nearest, now = [0], np.linalg.norm(xyz - xyz[0], axis=1), sep
-        fits = (clear >= clearance) & (np.abs(xyz[:, 1] - xyz[0, 1]) <= most_dy)
+    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+        clear, y = g["clear"].fillna(np.inf).to_numpy(), g["y"].to_numpy()
+        order = np.lexsort((g["id"].to_numpy(), g["draw"].to_numpy()))
+        first = [i for i in order if clear[i] >= clearance]
+        if not first:
+            return {"ord": [], "id": []}
+        picks, now, room = [int(first[0])], sep, clearance
+        nearest, farthest = scene.ways(picks[0]).copy(), scene.ways(picks[0]).copy()
+        level = np.abs(y - y[picks[0]]) <= most_dy
+        bonus = np.zeros(len(g))
+        if vantage > 0:
+            for i in range(len(g)):
+                d = scene.ways(i)
+                seen = d[(d >= near) & (d <= far)]
+                bonus[i] = vantage * seen.max() if len(seen) else 0.0
         while len(picks) < count:
-            open_ = np.flatnonzero(fits & (nearest >= now))
-            if len(open_):
-                picks.append(int(open_[nearest[open_].argmax()]))
-                nearest = np.minimum(nearest, np.linalg.norm(xyz - xyz[picks[-1]], axis=1))
-                now = min(sep, now * grow)
-            elif now <= floor:
+            fits = [i for i in order if level[i] and clear[i] >= room and np.isfinite(farthest[i]) and nearest[i] >= now]
+            if fits:
+                best = max(fits, key=lambda i: round(nearest[i] + bonus[i], 9))
+                picks.append(int(best))
+                nearest, farthest = np.minimum(nearest, scene.ways(picks[-1])), np.maximum(farthest, scene.ways(picks[-1]))
+                now, room = min(now * 1.05, sep), min(room * 1.05, clearance)
+                continue
+            now, room = now * 0.9, room * 0.9
+            if now < 0.5 * max(0.6, sep) and room < 0.6 * max(0.1, clearance):
                 break
-            else:
-                now = max(floor, now * shrink)
-        return pd.DataFrame({key: g[key].iloc[0], "ord": np.arange(len(picks)), "id": g["id"].iloc[picks].to_numpy()})
+        return {"ord": np.arange(len(picks)), "id": scene.ids[picks]}
 
-    kind = candidates.schema[key].dataType.simpleString()
-    return candidates.select(key, "id", "x", "y", "z", "clear", "draw").groupBy(key).applyInPandas(select, f"{key} {kind}, ord long, id long")
+    return _by_scene(candidates.select(key, "id", "y", "clear", "draw"), links, key, work, "ord long, id long")
 
 
-def gap_anchors(candidates: DataFrame, anchors: DataFrame, key: str, radius: float, factors: tuple[float, ...] = (1.0, 0.8, 0.6, 0.5), floor: float = 0.4, most: int = 12) -> DataFrame:
+def _filled(scene: _Scene, open_: np.ndarray, anchors: np.ndarray, radius: float, most: int) -> list[int]:
+    """Open points furthest from all anchors first, while one is at least ``radius`` away by a way that exists."""
+    nearest = np.min([scene.ways(int(a)) for a in anchors], axis=0) if len(anchors) else np.full(len(scene.ids), np.inf)
+    nearest = np.where(open_, nearest, -1.0)
+    picks: list[int] = []
+    while len(picks) < most:
+        fits = np.flatnonzero(np.isfinite(nearest) & (nearest >= radius))
+        if not len(fits):
+            break
+        picks.append(int(fits[np.round(nearest[fits], 9).argmax()]))
+        nearest = np.minimum(nearest, scene.ways(picks[-1]))
+    return picks
+
+
+def gap_anchors(candidates: DataFrame, links: DataFrame, key: str, radius: float, factors: tuple[float, ...] = (1.0, 0.8, 0.6, 0.5), floor: float = 0.4, most: int = 12, gate: float = 0.75) -> DataFrame:
     """Extra anchors where none is near: key, ord, id, radius, for the first radius of ``factors`` that gives any.
 
-    Candidates nearer than the radius to an anchor are left out; the rest is picked furthest first.
+    ``candidates`` has key, id, anchor (true for anchors), fits (near the path and with enough clearance) and
+    direct (straight distance in the plane to the nearest anchor, null without one), ``links`` key, src, dst, w. Points
+    with less than ``gate`` of the radius in between are left out before ways are looked for; the others are
+    picked furthest first by the shortest way, and those without a way to an anchor never.
     """
-    have = anchors.groupBy(key).agg(F.collect_list(F.struct("x", "y", "z")).alias("have"))
 
-    def fill(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("id").reset_index(drop=True)
-        xyz = g[["x", "y", "z"]].to_numpy()
-        old = np.array([[p["x"], p["y"], p["z"]] for p in g["have"].iloc[0]])
-        start = np.sqrt(((xyz[:, None, :] - old[None, :, :]) ** 2).sum(axis=2)).min(axis=1)
+    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+        anchors = np.flatnonzero(g["anchor"].to_numpy())
+        direct = g["direct"].fillna(np.inf).to_numpy()
         for f in factors:
-            r, nearest, picks = max(floor, radius * f), start.copy(), []
-            while len(picks) < most and len(nearest) and nearest.max() >= r:
-                picks.append(int(nearest.argmax()))
-                nearest = np.minimum(nearest, np.linalg.norm(xyz - xyz[picks[-1]], axis=1))
+            r = max(floor, radius * f)
+            picks = _filled(scene, g["fits"].to_numpy() & ~g["anchor"].to_numpy() & (direct >= gate * r), anchors, r, most)
             if picks:
-                return pd.DataFrame({key: g[key].iloc[0], "ord": np.arange(len(picks)), "id": g["id"].iloc[picks].to_numpy(), "radius": r})
-        return pd.DataFrame({key: [], "ord": [], "id": [], "radius": []})
+                return {"ord": np.arange(len(picks)), "id": scene.ids[picks], "radius": [r] * len(picks)}
+        return {"ord": [], "id": [], "radius": []}
+
+    return _by_scene(candidates.select(key, "id", "anchor", "fits", "direct"), links, key, work, "ord long, id long, radius double")
+
+
+def farthest_anchors(candidates: DataFrame, links: DataFrame, key: str, radius: float, batches: int, most: int, floor: float = 0.4) -> DataFrame:
+    """Extra anchors on the anchors' islands, furthest first: key, ord, id, radius.
+
+    ``candidates`` has key, id, anchor, fits and draw, ``links`` key, src, dst, w. Points that a way joins with the first
+    anchor are dealt to ``batches`` by draw; a batch gives its point furthest from all anchors, if it is the radius
+    away. Every second batch that gives none relaxes the radius by 0.9, not below ``floor``.
+    """
+
+    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+        anchors = np.flatnonzero(g["anchor"].to_numpy())
+        if not len(anchors):
+            return {"ord": [], "id": [], "radius": []}
+        open_ = g["fits"].to_numpy() & ~g["anchor"].to_numpy() & np.isfinite(scene.ways(int(anchors[0])))
+        order = np.lexsort((g["id"].to_numpy(), g["draw"].to_numpy()))
+        nearest = np.min([scene.ways(int(a)) for a in anchors], axis=0)
+        picks, used, now, stalls = [], [], radius, 0
+        for batch in np.array_split(order[open_[order]], batches):
+            if len(picks) >= most:
+                break
+            best = max(batch, key=lambda i: (round(nearest[i], 9), -i), default=None)
+            if best is not None and nearest[best] >= now:
+                picks.append(int(best))
+                used.append(now)
+                nearest = np.minimum(nearest, scene.ways(int(best)))
+                continue
+            stalls += 1
+            if stalls % 2 == 0:
+                now = max(floor, now * 0.9)
+        return {"ord": np.arange(len(picks)), "id": scene.ids[picks] if picks else [], "radius": used}
 
-    kind = candidates.schema[key].dataType.simpleString()
-    joined = candidates.select(key, "id", "x", "y", "z").join(have, key)
-    return joined.groupBy(key).applyInPandas(fill, f"{key} {kind}, ord long, id long, radius double")
+    return _by_scene(candidates.select(key, "id", "anchor", "fits", "draw"), links, key, work, "ord long, id long, radius double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenvox.functions.angles import clamp, shortest, towards, wrap
@@ -113,10 +113,12 @@ def point_polyline_dist(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def euclid_pregate(spark: SparkSession, sf: str) -> DataFrame:
-    """Candidates at least 0.3 away from every anchor in the plane."""
-    return spatial.nearest(tables.points(spark, sf), tables.anchors(spark, sf), "vec_id", "anchor_id", ("x", "z")).filter("d >= 0.3").select("vec_id")
+    """Candidates at least 0.05 away from every anchor in the plane."""
+    return spatial.nearest(tables.points(spark, sf), tables.anchors(spark, sf), "vec_id", "anchor_id", ("x", "z")).filter("d >= 0.05").select("vec_id")
 
 
+#: Length of the links of a scene's own graph.
+SCENE_REACH = 0.25
 #: Points and pairs that statistics of distances are taken from.
 PAIR_POINTS, PAIR_BUDGET = 512, 1024
 
@@ -256,28 +258,51 @@ def fps_select(spark: SparkSession, sf: str) -> DataFrame:
     return graph.farthest_points(pts, "view", 6).select("view", F.col("ord").cast("long").alias("ord"), "id", *rounding("d"))
 
 
+def _scene_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Links between points of one view, which is a scene with a graph of its own."""
+    of = tables.points(spark, sf).select("vec_id", "view")
+    found = tables.links(spark, sf, SCENE_REACH).join(of.withColumnRenamed("vec_id", "src"), "src")
+    return found.join(of.select(F.col("vec_id").alias("dst"), F.col("view").alias("_view")), "dst").filter("view = _view").select("view", "src", "dst", "w")
+
+
+def _stops_of(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), (F.col("vec_id") % 25 == 0).alias("stop"))
+
+
 def greedy_tour(spark: SparkSession, sf: str) -> DataFrame:
-    stops = tables.points(spark, sf).filter("vec_id % 5 = 0").select("view", F.col("vec_id").alias("id"), "x", "y", "z")
-    return graph.greedy_tour(stops, "view")
+    """The anchors of each view in the order of a tour along the links."""
+    return graph.greedy_tour(_stops_of(spark, sf), _scene_links(spark, sf), "view")
 
 
 def spread_anchors(spark: SparkSession, sf: str) -> DataFrame:
-    """Anchors of each view, spread by best candidates under adapting separation."""
+    """Anchors of each view, spread by best candidates under adapting separation and clearance, with a bonus for far views."""
     return _spread(spark, sf, 0.45, 0.02)
 
 
+def _draw() -> Column:
+    return F.expr("conv(substr(md5(cast(vec_id as string)), 1, 12), 16, 10)").cast("long").alias("draw")
+
+
 def _spread(spark: SparkSession, sf: str, sep: float, clearance: float) -> DataFrame:
-    draw = F.expr("conv(substr(md5(cast(vec_id as string)), 1, 12), 16, 10)").cast("long")
-    cand = tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), "x", "y", "z", F.abs("y").alias("clear"), draw.alias("draw"))
-    return graph.spread_anchors(cand, "view", 8, sep, clearance=clearance, floor=0.2)
+    cand = tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), "y", F.abs("z").alias("clear"), _draw())
+    return graph.spread_anchors(cand, _scene_links(spark, sf), "view", 8, sep, clearance=clearance, vantage=0.3, near=0.3, far=0.6)
 
 
 def gap_anchors(spark: SparkSession, sf: str) -> DataFrame:
-    """Extra anchors of each view where its first points leave gaps."""
-    pts = tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), "x", "y", "z")
-    first = Window.partitionBy("view").orderBy("id")
-    anchors = pts.withColumn("n", F.row_number().over(first)).filter("n <= 3")
-    return graph.gap_anchors(pts, anchors, "view", 0.5, floor=0.25).select("view", "ord", "id", *rounding("radius"))
+    """Extra anchors of each view, near the path of the view before, where its anchors leave gaps."""
+    pts = tables.points(spark, sf)
+    direct = spatial.nearest(pts, tables.anchors(spark, sf).join(pts.select(F.col("vec_id").alias("anchor_id"), "view"), "anchor_id"), "vec_id", "anchor_id", ("x", "z"), on="view").select("vec_id", F.col("d").alias("direct"))
+    near = spatial.polyline_distance(pts.withColumnRenamed("view", "path_id"), _segments(spark, sf), "vec_id", 0.3, "path_id").select("vec_id", F.lit(True).alias("near"))
+    found = pts.join(direct, "vec_id", "left").join(near, "vec_id", "left")
+    fits = F.coalesce(F.col("near"), F.lit(False)) & (F.abs("z") >= 0.02)
+    cand = found.select("view", F.col("vec_id").alias("id"), (F.col("vec_id") % 25 == 0).alias("anchor"), fits.alias("fits"), "direct")
+    return graph.gap_anchors(cand, _scene_links(spark, sf), "view", 0.5, floor=0.2).select("view", "ord", "id", *rounding("radius"))
+
+
+def farthest_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    """Extra anchors of each view on the island of its first one."""
+    cand = tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), (F.col("vec_id") % 25 == 0).alias("anchor"), (F.abs("z") >= 0.02).alias("fits"), _draw())
+    return graph.farthest_anchors(cand, _scene_links(spark, sf), "view", 0.5, 8, 6, floor=0.2).select("view", "ord", "id", *rounding("radius"))
 
 
 def anchor_headings(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,9 +314,10 @@ def anchor_headings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def path_trajectory(spark: SparkSession, sf: str) -> DataFrame:
-    """A smooth path through the greedy tour of each view's stops: resampled, densified, cut and resampled again."""
-    tour = greedy_tour(spark, sf).join(tables.points(spark, sf).select(F.col("vec_id").alias("id"), "x", "y", "z"), "id")
-    path = sequence.resample(tour.select(F.col("view").alias("path_id"), F.col("ord").alias("seq"), "x", "y", "z"), 0.2)
+    """A smooth closed path along the links through each view's anchors: resampled, densified, cut and resampled again."""
+    ways = graph.tour_path(_stops_of(spark, sf), _scene_links(spark, sf), "view")
+    tour = ways.join(tables.points(spark, sf).select(F.col("vec_id").alias("id"), "x", "y", "z"), "id")
+    path = sequence.resample(tour.select(F.col("view").alias("path_id"), "seq", "x", "y", "z"), 0.2)
     dense = sequence.densify(path, 0.2)
     order = Window.partitionBy("path_id").orderBy("seq", "k")
     dense = dense.select("path_id", (F.row_number().over(order) - 1).cast("long").alias("n"), "x", "y", "z").withColumnRenamed("n", "seq")
@@ -553,7 +579,7 @@ QUERIES = {
         tt AS (SELECT vec_id, x, z, ax, az, bx, bz, CASE WHEN power(bx-ax,2)+power(bz-az,2) = 0 THEN 0 ELSE least(greatest(((x-ax)*(bx-ax)+(z-az)*(bz-az))/(power(bx-ax,2)+power(bz-az,2)), 0), 1) END AS t FROM pts JOIN sg ON view = path_id AND bx IS NOT NULL)
         SELECT vec_id, round(min(sqrt(power(x-ax-t*(bx-ax),2)+power(z-az-t*(bz-az),2))), 6) + 0.0 AS d FROM tt GROUP BY vec_id HAVING min(sqrt(power(x-ax-t*(bx-ax),2)+power(z-az-t*(bz-az),2))) <= 0.3""",
     ),
-    "euclid_pregate": (euclid_pregate, f"WITH {sql.ANCHOR} SELECT p.vec_id FROM pts p, anchor a GROUP BY p.vec_id HAVING min(sqrt((p.x-a.x)*(p.x-a.x) + (p.z-a.z)*(p.z-a.z))) >= 0.3"),
+    "euclid_pregate": (euclid_pregate, f"WITH {sql.ANCHOR} SELECT p.vec_id FROM pts p, anchor a GROUP BY p.vec_id HAVING min(sqrt((p.x-a.x)*(p.x-a.x) + (p.z-a.z)*(p.z-a.z))) >= 0.05"),
     "pair_sample_p95": (pair_sample_p95, f"WITH {sql.PTS}, {_PAIRS} SELECT round(quantile_cont(d, 0.95), 6) AS p95 FROM pr"),
     "span_stats": (span_stats, f"WITH {sql.PTS}, {_PAIRS}, {_SPAN} SELECT span, round(hi_y - lo_y, 6) AS dy, {sql.rounded('lo_x', 'hi_x', 'lo_z', 'hi_z')} FROM span"),
     "clearance_stats": (clearance_stats, f"WITH {sql.ANCHOR}, {_TOANCHOR} SELECT round(quantile_cont(d, 0.1), 6) AS p10, round(quantile_cont(d, 0.5), 6) AS p50, round(quantile_cont(d, 0.9), 6) AS p90 FROM da"),
@@ -593,14 +619,17 @@ QUERIES = {
     ),
     "greedy_tour": (
         greedy_tour,
-        f"""WITH RECURSIVE {sql.PTS}, s AS (SELECT * FROM pts WHERE vec_id % 5 = 0),
-        t AS (SELECT view, 0 AS ord, min(vec_id) AS id, [min(vec_id)] AS seen FROM s GROUP BY view
-        UNION ALL SELECT view, ord + 1, id, list_append(seen, id) FROM (SELECT t.view, t.ord, any_value(t.seen) AS seen, arg_min(a.vec_id, ({_DIST}, a.vec_id)) AS id
-          FROM t JOIN s p ON p.vec_id = t.id JOIN s a ON a.view = t.view WHERE NOT list_contains(t.seen, a.vec_id) GROUP BY t.view, t.ord))
+        f"""WITH RECURSIVE {sql.SCENE}, l2 AS MATERIALIZED (SELECT view, src, dst, w FROM slink UNION ALL SELECT view, vec_id, vec_id, 0 FROM pts),
+        r AS (SELECT 0 AS k, view, vec_id AS root, vec_id AS node, 0.0::DOUBLE AS d FROM pts WHERE vec_id % 25 = 0 UNION ALL SELECT r.k + 1, r.view, r.root, l2.dst, min(r.d + l2.w) FROM r JOIN l2 ON r.node = l2.src WHERE r.k < 60 GROUP BY r.k, r.view, r.root, l2.dst),
+        m AS MATERIALIZED (SELECT view, root, node, d FROM r WHERE k = 60 AND node % 25 = 0),
+        t AS (SELECT view, 0 AS ord, min(vec_id) AS id, [min(vec_id)] AS seen FROM pts WHERE vec_id % 25 = 0 GROUP BY view
+        UNION ALL SELECT view, ord + 1, id, list_append(seen, id) FROM (SELECT t.view, t.ord, any_value(t.seen) AS seen, arg_min(m.node, (round(m.d, 9), m.node)) AS id
+          FROM t JOIN m ON m.root = t.id WHERE NOT list_contains(t.seen, m.node) GROUP BY t.view, t.ord))
         SELECT view, ord::BIGINT AS ord, id FROM t""",
     ),
     "spread_anchors": (spread_anchors, None),
     "gap_anchors": (gap_anchors, None),
+    "farthest_anchors": (farthest_anchors, None),
     "path_trajectory": (path_trajectory, None),
     "anchor_headings": (
         anchor_headings,

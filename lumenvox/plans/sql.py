@@ -17,6 +17,9 @@ anchor AS (SELECT vec_id AS anchor_id, x, y, z FROM pts WHERE vec_id % 25 = 0)""
 GRAPH = PTS + """,
 link AS (SELECT a.vec_id AS src, b.vec_id AS dst, sqrt((a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z)) AS w
   FROM pts a JOIN pts b ON a.vec_id <> b.vec_id AND sqrt((a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z)) <= 0.1)"""
+SCENE = PTS + """,
+slink AS MATERIALIZED (SELECT a.view, a.vec_id AS src, b.vec_id AS dst, sqrt((a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z)) AS w
+  FROM pts a JOIN pts b ON a.view = b.view AND a.vec_id <> b.vec_id AND sqrt((a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z)) <= 0.25)"""
 CELLS = PTS + """,
 walk AS (SELECT DISTINCT floor(x / 0.2)::BIGINT AS cx, floor(z / 0.2)::BIGINT AS cz FROM pts)"""
 POSE = """p0 AS (SELECT vec_id AS frame, embedding[7]::DOUBLE AS a, embedding[8]::DOUBLE AS b, embedding[9]::DOUBLE AS c, embedding[10]::DOUBLE AS d,
