@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset a temporary one, but only for a local master."""
     if base := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return base
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(base := tempfile.mkdtemp(prefix="lumenvox-checkpoint-"))
     return base
 
@@ -22,6 +24,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, with its lineage cut."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """``df`` computed once, as a table in the shared folder, with its lineage cut.
+
+    checkpoint() hands on the estimated sizes of a plan, so that in a loop the estimates of joins multiply from round to
+    round; a table leaves the optimizer with the size of its files.
+    """
+    path = shared_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
