@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,24 +18,26 @@ HEAVY_SHARE = 1000
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests, local runs) is a temporary folder chosen and set.
+    Where it is unset a temporary folder serves, but only for a local master.
     """
-    if base := spark.conf.get("spark.checkpoint.dir", None):
+    if base := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return base
-    if not (base := spark.sparkContext.getCheckpointDir()):
-        base = tempfile.mkdtemp(prefix="lumenvox-checkpoint-")
-        spark.sparkContext.setCheckpointDir(base)
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    base = tempfile.mkdtemp(prefix="lumenvox-checkpoint-")
+    spark.sparkContext.setCheckpointDir(base)
     return base
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder, with its lineage cut.
+    """``df`` computed once, as a table in the shared folder, with its lineage cut.
 
-    Meant for narrow tables; Spark's cleaner drops the files once the result is unreachable
-    if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
+    Unlike checkpoint(), which hands the estimated sizes of a plan on, so that the estimates of joins multiply from round
+    to round, this leaves the optimizer with the size of the files.
     """
-    scratch_dir(df.sparkSession)
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -76,3 +81,25 @@ def lookup(left: DataFrame, key: str, right: DataFrame, weight: str, spread: Col
     light = light.select(F.col(key).alias("_k"), F.lit(-1).cast("long").alias("_s"), *[F.col(c).alias(f"_l_{c}") for c in values])
     joined = found.join(light, (F.col(key) == F.col("_k")) & (F.col("_salt").cast("long") == F.col("_s")), "left")
     return joined.select(*kept, *[F.coalesce(f"_h_{c}", f"_l_{c}").alias(c) for c in values])
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A mapInArrow function that gives freed memory back to the system at its end.
+
+    Spark reuses Python workers, so what a task has freed but the allocator keeps would count against the stages after it.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, lookup, text_of
+from lumenvox.llm.common import cut, lookup, text_of, tidy
 from lumenvox.llm.components import components
 from lumenvox.llm.unions import merge
 
@@ -116,7 +116,7 @@ def fingerprints(docs: DataFrame, kinds: tuple[Fingerprint, ...], id_col: str =
 
     schema = "doc_id long, text_key long, " + ", ".join(f"f{k} long" for k in range(len(kinds)))
     text = text_of(text_col)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")).mapInArrow(tidy(run), schema)
 
 
 def _split(width: int, blocks: int) -> Column:
@@ -363,35 +363,35 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     names = [f"f{k}" for k in range(len(kinds))]
     texts = rows.groupBy("text_key", *names).agg(F.min("doc_id").alias("first"))
     texts = cut(texts.withColumnRenamed("text_key", "key"))
-    live, shingles, links, linked, turn = texts.drop("first"), None, None, None, 0
+    live, shingles, compared, turn = texts.drop("first"), None, None, 0
     while True:
         pairs = _candidates(live, len(kinds), budget, turn)
-        if linked is not None:  # what is together need not be compared again
-            group = lambda end: linked.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
-            pairs = pairs.join(group("src"), "src", "left").join(group("dst"), "dst", "left")
-            pairs = pairs.filter(F.coalesce("_src", "src") != F.coalesce("_dst", "dst")).select("src", "dst")
+        if compared is not None:
+            pairs = pairs.join(compared.select("src", "dst"), ["src", "dst"], "left_anti")
+            if turn > 1:  # what is together by now need not be compared
+                linked = components(compared.filter("similar").select("src", "dst"))
+                group = lambda end: linked.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
+                pairs = pairs.join(group("src"), "src", "left").join(group("dst"), "dst", "left")
+                pairs = pairs.filter(F.coalesce("_src", "src") != F.coalesce("_dst", "dst")).select("src", "dst")
         pairs = cut(pairs)
         if shingles is None:
-            wanted = cut(pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct())
+            wanted = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
             text = docs.select(F.xxhash64(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
-            one = text.join(_few(wanted), "key", "left_semi").mapInArrow(_shingled(words), "key long, shingles binary")
+            one = text.join(_few(wanted), "key", "left_semi").mapInArrow(tidy(_shingled(words)), "key long, shingles binary")
             shingles = cut(one.groupBy("key").agg(F.first("shingles").alias("shingles")))
         a = shingles.select(F.col("key").alias("src"), F.col("shingles").alias("a"))
         b = shingles.select(F.col("key").alias("dst"), F.col("shingles").alias("b"))
-        compared = pairs.join(a, "src").join(b, "dst").select("src", "dst", "a", "b")
-        compared = cut(compared.mapInArrow(_compared(least), "src long, dst long, similar boolean"))
-        new = compared.filter("similar").select("src", "dst")
-        if links is not None and new.isEmpty():
+        new = pairs.join(a, "src").join(b, "dst").select("src", "dst", "a", "b")
+        new = cut(new.mapInArrow(_compared(least), "src long, dst long, similar boolean"))
+        found, apart = (bool(x) for x in new.agg(F.max("similar"), F.min("similar") == F.lit(False)).first())
+        compared = new if compared is None else compared.unionByName(new)
+        if not found or not apart:
             break
-        links = new if links is None else links.unionByName(new)
-        linked = components(links)
-        apart = compared.filter("not similar").select(F.explode(F.array("src", "dst")).alias("key")).distinct()
-        if new.isEmpty() or apart.isEmpty():
-            break
-        # one text of each group goes on, with all that were found apart
-        roots = apart.join(linked.withColumnRenamed("id", "key"), "key", "left").select(F.coalesce("component", "key").alias("key"))
-        live = cut(texts.drop("first").join(apart.unionByName(roots).distinct(), "key", "left_semi"))
+        # texts with a partner that was not similar meet others
+        odd = new.filter("not similar").select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+        live = cut(texts.drop("first").join(odd, "key", "left_semi"))
         turn += 1
+    linked = components(compared.filter("similar").select("src", "dst"))
     texts = texts.select("key", "first").join(linked.withColumnRenamed("id", "key"), "key", "left")
     smallest = texts.filter("component is not null").groupBy("component").agg(F.min("first").alias("smallest"))
     ids = texts.join(smallest, "component", "left").select(F.col("key").alias("text_key"), "first", F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"))
