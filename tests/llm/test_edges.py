@@ -167,3 +167,32 @@ def test_embeddings(spark):
     assert [(r.n_links, r.component_id) for r in found[12] + found[13]] == [(1, 12)] * 2
     assert all(r.n_links == 0 and r.component_id == r.vec_id for k in (3, 4, 5, 6, 7, 8, 9, 10, 11, None) for r in found[k])
     assert embedding_duplicates(vectors.limit(0)).collect() == []
+
+
+@pytest.fixture
+def folder(tmp_path, labels):
+    labels.drop("toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def test_pipeline(spark, docs, folder):
+    import corpus_pipeline
+
+    # enough trusted text that the others are judged, with the columns and rows of the fixture
+    words = "the house of a tree stands by river and hill under green cloud".split()
+    more = [(100 + i, " ".join(words[(i * j) % 13] for j in range(1, 40)), "en", "a", 0, *[None, "x", 7, "y", 3, "z", None, "c", "d"]) for i in range(30)]
+    every = docs.unionByName(spark.createDataFrame([*more, more[0]], SCHEMA))
+    every.write.parquet(f"{folder}/documents.parquet")
+    now = every
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, folder)
+        assert now.columns == docs.columns, name
+    found = corpus_pipeline.run(spark, folder)
+    assert {r.doc_id for r in found.collect()} <= {r[0] for r in [*ROWS, *more]} and found.count() > 0
+
+
+def test_pipeline_of_an_empty_table(spark, none, folder):
+    import corpus_pipeline
+
+    none.write.parquet(f"{folder}/documents.parquet")
+    assert corpus_pipeline.run(spark, folder).collect() == []
