@@ -51,11 +51,12 @@ def test_manifest(spark):
 
 
 def test_anchor_selection_adapts(spark):
-    line = [(0, i, float(i), 0.0, 0.0, 1.0, i) for i in range(10)] + [(1, 0, 0.0, 0.0, 0.0, None, 0)]
-    df = spark.createDataFrame(line, "k int, id long, x double, y double, z double, clear double, draw long")
-    found = graph.spread_anchors(df, "k", 4, 5.0, floor=1.0).collect()
-    assert [r.id for r in sorted(found, key=lambda r: r.ord) if r.k == 0] == [0, 9, 4, 2]
+    line = [(0, i, 0.0, 1.0, i, i in (0, 9), True, None) for i in range(10)] + [(1, 0, 0.0, None, 0, True, True, None)]
+    df = spark.createDataFrame(line, "k int, id long, y double, clear double, draw long, anchor boolean, fits boolean, direct double")
+    links = spark.createDataFrame([(0, a, b, 1.0) for i in range(9) for a, b in ((i, i + 1), (i + 1, i))], "k int, src long, dst long, w double")
+    found = graph.spread_anchors(df, links, "k", 4, 5.0).collect()
+    # the separation shrinks until the fourth point fits, and is small before a fourth anchor does
+    assert [r.id for r in sorted(found, key=lambda r: r.ord) if r.k == 0] == [0, 9, 4]
     assert [r.id for r in found if r.k == 1] == [0]
-    have = df.filter("k = 0 and id in (0, 9)").select("k", "x", "y", "z")
-    gaps = sorted(graph.gap_anchors(df.select("k", "id", "x", "y", "z"), have, "k", 6.0).collect(), key=lambda r: r.ord)
+    gaps = sorted(graph.gap_anchors(df, links, "k", 6.0).collect(), key=lambda r: r.ord)
     assert [(r.id, r.radius) for r in gaps] == [(4, 3.5999999999999996)]
