@@ -260,9 +260,7 @@ def fps_select(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scene_links(spark: SparkSession, sf: str) -> DataFrame:
     """Links between points of one view, which is a scene with a graph of its own."""
-    of = tables.points(spark, sf).select("vec_id", "view")
-    found = tables.links(spark, sf, SCENE_REACH).join(of.withColumnRenamed("vec_id", "src"), "src")
-    return found.join(of.select(F.col("vec_id").alias("dst"), F.col("view").alias("_view")), "dst").filter("view = _view").select("view", "src", "dst", "w")
+    return tables.links(spark, sf, SCENE_REACH, "view")
 
 
 def _stops_of(spark: SparkSession, sf: str) -> DataFrame:

@@ -69,21 +69,22 @@ def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points(spark, sf_dir).filter("vec_id % 25 = 0").select(F.col("vec_id").alias("anchor_id"), "x", "y", "z")
 
 
-def links(spark: SparkSession, sf_dir: str, reach: float = LINK_REACH) -> DataFrame:
-    """src, dst, w of points within ``reach``, in both directions.
+def links(spark: SparkSession, sf_dir: str, reach: float = LINK_REACH, within: str | None = None) -> DataFrame:
+    """src, dst, w of points within ``reach``, in both directions; only those that are equal in a column ``within``, which comes first then.
 
     Found by a grid of cells of that size: a point meets the points of its own and the neighbouring
     cells in an equi join, never all points.
     """
-    cells = points(spark, sf_dir).select("vec_id", "x", "y", "z", *[F.floor(F.col(c) / reach).cast("long").alias(f"c{c}") for c in "xyz"])
+    same = [within] if within else []
+    cells = points(spark, sf_dir).select("vec_id", *same, "x", "y", "z", *[F.floor(F.col(c) / reach).cast("long").alias(f"c{c}") for c in "xyz"])
     step = F.array(*[F.lit(i).cast("long") for i in (-1, 0, 1)])
     near = cells
     for c in "xyz":
         near = near.withColumn(f"d{c}", F.explode(step)).withColumn(f"c{c}", F.col(f"c{c}") + F.col(f"d{c}")).drop(f"d{c}")
-    a = near.select(F.col("vec_id").alias("src"), *[F.col(c).alias(f"s{c}") for c in "xyz"], "cx", "cy", "cz")
-    b = cells.select(F.col("vec_id").alias("dst"), "x", "y", "z", "cx", "cy", "cz")
+    a = near.select(*same, F.col("vec_id").alias("src"), *[F.col(c).alias(f"s{c}") for c in "xyz"], "cx", "cy", "cz")
+    b = cells.select(*same, F.col("vec_id").alias("dst"), "x", "y", "z", "cx", "cy", "cz")
     w = F.sqrt((F.col("sx") - F.col("x")) ** 2 + (F.col("sy") - F.col("y")) ** 2 + (F.col("sz") - F.col("z")) ** 2)
-    return a.join(b, ["cx", "cy", "cz"]).filter("src <> dst").select("src", "dst", w.alias("w")).filter(F.col("w") <= reach)
+    return a.join(b, [*same, "cx", "cy", "cz"]).filter("src <> dst").select(*same, "src", "dst", w.alias("w")).filter(F.col("w") <= reach)
 
 
 def cells(spark: SparkSession, sf_dir: str, size: float = CELL) -> DataFrame:
