@@ -52,6 +52,8 @@ class Fingerprint:
 CORPUS, CORPUS_BUDGET = tuple(Fingerprint(1, True, turn) for turn in range(6)), 4
 #: Words of a shingle and least share of common shingles of near copies in a corpus.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
+#: Partners that a text is compared with in one round.
+PARTNERS = 3
 #: Keys that are broadcast to pick rows of a table, at most; with more the table is shuffled.
 FEW_KEYS = 200_000
 
@@ -335,17 +337,24 @@ def _few(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
 
 
-def _candidates(nodes: DataFrame, kinds: int, budget: int, turn: int) -> DataFrame:
-    """Pairs (src < dst) of ``nodes`` (key, f0, f1, ...) with a fingerprint within the budget, about as many as there are nodes.
+def _candidates(nodes: DataFrame, kinds: int, budget: int, turn: int, compared: DataFrame | None) -> DataFrame:
+    """Pairs (src < dst) of ``nodes`` (key, f0, f1, ...) with a fingerprint within the budget: PARTNERS for each node at most, none that is in ``compared``.
 
     Nodes with equal fingerprints are paired with one of them; fingerprints within the budget are paired by their first nodes.
+    Of the partners that a node gets so, the first in an order of all nodes are taken, which ``turn`` stands for.
     """
     every = nodes.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"f{k}").alias("fp"), "key") for k in range(kinds)])).alias("s")).select("s.*")
     ranked = F.struct(F.xxhash64("key", F.lit(turn)), "key")
     heads = cut(every.groupBy("kind", "fp").agg(F.min(ranked).getField("key").alias("head"), F.count("*").alias("n")))
     equal = every.join(heads.filter("n > 1").drop("n"), ["kind", "fp"]).select(F.col("key").alias("src"), F.col("head").alias("dst"))
     near = fingerprint_links(heads.select("kind", "fp", F.col("head").alias("node")), budget, partners=turn)
-    return equal.unionByName(near).filter("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    every = equal.unionByName(near).filter("src <> dst")
+    if compared is not None:
+        both = compared.select("src", "dst").unionByName(compared.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        every = every.join(both, ["src", "dst"], "left_anti")
+    ranked = F.array_sort(F.collect_set(F.struct(F.xxhash64("dst", F.lit(turn)).alias("rank"), "dst")))  # one for each fingerprint and trie at most
+    first = every.groupBy("src").agg(F.slice(ranked, 1, PARTNERS).alias("first"))
+    return first.select("src", F.explode("first.dst").alias("dst")).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, words: int = SHINGLE_WORDS, kinds: tuple[Fingerprint, ...] = CORPUS, budget: int = CORPUS_BUDGET) -> DataFrame:
@@ -353,9 +362,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Texts are linked when the Jaccard similarity of their distinct shingles of ``words`` words is at least
     ``least``; candidates are pairs of texts with a fingerprint of any of ``kinds`` within ``budget``
-    bits. In each round a text is compared with one partner for each fingerprint and trie node, so
+    bits. In each round a text is compared with a few of its candidates, so
     pairs are as few as texts whatever the groups; texts with a partner that was not similar meet others
-    in the next round, until a round finds nothing. Equal texts are one text, null counts as the empty
+    in the next round, until two rounds find nothing. Equal texts are one text, null counts as the empty
     one; texts without words have no shingles and are similar to each other only. Null ids count only
     where a text has no other.
     """
@@ -363,11 +372,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     names = [f"f{k}" for k in range(len(kinds))]
     texts = rows.groupBy("text_key", *names).agg(F.min("doc_id").alias("first"))
     texts = cut(texts.withColumnRenamed("text_key", "key"))
-    live, shingles, compared, turn = texts.drop("first"), None, None, 0
+    live, shingles, compared, turn, idle = texts.drop("first"), None, None, 0, 0
     while True:
-        pairs = _candidates(live, len(kinds), budget, turn)
+        pairs = _candidates(live, len(kinds), budget, turn, compared)
         if compared is not None:
-            pairs = pairs.join(compared.select("src", "dst"), ["src", "dst"], "left_anti")
             if turn > 1:  # what is together by now need not be compared
                 linked = components(compared.filter("similar").select("src", "dst"))
                 group = lambda end: linked.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
@@ -375,7 +383,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 pairs = pairs.filter(F.coalesce("_src", "src") != F.coalesce("_dst", "dst")).select("src", "dst")
         pairs = cut(pairs)
         if shingles is None:
-            wanted = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+            wanted = pairs.select("src").unionByName(pairs.select(F.col("dst").alias("src"))).select(F.col("src").alias("key")).distinct()
             text = docs.select(F.xxhash64(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
             one = text.join(_few(wanted), "key", "left_semi").mapInArrow(tidy(_shingled(words)), "key long, shingles binary")
             shingles = cut(one.groupBy("key").agg(F.first("shingles").alias("shingles")))
@@ -384,11 +392,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         new = pairs.join(a, "src").join(b, "dst").select("src", "dst", "a", "b")
         new = cut(new.mapInArrow(_compared(least), "src long, dst long, similar boolean"))
         found, apart = (bool(x) for x in new.agg(F.max("similar"), F.min("similar") == F.lit(False)).first())
-        compared = new if compared is None else compared.unionByName(new)
-        if not found or not apart:
+        compared = new if compared is None else cut(compared.unionByName(new))
+        idle = 0 if found else idle + 1
+        if idle == 2 or not (found or apart):
             break
         # texts with a partner that was not similar meet others
-        odd = new.filter("not similar").select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+        bad = compared.filter("not similar")
+        odd = bad.select(F.col("src").alias("key")).unionByName(bad.select(F.col("dst").alias("key"))).distinct()
         live = cut(texts.drop("first").join(odd, "key", "left_semi"))
         turn += 1
     linked = components(compared.filter("similar").select("src", "dst"))
