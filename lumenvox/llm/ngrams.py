@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Documents and words of a chunk at most, about; a longer document is a chunk of its own.
-CHUNK_DOCS, CHUNK_WORDS = 1 << 15, 1 << 21
+CHUNK_DOCS, CHUNK_WORDS = 1 << 15, 3 << 19
 #: Bits of a key beyond those that number all words: two words or pairs clash with a chance of 1 in 1000.
 SLACK_BITS = 10
 _STEP_BYTES = 4 << 20
@@ -39,19 +39,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def packed(*columns: np.ndarray) -> bytes:
-    """Columns of 64-bit numbers as compressed byte planes."""
+def packed(*columns: np.ndarray, kind: str = "<i8") -> bytes:
+    """Columns of whole numbers as compressed byte planes."""
     import zstandard
 
-    planes = [np.ascontiguousarray(c).astype("<i8", copy=False).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    size = np.dtype(kind).itemsize
+    planes = [np.ascontiguousarray(c).astype(kind, copy=False).view(np.uint8).reshape(-1, size).T.tobytes() for c in columns]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(planes))
 
 
-def unpacked(data: bytes, n: int, columns: int) -> list[np.ndarray]:
+def unpacked(data: bytes, n: int, columns: int, kind: str = "<i8") -> list[np.ndarray]:
     import zstandard
 
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(columns, 8, n)
-    return [np.ascontiguousarray(c.T).view("<i8").reshape(n) for c in raw]
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(columns, np.dtype(kind).itemsize, n)
+    return [np.ascontiguousarray(c.T).view(kind).reshape(n) for c in raw]
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row after the other, without copies of a whole batch."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +110,7 @@ def coded(bits: int, chunk_words: int = CHUNK_WORDS, chunk_docs: int = CHUNK_DOC
             every, token, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
             rank = np.empty(len(every), np.int64)
             rank[np.lexsort((np.arange(len(every)), -count))] = np.arange(len(every))
-            row = [base + nth, n_words, n_docs, packed(*meta), len(every), packed(np.diff(every, prepend=np.uint64(0)).view(np.int64), count), packed(rank[token])]
+            row = [base + nth, n_words, n_docs, packed(*meta), len(every), packed(np.diff(every, prepend=np.uint64(0)).view(np.int64), count), packed(rank[token], kind="<i4")]
             return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(row, _CODED, strict=True)], schema=_CODED)
 
         for whole in batches:
@@ -154,7 +162,7 @@ class Chunk:
         step, count = unpacked(row["keys"], row["n_keys"], 2)
         keys = np.cumsum(step.view(np.uint64), dtype=np.uint64)
         by_count = np.lexsort((np.arange(len(keys)), -count))
-        token = by_count[unpacked(row["tokens"], int(self.lengths.sum()) + 2 * n, 1)[0]].astype(np.int32)
+        token = by_count.astype(np.int32)[unpacked(row["tokens"], int(self.lengths.sum()) + 2 * n, 1, "<i4")[0]]
         doc = np.repeat(np.arange(n, dtype=np.int32), self.lengths + 2)
         self.languages, of_doc = np.unique(self.language, return_inverse=True)
         self.of_doc = of_doc
@@ -235,9 +243,8 @@ def answered(columns: int, summed, shards: int, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[tuple[int, int], list[dict]] = {}
-        for b in batches:
-            for row in b.to_pylist():
-                by.setdefault((row["shard"], row["language"]), []).append(row)
+        for row in rows_of(batches):
+            by.setdefault((row["shard"], row["language"]), []).append(row)
         for (shard, language), rows in sorted(by.items()):
             rows.sort(key=lambda r: r["chunk"])
             parts = [unpacked(r["data"], r["n"], 1 + columns) for r in rows]

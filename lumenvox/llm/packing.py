@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, text_of
+from lumenvox.llm.common import cut, text_of, tidy
 from lumenvox.llm.tokens import PieceEncoder, crc32
 
 SEQUENCE_TOKENS = 1024
@@ -53,7 +53,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int
             while some := list(islice(rows, 4096)):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), types, strict=True)], names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, _PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(tidy(run), _PIECES)
 
 
 def best_two_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, lookup, text_of
-from lumenvox.llm.ngrams import ANSWER, CODED, MESSAGE, Chunk, answered, asked, coded, heard, key_bits, members
+from lumenvox.llm.common import cut, lookup, text_of, tidy
+from lumenvox.llm.ngrams import ANSWER, CODED, MESSAGE, Chunk, answered, asked, coded, heard, key_bits, members, rows_of
 
 #: The language number of the model of all trusted text, for null languages and those without trusted text.
 POOLED = 0
@@ -45,12 +45,11 @@ def _ask_pairs(shards: int, bits: int):
     """Distinct pairs of each chunk and how often the counted documents have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                c = Chunk(row, bits)
-                counted, _ = _trained(row, len(c.lengths))
-                n = np.bincount(c.pair[counted[c.doc]], minlength=len(c.pair_keys))
-                yield asked(row["chunk"], c.languages, c.of_pair, c.pair_keys, [n], shards, bits)
+        for row in rows_of(batches):
+            c = Chunk(row, bits)
+            counted, _ = _trained(row, len(c.lengths))
+            n = np.bincount(c.pair[counted[c.doc]], minlength=len(c.pair_keys))
+            yield asked(row["chunk"], c.languages, c.of_pair, c.pair_keys, [n], shards, bits)
 
     return run
 
@@ -71,17 +70,16 @@ def _ask_words(shards: int, bits: int):
     """Distinct words of each chunk, with what the pairs that it answers for give them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                c = Chunk(row, bits)
-                (pairs,) = heard(row["pairs"], c.languages, c.of_pair, c.pair_keys, 1, shards, bits)
-                own = np.flatnonzero(pairs & 1)
-                n, a = pairs[own] >> 1, c.first[own]
-                total = np.zeros(len(c.word_keys), np.int64)
-                np.add.at(total, a, n)
-                kinds = [np.bincount(a[fits], minlength=len(total)) for fits in (n == 1, n == 2, n > 2)]
-                ends = np.bincount(c.second[own], minlength=len(total))
-                yield asked(row["chunk"], c.languages, c.of_word, c.word_keys, [total, *kinds, ends], shards, bits)
+        for row in rows_of(batches):
+            c = Chunk(row, bits)
+            (pairs,) = heard(row["pairs"], c.languages, c.of_pair, c.pair_keys, 1, shards, bits)
+            own = np.flatnonzero(pairs & 1)
+            n, a = pairs[own] >> 1, c.first[own]
+            total = np.zeros(len(c.word_keys), np.int64)
+            np.add.at(total, a, n)
+            kinds = [np.bincount(a[fits], minlength=len(total)) for fits in (n == 1, n == 2, n > 2)]
+            ends = np.bincount(c.second[own], minlength=len(total))
+            yield asked(row["chunk"], c.languages, c.of_word, c.word_keys, [total, *kinds, ends], shards, bits)
 
     return run
 
@@ -120,42 +118,41 @@ def _score(shards: int, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["k", "g", "known", "n", "total"]
-        for b in batches:
-            for row in b.to_pylist():
-                c = Chunk(row, bits)
-                docs, n_words = len(c.lengths), len(c.word_keys)
-                _, known = _trained(row, docs)
-                (pairs,) = heard(row["pairs"], c.languages, c.of_pair, c.pair_keys, 1, shards, bits)
-                total, k1, k2, k3, ends = heard(row["words_"], c.languages, c.of_word, c.word_keys, 5, shards, bits)
-                rates = np.full((len(c.languages), len(_RATES)), np.nan)
-                for r in row["rates"] or []:
-                    rates[np.searchsorted(c.languages, r["language"])] = [r[x] for x in _RATES]
-                d = rates[c.of_word][:, :3]
-                lost = k1 * d[:, 0] + k2 * d[:, 1] + k3 * d[:, 2]
-                del d, k1, k2, k3
-                # a pair once for each document that has it
-                each, times = np.unique(c.doc * len(c.pair_keys) + c.pair, return_counts=True)
-                n = pairs[each % max(1, len(c.pair_keys))] >> 1
-                ends_at = np.searchsorted(each, np.arange(docs + 1) * len(c.pair_keys))
-                sums, at = np.zeros(docs), 0
-                while at < docs:  # whole documents, a bounded number of pairs at once
-                    upto = max(at + 1, int(np.searchsorted(ends_at, ends_at[at] + _PAIRS_AT_ONCE, "right")) - 1)
-                    part = slice(ends_at[at], ends_at[upto])
-                    doc, pair = each[part] // max(1, len(c.pair_keys)), each[part] % max(1, len(c.pair_keys))
-                    own = np.where(known[doc], times[part], 0)
-                    r = rates[c.of_doc[doc]]
-                    before, after = c.first[pair], c.second[pair]
-                    less = np.maximum(n[part] - own, 0)
-                    _, here = np.unique(doc * n_words + before, return_inverse=True)
-                    taken = np.bincount(here, weights=n[part] - less)[here]
-                    given = np.bincount(here, weights=_discount(n[part], r) - _discount(less, r))[here]
-                    _, here = np.unique(doc * n_words + after, return_inverse=True)
-                    gone = np.bincount(here, weights=(n[part] > 0) & (less == 0))[here]
-                    p = log_probabilities(less, total[before] - taken, np.maximum(lost[before] - given, 0), np.maximum(ends[after] - gone, 0), r)
-                    sums[at:upto] = np.bincount(doc - at, weights=p * times[part], minlength=upto - at)
-                    at = upto
-                columns = [c.content, c.language, known, np.where(c.lengths > 0, c.lengths + 1, 0), sums]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
+        for row in rows_of(batches):
+            c = Chunk(row, bits)
+            docs, n_words = len(c.lengths), len(c.word_keys)
+            _, known = _trained(row, docs)
+            (pairs,) = heard(row["pairs"], c.languages, c.of_pair, c.pair_keys, 1, shards, bits)
+            total, k1, k2, k3, ends = heard(row["words_"], c.languages, c.of_word, c.word_keys, 5, shards, bits)
+            rates = np.full((len(c.languages), len(_RATES)), np.nan)
+            for r in row["rates"] or []:
+                rates[np.searchsorted(c.languages, r["language"])] = [r[x] for x in _RATES]
+            d = rates[c.of_word][:, :3]
+            lost = k1 * d[:, 0] + k2 * d[:, 1] + k3 * d[:, 2]
+            del d, k1, k2, k3
+            # a pair once for each document that has it
+            each, times = np.unique(c.doc * len(c.pair_keys) + c.pair, return_counts=True)
+            n = pairs[each % max(1, len(c.pair_keys))] >> 1
+            ends_at = np.searchsorted(each, np.arange(docs + 1) * len(c.pair_keys))
+            sums, at = np.zeros(docs), 0
+            while at < docs:  # whole documents, a bounded number of pairs at once
+                upto = max(at + 1, int(np.searchsorted(ends_at, ends_at[at] + _PAIRS_AT_ONCE, "right")) - 1)
+                part = slice(ends_at[at], ends_at[upto])
+                doc, pair = each[part] // max(1, len(c.pair_keys)), each[part] % max(1, len(c.pair_keys))
+                own = np.where(known[doc], times[part], 0)
+                r = rates[c.of_doc[doc]]
+                before, after = c.first[pair], c.second[pair]
+                less = np.maximum(n[part] - own, 0)
+                _, here = np.unique(doc * n_words + before, return_inverse=True)
+                taken = np.bincount(here, weights=n[part] - less)[here]
+                given = np.bincount(here, weights=_discount(n[part], r) - _discount(less, r))[here]
+                _, here = np.unique(doc * n_words + after, return_inverse=True)
+                gone = np.bincount(here, weights=(n[part] > 0) & (less == 0))[here]
+                p = log_probabilities(less, total[before] - taken, np.maximum(lost[before] - given, 0), np.maximum(ends[after] - gone, 0), r)
+                sums[at:upto] = np.bincount(doc - at, weights=p * times[part], minlength=upto - at)
+                at = upto
+            columns = [c.content, c.language, known, np.where(c.lengths > 0, c.lengths + 1, 0), sums]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
     return run
 
@@ -215,7 +212,7 @@ def document_scores(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     bits = key_bits(rows.agg(F.sum(F.length("text"))).first()[0] or 0)
     tables = _Tables(spark, shards)
     try:
-        chunks = tables.keep(rows.select("id", "k", "g", "text").mapInArrow(coded(bits), CODED), deal=False)
+        chunks = tables.keep(rows.select("id", "k", "g", "text").mapInArrow(tidy(coded(bits)), CODED), deal=False)
         every = chunks.select("chunk", "n_docs", "docs").mapInArrow(members, "chunk long, place long, id long, content long, language long")
         every = every.join(trusted.select("id", F.lit(True).alias("_trusted")), "id", "left")
         place = F.struct("chunk", "place")
@@ -225,17 +222,17 @@ def document_scores(rows: DataFrame, trusted: DataFrame) -> DataFrame:
         flags = tables.keep(flagged.select("chunk", flag.alias("flag")).groupBy("chunk").agg(F.collect_list("flag").alias("flags")))
         known = chunks.join(flags, "chunk", "left")
         to_shards = lambda df: df.repartitionById(shards, F.col("shard"))
-        pairs = to_shards(known.mapInArrow(_ask_pairs(shards, bits), MESSAGE)).mapInArrow(answered(1, _pair_totals, shards, bits), ANSWER)
+        pairs = to_shards(known.mapInArrow(tidy(_ask_pairs(shards, bits)), MESSAGE)).mapInArrow(tidy(answered(1, _pair_totals, shards, bits)), ANSWER)
         pairs = tables.keep(pairs)
         known = known.join(_by_chunk(pairs, "pairs"), "chunk", "left")
-        words = to_shards(known.mapInArrow(_ask_words(shards, bits), MESSAGE)).mapInArrow(answered(5, _word_totals, shards, bits), ANSWER)
+        words = to_shards(known.mapInArrow(tidy(_ask_words(shards, bits)), MESSAGE)).mapInArrow(tidy(answered(5, _word_totals, shards, bits)), ANSWER)
         words = tables.keep(words)
         rates = _counts(pairs).withColumnRenamed("counts", "of_pairs").join(_counts(words), "language").filter(F.get("of_pairs", F.lit(4)) > 0)
         rates = cut(rates.select("language", *_rates(F.col("of_pairs"), F.col("counts"))))
         # a language's numbers go to the chunks that have it
         has = words.filter("chunk >= 0").select("chunk", "language").distinct()
         of_chunk = has.join(_few(rates), "language").groupBy("chunk").agg(F.collect_list(F.struct("language", *_RATES)).alias("rates"))
-        scored = known.join(_by_chunk(words, "words_"), "chunk", "left").join(of_chunk, "chunk", "left").mapInArrow(_score(shards, bits), "k long, g long, known boolean, n long, total double")
+        scored = known.join(_by_chunk(words, "words_"), "chunk", "left").join(of_chunk, "chunk", "left").mapInArrow(tidy(_score(shards, bits)), "k long, g long, known boolean, n long, total double")
         return cut(scored.withColumn("total", F.when(~F.isnan("total"), F.col("total"))))
     finally:
         tables.drop()

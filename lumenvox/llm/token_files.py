@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from lumenvox.llm.common import scratch_path, text_of
+from lumenvox.llm.common import give_back, scratch_path, text_of
 from lumenvox.llm.tokens import PieceEncoder
 
 MAGIC = b"PKIDS001"
@@ -178,6 +178,7 @@ class _Writer(DataSourceArrowWriter):
             for key, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text"), self.end_id), strict=True):
                 out.add(key, ids)
         out.close()
+        give_back()
         return Written(order, name, len(out.keys), out.n_ids)
 
     def commit(self, messages: list) -> None:
