@@ -19,6 +19,7 @@ from lumenvox.llm.suffix_dedup import remove_repeats
 from lumenvox.llm.token_files import token_file_digests
 from lumenvox.llm.toxicity import toxicity
 from lumenvox.llm.toxicity import train as train_toxicity
+from lumenvox.llm.vector_codes import code_digests
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -145,6 +146,34 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(_table(spark, sf_dir, "documents"), path, keeps_space=False, end_id=2, vocabulary=49408)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_digests(_table(spark, sf_dir, "embeddings"))
+
+
+def _op11_round(r: int) -> str:
+    """Codes ``a<r>`` by the codebooks ``c<r>``, and the codebooks of the next round."""
+    return f"""
+a{r} AS MATERIALIZED (SELECT vec_id, label, p, any_value(x) AS x, arg_min(e, d * 64 + e) AS e, min(d) AS d
+        FROM (SELECT vec_id, label, v.p, x, e, list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v JOIN c{r} c ON c.p = v.p)
+        GROUP BY vec_id, label, p),
+m{r} AS (SELECT p, e, list(CASE WHEN s < 0 AND s % n <> 0 THEN s // n - 1 ELSE s // n END ORDER BY j) AS y
+        FROM (SELECT p, e, j, sum(x[j])::HUGEINT AS s, count(*) AS n FROM a{r}, range(1, 257) t(j) WHERE j <= len(x) GROUP BY p, e, j) GROUP BY p, e),
+c{r + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.y, c.y) AS y FROM c{r} c LEFT JOIN m{r} m ON m.p = c.p AND m.e = c.e)"""
+
+
+OP11_SQL = f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT vec_id, label, p, x[p * len(x) // 16 + 1 : (p + 1) * len(x) // 16] AS x FROM k, range(16) t(p)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k ORDER BY vec_id LIMIT 64),
+c0 AS MATERIALIZED (SELECT v.p, f.e, v.x AS y FROM f JOIN v ON v.vec_id = f.vec_id),
+{",".join(_op11_round(r) for r in range(3))},
+h AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2),
+o AS (SELECT vec_id, label, lower(string_agg(printf('%02x', e), '' ORDER BY p)) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM o, h
+"""
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digests(_table(spark, sf_dir, "documents"))
 
@@ -203,10 +232,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_secret_scan": op9_secret_scan,
         "op10_token_files": op10_token_files,
+        "op11_vector_codes": op11_vector_codes,
         "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embedding_dedup": OP1_SQL, "op4_suffix_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op13_merkle_manifest": OP13_SQL}
+    return {"op1_embedding_dedup": OP1_SQL, "op4_suffix_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op11_vector_codes": OP11_SQL, "op13_merkle_manifest": OP13_SQL}
