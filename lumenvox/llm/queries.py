@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lumenvox.llm.embedding_dedup import embedding_duplicates
 from lumenvox.llm.exact_dedup import exact_groups
+from lumenvox.llm.license_scan import license_digests
 from lumenvox.llm.merkle import manifest_digests
 from lumenvox.llm.mixing import mix
 from lumenvox.llm.packing import packed_documents
@@ -174,6 +175,10 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 """
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digests(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digests(_table(spark, sf_dir, "documents"))
 
@@ -233,6 +238,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secret_scan": op9_secret_scan,
         "op10_token_files": op10_token_files,
         "op11_vector_codes": op11_vector_codes,
+        "op12_license_scan": op12_license_scan,
         "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
