@@ -6,8 +6,8 @@ node at the end of the block the whole error budget is left, and above it there
 makes the node's key a shuffle key. Below it a task walks pairs of nodes together from the top,
 adds up the bits in which the branches differ and prunes a pair of nodes that exceeds the budget.
 
-``near_duplicates`` links what is within the budget. ``similar_documents`` takes such pairs, of several
-fingerprints, as candidates only: it links documents whose word shingles are similar enough.
+``near_duplicates`` links what is within the budget. ``similar_documents`` links documents whose word shingles are
+similar enough; a budget of few bits finds only a part of them, so that the others are found by the shingles themselves (``set_links``).
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lumenvox.llm.common import cut, lookup, text_of, tidy
 from lumenvox.llm.components import components
+from lumenvox.llm.set_links import candidate_links, similar_links
 from lumenvox.llm.unions import merge
 
 #: Fingerprints below one trie node that one task still joins; larger nodes are split by a block of their remaining bits.
@@ -48,12 +49,8 @@ class Fingerprint:
     turn: int = 0
 
 
-#: Fingerprints that propose near copies in a corpus, of the set of words, which changes least when words are replaced; and their budget.
-CORPUS, CORPUS_BUDGET = tuple(Fingerprint(1, True, turn) for turn in range(6)), 4
-#: Words of a shingle and least share of common shingles of near copies in a corpus.
-SHINGLE_WORDS, SIMILARITY = 5, 0.8
-#: Partners that a text is compared with in one round.
-PARTNERS = 3
+#: Words of a shingle and least share of common shingles of near copies in a corpus, and bits by which fingerprints of their sets may differ.
+SHINGLE_WORDS, SIMILARITY, CORPUS_BUDGET = 5, 0.8, 3
 #: Keys that are broadcast to pick rows of a table, at most; with more the table is shuffled.
 FEW_KEYS = 200_000
 
@@ -207,12 +204,8 @@ def _leaves(rests: np.ndarray, a0, a1, b0, b1, budget: int) -> Iterator[tuple[np
         at = upto
 
 
-def _joined(bits: int, budget: int, partners: int | None):
-    """mapInArrow function over whole nodes (path, rest, fp: what the links name).
-
-    Gives links that connect what is connected below each node; or, with a number for ``partners``, a pair of each
-    row that has partners and that one of them which comes first in an order that the number stands for.
-    """
+def _joined(bits: int, budget: int):
+    """mapInArrow function over whole nodes (path, rest, fp: what the links name): links that connect what is connected below each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[np.asarray(b.column(i)) for i in range(3)] for b in batches if b.num_rows]
@@ -223,19 +216,8 @@ def _joined(bits: int, budget: int, partners: int | None):
         order = np.lexsort((rest, path))
         path, rest, fp = path[order], rest[order], fp[order]
         roots = np.arange(len(fp))
-        if partners is None:
-            for i, j in _node_pairs(path, rest, bits, budget):
-                merge(roots, i, j)
-        else:
-            turn = np.argsort(_turned(fp.view(np.uint64), partners + 1), kind="stable")
-            rank = np.empty(len(fp), np.int64)
-            rank[turn] = np.arange(len(fp))
-            best = np.full(len(fp), len(fp))
-            for i, j in _node_pairs(path, rest, bits, budget):
-                np.minimum.at(best, i, rank[j])
-                np.minimum.at(best, j, rank[i])
-            some = np.flatnonzero(best < len(fp))
-            roots[some] = turn[best[some]]
+        for i, j in _node_pairs(path, rest, bits, budget):
+            merge(roots, i, j)
         linked = np.flatnonzero(roots != np.arange(len(fp)))
         for at in range(0, len(linked), 1 << 16):
             some = linked[at : at + (1 << 16)]
@@ -244,13 +226,12 @@ def _joined(bits: int, budget: int, partners: int | None):
     return run
 
 
-def fingerprint_links(fps: DataFrame, budget: int = 3, node_rows: int = NODE_ROWS, partners: int | None = None) -> DataFrame:
+def fingerprint_links(fps: DataFrame, budget: int = 3, node_rows: int = NODE_ROWS) -> DataFrame:
     """Links (src, dst) that connect fingerprints ``fp`` (64 bits as a long) of one ``kind`` within ``budget`` bits.
 
     ``fps`` has kind, fp and node, the id by which a link names the fingerprint; rows are distinct. Fingerprints that are reachable from each other over pairs within the budget are reachable
     over these links and no others are; a node's links are as few as its rows. A node with more
-    than ``node_rows`` fingerprints is split again by a block of its remaining bits. With a number
-    for ``partners`` links are pairs within the budget, one for each row and node; see ``_joined``.
+    than ``node_rows`` fingerprints is split again by a block of its remaining bits.
     """
     blocks, bits, splits = budget + 1, 64, 0
     rows = fps.select(F.col("kind").cast("long").alias("path"), F.col("fp").alias("rest"), F.col("node").alias("fp"))
@@ -264,7 +245,7 @@ def fingerprint_links(fps: DataFrame, budget: int = 3, node_rows: int = NODE_ROW
             crowded = cut(rows.groupBy("path").agg(F.count("*").alias("n")).filter(F.col("n") > node_rows).select("path"))
             if not crowded.isEmpty():
                 here, deeper = rows.join(crowded, "path", "left_anti"), cut(rows.join(crowded, "path", "left_semi"))
-        found = here.repartition("path").mapInArrow(_joined(bits, budget, partners), "src long, dst long")
+        found = here.repartition("path").mapInArrow(_joined(bits, budget), "src long, dst long")
         links = found if links is None else links.unionByName(found)
         if deeper is None:
             return links
@@ -311,103 +292,67 @@ def _shingled(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [np.unique(np.array(shingle_hashes(t.as_buffer().to_pybytes(), words), "<u8")).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["key", "data"])
 
     return run
 
 
-def _compared(least: float):
-    """mapInArrow function: (src, dst, a, b) to whether the Jaccard similarity of the shingles is at least ``least``."""
+def _few(keys: DataFrame) -> DataFrame:
+    """``keys`` to pick rows by, broadcast if they are few."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            similar = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
-                small, large = sorted((len(x), len(y)))
-                common = len(np.intersect1d(x, y, assume_unique=True)) if small >= least * large else 0
-                similar.append(common >= least * (small + large - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar)], ["src", "dst", "similar"])
 
-    return run
+def _keys(text: Column) -> list[Column]:
+    """Two hashes by which a text is known."""
+    return [F.xxhash64(text).alias("text_key"), F.xxhash64(F.lit(1), text).alias("text_check")]
 
 
-def _few(keys: DataFrame) -> DataFrame:
-    """``keys`` to pick rows by, broadcast if they are few."""
-    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+def _named(texts: DataFrame, clashes: DataFrame | None) -> DataFrame:
+    """``texts`` with key: text_key, but a hash of both hashes for all but one of the texts that share it."""
+    if clashes is None:
+        return texts.withColumn("key", F.col("text_key"))
+    joined = texts.join(_few(clashes), "text_key", "left")
+    return joined.withColumn("key", F.when(F.col("text_check") != F.col("stays"), F.xxhash64("text_check", "text_key")).otherwise(F.col("text_key"))).drop("stays")
 
 
-def _candidates(nodes: DataFrame, kinds: int, budget: int, turn: int, compared: DataFrame | None) -> DataFrame:
-    """Pairs (src < dst) of ``nodes`` (key, f0, f1, ...) with a fingerprint within the budget: PARTNERS for each node at most, none that is in ``compared``.
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, words: int = SHINGLE_WORDS, budget: int = CORPUS_BUDGET) -> DataFrame:
+    """Rows (text_key, text_check, component_id, first, rows) of the texts of ``docs``: the smallest doc_id reachable over links, the text's smallest id and how many rows have both.
 
-    Nodes with equal fingerprints are paired with one of them; fingerprints within the budget are paired by their first nodes.
-    Of the partners that a node gets so, the first in an order of all nodes are taken, which ``turn`` stands for.
-    """
-    every = nodes.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"f{k}").alias("fp"), "key") for k in range(kinds)])).alias("s")).select("s.*")
-    ranked = F.struct(F.xxhash64("key", F.lit(turn)), "key")
-    heads = cut(every.groupBy("kind", "fp").agg(F.min(ranked).getField("key").alias("head"), F.count("*").alias("n")))
-    equal = every.join(heads.filter("n > 1").drop("n"), ["kind", "fp"]).select(F.col("key").alias("src"), F.col("head").alias("dst"))
-    near = fingerprint_links(heads.select("kind", "fp", F.col("head").alias("node")), budget, partners=turn)
-    every = equal.unionByName(near).filter("src <> dst")
-    if compared is not None:
-        both = compared.select("src", "dst").unionByName(compared.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        every = every.join(both, ["src", "dst"], "left_anti")
-    ranked = F.array_sort(F.collect_set(F.struct(F.xxhash64("dst", F.lit(turn)).alias("rank"), "dst")))  # one for each fingerprint and trie at most
-    first = every.groupBy("src").agg(F.slice(ranked, 1, PARTNERS).alias("first"))
-    return first.select("src", F.explode("first.dst").alias("dst")).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-
-
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, words: int = SHINGLE_WORDS, kinds: tuple[Fingerprint, ...] = CORPUS, budget: int = CORPUS_BUDGET) -> DataFrame:
-    """Rows (text_key, component_id, rows) of the texts of ``docs``: the smallest doc_id reachable over links, and how many rows have the text and its smallest id.
-
-    Texts are linked when the Jaccard similarity of their distinct shingles of ``words`` words is at least
-    ``least``; candidates are pairs of texts with a fingerprint of any of ``kinds`` within ``budget``
-    bits. In each round a text is compared with a few of its candidates, so
-    pairs are as few as texts whatever the groups; texts with a partner that was not similar meet others
-    in the next round, until two rounds find nothing. Equal texts are one text, null counts as the empty
-    one; texts without words have no shingles and are similar to each other only. Null ids count only
-    where a text has no other.
+    Texts are linked when the Jaccard similarity of their distinct shingles of ``words`` words is at least ``least``: all of them, in groups of any size.
+    Candidates are texts whose fingerprints of these shingles differ in at most ``budget`` bits, and, since that misses most pairs near
+    ``least``, texts that share a segment of their shingles, as all similar pairs do. What is reachable over candidates is compared by
+    its shingles. Texts are known by two 64-bit hashes. Equal texts are one text, null counts as the empty one; texts without words
+    have no shingles and are similar to each other only; very long texts are taken whole; null ids count only where a text has no other.
     """
-    rows = cut(fingerprints(docs, kinds, id_col, text_col))
-    names = [f"f{k}" for k in range(len(kinds))]
-    texts = rows.groupBy("text_key", *names).agg(F.min("doc_id").alias("first"))
-    texts = cut(texts.withColumnRenamed("text_key", "key"))
-    live, shingles, compared, turn, idle = texts.drop("first"), None, None, 0, 0
-    while True:
-        pairs = _candidates(live, len(kinds), budget, turn, compared)
-        if compared is not None:
-            if turn > 1:  # what is together by now need not be compared
-                linked = components(compared.filter("similar").select("src", "dst"))
-                group = lambda end: linked.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
-                pairs = pairs.join(group("src"), "src", "left").join(group("dst"), "dst", "left")
-                pairs = pairs.filter(F.coalesce("_src", "src") != F.coalesce("_dst", "dst")).select("src", "dst")
-        pairs = cut(pairs)
-        if shingles is None:
-            wanted = pairs.select("src").unionByName(pairs.select(F.col("dst").alias("src"))).select(F.col("src").alias("key")).distinct()
-            text = docs.select(F.xxhash64(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
-            one = text.join(_few(wanted), "key", "left_semi").mapInArrow(tidy(_shingled(words)), "key long, shingles binary")
-            shingles = cut(one.groupBy("key").agg(F.first("shingles").alias("shingles")))
-        a = shingles.select(F.col("key").alias("src"), F.col("shingles").alias("a"))
-        b = shingles.select(F.col("key").alias("dst"), F.col("shingles").alias("b"))
-        new = pairs.join(a, "src").join(b, "dst").select("src", "dst", "a", "b")
-        new = cut(new.mapInArrow(_compared(least), "src long, dst long, similar boolean"))
-        found, apart = (bool(x) for x in new.agg(F.max("similar"), F.min("similar") == F.lit(False)).first())
-        compared = new if compared is None else cut(compared.unionByName(new))
-        idle = 0 if found else idle + 1
-        if idle == 2 or not (found or apart):
-            break
-        # texts with a partner that was not similar meet others
-        bad = compared.filter("not similar")
-        odd = bad.select(F.col("src").alias("key")).unionByName(bad.select(F.col("dst").alias("key"))).distinct()
-        live = cut(texts.drop("first").join(odd, "key", "left_semi"))
-        turn += 1
-    linked = components(compared.filter("similar").select("src", "dst"))
-    texts = texts.select("key", "first").join(linked.withColumnRenamed("id", "key"), "key", "left")
+    kind = Fingerprint(words, distinct=True)
+    text = text_of(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *_keys(text), text.alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = np.array([simhash(t.as_buffer().to_pybytes(), (kind,))[0] for t in b.column(3)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fp.view(np.int64))], ["doc_id", "text_key", "text_check", "fp"])
+
+    rows = cut(rows.mapInArrow(tidy(run), "doc_id long, text_key long, text_check long, fp long"))
+    texts = rows.groupBy("text_key", "text_check", "fp").agg(F.min("doc_id").alias("first"))
+    clashes = cut(texts.groupBy("text_key").agg(F.count("*").alias("n"), F.min("text_check").alias("stays")).filter("n > 1").drop("n"))
+    clashes = None if clashes.isEmpty() else clashes
+    texts = cut(_named(texts, clashes))
+    heads = cut(texts.groupBy("fp").agg(F.min("key").alias("node")))
+    equal = texts.join(heads, "fp").filter("key <> node").select(F.col("key").alias("src"), F.col("node").alias("dst"))
+    near = fingerprint_links(heads.select(F.lit(0).alias("kind"), "fp", "node"), budget)
+    whole = _named(docs.select(*_keys(text), text.alias("text")), clashes).select("key", "text")
+    candidates = candidate_links(whole, lambda t: shingle_hashes(t, words), least)
+    groups = components(equal.unionByName(near).unionByName(candidates))
+    sets = whole.join(_few(groups.select(F.col("id").alias("key"))), "key", "left_semi").mapInArrow(tidy(_shingled(words)), "key long, data binary")
+    sets = cut(sets.groupBy("key").agg(F.first("data").alias("data")).withColumn("bytes", F.octet_length("data").cast("long")))
+    linked = components(similar_links(sets, groups, least))
+    texts = texts.join(linked.withColumnRenamed("id", "key"), "key", "left")
     smallest = texts.filter("component is not null").groupBy("component").agg(F.min("first").alias("smallest"))
-    ids = texts.join(smallest, "component", "left").select(F.col("key").alias("text_key"), "first", F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"))
-    counts = rows.groupBy("text_key", "doc_id").agg(F.count("*").alias("rows"))
-    same = (F.col("first").eqNullSafe(F.col("doc_id"))) & (ids["text_key"] == counts["text_key"])
-    return cut(ids.join(counts, same).select(ids["text_key"], "first", "component_id", "rows"))
+    ids = texts.join(smallest, "component", "left").select("text_key", "text_check", "first", F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"))
+    counts = rows.groupBy(F.col("text_key").alias("_key"), F.col("text_check").alias("_check"), "doc_id").agg(F.count("*").alias("rows"))
+    same = F.col("first").eqNullSafe(F.col("doc_id")) & (F.col("text_key") == F.col("_key")) & (F.col("text_check") == F.col("_check"))
+    return cut(ids.join(counts, same).select("text_key", "text_check", "first", "component_id", "rows"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -418,18 +363,21 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     groups = similar_documents(docs, id_col, text_col, **options)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_of(text_col)).alias("_key"))
+    key, check = _keys(text_of(text_col))
+    rows = docs.select(row, F.col(id_col).cast("long").alias("_id"), key.alias("_key"), check.alias("_check"))
     # most texts are alone and have one row: all other texts are few, or their rows are shuffled
-    together = groups.groupBy("component_id").agg(F.count("*").alias("n"), F.min(F.struct(F.col("first").isNull(), "first", "text_key")).alias("best"))
-    joined = groups.join(together, groups["component_id"].eqNullSafe(together["component_id"])).select("text_key", "rows", "n", F.col("best.first").alias("_first"), (F.col("best.text_key") == F.col("text_key")).alias("_stays"))
-    alone = rows.groupBy("_key").agg(F.count("*").alias("_rows"))
-    odd = joined.join(alone, F.col("text_key") == F.col("_key")).filter("n > 1 or _rows > 1").select("text_key", "_first", "_stays", "rows")
-    odd = cut(odd.withColumnRenamed("text_key", "_text"))
+    best = F.min(F.struct(F.col("first").isNull(), "first", "text_key", "text_check"))
+    together = groups.groupBy("component_id").agg(F.count("*").alias("n"), best.alias("best"))
+    stays = (F.col("best.text_key") == F.col("text_key")) & (F.col("best.text_check") == F.col("text_check"))
+    joined = groups.join(together, groups["component_id"].eqNullSafe(together["component_id"])).select("text_key", "text_check", "rows", "n", F.col("best.first").alias("_first"), stays.alias("_stays"))
+    alone = rows.groupBy("_key", "_check").agg(F.count("*").alias("_rows"))
+    known = (F.col("text_key") == F.col("_key")) & (F.col("text_check") == F.col("_check"))
+    odd = cut(joined.join(alone, known).filter("n > 1 or _rows > 1").select("text_key", "text_check", "_first", "_stays", "rows"))
     if odd.isEmpty():
         return docs
-    kept = rows.join(_few(odd.select("_text")), F.col("_key") == F.col("_text"), "left_anti")
-    some = rows.join(_few(odd.filter("_stays")), (F.col("_key") == F.col("_text")) & F.col("_id").eqNullSafe(F.col("_first")))
+    kept = rows.join(_few(odd.select("text_key", "text_check")), known, "left_anti")
+    some = rows.join(_few(odd.filter("_stays")), known & F.col("_id").eqNullSafe(F.col("_first")))
     if odd.filter("_stays and rows > 1").isEmpty():
         return kept.select("row.*").unionByName(some.select("row.*"))
-    one = some.filter("rows > 1").groupBy("_key").agg(F.first("row").alias("row"))
+    one = some.filter("rows > 1").groupBy("_key", "_check").agg(F.first("row").alias("row"))
     return kept.select("row.*").unionByName(some.filter("rows = 1").select("row.*")).unionByName(one.select("row.*"))
