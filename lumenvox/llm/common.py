@@ -45,6 +45,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what was written below ``path``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Bucketed:
+    """Tables bucketed by a column, in the shared folder, for as long as they are needed."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.tables = spark, {}
+
+    def keep(self, df: DataFrame, buckets: int, column: str, compression: str = "snappy") -> DataFrame:
+        name = f"lumenvox_{uuid.uuid4().hex}"
+        self.tables[name] = scratch_path(self.spark, "bucketed")
+        df.write.bucketBy(buckets, column).format("parquet").option("compression", compression).option("path", self.tables[name]).saveAsTable(name)
+        return self.spark.table(name)
+
+    def drop(self) -> None:
+        for name, path in self.tables.items():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            discard(self.spark, path)
+
+
 def text_of(column: str = "text") -> Column:
     """A text column, null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

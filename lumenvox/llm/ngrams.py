@@ -21,8 +21,8 @@ import pyarrow.compute as pc
 
 #: Documents and words of a chunk at most, about; a longer document is a chunk of its own.
 CHUNK_DOCS, CHUNK_WORDS = 1 << 15, 3 << 19
-#: Bits of a key beyond those that number all words: two words or pairs clash with a chance of 1 in 1000.
-SLACK_BITS = 10
+#: Bits of a key beyond those that number all words: a word or pair clashes with another with a chance of 1 in 30,000.
+SLACK_BITS = 15
 _STEP_BYTES = 4 << 20
 _REPEATED = np.uint64(0x5851F42D4C957F2D)
 

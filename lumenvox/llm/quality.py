@@ -11,7 +11,6 @@ A document is rejected when its perplexity lies above the quantile of its langua
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, lookup, text_of, tidy
+from lumenvox.llm.common import Bucketed, cut, lookup, text_of, tidy
 from lumenvox.llm.ngrams import ANSWER, CODED, MESSAGE, Chunk, answered, asked, coded, heard, key_bits, members, rows_of
 
 #: The language number of the model of all trusted text, for null languages and those without trusted text.
@@ -173,24 +172,6 @@ def _rates(pairs: Column, ends: Column) -> list[Column]:
     return [*[x.alias(f"d{i}") for i, x in enumerate(d, 1)], *[x.alias(f"e{i}") for i, x in enumerate(e, 1)], every.alias("pairs"), (left / every / (types + 1)).alias("spread")]
 
 
-class _Tables:
-    """Tables bucketed by chunk in the warehouse, for as long as they are needed."""
-
-    def __init__(self, spark, shards: int) -> None:
-        self.spark, self.shards, self.names = spark, shards, []
-
-    def keep(self, df: DataFrame, deal: bool = True) -> DataFrame:
-        name = f"lumenvox_quality_{uuid.uuid4().hex}"
-        self.names.append(name)
-        df = df.repartition(self.shards, "chunk") if deal else df
-        df.write.bucketBy(self.shards, "chunk").format("parquet").option("compression", "zstd").saveAsTable(name)
-        return self.spark.table(name)
-
-    def drop(self) -> None:
-        for name in self.names:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
 def _counts(answers: DataFrame) -> DataFrame:
     """The numbers of each language, summed over shards."""
     sums = [F.sum(F.get("counts", F.lit(i))).alias(f"c{i}") for i in range(5)]
@@ -210,23 +191,24 @@ def document_scores(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     shards = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bits = key_bits(rows.agg(F.sum(F.length("text"))).first()[0] or 0)
-    tables = _Tables(spark, shards)
+    tables = Bucketed(spark)
+    keep = lambda df, deal=True: tables.keep(df.repartition(shards, "chunk") if deal else df, shards, "chunk", "zstd")
     try:
-        chunks = tables.keep(rows.select("id", "k", "g", "text").mapInArrow(tidy(coded(bits)), CODED), deal=False)
+        chunks = keep(rows.select("id", "k", "g", "text").mapInArrow(tidy(coded(bits)), CODED), deal=False)
         every = chunks.select("chunk", "n_docs", "docs").mapInArrow(members, "chunk long, place long, id long, content long, language long")
         every = every.join(trusted.select("id", F.lit(True).alias("_trusted")), "id", "left")
         place = F.struct("chunk", "place")
         contents = cut(every.groupBy("content").agg(F.count("*").alias("weight"), F.min(F.when(F.col("_trusted"), place)).alias("first")).filter("first is not null"))
         flagged = lookup(every.select("chunk", "place", "content"), "content", contents, "weight", F.xxhash64("chunk", "place")).filter("first is not null")
         flag = F.col("place") * 2 + (F.col("first") == place).cast("long")
-        flags = tables.keep(flagged.select("chunk", flag.alias("flag")).groupBy("chunk").agg(F.collect_list("flag").alias("flags")))
+        flags = keep(flagged.select("chunk", flag.alias("flag")).groupBy("chunk").agg(F.collect_list("flag").alias("flags")))
         known = chunks.join(flags, "chunk", "left")
         to_shards = lambda df: df.repartitionById(shards, F.col("shard"))
         pairs = to_shards(known.mapInArrow(tidy(_ask_pairs(shards, bits)), MESSAGE)).mapInArrow(tidy(answered(1, _pair_totals, shards, bits)), ANSWER)
-        pairs = tables.keep(pairs)
+        pairs = keep(pairs)
         known = known.join(_by_chunk(pairs, "pairs"), "chunk", "left")
         words = to_shards(known.mapInArrow(tidy(_ask_words(shards, bits)), MESSAGE)).mapInArrow(tidy(answered(5, _word_totals, shards, bits)), ANSWER)
-        words = tables.keep(words)
+        words = keep(words)
         rates = _counts(pairs).withColumnRenamed("counts", "of_pairs").join(_counts(words), "language").filter(F.get("of_pairs", F.lit(4)) > 0)
         rates = cut(rates.select("language", *_rates(F.col("of_pairs"), F.col("counts"))))
         # a language's numbers go to the chunks that have it
@@ -244,8 +226,10 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quality_col: str = "quality", tail: float = TAIL) -> DataFrame:
-    """``docs`` as a struct row, with n_words, perplexity, threshold and kept.
+    """``docs`` as a struct row, with n_words, perplexity, compared, threshold and kept.
 
+    ``perplexity`` is the text's own; ``compared`` is that of the text with PRIOR_WORDS average words of trusted text, since short texts vary, and
+    a document is kept where ``compared`` is at most ``threshold``, the quantile of its language's trusted documents.
     The model and thresholds come from all of ``docs`` that ``labels`` (id, quality) call trusted, quality 1.
     A text without words has no perplexity and is not kept; where nothing is trusted, all texts
     with words are kept, without a perplexity. Null counts as the empty text; a null language and one without trusted
@@ -273,13 +257,15 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     limits = sample.join(_few(means), "g").groupBy("g").agg(F.percentile_approx(loss, F.lit(1 - tail), F.lit(10_000)).alias("high"))
     limits = cut(limits.join(means, "g"))
     found = scores.join(_few(limits), "g", "left")
-    kept = (F.col("n") > 0) & F.coalesce(loss <= F.col("high"), F.lit(True))
-    perplexity = F.when(F.col("n") > 0, F.exp(-F.col("total") / F.col("n")))
-    found = found.select("k", "weight", F.greatest(F.col("n") - 1, F.lit(0)).alias("n_words"), perplexity.alias("perplexity"), F.exp("high").alias("threshold"), kept.alias("kept"))
+    worded = F.col("n") > 0
+    found = found.withColumns({"compared": F.when(worded, F.exp(loss)), "threshold": F.exp("high")})
+    kept = worded & F.coalesce(F.col("compared") <= F.col("threshold"), F.lit(True))
+    perplexity = F.when(worded, F.exp(-F.col("total") / F.col("n")))
+    found = found.select("k", "weight", F.greatest(F.col("n") - 1, F.lit(0)).alias("n_words"), perplexity.alias("perplexity"), "compared", "threshold", kept.alias("kept"))
     dealt = plain.drop("id", "text", "own", "g").withColumn("_deal", F.monotonically_increasing_id())
     joined = lookup(dealt, "k", cut(found), "weight", F.col("_deal"))
     row = F.struct(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)]).alias("row")
-    return joined.select(row, "n_words", "perplexity", "threshold", "kept")
+    return joined.select(row, "n_words", "perplexity", "compared", "threshold", "kept")
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

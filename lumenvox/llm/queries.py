@@ -112,7 +112,7 @@ FROM d JOIN p3 p ON d.source IS NOT DISTINCT FROM p.source
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = judged(docs, _table(spark, sf_dir, "labels"))
-    return found.select("row.doc_id", "row.lang", "n_words", "perplexity", "threshold", "kept")
+    return found.select("row.doc_id", "row.lang", "n_words", "perplexity", "compared", "threshold", "kept")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,6 @@ table bucketed by chunk; they are not shuffled again.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, text_of
+from lumenvox.llm.common import Bucketed, cut, text_of
 
 SPAN, Q = 50, 24
 SIDE = SPAN - Q
@@ -475,11 +474,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     shards = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(text_of(text_col), "UTF-8").alias("text"))
-    name = f"lumenvox_chunks_{uuid.uuid4().hex}"
+    tables = Bucketed(spark)
     chunks = rows.mapInArrow(_chunked(chunk_bytes), "chunk long, ids binary, ends binary, data binary")
-    chunks.write.bucketBy(shards, "chunk").format("parquet").saveAsTable(name)
     try:
-        table = spark.table(name)
+        table = tables.keep(chunks, shards, "chunk")
 
         def with_answers(answers: DataFrame) -> DataFrame:
             packed = answers.groupBy("chunk").agg(F.collect_list(F.struct("n", "data")).alias("answers"))
@@ -492,4 +490,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         cleaned = with_answers(judged).mapInArrow(_cleaned(with_text), _OUT)
         return cut(cleaned if with_text else cleaned.drop("kept"))
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        tables.drop()
