@@ -84,7 +84,7 @@ def farthest_points(candidates: DataFrame, key: str, count: int, least: float =
 
 
 class _Scene:
-    """The navigation graph of one scene; ways are found from one point at a time, and kept."""
+    """The navigation graph of one scene; ways are found from one point at a time, and kept for the points that are chosen."""
 
     def __init__(self, points: pd.DataFrame, links: pd.DataFrame) -> None:
         self.ids = np.sort(points["id"].to_numpy())
@@ -110,6 +110,21 @@ class _Scene:
             found.append(before[found[-1]])
         return found[::-1]
 
+    def sees(self, i: int, near: float, far: float) -> float:
+        """The longest of the shortest ways from the ``i``-th point that are between ``near`` and ``far``, 0 without one; nothing beyond ``far`` is looked at."""
+        d, done, open_, longest = {i: 0.0}, set(), [(0.0, i)], 0.0
+        while open_:
+            way, at = heapq.heappop(open_)
+            if at in done:
+                continue
+            done.add(at)
+            longest = way if way >= near else longest
+            for e in range(self.start[at], self.start[at + 1]):
+                if (new := way + self.w[e]) <= far and new < d.get(self.to[e], float("inf")):
+                    d[self.to[e]] = new
+                    heapq.heappush(open_, (new, self.to[e]))
+        return longest
+
     def _from(self, i: int) -> tuple[np.ndarray, list[int]]:
         if i not in self.known:
             d, before, open_ = [float("inf")] * len(self.ids), [-1] * len(self.ids), [(0.0, i)]
@@ -168,17 +183,23 @@ def greedy_tour(points: DataFrame, links: DataFrame, key: str) -> DataFrame:
 
 
 def tour_path(points: DataFrame, links: DataFrame, key: str, closed: bool = True) -> DataFrame:
-    """The points of the shortest ways from stop to stop of the greedy tour: key, seq, id; closed back to the first stop."""
+    """The points of the shortest ways from stop to stop of the greedy tour: key, leg, seq, id; closed back to the first stop.
+
+    A leg has both its stops, and ``seq`` begins anew in each; a tour of one stop is one leg of one point.
+    """
 
     def work(g: pd.DataFrame, scene: _Scene) -> dict:
         order = _toured(scene, np.flatnonzero(g["stop"].to_numpy()).tolist())
-        ends = [*order, order[0]] if closed and len(order) > 2 else order
-        found = ends[:1]
-        for a, b in zip(ends, ends[1:], strict=False):
-            found += scene.way(a, b)[1:]
-        return {"seq": np.arange(len(found)), "id": scene.ids[found]}
+        ends = [*order, order[0]] if closed and len(order) > 1 else order
+        ways = [scene.way(a, b) for a, b in zip(ends, ends[1:], strict=False)] or [ends]
+        leg = np.repeat(np.arange(len(ways)), [len(w) for w in ways])
+        return {"leg": leg, "seq": np.concatenate([np.arange(len(w)) for w in ways]), "id": scene.ids[np.concatenate(ways).astype(int)]}
+
+    return _by_scene(points.select(key, "id", "stop"), links, key, work, "leg long, seq long, id long")
 
-    return _by_scene(points.select(key, "id", "stop"), links, key, work, "seq long, id long")
+
+# How thresholds adapt in the selection of anchors, and where it ends.
+_GROW, _SHRINK, _END_SEP, _END_ROOM, _LEAST_SEP, _LEAST_ROOM = 1.05, 0.9, 0.5, 0.6, 0.6, 0.1
 
 
 def spread_anchors(candidates: DataFrame, links: DataFrame, key: str, count: int, sep: float, *, clearance: float = 0.0, most_dy: float = 0.5, vantage: float = 0.0, near: float = 3.0, far: float = 10.0) -> DataFrame:
@@ -186,7 +207,7 @@ def spread_anchors(candidates: DataFrame, links: DataFrame, key: str, count: int
 
     ``candidates`` has key, id, y, clear and draw (a fixed random order in place of a random generator),
     ``links`` key, src, dst, w. The first draw with enough clearance (null passes) is the first anchor.
-    Each round takes, among the candidates with enough clearance, within ``most_dy`` of the first anchor's
+    Ways are kept from anchors only, and what a candidate sees is looked for within ``far``, so memory grows with points times ``count``. Each round takes, among the candidates with enough clearance, within ``most_dy`` of the first anchor's
     height and at least the separation away from all anchors by the shortest way, the one with the
     highest score: its distance from the anchors and ``vantage`` times the longest way between ``near`` and ``far``
     that it sees. Candidates without a way to an anchor are refused. After a success both thresholds grow
@@ -202,22 +223,31 @@ def spread_anchors(candidates: DataFrame, links: DataFrame, key: str, count: int
         picks, now, room = [int(first[0])], sep, clearance
         nearest, farthest = scene.ways(picks[0]).copy(), scene.ways(picks[0]).copy()
         level = np.abs(y - y[picks[0]]) <= most_dy
-        bonus = np.zeros(len(g))
-        if vantage > 0:
-            for i in range(len(g)):
-                d = scene.ways(i)
-                seen = d[(d >= near) & (d <= far)]
-                bonus[i] = vantage * seen.max() if len(seen) else 0.0
+        place = np.empty(len(g), np.int64)
+        place[order] = np.arange(len(g))
+        bonus: dict[int, float] = {}
+
+        def score(i: int) -> float:
+            if vantage > 0 and i not in bonus:
+                bonus[i] = vantage * scene.sees(i, near, far)
+            return round(nearest[i] + bonus.get(i, 0.0), 9)
+
         while len(picks) < count:
-            fits = [i for i in order if level[i] and clear[i] >= room and np.isfinite(farthest[i]) and nearest[i] >= now]
-            if fits:
-                best = max(fits, key=lambda i: round(nearest[i] + bonus[i], 9))
-                picks.append(int(best))
-                nearest, farthest = np.minimum(nearest, scene.ways(picks[-1])), np.maximum(farthest, scene.ways(picks[-1]))
-                now, room = min(now * 1.05, sep), min(room * 1.05, clearance)
+            fits = np.flatnonzero(level & (clear >= room) & np.isfinite(farthest) & (nearest >= now))
+            if len(fits):
+                # furthest first, so that most need not be asked what they see: it adds ``vantage * far`` at most
+                top, best = -1.0, -1
+                for i in fits[np.lexsort((place[fits], -nearest[fits]))]:
+                    if round(nearest[i] + max(vantage, 0.0) * far, 9) < top:
+                        break
+                    if (new := score(int(i))) > top or (new == top and place[i] < place[best]):
+                        top, best = new, int(i)
+                picks.append(best)
+                nearest, farthest = np.minimum(nearest, scene.ways(best)), np.maximum(farthest, scene.ways(best))
+                now, room = min(now * _GROW, sep), min(room * _GROW, clearance)
                 continue
-            now, room = now * 0.9, room * 0.9
-            if now < 0.5 * max(0.6, sep) and room < 0.6 * max(0.1, clearance):
+            now, room = now * _SHRINK, room * _SHRINK
+            if now < _END_SEP * max(_LEAST_SEP, sep) and room < _END_ROOM * max(_LEAST_ROOM, clearance):
                 break
         return {"ord": np.arange(len(picks)), "id": scene.ids[picks]}
 
@@ -265,7 +295,7 @@ def farthest_anchors(candidates: DataFrame, links: DataFrame, key: str, radius:
 
     ``candidates`` has key, id, anchor, fits and draw, ``links`` key, src, dst, w. Points that a way joins with the first
     anchor are dealt to ``batches`` by draw; a batch gives its point furthest from all anchors, if it is the radius
-    away. Every second batch that gives none relaxes the radius by 0.9, not below ``floor``.
+    away. Every second batch without a point relaxes the radius by 0.9, not below ``floor``; one whose points are too near does not.
     """
 
     def work(g: pd.DataFrame, scene: _Scene) -> dict:
@@ -280,14 +310,13 @@ def farthest_anchors(candidates: DataFrame, links: DataFrame, key: str, radius:
             if len(picks) >= most:
                 break
             best = max(batch, key=lambda i: (round(nearest[i], 9), -i), default=None)
-            if best is not None and nearest[best] >= now:
+            if best is None:
+                stalls += 1
+                now = max(floor, now * _SHRINK) if stalls % 2 == 0 else now
+            elif nearest[best] >= now:
                 picks.append(int(best))
                 used.append(now)
                 nearest = np.minimum(nearest, scene.ways(int(best)))
-                continue
-            stalls += 1
-            if stalls % 2 == 0:
-                now = max(floor, now * 0.9)
         return {"ord": np.arange(len(picks)), "id": scene.ids[picks] if picks else [], "radius": used}
 
     return _by_scene(candidates.select(key, "id", "anchor", "fits", "draw"), links, key, work, "ord long, id long, radius double")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenvox.functions.angles import blend, wrap
+from lumenvox.operators.common import settled
 
 
 def coverage_playlist(stops: DataFrame, key: str, offsets_deg: list[float], stride: int = 1, order: str = "offset-major", rotate: bool = True) -> DataFrame:
@@ -144,19 +145,20 @@ def capture_schedule(attempts: DataFrame, phases: DataFrame, playlist: DataFrame
 def density_targets(anchors_for, scenes: DataFrame, key: str, want: int, sep: float, clearance: float, floor: float = 0.6, least_clearance: float = 0.18, rounds: int = 3) -> DataFrame:
     """Separation and clearance of each scene at which it first has ``want`` anchors: key, step, sep, clearance, got.
 
-    ``anchors_for(sep, clearance)`` selects anchors (key, ...). Both are relaxed to 0.8 of themselves, not below
-    their floors, before the first test and again up to ``rounds`` times; a scene that never gets there keeps
+    ``anchors_for(sep, clearance, scenes)`` selects anchors (key, ...) of the scenes that have too few so far. Both are relaxed to 0.8
+    of themselves, not below their floors, before the first test and again up to ``rounds`` times; a scene that never gets there keeps
     the last step. Nothing is relaxed once both are at their floors, which leaves step 0.
     """
     tried = scenes.select(key, F.lit(0).alias("step"), F.lit(float(sep)).alias("sep"), F.lit(float(clearance)).alias("clearance"), F.lit(0).cast("long").alias("got"))
+    left = scenes.select(key)
     for step in range(1, rounds + 1):
         new = max(floor, 0.8 * sep), max(least_clearance, 0.8 * clearance)
         if new == (sep, clearance):
             break
         sep, clearance = new
-        counts = anchors_for(sep, clearance).groupBy(key).agg(F.count("*").alias("n"))
-        found = scenes.join(counts, key, "left").select(key, F.lit(step).alias("step"), F.lit(sep).alias("sep"), F.lit(clearance).alias("clearance"), F.coalesce("n", F.lit(0)).alias("got"))
-        tried = tried.unionByName(found)
-    enough = F.min(F.when(F.col("got") >= want, F.struct("step", "sep", "clearance", "got")))
-    last = F.max(F.struct("step", "sep", "clearance", "got"))
-    return tried.groupBy(key).agg(F.coalesce(enough, last).alias("b")).select(key, "b.*")
+        counts = anchors_for(sep, clearance, left).groupBy(key).agg(F.count("*").alias("n"))
+        found = settled(left.join(counts, key, "left").select(key, F.lit(step).alias("step"), F.lit(sep).alias("sep"), F.lit(clearance).alias("clearance"), F.coalesce("n", F.lit(0)).alias("got")))
+        tried, left = tried.unionByName(found), found.filter(F.col("got") < want).select(key)
+        if left.isEmpty():
+            break
+    return tried.groupBy(key).agg(F.max(F.struct("step", "sep", "clearance", "got")).alias("b")).select(key, "b.*")

@@ -71,10 +71,13 @@ def resample(path: DataFrame, stride: float, key: str = "path_id") -> DataFrame:
 
 
 def densify(path: DataFrame, longest: float, key: str = "path_id") -> DataFrame:
-    """Inserts floor(length / longest) points at equal distances into each segment: key, seq, k, x, y, z."""
+    """Inserts floor(length / longest) points at equal distances into each segment: key, seq, k, x, y, z.
+
+    A length within a millionth of the next multiple counts as it, so that segments of a resampled path, all as long as the stride, are treated alike.
+    """
     seg = _segments(path, key)
     length = F.sqrt(sum(((F.col(f"{c}1") - F.col(c)) ** 2 for c in AXES[1:]), (F.col("x1") - F.col("x")) ** 2))
-    n = F.coalesce(F.floor(length / longest), F.lit(0)).cast("long")
+    n = F.coalesce(F.floor(length / longest + 1e-6), F.lit(0)).cast("long")
     seg = seg.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n"))))
     u = F.col("k") / (F.col("n") + 1)
     return seg.select(key, "seq", "k", *[F.when(F.col("k") == 0, F.col(c)).otherwise((1 - u) * F.col(c) + u * F.col(f"{c}1")).alias(c) for c in AXES])
@@ -177,8 +180,6 @@ def thinned(path: DataFrame, every: int, key: str = "path_id") -> DataFrame:
     return path.withColumn("_last", last).filter((F.col("seq") % every == 0) | (F.col("seq") == F.col("_last"))).drop("_last")
 
 
-
-
 def thinned_at_most(path: DataFrame, every: int, most: int, key: str = "path_id") -> DataFrame:
     """The first ``most`` rows of each path's every ``every``-th ones."""
     nth = F.row_number().over(_along(key))

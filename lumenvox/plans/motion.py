@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenvox.functions.angles import clamp, shortest, towards, wrap
 from lumenvox.operators import graph, planning, sequence, spatial
-from lumenvox.plans import sql
+from lumenvox.plans import selection_sql, sql
 from lumenvox.plans.common import rounded, rounding
 from lumenvox.sources import config, scenes, tables
 
@@ -281,8 +281,9 @@ def _draw() -> Column:
     return F.expr("conv(substr(md5(cast(vec_id as string)), 1, 12), 16, 10)").cast("long").alias("draw")
 
 
-def _spread(spark: SparkSession, sf: str, sep: float, clearance: float) -> DataFrame:
+def _spread(spark: SparkSession, sf: str, sep: float, clearance: float, views: DataFrame | None = None) -> DataFrame:
     cand = tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), "y", F.abs("z").alias("clear"), _draw())
+    cand = cand if views is None else cand.join(views, "view", "left_semi")
     return graph.spread_anchors(cand, _scene_links(spark, sf), "view", 8, sep, clearance=clearance, vantage=0.3, near=0.3, far=0.6)
 
 
@@ -312,10 +313,12 @@ def anchor_headings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def path_trajectory(spark: SparkSession, sf: str) -> DataFrame:
-    """A smooth closed path along the links through each view's anchors: resampled, densified, cut and resampled again."""
+    """A smooth closed path along the links through each view's anchors: each leg resampled, all densified, cut and resampled again."""
     ways = graph.tour_path(_stops_of(spark, sf), _scene_links(spark, sf), "view")
     tour = ways.join(tables.points(spark, sf).select(F.col("vec_id").alias("id"), "x", "y", "z"), "id")
-    path = sequence.resample(tour.select(F.col("view").alias("path_id"), "seq", "x", "y", "z"), 0.2)
+    legs = sequence.resample(tour.select(F.struct(F.col("view").alias("path_id"), "leg").alias("way"), "seq", "x", "y", "z"), 0.2, "way")
+    joined = F.row_number().over(Window.partitionBy("way.path_id").orderBy("way.leg", "seq")) - 1
+    path = legs.select("way.path_id", joined.cast("long").alias("seq"), "x", "y", "z")
     dense = sequence.densify(path, 0.2)
     order = Window.partitionBy("path_id").orderBy("seq", "k")
     dense = dense.select("path_id", (F.row_number().over(order) - 1).cast("long").alias("n"), "x", "y", "z").withColumnRenamed("n", "seq")
@@ -419,7 +422,7 @@ def capture_schedule(spark: SparkSession, sf: str) -> DataFrame:
 def retarget_density(spark: SparkSession, sf: str) -> DataFrame:
     """Separation and clearance at which each view gets six anchors."""
     views = tables.points(spark, sf).select("view").distinct()
-    found = planning.density_targets(lambda sep, clear: _spread(spark, sf, sep, clear), views, "view", 6, 0.55, 0.05, floor=0.2, least_clearance=0.01)
+    found = planning.density_targets(lambda sep, clear, left: _spread(spark, sf, sep, clear, left), views, "view", 6, 0.55, 0.05, floor=0.2, least_clearance=0.01)
     return found.select("view", "step", *rounding("sep", "clearance"), "got")
 
 
@@ -522,6 +525,9 @@ _CASES = f"""CASE WHEN done THEN ord WHEN {_LEAVE} THEN ord + 1 ELSE ord END, CA
           CASE WHEN done OR {_LEAVE} THEN 0 WHEN cov THEN vi WHEN ok THEN vi + 1 WHEN rej + 1 >= 3 THEN (vi + 1) % 9 ELSE vi END, CASE WHEN done OR {_LEAVE} THEN 0 WHEN cov THEN rej WHEN ok OR rej + 1 >= 3 THEN 0 ELSE rej + 1 END,
           CASE WHEN NOT done AND cov AND NOT empty THEN shot + 1 ELSE shot END, NOT done AND ok, CASE WHEN cov THEN shot * 4 % 9 ELSE vi END, ord"""
 
+#: Steps of the density targets: both thresholds to 0.8 of themselves, not below their floors.
+_RETARGET = [(max(0.2, 0.55 * 0.8), max(0.01, 0.05 * 0.8)), (0.8 * (0.55 * 0.8), 0.8 * (0.05 * 0.8)), (0.8 * (0.8 * (0.55 * 0.8)), 0.8 * (0.8 * (0.05 * 0.8)))]
+
 QUERIES = {
     "arc_length": (arc_length, f"WITH {sql.PATH}, {_ARC} SELECT path_id, seq, {sql.rounded('step', 's')} FROM arc"),
     "path_yaws": (path_yaws, f"WITH {sql.PATH}, {_PYAW} SELECT path_id, seq, {sql.rounded('yaw')} FROM py"),
@@ -539,7 +545,7 @@ QUERIES = {
     "densify": (
         densify,
         f"""WITH {sql.PATH}, sg AS (SELECT path_id, seq, x, y, z, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(z) OVER w AS z1 FROM path WINDOW w AS (PARTITION BY path_id ORDER BY seq)),
-        sn AS (SELECT *, coalesce(floor(sqrt(power(x1-x,2)+power(y1-y,2)+power(z1-z,2)) / 0.1), 0)::BIGINT AS n FROM sg), sk AS (SELECT *, unnest(range(0, n + 1)) AS k FROM sn)
+        sn AS (SELECT *, coalesce(floor(sqrt(power(x1-x,2)+power(y1-y,2)+power(z1-z,2)) / 0.1 + 1e-6), 0)::BIGINT AS n FROM sg), sk AS (SELECT *, unnest(range(0, n + 1)) AS k FROM sn)
         SELECT path_id, seq, k, """ + ", ".join(f"round(CASE WHEN k = 0 THEN {c} ELSE (1 - k / (n + 1)) * {c} + k / (n + 1) * {c}1 END, 6) + 0.0 AS {c}" for c in "xyz") + " FROM sk",
     ),
     "chaikin": (chaikin, f"WITH {sql.PATH}, {_chaikin_sql('path', 'c1')}, {_chaikin_sql('c1', 'c2')} SELECT path_id, seq, {sql.rounded('x', 'y', 'z')} FROM c2"),
@@ -625,10 +631,10 @@ QUERIES = {
           FROM t JOIN m ON m.root = t.id WHERE NOT list_contains(t.seen, m.node) GROUP BY t.view, t.ord))
         SELECT view, ord::BIGINT AS ord, id FROM t""",
     ),
-    "spread_anchors": (spread_anchors, None),
-    "gap_anchors": (gap_anchors, None),
-    "farthest_anchors": (farthest_anchors, None),
-    "path_trajectory": (path_trajectory, None),
+    "spread_anchors": (spread_anchors, selection_sql.SPREAD),
+    "gap_anchors": (gap_anchors, selection_sql.GAPS),
+    "farthest_anchors": (farthest_anchors, selection_sql.FARTHEST),
+    "path_trajectory": (path_trajectory, selection_sql.trajectory(_chaikin_sql)),
     "anchor_headings": (
         anchor_headings,
         f"""WITH {sql.ANCHOR}, walk AS (SELECT DISTINCT floor(x / 0.2)::BIGINT AS cx, floor(z / 0.2)::BIGINT AS cz FROM pts),
@@ -640,7 +646,7 @@ QUERIES = {
     "ply_round_trip": (ply_round_trip, f"WITH {sql.PTS} SELECT round(x, 5) + 0.0 AS x, round(y, 5) + 0.0 AS y, round(z, 5) + 0.0 AS z, r AS red, g AS green, b AS blue FROM pts"),
     "coverage_playlist": (coverage_playlist, f"WITH {sql.PATH}, {_STOPS} SELECT path_id, j * n + (((rk - j) % n) + n) % n AS pos, vi, round({sql.wrap('yaw + radians(deg)')}, 6) + 0.0 AS yaw FROM stp, off"),
     "coverage_playlist_by_anchor": (coverage_playlist_by_anchor, f"WITH {sql.PATH}, {_STOPS} SELECT path_id, rk * 3 + j AS pos, vi, round({sql.wrap('yaw + radians(deg)')}, 6) + 0.0 AS yaw FROM stp, off"),
-    "baseline_repair": (baseline_repair, None),
+    "baseline_repair": (baseline_repair, f"WITH RECURSIVE {sql.PATH}, {_STOPS}" + selection_sql.REPAIR.format(yaw=sql.wrap("yaw + radians(deg)"))),
     "phase_plan": (phase_plan, f"WITH {_BUDGET}, p AS (SELECT c_custkey, 'coverage' AS phase, cov AS round, 0 AS k FROM bud WHERE n_shots > 0 AND cov < n_rounds UNION ALL SELECT c_custkey, 'random', r::INT, 1 FROM bud, range(0, 3) t(r) WHERE r < n_rounds) SELECT c_custkey, (row_number() OVER (PARTITION BY c_custkey ORDER BY k, round) - 1)::INT AS ord, phase, round FROM p"),
     "round_params": (round_params, f"WITH {_BUDGET} SELECT c_custkey, r::INT AS round, CASE WHEN r = 0 THEN 1.5 ELSE 0.9 END::DOUBLE AS height, 0.0::DOUBLE AS yaw_offset FROM bud, range(0, 3) t(r) WHERE r < n_rounds"),
     "budget_warnings": (
@@ -659,7 +665,7 @@ QUERIES = {
             CASE WHEN s.ord = 0 THEN s.shot < 8 AND coalesce(a.nudge <= 4, false) ELSE coalesce(a.nudge = 0, false) END AS ok FROM s JOIN a ON a.scene = s.scene AND a.attempt = s.attempt + 1 WHERE a.attempt < 60))
         SELECT scene, (views - 1)::BIGINT AS idx, attempt, CASE WHEN was = 0 THEN 'coverage' ELSE 'random' END AS phase, CASE WHEN was = 2 THEN 1 ELSE 0 END AS round, stop::BIGINT AS vi FROM s WHERE took""",
     ),
-    "retarget_density": (retarget_density, None),
+    "retarget_density": (retarget_density, selection_sql.retarget(_RETARGET, 6)),
     "thin_capped": (thin_capped, f"WITH {sql.PATH} SELECT path_id, seq, vec_id FROM path WHERE seq % 5 = 0 AND seq < 35"),
     "frame_scan": (frame_scan, "SELECT frame, row_number() OVER (ORDER BY frame) AS nth FROM (SELECT DISTINCT label::BIGINT AS frame FROM embeddings ORDER BY 1 LIMIT 7)"),
     "scene_kinds": (
