@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenvox.functions.angles import blend, clamp, shortest, towards, wrap
+from lumenvox.functions.angles import TAU, towards, wrap
+from lumenvox.operators.common import settled
 
 AXES = ("x", "y", "z")
-#: Rows of a stretch of a path that a fold handles at once.
-FOLD_ROWS = 64
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def _along(key: str):
@@ -111,45 +113,122 @@ def unwrapped(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("yaw", F.col("yaw") + F.sum("_fix").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_fix")
 
 
-def _folded(df: DataFrame, key: str, step) -> DataFrame:
-    """Runs ``step(state, value)`` over ``yaw`` in order; the state before the first is null.
+def _turned(step: float) -> float:
+    """A difference of headings as the turn that it stands for; half a turn keeps its sign."""
+    if abs(step) < math.pi:
+        return step
+    folded = (step + math.pi) % TAU - math.pi
+    return math.pi if folded == -math.pi and step > 0 else folded
 
-    A path is cut into stretches of FOLD_ROWS rows. Within a stretch the results are appended to an array, which
-    copies it, so a stretch is short; the state goes on from stretch to stretch.
-    """
-    order = F.row_number().over(_along(key)) - 1
-    rows = df.withColumn("_part", F.floor(order / FOLD_ROWS)).groupBy(key, "_part").agg(F.array_sort(F.collect_list(F.struct("seq", "yaw"))).alias("part"))
-    rows = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_part", "part"))).alias("parts"))
-    kind = "array<struct<seq:bigint,yaw:double>>"
-    zero = F.struct(F.lit(None).cast("double").alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
 
-    def merge(acc: Column, x: Column) -> Column:
-        new = F.when(acc["state"].isNull(), x["yaw"]).otherwise(step(acc["state"], x["yaw"]))
-        return F.struct(new.alias("state"), F.concat(acc["out"], F.array(F.struct(x["seq"].alias("seq"), new.alias("yaw")))).alias("out"))
+def _limit(most: float) -> Callable:
+    """A step of the rate limit; the state is the heading before and how far the limited one is ahead of it."""
+
+    def step(state: tuple | None, yaw: float) -> tuple[tuple, float]:
+        if state is None:
+            return (yaw, 0.0), (yaw + math.pi) % TAU - math.pi
+        off = state[1] - _turned(yaw - state[0])
+        off -= min(max(off, -most), most)
+        return (yaw, off), (yaw + off + math.pi) % TAU - math.pi
+
+    return step
+
+
+def _smooth(most: float, alpha: float) -> Callable:
+    """A step of clamping and blending; the state is the smoothed heading before."""
+
+    def step(state: float | None, yaw: float) -> tuple[float, float]:
+        if state is None:
+            return yaw, yaw
+        turn = math.atan2(math.sin(yaw - state), math.cos(yaw - state))
+        new = (state + min(max(turn, -most), most) + math.pi) % TAU - math.pi
+        if alpha > 0:
+            new = (state + alpha * math.atan2(math.sin(new - state), math.cos(new - state)) + math.pi) % TAU - math.pi
+        return new, new
+
+    return step
 
-    def stretch(acc: Column, p: Column) -> Column:
-        found = F.aggregate(p["part"], F.struct(acc["state"].alias("state"), F.array().cast(kind).alias("out")), merge)
-        return F.struct(found["state"].alias("state"), F.concat(acc["out"], F.array(found["out"])).alias("out"))
 
-    return rows.select(key, F.inline(F.flatten(F.aggregate("parts", zero, stretch)["out"])))
+def _same(a: object, b: object) -> bool:
+    """States that differ in nothing that matters."""
+    if a is None or b is None:
+        return a is b
+    pairs = zip(a, b, strict=True) if isinstance(a, tuple) else ((a, b),)
+    return all(abs(x - y) <= 1e-12 for x, y in pairs)
+
+
+def _folded(df: DataFrame, key: str, step: Callable) -> DataFrame:
+    """Runs ``step(state, yaw)``, which gives the new state and a heading, over each path in order: key, seq, yaw; the first state is None.
+
+    Paths are cut into stretches by ranges of (key, seq), so a path of any length is spread over many tasks, and each task
+    goes over its rows once. A path that goes on in the next range hands its last state on: the stretches that span ranges are
+    run from what the ones before them ended with until none begins with another state. Where headings come within reach of
+    their limits now and then, as they do in real paths, the state soon forgets where it began, and two rounds are enough; a
+    path that never does needs a round for each range. Only states of stretches that begin with a range, one for each, are on the driver.
+    A null heading stays null, and the fold begins anew after it.
+    """
+    placed = df.select(key, "seq", F.col("yaw").cast("double").alias("yaw"))
+    placed = settled(placed.repartitionByRange(F.col(key), F.col("seq")).withColumn("_part", F.spark_partition_id()))
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(begin: dict, ends: bool) -> Callable:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, state, last = None, None, None
+            for b in batches:
+                keys, parts, yaws = (b.column(c).to_pylist() for c in (0, 3, 2))
+                out: list = []
+                closed: list[tuple] = []
+                for k, part, yaw in zip(keys, parts, yaws, strict=True):
+                    if (k, part) != at:
+                        if at is not None:
+                            closed.append((*at, state))
+                        at = (k, part)
+                        state = begin.get(at)
+                    if yaw is None:
+                        state, last = None, None
+                    else:
+                        state, last = step(state, yaw)
+                    out.append(last)
+                if ends:
+                    yield told(closed)
+                else:
+                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.float64())], [key, "seq", "yaw"])
+            if ends and at is not None:
+                yield told([(*at, state)])
+
+        def told(closed: list[tuple]) -> pa.RecordBatch:
+            states = [None if s is None else list(s) if isinstance(s, tuple) else [s] for *_, s in closed]
+            return pa.RecordBatch.from_arrays([pa.array([k for k, *_ in closed], pa.from_numpy_dtype("int64") if kind in _WHOLE else None), pa.array([p for _, p, _ in closed], pa.int32()), pa.array(states, pa.list_(pa.float64()))], [key, "_part", "state"])
+
+        return work
+
+    ordered = lambda rows: rows.repartition("_part").sortWithinPartitions("_part", key, "seq").select(key, "seq", "yaw", "_part")
+    spans = placed.groupBy(key).agg(F.min("_part").alias("a"), F.max("_part").alias("b")).filter("a < b")
+    found = placed.select(key, "_part").distinct().join(F.broadcast(spans.select(key)), key, "left_semi").collect()  # at most two for each range
+    parts: dict = {}
+    for r in sorted(found, key=lambda r: r["_part"]):
+        parts.setdefault(r[key], []).append(r["_part"])
+    before = {(k, b): (k, a) for k, own in parts.items() for a, b in zip(own, own[1:], strict=False)}
+    begin: dict = {}
+    changed = {(k, p) for k, own in parts.items() for p in own}
+    while changed:
+        where = placed.filter(F.col("_part").isin(sorted({p for _, p in changed})) & F.col(key).isin(list({k for k, _ in changed})))
+        told = ordered(where).mapInArrow(run(begin, True), f"{key} {'long' if kind in _WHOLE else kind}, _part int, state array<double>").collect()
+        ends = {(r[key], r["_part"]): None if r["state"] is None else r["state"][0] if len(r["state"]) == 1 else tuple(r["state"]) for r in told}
+        new = {at: ends[prior] for at, prior in before.items() if prior in ends}
+        changed = {at for at, state in new.items() if not _same(state, begin.get(at))}
+        begin = begin | {at: new[at] for at in changed}
+    return ordered(placed).mapInArrow(run(begin, False), f"{key} {kind}, seq {df.schema['seq'].dataType.simpleString()}, yaw double")
 
 
 def rate_limited(df: DataFrame, limit_deg: float, key: str) -> DataFrame:
-    """Headings whose steps are clamped against the clamped row before: key, seq, yaw in [-pi, pi)."""
-    most = math.radians(limit_deg)
-    found = _folded(unwrapped(df, key), key, lambda state, yaw: state + clamp(yaw - state, -most, most))
-    return found.withColumn("yaw", wrap(F.col("yaw")))
+    """Headings, unwrapped, whose steps are clamped against the clamped row before: key, seq, yaw in [-pi, pi)."""
+    return _folded(df, key, _limit(math.radians(limit_deg)))
 
 
 def smoothed(df: DataFrame, limit_deg: float, alpha: float, key: str) -> DataFrame:
     """Headings clamped to the last smoothed one and blended with it: key, seq, yaw."""
-    most = math.radians(limit_deg)
-
-    def step(state: Column, yaw: Column) -> Column:
-        limited = wrap(state + clamp(shortest(state, yaw), -most, most))
-        return blend(state, limited, alpha) if alpha > 0 else limited
-
-    return _folded(df, key, step)
+    return _folded(df, key, _smooth(math.radians(limit_deg), alpha))
 
 
 def ring_interpolated(keys: DataFrame, sizes: DataFrame, key: str) -> DataFrame:

@@ -154,7 +154,7 @@ def test_capture_schedule_rules(spark):
 
 def test_density_is_relaxed_before_the_first_test(spark):
     scenes = spark.createDataFrame([(0,), (1,), (2,)], "k int")
-    anchors = lambda sep, clear: spark.createDataFrame([(0, 1)] * 3 + [(1, 1)] * (3 if sep < 0.7 else 1), "k int, id int")
+    anchors = lambda sep, clear, left: spark.createDataFrame([(0, 1)] * 3 + [(1, 1)] * (3 if sep < 0.7 else 1), "k int, id int")
     found = {r.k: (r.step, round(r.sep, 3), round(r.clearance, 3), r.got) for r in planning.density_targets(anchors, scenes, "k", 3, 1.0, 0.25).collect()}
     assert found == {0: (1, 0.8, 0.2, 3), 1: (2, 0.64, 0.18, 3), 2: (3, 0.6, 0.18, 0)}
 
@@ -202,3 +202,44 @@ def test_overlay_order():
     assert (found.n_views, found.cov_offsets_deg, found.n_anchors) == (90, [0, 20], 16)
     with pytest.raises(ValueError):
         config.overlay(config.Coverage(), {"nope": 1}, {})
+
+
+def test_folds_over_ranges(spark):
+    """Paths that span many ranges, with nulls and one that never comes within the limit, against plain loops."""
+    import random
+
+    wrap = lambda a: (a + math.pi) % (2 * math.pi) - math.pi
+    rng = random.Random(4)
+    rows, yaw = [], 0.0
+    for i in range(4000):
+        yaw = wrap(yaw + rng.gauss(0, 0.3))
+        rows.append((1, i, None if i in (7, 2500) else yaw))
+    rows += [(2, i, wrap(2.0 * i)) for i in range(500)] + [(3, 0, 1.0), (4, 0, None)]
+    df = spark.createDataFrame(rows, "k int, seq long, yaw double").repartition(3)
+    small = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        limited = {(r.k, r.seq): r.yaw for r in sequence.rate_limited(df, 12.0, "k").collect()}
+        smooth = {(r.k, r.seq): r.yaw for r in sequence.smoothed(df, 8.0, 0.4, "k").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", small)
+    assert len(limited) == len(smooth) == len(rows)
+    most, soft = math.radians(12.0), math.radians(8.0)
+    for k in range(1, 5):
+        last = now = even = None
+        for _, i, yaw in (r for r in rows if r[0] == k):
+            if yaw is None:
+                last = even = None
+                assert limited[k, i] is None and smooth[k, i] is None
+                continue
+            if last is None:
+                unwrapped = now = even = yaw
+            else:
+                step = yaw - last
+                unwrapped += step if abs(step) < math.pi else wrap(step)
+                now += min(max(unwrapped - now, -most), most)
+                turn = math.atan2(math.sin(yaw - even), math.cos(yaw - even))
+                even = wrap(even + 0.4 * min(max(turn, -soft), soft))
+            last = yaw
+            assert math.isclose(math.cos(limited[k, i] - now), 1.0, abs_tol=1e-9)
+            assert math.isclose(math.cos(smooth[k, i] - even), 1.0, abs_tol=1e-9)
