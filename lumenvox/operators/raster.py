@@ -92,6 +92,69 @@ def openness(tiles: DataFrame, key: str, width: int, share: float) -> DataFrame:
     return stats.select(key, F.coalesce(F.col("median") * (0.5 + 0.5 * F.col("share")), F.lit(0.0)).alias("score"))
 
 
+#: The ring of a corner test, clockwise from the top, and how many of its pixels in a row have to differ.
+RING = ((0, -3), (1, -3), (2, -2), (3, -1), (3, 0), (3, 1), (2, 2), (1, 3), (0, 3), (-1, 3), (-2, 2), (-3, 1), (-3, 0), (-3, -1), (-2, -2), (-1, -3))
+ARC, MOST_KEYPOINTS = 9, 2000
+
+
+def corner_scores(tiles: DataFrame, key: str, value: str) -> DataFrame:
+    """key, u, v, score: the largest difference by which ARC pixels in a row of the ring around a pixel are all brighter, or all darker, than it.
+
+    Rasters are dense. Pixels within three of the border have no whole ring and no row. Rows of the ring come from one window along
+    each row and one along each column, both within a raster, so the table is dealt out by ``key`` once.
+    """
+    row, column = Window.partitionBy(key, "v").orderBy("u"), Window.partitionBy(key, "u").orderBy("v")
+    moved = lambda c, by, w: F.col(c) if by == 0 else F.lead(c, by).over(w) if by > 0 else F.lag(c, -by).over(w)
+    df = tiles.select(key, "u", "v", F.col(value).cast("double").alias("s0")).repartition(key)
+    df = df.withColumns({f"s{du}": moved("s0", du, row) for du in range(-3, 4) if du})
+    ring = {f"r{i}": moved(f"s{du}", dv, column) - F.col("s0") for i, (du, dv) in enumerate(RING)}
+    df = df.select(key, "u", "v", *[c.alias(n) for n, c in ring.items()])
+    df = df.filter(F.coalesce(*[F.when(F.col(n).isNull(), F.lit(False)) for n in ring], F.lit(True)))
+    arcs = [[F.col(f"r{(i + k) % len(RING)}") for k in range(ARC)] for i in range(len(RING))]
+    return df.select(key, "u", "v", F.greatest(*[F.least(*a) for a in arcs], *[-F.greatest(*a) for a in arcs]).alias("score"))
+
+
+def corners(tiles: DataFrame, key: str, value: str, threshold: float, most: int = MOST_KEYPOINTS) -> DataFrame:
+    """Keypoints: key, u, v, score of the pixels with a score above ``threshold`` and above those of all eight neighbours.
+
+    Of a raster with more than ``most`` the best ones, on ties those further up and left.
+    """
+    row, column = Window.partitionBy(key, "v").orderBy("u"), Window.partitionBy(key, "u").orderBy("v")
+    df = corner_scores(tiles, key, value).withColumn("c", F.when(F.col("score") > threshold, F.col("score")).otherwise(F.lit(0.0)))
+    df = df.withColumns({"left": F.lag("c").over(row), "right": F.lead("c").over(row)})
+    sides = F.greatest(F.coalesce("left", F.lit(0.0)), F.coalesce("right", F.lit(0.0)))
+    df = df.withColumn("sides", sides).withColumn("three", F.greatest("c", "sides"))
+    best = F.greatest("sides", F.coalesce(F.lag("three").over(column), F.lit(0.0)), F.coalesce(F.lead("three").over(column), F.lit(0.0)))
+    df = df.withColumn("best", best).filter((F.col("c") > 0) & (F.col("c") > F.col("best")))
+    ranked = df.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "v", "u")))
+    return ranked.filter(F.col("nth") <= most).select(key, "u", "v", "score")
+
+
+def keypoint_stats(found: DataFrame, rasters: DataFrame, key: str, width: int, height: int, nx: int, ny: int, least: int) -> DataFrame:
+    """key, n_keypoints and thin_cells, the cells of an nx x ny grid with fewer than ``least`` of them, for every key of ``rasters``."""
+    cell = F.floor(F.col("v") * ny / height) * nx + F.floor(F.col("u") * nx / width)
+    counts = found.groupBy(key, cell.alias("cell")).agg(F.count("*").alias("n"))
+    sums = counts.groupBy(key).agg(F.sum("n").alias("n"), F.count_if(F.col("n") >= least).alias("full"))
+    whole = rasters.select(key).distinct().join(sums, key, "left")
+    return whole.select(key, F.coalesce("n", F.lit(0)).alias("n_keypoints"), (F.lit(nx * ny) - F.coalesce("full", F.lit(0))).alias("thin_cells"))
+
+
+def view_gate(tiles: DataFrame, key: str, s: int, width: int, height: int, f: float, limits: dict[str, float], threshold: float, grid: tuple[int, int] = (4, 4), least: int = 5, least_normals: int = LEAST_NORMALS) -> DataFrame:
+    """The whole gate of a rendered view: its numbers and ``reason``, the first gate of ``limits`` that it fails, null if it passes.
+
+    ``tiles`` has key, u, v, depth and value of dense rasters. Depth is pooled by the smallest, value by the mean of s x s blocks; normals, gradient
+    and keypoints are those of the pooled rasters. Intrinsics are those of a centred camera.
+    """
+    w, h = width // s, height // s
+    values = area_pool(tiles, key, s, "value").filter((F.col("u") < w) & (F.col("v") < h))
+    small = min_pool(tiles, key, s, width, height).join(values, [key, "u", "v"]).repartition(key)
+    found = normals(small, key, w, h, f, w / 2, h / 2)
+    points = keypoint_stats(corners(small, key, "value", threshold), small, key, w, h, *grid, least)
+    stats = depth_stats(small, key).join(normal_dispersion(found, key, least_normals), key).join(sobel_strength(small, key, "value"), key).join(points, key)
+    exact = stats.withColumns({c: F.round(c, 9) for c in ("valid_frac", "mean", "std", "disp", "grad_mean")})
+    return exact.withColumn("reason", first_failure(exact, limits))
+
+
 def first_failure(stats: DataFrame, limits: dict[str, float]) -> Column:
     """Name of the first quality gate that a view fails, null if it passes all. Equality passes.
 

@@ -142,6 +142,21 @@ def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
     return stats.select("vec_id", raster.first_failure(stats, limits).alias("reason"))
 
 
+def keypoints(spark: SparkSession, sf: str) -> DataFrame:
+    """Keypoints of the mosaics with their scores."""
+    return raster.corners(tables.mosaics(spark, sf), "view", "value", 0.02).select("view", "u", "v", *rounding("score"))
+
+
+#: Limits of the gates for the given rasters, in the order in which they apply.
+GATES = {"valid_frac": 0.5, "samples": 500, "mean_depth": 0.551, "rel_std": 0.1, "dispersion": 0.05, "gradient": 0.315, "keypoints": 71, "cells": 5}
+
+
+def view_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """All eight gates over the mosaics, pooled to 32 x 32."""
+    found = raster.view_gate(tables.mosaics(spark, sf), "view", 2, tables.MOSAIC, tables.MOSAIC, 32.0, GATES, 0.01, least=1)
+    return found.select("view", "reason", "n_valid", "n_keypoints", "thin_cells", *rounding("mean", "disp", "grad_mean"))
+
+
 def grid_coverage(spark: SparkSession, sf: str) -> DataFrame:
     bulk = _bulk(spark, sf)
     counts = raster.grid_counts(bulk, F.col("x"), F.col("y"), 8, 8)
@@ -327,7 +342,42 @@ _TRIPOD = "trip AS (" + " UNION ALL ".join(
     for a in range(3)
 ) + ")"
 
+_MOSAIC = f"""{sql.TILE}, mo AS MATERIALIZED (SELECT w.view, w.u, w.v, t.depth, coalesce(t.val, 0) AS val FROM (SELECT DISTINCT vec_id // 64 AS view, i % 64 AS u, i // 64 AS v FROM embeddings, range(4096) r(i)) w
+LEFT JOIN tile t ON t.vec_id = w.view * 64 + (w.v // 8) * 8 + w.u // 8 AND t.u = w.u % 8 AND t.v = w.v % 8)"""
+
+
+def _corners_sql(src: str, out: str, threshold: float) -> str:
+    """Keypoints of the dense rasters ``src`` (view, u, v, val)."""
+    ring = ", ".join(f"({i}, {du}, {dv})" for i, (du, dv) in enumerate(raster.RING))
+    return f"""{out}r AS MATERIALIZED (SELECT c.view, c.u, c.v, list(n.val - c.val ORDER BY i) AS d FROM {src} c, (VALUES {ring}) r(i, du, dv) JOIN {src} n ON n.view = c.view AND n.u = c.u + du AND n.v = c.v + dv GROUP BY c.view, c.u, c.v HAVING count(*) = 16),
+{out}s AS MATERIALIZED (SELECT view, u, v, greatest(list_max(list_transform(range(16), lambda i: list_min(list_concat(d, d)[i + 1 : i + 9]))), -list_min(list_transform(range(16), lambda i: list_max(list_concat(d, d)[i + 1 : i + 9])))) AS score FROM {out}r),
+{out} AS (SELECT view, u, v, score FROM {out}s c WHERE score > {threshold} AND NOT EXISTS (SELECT 1 FROM {out}s n WHERE n.view = c.view AND abs(n.u - c.u) <= 1 AND abs(n.v - c.v) <= 1 AND (n.u <> c.u OR n.v <> c.v) AND n.score >= c.score)
+  QUALIFY row_number() OVER (PARTITION BY view ORDER BY score DESC, v, u) <= 2000)"""
+
+
+def _near(c: str, along: str, at: str) -> str:
+    return f"CASE WHEN {at} = 0 THEN lead({c}) OVER {along} - {c} WHEN {at} = 31 THEN {c} - lag({c}) OVER {along} ELSE (lead({c}) OVER {along} - lag({c}) OVER {along}) / 2 END"
+
+
+_GATE = f"""WITH {_MOSAIC}, sm AS MATERIALIZED (SELECT view, u // 2 AS u, v // 2 AS v, min(depth) AS depth, avg(val) AS val FROM mo GROUP BY view, u // 2, v // 2),
+{_corners_sql('sm', 'kp', 0.01)},
+ce AS (SELECT view, count(*) AS n FROM kp GROUP BY view, u * 4 // 32, v * 4 // 32), ks AS (SELECT view, sum(n) AS n_keypoints, count(*) AS full_cells FROM ce GROUP BY view),
+g0 AS (SELECT view, u, v, (u - 16) * depth / 32 AS x, (v - 16) * depth / 32 AS y, depth AS z FROM sm),
+g1 AS (SELECT view, u, v, {", ".join(f"{_near(c, 'a', 'u')} AS {c}u, {_near(c, 'b', 'v')} AS {c}v" for c in "xyz")} FROM g0 WINDOW a AS (PARTITION BY view, v ORDER BY u), b AS (PARTITION BY view, u ORDER BY v)),
+g2 AS (SELECT view, yu*zv - zu*yv AS nx, zu*xv - xu*zv AS ny, xu*yv - yu*xv AS nz FROM g1), g3 AS (SELECT view, {", ".join(f"{c} / (sqrt(nx*nx+ny*ny+nz*nz) + 1e-6) AS {c}" for c in ("nx", "ny", "nz"))} FROM g2),
+di AS (SELECT view, CASE WHEN count(nx) < 1000 THEN 0 ELSE 1 - sqrt({" + ".join(f"power(avg({c} / (sqrt(nx*nx+ny*ny+nz*nz) + 1e-6)), 2)" for c in ("nx", "ny", "nz"))}) END AS disp FROM g3 GROUP BY view),
+s1 AS (SELECT *, coalesce(lead(val) OVER w, lag(val) OVER w) - coalesce(lag(val) OVER w, lead(val) OVER w) AS a, coalesce(lead(val) OVER w, lag(val) OVER w) + coalesce(lag(val) OVER w, lead(val) OVER w) + 2 * val AS b FROM sm WINDOW w AS (PARTITION BY view, v ORDER BY u)),
+s2 AS (SELECT view, depth, abs(coalesce(lead(a) OVER h, lag(a) OVER h) + coalesce(lag(a) OVER h, lead(a) OVER h) + 2 * a) + abs(coalesce(lead(b) OVER h, lag(b) OVER h) - coalesce(lag(b) OVER h, lead(b) OVER h)) AS g FROM s1 WINDOW h AS (PARTITION BY view, u ORDER BY v)),
+gr AS (SELECT view, round(coalesce(avg(g) FILTER (WHERE depth > 0), 0), 9) AS grad_mean FROM s2 GROUP BY view),
+st AS (SELECT view, count(depth) AS n_valid, round(count(depth) / count(*), 9) AS valid_frac, round(avg(depth), 9) AS mean, round(stddev_pop(depth), 9) AS std FROM sm GROUP BY view),
+al AS (SELECT st.*, round(disp, 9) AS disp, grad_mean, coalesce(n_keypoints, 0)::BIGINT AS n_keypoints, 16 - coalesce(full_cells, 0) AS thin_cells FROM st JOIN di USING (view) JOIN gr USING (view) LEFT JOIN ks USING (view))
+SELECT view, CASE WHEN valid_frac < {GATES["valid_frac"]} THEN 'valid_frac' WHEN n_valid < {GATES["samples"]} THEN 'samples' WHEN mean < {GATES["mean_depth"]} THEN 'mean_depth' WHEN std / greatest(mean, 1e-6) < {GATES["rel_std"]} THEN 'rel_std'
+  WHEN disp < {GATES["dispersion"]} THEN 'dispersion' WHEN grad_mean < {GATES["gradient"]} THEN 'gradient' WHEN n_keypoints < {GATES["keypoints"]} THEN 'keypoints' WHEN thin_cells > {GATES["cells"]} THEN 'cells' END AS reason,
+  n_valid, n_keypoints, thin_cells, {sql.rounded('mean', 'disp', 'grad_mean')} FROM al"""
+
 QUERIES = {
+    "keypoints": (keypoints, f"WITH {_MOSAIC}, {_corners_sql('mo', 'kp', 0.02)} SELECT view, u, v, {sql.rounded('score')} FROM kp"),
+    "view_gate": (view_gate, _GATE),
     "voxel_fuse": (voxel_fuse, f"WITH {sql.PTS} {_fused_sql(3)}"),
     "voxel_fuse_partial_final": (voxel_fuse_partial_final, f"WITH {sql.PTS} {_fused_sql(3)}"),
     "voxel_fuse_bulk": (voxel_fuse_bulk, "WITH bulk AS (SELECT l_quantity/51 AS x, l_discount/0.11::DOUBLE AS y, l_extendedprice/105000 AS z, floor(l_quantity)::INT AS r, floor(l_quantity)::INT AS g, floor(l_quantity)::INT AS b FROM lineitem) " + _fused_sql(3, "0.125", "bulk")),

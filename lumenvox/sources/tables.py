@@ -45,6 +45,19 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels.select("vec_id", "label", (F.col("i") % TILE).alias("u"), F.expr(f"int(i div {TILE})").alias("v"), F.when(depth > 0, depth).alias("depth"), F.col("value").cast("double").alias("value"))
 
 
+MOSAIC = 64
+
+
+def mosaics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """view, u, v, depth, value of dense 64 x 64 rasters of 64 tiles each; where tiles lack, depth is null and value 0."""
+    side = MOSAIC // TILE
+    nth = F.col("vec_id") % (side * side)
+    placed = tiles(spark, sf_dir).select(F.expr(f"vec_id div {side * side}").alias("view"), ((nth % side) * TILE + F.col("u")).alias("u"), (F.floor(nth / side) * TILE + F.col("v")).alias("v"), "depth", "value")
+    grid = spark.range(MOSAIC * MOSAIC).select((F.col("id") % MOSAIC).alias("u"), F.floor(F.col("id") / MOSAIC).alias("v"))
+    whole = placed.select("view").distinct().join(F.broadcast(grid))  # each raster's pixels
+    return whole.join(placed, ["view", "u", "v"], "left").select("view", "u", "v", "depth", F.coalesce("value", F.lit(0.0)).alias("value"))
+
+
 def path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """path_id, seq, vec_id, x, y, z: the points of a view in order."""
     from pyspark.sql import Window

@@ -243,3 +243,31 @@ def test_folds_over_ranges(spark):
             last = yaw
             assert math.isclose(math.cos(limited[k, i] - now), 1.0, abs_tol=1e-9)
             assert math.isclose(math.cos(smooth[k, i] - even), 1.0, abs_tol=1e-9)
+
+
+def test_corners(spark):
+    """Corner scores and keypoints against a plain loop, ties and flat rasters included."""
+    import random
+
+    rng = random.Random(3)
+    width, height = 14, 11
+    images = {0: [[rng.randint(0, 9) for _ in range(width)] for _ in range(height)], 1: [[5] * width for _ in range(height)], 2: [[9 if u < 7 and v < 6 else 0 for u in range(width)] for v in range(height)]}
+    tiles = spark.createDataFrame([(k, u, v, float(x)) for k, rows in images.items() for v, row in enumerate(rows) for u, x in enumerate(row)], "k int, u int, v int, value double")
+    score = {}
+    for k, g in images.items():
+        for v in range(3, height - 3):
+            for u in range(3, width - 3):
+                d = [g[v + dv][u + du] - g[v][u] for du, dv in raster.RING]
+                arcs = [[d[(i + j) % 16] for j in range(9)] for i in range(16)]
+                score[k, u, v] = max(max(map(min, arcs)), -min(map(max, arcs)))
+    assert {(r.k, r.u, r.v): r.score for r in raster.corner_scores(tiles, "k", "value").collect()} == score
+    for t in (0.5, 3.0):
+        best = {p: s for p, s in score.items() if s > t and all(not (s <= (o := score.get((p[0], p[1] + a, p[2] + b), 0)) and o > t) for a in (-1, 0, 1) for b in (-1, 0, 1) if a or b)}
+        found = raster.corners(tiles, "k", "value", t)
+        assert {(r.k, r.u, r.v): r.score for r in found.collect()} == best
+        few = raster.corners(tiles, "k", "value", t, most=1)
+        assert few.count() == len({p[0] for p in best})
+        stats = {r.k: (r.n_keypoints, r.thin_cells) for r in raster.keypoint_stats(found, tiles, "k", width, height, 2, 2, 1).collect()}
+        for k in images:
+            own = [p for p in best if p[0] == k]
+            assert stats[k] == (len(own), 4 - len({(p[1] * 2 // width, p[2] * 2 // height) for p in own}))
