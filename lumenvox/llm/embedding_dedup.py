@@ -21,8 +21,9 @@ from lumenvox.llm.common import cut, lookup
 from lumenvox.llm.components import components
 from lumenvox.llm.unions import merge
 
-#: Vectors that the centroids are fitted on: about FIT_ROWS, or SAMPLE_PER_CELL for each cell if that is more; all vectors are assigned and compared.
-FIT_ROWS, SAMPLE_PER_CELL = 20_000, 16
+#: Vectors that the centroids are fitted on by the driver, about, and cells that it fits at most. More cells are fitted in two steps, the second one
+#: by tasks, on SAMPLE_PER_CELL vectors for each cell. All vectors are assigned and compared.
+FIT_ROWS, FIT_CELLS, SAMPLE_PER_CELL = 20_000, 256, 16
 #: Vectors of a label wanted in a cell, while that needs no more cells than the square root of their number.
 CELL_ROWS = 2048
 #: Rows of one block; a cell with more is compared block by block, and a row is sent once for each of them.
@@ -54,7 +55,7 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) ->
         nearest = np.maximum(nearest, x @ x[chosen[-1]])
     centroids = x[chosen].copy()
     for _ in range(rounds):
-        home = (x @ centroids.T).argmax(axis=1)
+        home = np.concatenate([(x[at : at + 4096] @ centroids.T).argmax(axis=1) for at in range(0, len(x), 4096)])
         sums = np.zeros_like(centroids)
         np.add.at(sums, home, x)
         norms = np.linalg.norm(sums, axis=1)
@@ -72,6 +73,42 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten()).astype(np.float64).reshape(len(column), dim)
 
 
+def _sampled(nodes: DataFrame, dim: int, share: float) -> DataFrame:
+    """Vectors of a length, a share of them by hash."""
+    return nodes.filter((F.size("vector") == dim) & (F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30)))).select("node", "vector")
+
+
+def fitted(nodes: DataFrame, dim: int, total: int, k: int, fit_rows: int = FIT_ROWS, fit_cells: int = FIT_CELLS) -> np.ndarray | None:
+    """About ``k`` centroids of the ``total`` vectors of a length; None where the sample is empty.
+
+    The driver fits ``fit_cells`` cells at most, on about ``fit_rows`` vectors, so what it holds besides the centroids is bounded. For more, it
+    fits the square root of k, and tasks fit as many again in each of these.
+    """
+    coarse = k if k <= fit_cells else int(np.ceil(np.sqrt(k)))
+    rows = _sampled(nodes, dim, fit_rows / total).toArrow().combine_chunks().sort_by("node")
+    if not rows.num_rows:
+        return None
+    centroids = spherical_kmeans(_unit(_matrix(rows.column("vector").combine_chunks(), dim)), coarse)
+    if coarse == k:
+        return centroids
+
+    def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _unit(_matrix(b.column("vector"), dim))
+            home = np.concatenate([(x[at : at + 4096] @ centroids.T).argmax(axis=1) for at in range(0, len(x), 4096)]) if len(x) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(home, pa.int64()), b.column("node"), pa.array([v.tobytes() for v in x], pa.binary())], ["cell", "node", "vector"])
+
+    def fine(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("node")
+        x = np.frombuffer(b"".join(v.as_py() for v in rows.column("vector")), np.float64).reshape(rows.num_rows, dim)
+        found = [c.tobytes() for c in spherical_kmeans(x, -(-k // coarse))]
+        return pa.table({"cell": pa.array([rows.column("cell")[0].as_py()] * len(found), pa.int64()), "centroid": pa.array(found, pa.binary())})
+
+    dealt = _sampled(nodes, dim, max(fit_rows, SAMPLE_PER_CELL * k) / total).mapInArrow(at_home, "cell long, node long, vector binary")
+    found = dealt.groupBy("cell").applyInArrow(fine, "cell long, centroid binary").orderBy("cell", "centroid").collect()
+    return np.stack([np.frombuffer(r["centroid"], np.float64) for r in found])
+
+
 def _assigned(centroids: dict[int, np.ndarray], threshold: float):
     """mapInArrow function: a row at home and one for each cell that the vector visits."""
     reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + _SLACK
@@ -137,23 +174,18 @@ def _compared(threshold: float):
     return run
 
 
-def embedding_links(nodes: DataFrame, threshold: float, fit_rows: int = FIT_ROWS, cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def embedding_links(nodes: DataFrame, threshold: float, fit_rows: int = FIT_ROWS, fit_cells: int = FIT_CELLS, cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Links of distinct vectors (node, label, vector, copies): node, links, root; a node can have several rows.
 
     ``links`` counts linked vectors with their copies; the roots connect what is linked.
     """
-    spark = nodes.sparkSession
     sizes = nodes.groupBy(F.size("vector").alias("dim"), "label").agg(F.count("*").alias("n"))
     largest = {r.dim: (r.n, r.total) for r in sizes.groupBy("dim").agg(F.max("n").alias("n"), F.sum("n").alias("total")).collect()}
     centroids: dict[int, np.ndarray] = {}
     for dim, (n, total) in largest.items():
         k = cells_for(n, cell_rows)
-        if k > 1:
-            share = min(1.0, max(fit_rows, SAMPLE_PER_CELL * k) / total)
-            sample = nodes.filter((F.size("vector") == dim) & (F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) < int(share * (1 << 30)))).select("node", "vector")
-            rows = sample.toArrow().combine_chunks().sort_by("node")
-            if rows.num_rows:
-                centroids[dim] = spherical_kmeans(_unit(_matrix(rows.column("vector").combine_chunks(), dim)), k)
+        if k > 1 and (found := fitted(nodes, dim, total, k, fit_rows, fit_cells)) is not None:
+            centroids[dim] = found
     dealt = cut(nodes.mapInArrow(_assigned(centroids, threshold), "cell string, node long, copies long, home boolean, vector binary"))
     cells = cut(dealt.groupBy("cell").agg(F.count("*").alias("rows")))
     dealt = lookup(dealt, "cell", cells, "rows", F.col("node")).withColumn("blocks", F.ceil(F.col("rows") / block_rows).cast("int"))

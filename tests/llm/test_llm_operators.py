@@ -195,8 +195,9 @@ def test_embeddings_over_several_cells_and_blocks(spark):
         if (low == component).all():
             break
         component = low
-    found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_duplicates(df, cell_rows=30, block_rows=16).collect()}
-    assert found == {i: (int(near[i].sum()), int(component[i])) for i in range(len(x))}
+    for sizes in ({"cell_rows": 30, "block_rows": 16}, {"cell_rows": 12, "fit_cells": 4}):  # the second fits cells in two steps
+        found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_duplicates(df, **sizes).collect()}
+        assert found == {i: (int(near[i].sum()), int(component[i])) for i in range(len(x))}
 
 
 def removed(texts: dict[int, bytes]) -> dict[int, list[bool]]:
