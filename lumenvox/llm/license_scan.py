@@ -47,7 +47,8 @@ TEMPLATES = (
     Template("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies", ("for any purpose with or without fee",)),
     Template("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at", ("mozilla public license",)),
     Template("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("creative commons attribution",)),
-    Template("cc-by", "Licensed under CC BY 4.0", ("under cc by",)),
+    Template("cc-by", "Licensed under CC BY 4.0", ("cc by 4",)),
+    Template("cc-by", "Licensed under CC BY 3.0", ("cc by 3",)),
     Template("cc-by-nc", "Licensed under CC BY-NC 4.0", ("cc by nc",)),
     Template("cc-by-sa", "Licensed under CC BY-SA 4.0", ("cc by sa",)),
     Template("unlicense", "This is free and unencumbered software released into the public domain", ("released into the public domain",)),
@@ -107,9 +108,15 @@ def _template_index(templates: tuple[Template, ...], phrases: list[str], weights
     return F.array(*items)
 
 
-def _at(wanted: Column) -> Column:
-    """(word, i) of each word that is wanted."""
-    return F.filter(F.transform("_words", lambda w, i: F.struct(w.alias("word"), i.cast("long").alias("i"))), lambda x: F.array_contains(wanted, x["word"]))
+def _found_at(df: DataFrame, name: str, wanted: Column) -> DataFrame:
+    """Adds ``name``: (word, i) of each word that is wanted.
+
+    What is wanted is a column that is used twice, so that it is computed once for a document and not for each of its words.
+    """
+    df = df.withColumn("_wanted", wanted)
+    every = F.transform("_words", lambda w, i: F.struct(w.alias("word"), i.cast("long").alias("i")))
+    some = F.filter(every, lambda x: F.array_contains(F.col("_wanted"), x["word"]))
+    return df.withColumn(name, F.when(F.size("_wanted") > 0, some).otherwise(F.array().cast("array<struct<word:string,i:bigint>>")))
 
 
 def _places(at: Column, word: Column) -> Column:
@@ -148,7 +155,7 @@ def license_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     df = df.withColumn("_possible", possible)
     none = lambda kind: F.array().cast(f"array<{kind}>")
     some = F.size("_possible") > 0
-    df = df.withColumn("_at", F.when(some, _at(F.flatten(F.transform("_possible", lambda p: p["words"])))).otherwise(none("struct<word:string,i:bigint>")))
+    df = _found_at(df, "_at", F.array_distinct(F.flatten(F.transform("_possible", lambda p: p["words"]))))
 
     def begins(p: Column) -> Column:
         of = lambda c: F.transform(_places(F.col("_at"), c["word"]), lambda i: i - c["place"])
@@ -166,7 +173,7 @@ def license_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     open_ = F.filter(template_index, lambda t: F.forall(t["keys"], lambda k: F.array_contains(ids, k["id"])))
     df = df.withColumn("_open", F.when(F.size("_phrases") > 0, open_).otherwise(F.filter(template_index, lambda t: F.lit(False))))
     wanted = F.array_intersect("_held", F.flatten(F.transform("_open", lambda t: F.transform(F.slice(F.filter(t["cells"], lambda c: F.array_contains(F.col("_held"), c["word"])), 1, rare), lambda c: c["word"]))))
-    df = df.withColumn("_near", F.when(F.size("_open") > 0, _at(wanted)).otherwise(none("struct<word:string,i:bigint>")))
+    df = _found_at(df, "_near", F.when(F.size("_open") > 0, wanted).otherwise(none("string")))
     votes = F.transform("_open", lambda t: F.struct(t["label"].alias("label"), t["full"].alias("full"), F.size(t["keys"]).alias("n_keys"), _votes(t, F.col("_near"), rare).alias("votes")))
     rows = cut(df.select(F.monotonically_increasing_id().alias("_row"), "doc_id", n_words, "base", votes.alias("_templates")))
     # beginnings within ``slack`` words share a window of twice as many, which begins at a multiple of it
