@@ -320,3 +320,25 @@ def farthest_anchors(candidates: DataFrame, links: DataFrame, key: str, radius:
         return {"ord": np.arange(len(picks)), "id": scene.ids[picks] if picks else [], "radius": used}
 
     return _by_scene(candidates.select(key, "id", "anchor", "fits", "draw"), links, key, work, "ord long, id long, radius double")
+
+
+def pair_ways(candidates: DataFrame, links: DataFrame, key: str, most_points: int = 512, budget: int = 1024) -> DataFrame:
+    """Lengths of the shortest ways between pairs of drawn points of each scene: key, pair, src, dst, d; d is null where there is no way.
+
+    ``candidates`` has key, id and draw. The first ``most_points`` by draw are paired by fixed strides, ``budget`` pairs and four for each
+    point at most; a point is not paired with itself. Ways are found from one source after the other and not kept.
+    """
+
+    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+        drawn = np.lexsort((g["id"].to_numpy(), g["draw"].to_numpy()))[:most_points]
+        n = len(drawn)
+        k = np.arange(min(budget, 4 * n))
+        a, b = drawn[k * 7919 % n], drawn[(k * 104729 + 3) % n]
+        k, a, b = k[a != b], a[a != b], b[a != b]
+        d = np.full(len(k), np.nan)
+        for i in np.unique(a):
+            d[a == i] = scene.ways(int(i))[b[a == i]]
+            scene.known.clear()
+        return {"pair": k, "src": scene.ids[a], "dst": scene.ids[b], "d": [float(x) if np.isfinite(x) else None for x in d]}
+
+    return _by_scene(candidates.select(key, "id", "draw"), links, key, work, "pair long, src long, dst long, d double")

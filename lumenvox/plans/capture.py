@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenvox.functions import colours
 from lumenvox.functions import geometry as G
 from lumenvox.functions.angles import blend, wrap
 from lumenvox.functions.draws import normal_draw
@@ -119,6 +120,11 @@ def colorize_depth(spark: SparkSession, sf: str) -> DataFrame:
     return tiles.join(q, "vec_id").select("vec_id", "u", "v", F.floor(F.least(F.greatest(1 - level, F.lit(0.0)), F.lit(1.0)) * 255 + 1e-6).cast("int").alias("level"))
 
 
+def colorize_depth_live(spark: SparkSession, sf: str) -> DataFrame:
+    """Colours of 1 - 1 / depth as it is, without a stretch; pixels without depth are black."""
+    return colours.coloured(tables.tiles(spark, sf), 1 - 1 / F.col("depth")).select("vec_id", "u", "v", "r", "g", "b")
+
+
 def openness_score(spark: SparkSession, sf: str) -> DataFrame:
     return raster.openness(tables.tiles(spark, sf), "vec_id", tables.TILE, 0.5).select("vec_id", *rounding("score"))
 
@@ -375,7 +381,18 @@ SELECT view, CASE WHEN valid_frac < {GATES["valid_frac"]} THEN 'valid_frac' WHEN
   WHEN disp < {GATES["dispersion"]} THEN 'dispersion' WHEN grad_mean < {GATES["gradient"]} THEN 'gradient' WHEN n_keypoints < {GATES["keypoints"]} THEN 'keypoints' WHEN thin_cells > {GATES["cells"]} THEN 'cells' END AS reason,
   n_valid, n_keypoints, thin_cells, {sql.rounded('mean', 'disp', 'grad_mean')} FROM al"""
 
+def _channel_sql(k: int, name: str) -> str:
+    stops = [float(s[k]) for s in colours.SPECTRAL]
+    return f"floor({stops}[k + 1] + ({stops}[k + 2] - {stops}[k + 1]) * (p - k) + 1e-6)::INT AS {name}"
+
+
+_LUT = f"lut AS (SELECT i AS level, {', '.join(_channel_sql(k, c) for k, c in enumerate('rgb'))} FROM (SELECT i, i * 10 / 255 AS p, least(floor(i * 10 / 255), 9)::INT AS k FROM range(256) t(i)))"
+
 QUERIES = {
+    "colorize_depth_live": (
+        colorize_depth_live,
+        f"WITH {sql.TILE}, {_LUT} SELECT vec_id, u, v, coalesce(r, 0) AS r, coalesce(g, 0) AS g, coalesce(b, 0) AS b FROM tile LEFT JOIN lut ON level = least(greatest(floor((1 - 1 / depth) * 256), 0), 255)",
+    ),
     "keypoints": (keypoints, f"WITH {_MOSAIC}, {_corners_sql('mo', 'kp', 0.02)} SELECT view, u, v, {sql.rounded('score')} FROM kp"),
     "view_gate": (view_gate, _GATE),
     "voxel_fuse": (voxel_fuse, f"WITH {sql.PTS} {_fused_sql(3)}"),

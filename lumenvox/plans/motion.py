@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenvox.functions.angles import clamp, shortest, towards, wrap
 from lumenvox.operators import graph, planning, sequence, spatial
-from lumenvox.plans import selection_sql, sql
+from lumenvox.plans import capture, selection_sql, sql
 from lumenvox.plans.common import rounded, rounding
 from lumenvox.sources import config, scenes, tables
 
@@ -485,6 +485,103 @@ def profile_overlay(spark: SparkSession, sf: str) -> DataFrame:
     return tables.table(spark, sf, "customer").select("c_custkey", config.overlay_column(given, profile, F.lit("default")).alias("setting"))
 
 
+def manifest_preference(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifest of each data set that has one, the smaller one before the full one."""
+    parts = tables.table(spark, sf, "part").select("p_partkey", scenes.scan_manifest(F.col("p_partkey") % 3 == 0, F.col("p_partkey") % 2 == 0).alias("manifest"))
+    return parts.filter("manifest is not null")
+
+
+def scene_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts written into a folder for each scene, and the folders found again with their short names."""
+    from lumenvox.operators.common import shared_path
+
+    root = shared_path(spark, "scenes")
+    token = F.format_string("%05d-size", F.col("p_size").cast("int"))
+    parts = tables.table(spark, sf, "part").select("p_partkey", token.alias("scene"))
+    parts.repartition("scene").write.partitionBy("scene").parquet(root)
+    found = scenes.listed(spark, root).withColumn("token", F.regexp_replace("token", "^scene=", ""))
+    return found.select("token", scenes.short_id(F.col("token")).alias("short"), (F.col("files") > 0).alias("there"))
+
+
+def frame_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Points written frame by frame and read back: rows and sums of each frame."""
+    from lumenvox.operators.common import shared_path
+    from lumenvox.sources import sinks
+
+    path = shared_path(spark, "outputs")
+    sinks.write_points(tables.points(spark, sf).withColumnRenamed("view", "frame"), path)
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("frame").cast("int").alias("frame")).agg(F.count("*").alias("n"), F.sum("r").alias("r"), F.min("vec_id").alias("first"), rounded(F.max("x")).alias("x"))
+
+
+def intrinsics_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Intrinsics written as JSON records and read back."""
+    from lumenvox.operators.common import shared_path
+    from lumenvox.sources import sinks
+
+    path, found = shared_path(spark, "intrinsics"), capture.intrinsics(spark, sf)
+    sinks.write_records(found, path, "p_partkey")
+    return spark.read.schema(found.schema).json(path)
+
+
+def capture_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """The mode of each accepted view, written as JSON records and read back."""
+    from lumenvox.operators.common import shared_path
+    from lumenvox.sources import sinks
+
+    path, found = shared_path(spark, "modes"), capture_schedule(spark, sf).select("scene", "idx", F.col("phase").alias("mode"))
+    sinks.write_records(found, path, "scene")
+    return spark.read.schema(found.schema).json(path)
+
+
+def ply_clipped(spark: SparkSession, sf: str) -> DataFrame:
+    """Points with colours beyond 0 to 255 written to PLY files, and read back clipped."""
+    from lumenvox.operators.common import shared_path
+    from lumenvox.sources import ply
+
+    path = shared_path(spark, "ply")
+    pts = tables.points(spark, sf)
+    ply.write_ply(pts.select("x", "y", "z", (F.col("r") * 3 - 200).alias("red"), (F.col("g") * 2).alias("green"), (F.col("b") - 128).alias("blue")), path)
+    return ply.read_ply(spark, path).select(*[rounded(F.col(c).cast("double"), 5).alias(c) for c in "xyz"], *[F.col(c).cast("int").alias(c) for c in ply.CHANNELS])
+
+
+def ply_without_colours(spark: SparkSession, sf: str) -> DataFrame:
+    """Points written without colours, and read back with 200 for each channel."""
+    from lumenvox.operators.common import shared_path
+    from lumenvox.sources import ply
+
+    path = shared_path(spark, "ply")
+    ply.write_ply(tables.points(spark, sf).select("x", "y", "z"), path)
+    return ply.read_ply(spark, path, missing=200).select(*[rounded(F.col(c).cast("double"), 5).alias(c) for c in "xyz"], *[F.col(c).cast("int").alias(c) for c in ply.CHANNELS])
+
+
+def random_points(spark: SparkSession, sf: str) -> DataFrame:
+    """The first three points of each view in a fixed random order."""
+    drawn = tables.points(spark, sf).select("view", "vec_id", _draw())
+    return drawn.withColumn("nth", F.row_number().over(Window.partitionBy("view").orderBy("draw", "vec_id")).cast("long")).filter("nth <= 3").select("view", "nth", "vec_id")
+
+
+def clearance_known(spark: SparkSession, sf: str) -> DataFrame:
+    """Points with a known clearance of at least 0.2; views without an anchor have none, and their points are refused."""
+    pts = tables.points(spark, sf)
+    anchors = tables.anchors(spark, sf).join(pts.select(F.col("vec_id").alias("anchor_id"), "view"), "anchor_id").filter("view % 2 = 0")
+    found = pts.select("vec_id").join(spatial.nearest(pts, anchors, "vec_id", "anchor_id", on="view").select("vec_id", "d"), "vec_id", "left")
+    return found.filter(F.coalesce(F.col("d") >= 0.2, F.lit(False))).select("vec_id")
+
+
+def anchors_with_extras(spark: SparkSession, sf: str) -> DataFrame:
+    """A tour through each view's anchors and the extra ones of its gaps."""
+    extras = gap_anchors(spark, sf).select("id", F.lit(True).alias("extra"))
+    stops = _stops_of(spark, sf).join(extras, "id", "left")
+    return graph.greedy_tour(stops.select("view", "id", (F.col("stop") | F.coalesce("extra", F.lit(False))).alias("stop")), _scene_links(spark, sf), "view")
+
+
+def span_by_way(spark: SparkSession, sf: str) -> DataFrame:
+    """Span of each view: the 95th percentile of the lengths of ways between drawn pairs, and the share of pairs that have one."""
+    pairs = graph.pair_ways(tables.points(spark, sf).select("view", F.col("vec_id").alias("id"), _draw()), _scene_links(spark, sf), "view")
+    return pairs.groupBy("view").agg(rounded(F.percentile("d", F.lit(0.95))).alias("span"), rounded(F.avg(F.col("d").isNotNull().cast("int"))).alias("connected"))
+
+
 _STEP = "sqrt((x - lag(x) OVER w)*(x - lag(x) OVER w) + (y - lag(y) OVER w)*(y - lag(y) OVER w) + (z - lag(z) OVER w)*(z - lag(z) OVER w))"
 _ARC = f"arc0 AS (SELECT *, coalesce({_STEP}, 0) AS step, lag(x) OVER w AS x0, lag(y) OVER w AS y0, lag(z) OVER w AS z0 FROM path WINDOW w AS (PARTITION BY path_id ORDER BY seq)), arc AS (SELECT *, sum(step) OVER (PARTITION BY path_id ORDER BY seq) AS s FROM arc0)"
 _PYAW = "py AS (SELECT *, coalesce(o, lead(o) OVER w, 0) AS yaw FROM (SELECT *, atan2(x - lag(x) OVER w, z - lag(z) OVER w) AS o FROM path WINDOW w AS (PARTITION BY path_id ORDER BY seq)) WINDOW w AS (PARTITION BY path_id ORDER BY seq))"
@@ -666,6 +763,15 @@ QUERIES = {
         SELECT scene, (views - 1)::BIGINT AS idx, attempt, CASE WHEN was = 0 THEN 'coverage' ELSE 'random' END AS phase, CASE WHEN was = 2 THEN 1 ELSE 0 END AS round, stop::BIGINT AS vi FROM s WHERE took""",
     ),
     "retarget_density": (retarget_density, selection_sql.retarget(_RETARGET, 6)),
+    "manifest_preference": (manifest_preference, "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'hm3d_annotated_minival_basis' ELSE 'hm3d_annotated_basis' END || '.scene_dataset_config.json' AS manifest FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 2 = 0"),
+    "scene_listing": (scene_listing, "SELECT DISTINCT printf('%05d-size', p_size) AS token, printf('%05d', p_size) AS short, true AS there FROM part"),
+    "frame_outputs": (frame_outputs, f"WITH {sql.PTS} SELECT view AS frame, count(*) AS n, sum(r)::BIGINT AS r, min(vec_id) AS first, round(max(x), 6) + 0.0 AS x FROM pts GROUP BY view"),
+    "ply_clipped": (ply_clipped, f"WITH {sql.PTS} SELECT {sql.rounded('x', 'y', 'z', digits=5)}, least(greatest(r * 3 - 200, 0), 255)::INT AS red, least(g * 2, 255)::INT AS green, greatest(b - 128, 0)::INT AS blue FROM pts"),
+    "ply_without_colours": (ply_without_colours, f"WITH {sql.PTS} SELECT {sql.rounded('x', 'y', 'z', digits=5)}, 200 AS red, 200 AS green, 200 AS blue FROM pts"),
+    "random_points": (random_points, f"WITH {sql.PTS} SELECT view, row_number() OVER w AS nth, vec_id FROM pts WINDOW w AS (PARTITION BY view ORDER BY ('0x' || substr(md5(vec_id::VARCHAR), 1, 12))::BIGINT, vec_id) QUALIFY nth <= 3"),
+    "clearance_known": (clearance_known, f"WITH {sql.PTS} SELECT p.vec_id FROM pts p JOIN pts a ON a.view = p.view AND a.vec_id % 25 = 0 AND a.view % 2 = 0 GROUP BY p.vec_id HAVING min({_DIST}) >= 0.2"),
+    "anchors_with_extras": (anchors_with_extras, selection_sql.EXTRAS_TOUR),
+    "span_by_way": (span_by_way, selection_sql.SPAN),
     "thin_capped": (thin_capped, f"WITH {sql.PATH} SELECT path_id, seq, vec_id FROM path WHERE seq % 5 = 0 AND seq < 35"),
     "frame_scan": (frame_scan, "SELECT frame, row_number() OVER (ORDER BY frame) AS nth FROM (SELECT DISTINCT label::BIGINT AS frame FROM embeddings ORDER BY 1 LIMIT 7)"),
     "scene_kinds": (
@@ -681,3 +787,7 @@ QUERIES = {
     "pose_files": (pose_files, "SELECT count(*) FILTER (WHERE vec_id % 7 <> 0 AND vec_id % 11 <> 0) AS added, count(*) FILTER (WHERE vec_id % 7 <> 0 AND vec_id % 11 = 0) AS miss_file, count(*) FILTER (WHERE vec_id % 7 = 0 AND vec_id % 11 <> 0) AS miss_frame FROM embeddings"),
     "profile_overlay": (profile_overlay, "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_custkey::VARCHAR WHEN c_nationkey % 3 <> 0 THEN lower(c_mktsegment) ELSE 'default' END AS setting FROM customer"),
 }
+
+# what is written and read back is what other queries give
+QUERIES["capture_modes"] = (capture_modes, f"SELECT scene, idx, phase AS mode FROM ({QUERIES['capture_schedule'][1]})")
+QUERIES["intrinsics_records"] = (intrinsics_records, capture.QUERIES["intrinsics"][1])

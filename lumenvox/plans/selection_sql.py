@@ -112,3 +112,16 @@ sn AS (SELECT *, coalesce(floor(sqrt(power(x1-x,2)+power(y1-y,2)+power(z1-z,2))
 de AS (SELECT path_id, row_number() OVER (PARTITION BY path_id ORDER BY seq, k) - 1 AS seq, {dense} FROM sk),
 {chaikin('de', 'c1')}, {chaikin('c1', 'c2')}, {resampled('c2', 'f', 0.2)}
 SELECT path_id, seq, {sql.rounded('x', 'y', 'z')} FROM f"""
+
+
+EXTRAS_TOUR = f"""{GAPS.rpartition("SELECT view, (n - 1)")[0].rstrip()},
+st AS MATERIALIZED (SELECT vec_id AS id FROM pts WHERE vec_id % 25 = 0 UNION SELECT id FROM g WHERE n > 0 AND j = (SELECT min(j) FROM g h WHERE h.view = g.view AND h.n > 0)),
+t AS (SELECT view, 0 AS ord, min(vec_id) AS id, [min(vec_id)] AS seen FROM pts WHERE vec_id IN (SELECT id FROM st) GROUP BY view
+UNION ALL SELECT view, ord + 1, id, list_append(seen, id) FROM (SELECT t.view, t.ord, any_value(t.seen) AS seen, arg_min(m.node, (round(m.d, 9), m.node)) AS id
+  FROM t JOIN m ON m.root = t.id JOIN st ON st.id = m.node WHERE NOT list_contains(t.seen, m.node) GROUP BY t.view, t.ord))
+SELECT view, ord::BIGINT AS ord, id FROM t"""
+
+SPAN = f"""WITH RECURSIVE {WAYS},
+dw AS (SELECT view, vec_id, row_number() OVER (PARTITION BY view ORDER BY {_DRAW}, vec_id) - 1 AS nth FROM pts QUALIFY nth < 512), nn AS (SELECT view, count(*) AS n FROM dw GROUP BY view),
+pr AS (SELECT nn.view, a.vec_id AS src, b.vec_id AS dst FROM nn JOIN range(1024) k(id) ON k.id < 4 * n JOIN dw a ON a.view = nn.view AND a.nth = (k.id * 7919) % n JOIN dw b ON b.view = nn.view AND b.nth = (k.id * 104729 + 3) % n WHERE a.vec_id <> b.vec_id)
+SELECT pr.view, round(quantile_cont(m.d, 0.95), 6) AS span, round(avg((m.d IS NOT NULL)::INT), 6) + 0.0 AS connected FROM pr LEFT JOIN m ON m.root = pr.src AND m.node = pr.dst GROUP BY pr.view"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The pattern of baked scene tokens and the folder of scanned scenes.
@@ -43,6 +43,26 @@ def preferred(*candidates: Column) -> Column:
     return F.coalesce(*candidates)
 
 
+#: Manifests of the scanned scenes, the smaller one first.
+SCAN_MANIFESTS = ("hm3d_annotated_minival_basis", "hm3d_annotated_basis")
+
+
+def scan_manifest(small: Column, full: Column) -> Column:
+    """Manifest of a data set of scanned scenes: the smaller one where it is there (true), else the full one, else null."""
+    named = [F.when(there, F.lit(f"{name}.scene_dataset_config.json")) for there, name in zip((small, full), SCAN_MANIFESTS, strict=True)]
+    return preferred(*named)
+
+
+def listed(spark: SparkSession, root: str) -> DataFrame:
+    """token, short and files: scene folders right below ``root``, the part of their name before the first hyphen, and the files in them.
+
+    Only paths are read, not what the files hold.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    token = F.element_at(F.split("path", "/"), -2)
+    return files.select(token.alias("token")).groupBy("token").agg(F.count("*").alias("files")).select("token", short_id(F.col("token")).alias("short"), "files")
+
+
 def not_done(manifest: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Scenes without a finished result."""
     return manifest.join(done.select(key), key, "left_anti")
