@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -51,6 +52,12 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of tables that are written by now; it does so for what the driver has forgotten."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Bucketed:
     """Tables bucketed by a column, in the shared folder, for as long as they are needed."""
 
@@ -58,6 +65,7 @@ class Bucketed:
         self.spark, self.tables = spark, {}
 
     def keep(self, df: DataFrame, buckets: int, column: str, compression: str = "snappy") -> DataFrame:
+        release(self.spark)
         name = f"lumenvox_{uuid.uuid4().hex}"
         self.tables[name] = scratch_path(self.spark, "bucketed")
         df.write.bucketBy(buckets, column).format("parquet").option("compression", compression).option("path", self.tables[name]).saveAsTable(name)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import Bucketed, cut, lookup, text_of, tidy
+from lumenvox.llm.common import Bucketed, cut, lookup, release, text_of, tidy
 from lumenvox.llm.ngrams import ANSWER, CODED, MESSAGE, Chunk, answered, asked, coded, heard, key_bits, members, rows_of
 
 #: The language number of the model of all trusted text, for null languages and those without trusted text.
@@ -215,6 +215,7 @@ def document_scores(rows: DataFrame, trusted: DataFrame) -> DataFrame:
         has = words.filter("chunk >= 0").select("chunk", "language").distinct()
         of_chunk = has.join(_few(rates), "language").groupBy("chunk").agg(F.collect_list(F.struct("language", *_RATES)).alias("rates"))
         scored = known.join(_by_chunk(words, "words_"), "chunk", "left").join(of_chunk, "chunk", "left").mapInArrow(tidy(_score(shards, bits)), "k long, g long, known boolean, n long, total double")
+        release(spark)
         return cut(scored.withColumn("total", F.when(~F.isnan("total"), F.col("total"))))
     finally:
         tables.drop()
