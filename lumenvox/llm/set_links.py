@@ -166,10 +166,10 @@ def similarity(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     return common, len(x) + len(y) - common
 
 
-def connect(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+def connect(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least: float, home: np.ndarray | None = None) -> np.ndarray:
     """Roots by which sets are connected over pairs of ``left`` and ``right`` with a similarity of ``least`` or more.
 
-    Sets are cut into segments, and pairs of which too many segments differ are not compared further; nor are pairs that are connected already.
+    Pairs of two sets that are not at ``home`` are compared elsewhere. Sets are cut into segments, and pairs of which too many segments differ are not compared further; nor are pairs that are connected already.
     """
     roots = np.arange(len(sets))
     sizes = np.array([len(s) for s in sets])
@@ -187,6 +187,8 @@ def connect(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least:
         open_ = (i[:, None] < right[None, :]) | ~np.isin(i, right)[:, None]
         open_ &= np.minimum(sizes[i][:, None], sizes[right][None, :]) >= least * np.maximum(sizes[i][:, None], sizes[right][None, :]) - 1e-9
         open_ &= roots[i][:, None] != roots[right][None, :]
+        if home is not None:
+            open_ &= home[i][:, None] | home[right][None, :]
         if not open_.any():
             continue
         differing = np.zeros(open_.shape, np.int32)
@@ -203,26 +205,26 @@ def connect(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least:
 
 
 def _connected(least: float):
-    """mapInArrow function over rows (group, a, b, block, key, set) sorted by group, a, b: links of keys to the roots of their groups."""
+    """mapInArrow function over rows (group, a, b, block, home, key, set) sorted by group, a, b: links of keys to the roots of their groups."""
 
-    def linked(rows: list[tuple[int, int, bytes]], a: int, b: int) -> pa.RecordBatch | None:
-        rows.sort(key=lambda r: r[1])
-        sets = [np.frombuffer(r[2], "<u8") for r in rows]
-        block, key = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-        roots = connect(sets, np.flatnonzero(block == a), np.flatnonzero(block == b), least)
+    def linked(rows: list[tuple[int, bool, int, bytes]], a: int, b: int) -> pa.RecordBatch | None:
+        rows.sort(key=lambda r: r[2])
+        sets = [np.frombuffer(r[3], "<u8") for r in rows]
+        block, home, key = (np.array([r[k] for r in rows]) for k in range(3))
+        roots = connect(sets, np.flatnonzero(block == a), np.flatnonzero(block == b), least, home)
         some = np.flatnonzero(roots != np.arange(len(roots)))
         return pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(key[roots[some]])], ["src", "dst"]) if len(some) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in range(6)]
-            for group, a, b, block, key, data in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in range(7)]
+            for group, a, b, *row in zip(*columns, strict=True):
                 if (group, a, b) != now:
                     if len(rows) > 1 and (found := linked(rows, *now[1:])) is not None:
                         yield found
                     now, rows = (group, a, b), []
-                rows.append((block, key, data))
+                rows.append(tuple(row))
         if len(rows) > 1 and (found := linked(rows, *now[1:])) is not None:
             yield found
 
@@ -232,14 +234,22 @@ def _connected(least: float):
 def similar_links(sets: DataFrame, groups: DataFrame, least: float, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Links (src, dst) that connect similar sets of the same group, and only those that are connected over similar pairs.
 
-    ``sets`` has key, data (the sorted hashes) and bytes, ``groups`` id and component of the same keys. A group of more than
-    ``block_sets`` sets or ``block_bytes`` is compared block by block, and a set is sent once for each block of its group.
+    ``sets`` has key, data (the sorted hashes) and bytes, ``groups`` id and component of the same keys. Sets of a group are compared within
+    their size class, and with those of the next one that are small enough, which are sent there, too. What has more than
+    ``block_sets`` sets or ``block_bytes`` is compared block by block, and a set is sent once for each block.
     """
-    sized = cut(groups.select(F.col("id").alias("key"), "component").join(sets.select("key", "bytes"), "key"))
-    sizes = sized.groupBy("component").agg(F.count("*").alias("n"), F.sum("bytes").alias("total"))
-    dealt = lookup(sized, "component", cut(sizes), "n", F.col("key"))
+    first = size_classes(least)[0]
+    n = F.shiftright("bytes", 3)
+    own = F.size(F.filter(F.lit(first), lambda f: f <= n)) - 1
+    sized = groups.select(F.col("id").alias("key"), "component").join(sets.select("key", "bytes"), "key").withColumns({"n": n, "class": own})
+    reach = F.get(F.lit([0, *[int(np.floor((f - 1) / least + 1e-9)) for f in first[1:]]]), F.col("class"))
+    cells = F.array(F.struct(F.col("class").alias("class"), F.lit(True).alias("home")), F.struct((F.col("class") - 1).alias("class"), F.lit(False).alias("home")))
+    placed = sized.select("key", "component", "bytes", F.explode(F.when((F.col("class") > 0) & (F.col("n") <= reach), cells).otherwise(F.slice(cells, 1, 1))).alias("cell"))
+    placed = cut(placed.select("key", "bytes", F.xxhash64("component", "cell.class").alias("cell"), F.col("cell.home").alias("home")))
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.sum("bytes").alias("total"), F.max("home").alias("some"))
+    dealt = lookup(placed, "cell", cut(sizes), "n", F.col("key")).filter((F.col("n") > 1) & F.col("some"))
     blocks = F.greatest(F.ceil(F.col("n") / block_sets), F.ceil(F.col("total") / block_bytes), F.lit(1)).cast("int")
-    dealt = sets.select("key", "data").join(dealt.select("key", "component", blocks.alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = dealt.select("component", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "key", "data")
-    return pairs.repartition("component", "a", "b").sortWithinPartitions("component", "a", "b").mapInArrow(tidy(_connected(least)), "src long, dst long")
+    dealt = dealt.select("key", "cell", "home", blocks.alias("blocks")).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = sets.select("key", "data").join(dealt, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = dealt.select("cell", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "home", "key", "data")
+    return pairs.repartition("cell", "a", "b").sortWithinPartitions("cell", "a", "b").mapInArrow(tidy(_connected(least)), "src long, dst long")
