@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import Bucketed, cut, lookup, release, text_of, tidy
+from lumenvox.llm.common import Bucketed, cut, discard, lookup, release, scratch_path, text_of, tidy
 from lumenvox.llm.ngrams import ANSWER, CODED, MESSAGE, Chunk, answered, asked, coded, heard, key_bits, members, rows_of
 
 #: The language number of the model of all trusted text, for null languages and those without trusted text.
@@ -203,12 +203,21 @@ def document_scores(rows: DataFrame, trusted: DataFrame) -> DataFrame:
         flag = F.col("place") * 2 + (F.col("first") == place).cast("long")
         flags = keep(flagged.select("chunk", flag.alias("flag")).groupBy("chunk").agg(F.collect_list("flag").alias("flags")))
         known = chunks.join(flags, "chunk", "left")
-        to_shards = lambda df: df.repartitionById(shards, F.col("shard"))
-        pairs = to_shards(known.mapInArrow(tidy(_ask_pairs(shards, bits)), MESSAGE)).mapInArrow(tidy(answered(1, _pair_totals, shards, bits)), ANSWER)
-        pairs = keep(pairs)
+
+        def replies(ask, columns: int, summed) -> DataFrame:
+            """What shards answer, by chunk. It is written before it is dealt to the chunks, so that the messages are gone by then."""
+            messages = known.mapInArrow(tidy(ask(shards, bits)), MESSAGE).repartitionById(shards, F.col("shard"))
+            answers, path = messages.mapInArrow(tidy(answered(columns, summed, shards, bits)), ANSWER), scratch_path(spark, "answers")
+            answers.write.parquet(path)
+            schema = answers.schema
+            del messages, answers
+            dealt = keep(spark.read.schema(schema).parquet(path))
+            discard(spark, path)
+            return dealt
+
+        pairs = replies(_ask_pairs, 1, _pair_totals)
         known = known.join(_by_chunk(pairs, "pairs"), "chunk", "left")
-        words = to_shards(known.mapInArrow(tidy(_ask_words(shards, bits)), MESSAGE)).mapInArrow(tidy(answered(5, _word_totals, shards, bits)), ANSWER)
-        words = keep(words)
+        words = replies(_ask_words, 5, _word_totals)
         rates = _counts(pairs).withColumnRenamed("counts", "of_pairs").join(_counts(words), "language").filter(F.get("of_pairs", F.lit(4)) > 0)
         rates = cut(rates.select("language", *_rates(F.col("of_pairs"), F.col("counts"))))
         # a language's numbers go to the chunks that have it
