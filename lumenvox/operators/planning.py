@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lumenvox.functions.angles import blend, wrap
 from lumenvox.operators.common import settled
+from lumenvox.operators.sequence import smoothed
 
 
 def coverage_playlist(stops: DataFrame, key: str, offsets_deg: list[float], stride: int = 1, order: str = "offset-major", rotate: bool = True) -> DataFrame:
@@ -87,7 +88,7 @@ def heading_policy(mode: str, tangent: Column, target: Column, alpha: float) ->
 
 
 def capture_schedule(attempts: DataFrame, phases: DataFrame, playlist: DataFrame, key: str, n_views: int, n_rounds: int, most_attempts: int, rejects_per_stop: int, retries: int = 4, same_pos: bool = True) -> DataFrame:
-    """Accept/reject fold of each scene: key, idx, attempt, phase, round, vi.
+    """Accept/reject fold of each scene: key, idx, attempt, phase, round, vi, shot (place in the playlist, null for a random view).
 
     ``attempts`` has key, attempt (from 0) and nudge: the first of the headings tried (0: the planned one)
     that passes the gates, null if none does. ``phases`` has key, ord, phase, round and ``playlist``
@@ -104,7 +105,7 @@ def capture_schedule(attempts: DataFrame, phases: DataFrame, playlist: DataFrame
     plan = phases.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ord", "phase", "round"))).alias("plan"))
     tries = attempts.filter(F.col("attempt") < most_attempts).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("attempt", "nudge"))).alias("tries"))
     rows = tries.join(plan, key).join(playlist.select(key, "n_stops", "shots"), key)
-    view = "struct<idx:bigint,attempt:bigint,phase:string,round:int,vi:bigint>"
+    view = "struct<idx:bigint,attempt:bigint,phase:string,round:int,vi:bigint,shot:int>"
     long = lambda x: F.lit(x).cast("long")
     zero = F.struct(
         F.lit(0).alias("at"), long(0).alias("views"), long(0).alias("here"), long(0).alias("vi"), long(0).alias("rejected"),
@@ -127,7 +128,7 @@ def capture_schedule(attempts: DataFrame, phases: DataFrame, playlist: DataFrame
         wrapped = lambda v: F.pmod(v + 1, F.greatest(F.col("n_stops").cast("long"), long(1)))
         vi = F.when(coverage, F.when(passed & F.lit(not same_pos), wrapped(stop)).otherwise(s["vi"])).when(passed, start + 1).when(skip, wrapped(start)).otherwise(start)
         rejects = F.when(coverage, s["rejected"]).when(passed | skip, long(0)).otherwise(rejected)
-        taken = F.array(F.struct(s["views"].alias("idx"), x["attempt"].cast("long").alias("attempt"), phase["phase"].alias("phase"), round_.cast("int").alias("round"), stop.alias("vi")))
+        taken = F.array(F.struct(s["views"].alias("idx"), x["attempt"].cast("long").alias("attempt"), phase["phase"].alias("phase"), round_.cast("int").alias("round"), stop.alias("vi"), F.when(coverage, shot).alias("shot")))
         new = F.struct(
             F.when(leave, s["at"] + 1).otherwise(s["at"]).alias("at"),
             F.when(passed, s["views"] + 1).otherwise(s["views"]).alias("views"),
@@ -142,6 +143,31 @@ def capture_schedule(attempts: DataFrame, phases: DataFrame, playlist: DataFrame
     return rows.select(key, F.inline(F.aggregate("tries", zero, step)["out"]))
 
 
+# Turns by which a planned shot that fails is tried again, in degrees; the first is the planned one.
+NUDGES_DEG = (0.0, 5.0, -5.0, 10.0, -10.0)
+
+
+def view_headings(views: DataFrame, attempts: DataFrame, shots: DataFrame, stops: DataFrame, key: str, offsets_deg: list[float], limit_deg: float, alpha: float) -> DataFrame:
+    """Heading and mode of the views of ``capture_schedule``: key, idx, mode, round, vi, yaw.
+
+    ``attempts`` are those of the schedule, ``shots`` has key, shot, yaw of the planned shots and ``stops`` key, vi, yaw of the
+    stops under their heading policy; one without a heading looks along +Z. A round adds its offset, the last one where there are
+    more rounds. A planned shot takes the nudge at which it passed and is not smoothed. A random view is clamped to
+    the accepted one before it in its round and blended with it; rejected attempts do not count, and a round begins anew.
+    """
+    turned = lambda yaw: wrap(F.coalesce(yaw, F.lit(0.0)) + padded([math.radians(o) for o in offsets_deg], F.col("round")))
+    coverage = F.col("phase") == "coverage"
+    nudge = F.element_at(F.array(*[F.lit(math.radians(d)) for d in NUDGES_DEG]), (F.col("nudge") + 1).cast("int"))
+    views = settled(views)
+    planned = views.filter(coverage).join(attempts.select(key, "attempt", "nudge"), [key, "attempt"]).join(shots.select(key, "shot", "yaw"), [key, "shot"], "left")
+    planned = planned.select(key, "idx", F.lit("deterministic").alias("mode"), "round", "vi", wrap(turned(F.col("yaw")) + nudge).alias("yaw"))
+    way = F.concat_ws("/", F.col(key).cast("string"), "round")
+    free = views.filter(~coverage).join(stops.select(key, "vi", "yaw"), [key, "vi"], "left").select(key, "idx", "round", "vi", way.alias("way"), turned(F.col("yaw")).alias("yaw"))
+    smooth = smoothed(free.select("way", F.col("idx").alias("seq"), "yaw"), limit_deg, alpha, "way").withColumnRenamed("seq", "idx")
+    random = free.drop("yaw").join(smooth, ["way", "idx"]).select(key, "idx", F.lit("random").alias("mode"), "round", "vi", "yaw")
+    return planned.unionByName(random)
+
+
 def density_targets(anchors_for, scenes: DataFrame, key: str, want: int, sep: float, clearance: float, floor: float = 0.6, least_clearance: float = 0.18, rounds: int = 3) -> DataFrame:
     """Separation and clearance of each scene at which it first has ``want`` anchors: key, step, sep, clearance, got.
 

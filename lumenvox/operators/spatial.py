@@ -72,14 +72,51 @@ def polyline_distance(points: DataFrame, segments: DataFrame, point: str, band:
     return p.join(s, ["_cx", "_cz", on]).groupBy(point).agg(F.min(d).alias("d")).filter(F.col("d") <= band)
 
 
+#: Cells of a side of a block of the walkable plane, as a power of two.
+BLOCK_BITS = 5
+#: Blocks that are broadcast at most; one is less than a kilobyte.
+FEW_BLOCKS = 50_000
+
+
+def walkable_blocks(cells: DataFrame) -> DataFrame:
+    """bx, bz, walk of the walkable ``cells`` (cx, cz): for each block of 32 x 32 cells a list of 32 numbers, whose bits are cells."""
+    side = 1 << BLOCK_BITS
+    placed = cells.select(
+        F.shiftright("cx", BLOCK_BITS).alias("bx"), F.shiftright("cz", BLOCK_BITS).alias("bz"), F.expr(f"cast(cx & {side - 1} as int)").alias("i"), F.expr(f"shiftleft(1L, cast(cz & {side - 1} as int))").alias("bit")
+    )
+    rows = placed.groupBy("bx", "bz", "i").agg(F.bit_or("bit").alias("bits"))
+    blocks = rows.groupBy("bx", "bz").agg(F.map_from_entries(F.collect_list(F.struct("i", "bits"))).alias("m"))  # at most 32 entries
+    whole = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long")))
+    return blocks.select("bx", "bz", whole.alias("walk"))
+
+
 def forward_clearance(starts: DataFrame, cells: DataFrame, key: list[str], size: float, step: float, steps: int) -> DataFrame:
     """How far one can go straight from (x, z) along yaw over the walkable ``cells`` (cx, cz): key, clear.
 
-    The first step into a cell that isn't walkable ends the way; without one it is steps * step.
+    The first step into a cell that isn't walkable ends the way; without one it is steps * step. A null position or
+    heading has no room. A ray is one row for each block of cells that it meets, not one for each step, and
+    its steps in a block are looked up in the bits of it.
     """
-    way = starts.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.lit(steps))))
-    t = F.col("_nth") * F.lit(step)
-    way = way.withColumns({"cx": F.floor((F.col("x") + F.sin("yaw") * t) / size).cast("long"), "cz": F.floor((F.col("z") + F.cos("yaw") * t) / size).cast("long")})
-    seen = way.join(cells.withColumn("_walk", F.lit(True)), ["cx", "cz"], "left")
-    first = F.min(F.when(F.col("_walk").isNull(), F.col("_nth")))
+    nths, mask = F.sequence(F.lit(1), F.lit(steps)), F.lit((1 << BLOCK_BITS) - 1)
+
+    def cell(n: Column) -> tuple[Column, Column]:
+        t = n * F.lit(step)
+        return F.floor((F.col("x") + F.sin("yaw") * t) / size).cast("long"), F.floor((F.col("z") + F.cos("yaw") * t) / size).cast("long")
+
+    def block(n: Column) -> Column:
+        return F.struct(*[F.shiftright(c, BLOCK_BITS).alias(name) for c, name in zip(cell(n), ("bx", "bz"), strict=True)])
+
+    blocks = settled(walkable_blocks(cells))
+    blocks = F.broadcast(blocks) if blocks.count() <= FEW_BLOCKS else blocks
+    way = starts.select(*dict.fromkeys([*key, "x", "z", "yaw"]), F.inline(F.array_distinct(F.transform(nths, block))))
+    seen = way.join(blocks, ["bx", "bz"], "left")
+
+    def stopped(n: Column) -> Column:
+        cx, cz = cell(n)
+        bits = F.get(F.col("walk"), cx.bitwiseAND(mask).cast("int"))
+        free = F.call_function("shiftright", bits, cz.bitwiseAND(mask).cast("int")).bitwiseAND(F.lit(1)) == 1
+        here = F.shiftright(cx, BLOCK_BITS).eqNullSafe(F.col("bx")) & F.shiftright(cz, BLOCK_BITS).eqNullSafe(F.col("bz"))
+        return here & ~F.coalesce(free, F.lit(False))
+
+    first = F.min(F.array_min(F.filter(nths, stopped)))
     return seen.groupBy(*key).agg(F.coalesce((first - 1) * F.lit(step), F.lit(steps * step)).alias("clear"))

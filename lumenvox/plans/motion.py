@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenvox.functions.angles import clamp, shortest, towards, wrap
-from lumenvox.operators import graph, planning, sequence, spatial
+from lumenvox.operators import graph, planning, quantiles, sequence, spatial
 from lumenvox.plans import capture, selection_sql, sql
 from lumenvox.plans.common import rounded, rounding
-from lumenvox.sources import config, scenes, tables
+from lumenvox.sources import config, scenes, settings, tables
 
 
 def arc_length(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,8 +150,8 @@ def span_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def clearance_stats(spark: SparkSession, sf: str) -> DataFrame:
     d = spatial.nearest(tables.points(spark, sf), tables.anchors(spark, sf), "vec_id", "anchor_id")
-    q = d.agg(F.percentile("d", F.array(*[F.lit(x) for x in (0.1, 0.5, 0.9)])).alias("q"))
-    return q.select(*[rounded(F.coalesce(F.col("q")[i], F.lit(0.0))).alias(n) for i, n in enumerate(("p10", "p50", "p90"))])
+    found = quantiles.exact_quantiles(d, "d", [0.1, 0.5, 0.9])
+    return spark.range(1).select(*[rounded(F.lit(0.0 if q is None else q)).alias(n) for q, n in zip(found, ("p10", "p50", "p90"), strict=True)])
 
 
 def auto_tune(spark: SparkSession, sf: str) -> DataFrame:
@@ -409,16 +409,35 @@ def _attempts(spark: SparkSession, sf: str) -> DataFrame:
     return events.select(F.col("user_id").alias("scene"), n.alias("attempt"), (F.col("event_id") % 9).cast("long").alias("vi"), (F.col("value") > 30).alias("ok"))
 
 
-def capture_schedule(spark: SparkSession, sf: str) -> DataFrame:
-    """Accepted views of each scene: a coverage phase over a playlist of eight shots, then random phases over nine stops."""
+def _tries(spark: SparkSession, sf: str) -> DataFrame:
     nudge = F.when(F.col("ok"), 0).when(F.col("vi") % 2 == 0, 3)
-    attempts = _attempts(spark, sf).select("scene", "attempt", nudge.alias("nudge"))
+    return _attempts(spark, sf).select("scene", "attempt", nudge.alias("nudge"))
+
+
+def _schedule(spark: SparkSession, sf: str) -> DataFrame:
+    attempts = _tries(spark, sf)
     budgets = attempts.select("scene").distinct().select("scene", F.lit(2).alias("n_rounds"), F.array(F.lit(0)).alias("coverage_rounds"), F.lit(8).alias("n_shots"))
     phases = planning.phase_plan(budgets, "scene")
     shots = budgets.select("scene", F.lit(9).alias("n_stops"), F.array(*[F.lit(i * 4 % 9) for i in range(8)]).alias("shots"))
     return planning.capture_schedule(attempts, phases, shots, "scene", 20, 2, 60, 3)
 
 
+def capture_schedule(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted views of each scene: a coverage phase over a playlist of eight shots, then random phases over nine stops."""
+    return _schedule(spark, sf).drop("shot")
+
+
+def capture_headings(spark: SparkSession, sf: str) -> DataFrame:
+    """Heading and mode of the accepted views; the first nine headings of a scene are those of its stops, two of three blended with a target."""
+    heads = tables.headings(spark, sf).filter("seq < 9").select(F.col("user_id").alias("scene"), F.col("seq").alias("vi"), "yaw")
+    target = F.when(F.col("vi") % 3 != 0, 0.4 * F.col("vi") - 1.6)
+    stops = heads.select("scene", "vi", planning.heading_policy("mixed", F.col("yaw"), target, 0.35).alias("yaw"))
+    playlist = F.inline(F.array(*[F.struct(F.lit(i).alias("shot"), F.lit(i * 4 % 9).alias("vi"), F.lit(math.radians(OFFSETS[i % 3])).alias("add")) for i in range(8)]))
+    shots = heads.select("scene").distinct().select("scene", playlist).join(heads, ["scene", "vi"], "left").select("scene", "shot", wrap(F.coalesce("yaw", F.lit(0.0)) + F.col("add")).alias("yaw"))
+    found = planning.view_headings(_schedule(spark, sf), _tries(spark, sf), shots, stops, "scene", [0.0, 30.0], 12.0, 0.35)
+    return found.select("scene", "idx", "mode", "round", "vi", *rounding("yaw", digits=4))
+
+
 def retarget_density(spark: SparkSession, sf: str) -> DataFrame:
     """Separation and clearance at which each view gets six anchors."""
     views = tables.points(spark, sf).select("view").distinct()
@@ -485,6 +504,20 @@ def profile_overlay(spark: SparkSession, sf: str) -> DataFrame:
     return tables.table(spark, sf, "customer").select("c_custkey", config.overlay_column(given, profile, F.lit("default")).alias("setting"))
 
 
+def _given(custkey: Column) -> Column:
+    """Explicit settings of a customer: two of them, one of which gives way to the profile."""
+    views = F.when(custkey % 4 == 0, custkey.cast("string"))
+    return F.create_map(F.lit("coverage.n_views"), views, F.lit("coverage.cov_offsets_deg"), F.when(custkey % 2 == 0, F.lit("[]")).otherwise(F.lit("[45.0]")))
+
+
+def scene_settings(spark: SparkSession, sf: str) -> DataFrame:
+    """All settings of each customer's capture, by its profile and what it gives itself."""
+    names = F.array(*[F.lit(n) for n in settings.PROFILES])
+    profile = settings.profile_map(F.element_at(names, (F.col("c_nationkey") % len(settings.PROFILES) + 1).cast("int")))
+    customers = tables.table(spark, sf, "customer")
+    return customers.select("c_custkey", F.explode(settings.merged(_given(F.col("c_custkey")), profile)).alias("name", "value"))
+
+
 def manifest_preference(spark: SparkSession, sf: str) -> DataFrame:
     """Manifest of each data set that has one, the smaller one before the full one."""
     parts = tables.table(spark, sf, "part").select("p_partkey", scenes.scan_manifest(F.col("p_partkey") % 3 == 0, F.col("p_partkey") % 2 == 0).alias("manifest"))
@@ -788,6 +821,28 @@ QUERIES = {
     "profile_overlay": (profile_overlay, "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_custkey::VARCHAR WHEN c_nationkey % 3 <> 0 THEN lower(c_mktsegment) ELSE 'default' END AS setting FROM customer"),
 }
 
+_SCHEDULE = QUERIES["capture_schedule"][1]
+QUERIES["capture_headings"] = (
+    capture_headings,
+    _SCHEDULE.rsplit("SELECT scene, (views", 1)[0].rstrip().removesuffix(",")
+    + f""", sv AS (SELECT scene, (views - 1)::BIGINT AS idx, attempt, was, stop::BIGINT AS vi, shot - 1 AS shot, CASE WHEN was = 2 THEN 1 ELSE 0 END AS round FROM s WHERE took),
+    {sql.YAW}, hd AS (SELECT user_id AS scene, seq AS vi, yaw, CASE WHEN seq % 3 <> 0 THEN 0.4::DOUBLE * seq - 1.6::DOUBLE END AS g FROM head WHERE seq < 9),
+    st AS (SELECT scene, vi, CASE WHEN g IS NULL THEN yaw ELSE {sql.wrap('yaw + 0.35::DOUBLE * atan2(sin(g - yaw), cos(g - yaw))')} END AS yaw FROM hd),
+    pl AS (SELECT sv.scene, idx, 'deterministic' AS mode, round, sv.vi, {sql.wrap('coalesce(hd.yaw, 0) + radians([0.0, 20.0, -20.0][shot % 3 + 1]) + radians([0.0, 5.0, -5.0, 10.0, -10.0][nudge + 1])')} AS yaw
+      FROM sv JOIN a USING (scene, attempt) LEFT JOIN hd ON hd.scene = sv.scene AND hd.vi = sv.vi WHERE was = 0),
+    cd AS (SELECT sv.scene, idx, round, sv.vi, row_number() OVER (PARTITION BY sv.scene, round ORDER BY idx) AS k, {sql.wrap('coalesce(st.yaw, 0) + radians(30.0 * round)')} AS yaw FROM sv LEFT JOIN st ON st.scene = sv.scene AND st.vi = sv.vi WHERE was > 0),
+    sm AS (SELECT * FROM cd WHERE k = 1 UNION ALL SELECT scene, idx, round, vi, k, {sql.wrap('prev + 0.35::DOUBLE * least(greatest(turn, -radians(12.0)), radians(12.0))')} FROM (
+      SELECT cd.scene, cd.idx, cd.round, cd.vi, cd.k, sm.yaw AS prev, atan2(sin(cd.yaw - sm.yaw), cos(cd.yaw - sm.yaw)) AS turn FROM sm JOIN cd ON cd.scene = sm.scene AND cd.round = sm.round AND cd.k = sm.k + 1))
+    SELECT scene, idx, mode, round, vi, round(yaw, 4) + 0.0 AS yaw FROM (SELECT * FROM pl UNION ALL SELECT scene, idx, 'random', round, vi, yaw FROM sm)""",
+)
+_VALUES = ", ".join(f"({i}, '{name}', '{value}')" for i, sections in enumerate(settings.PROFILES.values()) for name, value in settings.flat(sections).items())
+_DEFAULTS = ", ".join(f"('{name}', '{value}')" for name, value in settings.flat(settings.DEFAULTS).items())
+QUERIES["scene_settings"] = (
+    scene_settings,
+    f"""WITH df AS (SELECT * FROM (VALUES {_DEFAULTS}) t(name, value)), pf AS (SELECT * FROM (VALUES {_VALUES}) t(nth, name, value))
+    SELECT c_custkey, df.name, coalesce(CASE WHEN df.name = 'coverage.n_views' AND c_custkey % 4 = 0 THEN c_custkey::VARCHAR WHEN df.name = 'coverage.cov_offsets_deg' AND c_custkey % 2 <> 0 THEN '[45.0]' END, pf.value, df.value) AS value
+    FROM customer CROSS JOIN df LEFT JOIN pf ON pf.nth = c_nationkey % 6 AND pf.name = df.name""",
+)
 # what is written and read back is what other queries give
 QUERIES["capture_modes"] = (capture_modes, f"SELECT scene, idx, phase AS mode FROM ({QUERIES['capture_schedule'][1]})")
 QUERIES["intrinsics_records"] = (intrinsics_records, capture.QUERIES["intrinsics"][1])
