@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenvox.functions.angles import wrap
 from lumenvox.operators.common import settled
 
 
@@ -120,3 +123,49 @@ def forward_clearance(starts: DataFrame, cells: DataFrame, key: list[str], size:
 
     first = F.min(F.array_min(F.filter(nths, stopped)))
     return seen.groupBy(*key).agg(F.coalesce((first - 1) * F.lit(step), F.lit(steps * step)).alias("clear"))
+
+
+def panorama(stops: DataFrame, points: DataFrame, key: str, on: str, reach: float, bins: int) -> DataFrame:
+    """Free sight around each of ``stops`` (key, on, x, z) in the plane: key, sight, a list of ``bins`` distances clockwise from +Z.
+
+    An entry is the distance of the nearest of the ``points`` (on, x, z) in its direction that is not at the stop itself and not
+    further away than ``reach``, null without one. Points are met over cells of that width, and reduced to the nearest of
+    each direction, so a stop ends as a list of fixed length however many points there are around it.
+    """
+    own = stops.select(key, on, *[F.col(c).alias(f"_s{c}") for c in "xz"])
+    near = _around(own.withColumnsRenamed({"_sx": "x", "_sz": "z"}), ["x", "z"], reach).withColumnsRenamed({"x": "_sx", "z": "_sz"})
+    cells = points.select(on, "x", "z", *[F.floor(F.col(c) / reach).cast("long").alias(f"_c{c}") for c in "xz"])
+    dx, dz = F.col("x") - F.col("_sx"), F.col("z") - F.col("_sz")
+    met = near.join(cells, [on, "_cx", "_cz"]).select(key, F.sqrt(dx**2 + dz**2).alias("d"), sector(F.atan2(dx, dz), bins).alias("bin")).filter((F.col("d") > 0) & (F.col("d") <= reach))
+    nearest_ = met.groupBy(key, "bin").agg(F.min("d").alias("d")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bin", "d"))).alias("m"))  # at most bins entries
+    sight = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.try_element_at("m", i))
+    return stops.select(key).join(nearest_, key, "left").select(key, sight.alias("sight"))
+
+
+def sector(angle: Column, bins: int) -> Column:
+    """Which of ``bins`` equal sectors a direction lies in; one within a billionth of the next sector counts to that."""
+    turn = 2 * math.pi
+    return F.pmod(F.floor(F.pmod(angle, F.lit(turn)) / (turn / bins) + 1e-9).cast("int"), F.lit(bins))
+
+
+def best_heading(seed: str, scan_deg: float, steps: int, bins: int, field: int, share: float) -> Column:
+    """Of at least three headings within ``scan_deg`` of the column ``seed`` that with the most room in its middle, the first on ties.
+
+    For rows with a column sight (``panorama``). A view spans ``field`` sectors; the room is the median of the distances in the
+    middle ``share`` of it, four sectors at least, weighed by how many of these have one, and 0 where none has. Nothing is
+    scanned where steps or scan_deg are not positive.
+    """
+    if steps <= 0 or scan_deg <= 0:
+        return F.col(seed)
+    steps, width = max(3, steps), max(4, round(share * field))
+
+    def tried(i: Column) -> Column:
+        yaw = wrap(F.col(seed) + F.radians(-scan_deg + i * (2 * scan_deg / (steps - 1))))
+        middle = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: F.get(F.col("sight"), F.pmod(sector(yaw, bins) - width // 2 + j, F.lit(bins))))
+        seen = F.array_sort(F.array_compact(middle))
+        n = F.size(seen)
+        median = (F.get(seen, F.floor((n - 1) / 2).cast("int")) + F.get(seen, F.floor(n / 2).cast("int"))) / 2
+        room = F.when(n > 0, median * (0.5 + 0.5 * n / width)).otherwise(0.0)
+        return F.struct(F.round(room, 9).alias("room"), (-i).alias("first"), yaw.alias("yaw"))
+
+    return F.array_max(F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), tried))["yaw"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenvox.functions.angles import clamp, shortest, towards, wrap
 from lumenvox.operators import graph, planning, quantiles, sequence, spatial
+from lumenvox.operators.common import settled
 from lumenvox.plans import capture, selection_sql, sql
 from lumenvox.plans.common import rounded, rounding
 from lumenvox.sources import config, scenes, settings, tables
@@ -173,14 +174,13 @@ def forward_clearance(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("vec_id", *rounding("clear"))
 
 
-def refine_yaw(spark: SparkSession, sf: str) -> DataFrame:
-    """Headings with too little room ahead turned to the best of eleven within 60 degrees."""
-    starts = tables.points(spark, sf).select("vec_id", "x", "z", (F.col("y") * math.pi).alias("yaw0"))
+def _refined(starts: DataFrame, cells: DataFrame) -> DataFrame:
+    """vec_id, yaw of ``starts`` (vec_id, x, z, yaw0): headings with too little room ahead turned to the best of eleven within 60 degrees."""
     turns = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(math.radians(-60 + 12 * i)).alias("t")) for i in range(11)]))
     scan = starts.withColumn("s", turns).select("vec_id", "x", "z", "yaw0", "s.i", "s.t", wrap(F.col("yaw0") + F.col("s.t")).alias("yaw"))
     own = starts.select("vec_id", "x", "z", "yaw0", F.lit(-1).alias("i"), F.lit(0.0).alias("t"), F.col("yaw0").alias("yaw"))
     tried = scan.unionByName(own)
-    clear = spatial.forward_clearance(tried, tables.cells(spark, sf), ["vec_id", "i", "t", "yaw0", "yaw"], tables.CELL, 0.15, 40)
+    clear = spatial.forward_clearance(tried, cells, ["vec_id", "i", "t", "yaw0", "yaw"], tables.CELL, 0.15, 40)
     score = F.round(F.col("clear") - 0.05 * F.abs("t"), 9)
     best = clear.groupBy("vec_id", "yaw0").agg(
         F.max(F.when(F.col("i") < 0, F.col("clear"))).alias("c0"), F.max(F.when(F.col("i") >= 0, F.struct(score.alias("s"), (-F.col("i")).alias("k"), "yaw"))).alias("b")
@@ -188,6 +188,11 @@ def refine_yaw(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("vec_id", rounded(F.when(F.col("c0") >= 0.35, F.col("yaw0")).otherwise(F.col("b.yaw"))).alias("yaw"))
 
 
+def refine_yaw(spark: SparkSession, sf: str) -> DataFrame:
+    """Headings with too little room ahead turned to the best of eleven within 60 degrees."""
+    return _refined(tables.points(spark, sf).select("vec_id", "x", "z", (F.col("y") * math.pi).alias("yaw0")), tables.cells(spark, sf))
+
+
 def clearance_filter(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.nearest(tables.points(spark, sf), tables.anchors(spark, sf), "vec_id", "anchor_id").filter(F.coalesce(F.col("d") >= 0.2, F.lit(True))).select("vec_id")
 
@@ -312,6 +317,26 @@ def anchor_headings(spark: SparkSession, sf: str) -> DataFrame:
     return own.select("anchor_id", *rounding("yaw"), rounded("d").alias("room"))
 
 
+#: The scan of stops: reach and sectors of the sight around, sectors of a view, its middle.
+SCAN = {"reach": 0.3, "bins": 72, "field": 20, "share": 0.28, "deg": 75.0, "steps": 9}
+
+
+def stop_headings(spark: SparkSession, sf: str) -> DataFrame:
+    """Headings of the stops of each view's path: that of the path, turned to the most open sight and then to where there is room ahead, with the room around.
+
+    Stops are the samples nearest to the view's anchors, each once, and all samples of a view that has none.
+    """
+    path = sequence.path_yaws(tables.path(spark, sf)).select(F.col("path_id").alias("view"), "vec_id", "x", "y", "z", "yaw")
+    anchors = path.filter("vec_id % 25 = 0 and view % 3 <> 0").withColumnRenamed("vec_id", "anchor_id")
+    nearest = spatial.nearest(anchors, path.filter("vec_id % 25 <> 0"), "anchor_id", "vec_id", on="view").select("vec_id").distinct()
+    stops = settled(path.join(nearest, "vec_id", "left_semi").unionByName(path.join(anchors.select("view").distinct(), "view", "left_anti").select(path.columns)))
+    sights = spatial.panorama(stops, path, "vec_id", "view", SCAN["reach"], SCAN["bins"])
+    best = spatial.best_heading("yaw", SCAN["deg"], SCAN["steps"], SCAN["bins"], SCAN["field"], SCAN["share"])
+    scanned = settled(stops.join(sights, "vec_id").select("vec_id", "x", "z", "yaw", best.alias("yaw0"), F.array_min("sight").alias("room")))
+    refined = _refined(scanned.select("vec_id", "x", "z", "yaw0"), tables.cells(spark, sf)).withColumnRenamed("yaw", "best")
+    return scanned.join(refined, "vec_id").select("vec_id", *rounding("yaw", "best"), rounded("yaw0").alias("scanned"), rounded("room").alias("room"))
+
+
 def path_trajectory(spark: SparkSession, sf: str) -> DataFrame:
     """A smooth closed path along the links through each view's anchors: each leg resampled, all densified, cut and resampled again."""
     ways = graph.tour_path(_stops_of(spark, sf), _scene_links(spark, sf), "view")
@@ -835,6 +860,23 @@ QUERIES["capture_headings"] = (
       SELECT cd.scene, cd.idx, cd.round, cd.vi, cd.k, sm.yaw AS prev, atan2(sin(cd.yaw - sm.yaw), cos(cd.yaw - sm.yaw)) AS turn FROM sm JOIN cd ON cd.scene = sm.scene AND cd.round = sm.round AND cd.k = sm.k + 1))
     SELECT scene, idx, mode, round, vi, round(yaw, 4) + 0.0 AS yaw FROM (SELECT * FROM pl UNION ALL SELECT scene, idx, 'random', round, vi, yaw FROM sm)""",
 )
+_SECTOR = "floor(((({0}) % (2 * pi())) + 2 * pi()) % (2 * pi()) / (2 * pi() / 72) + 1e-9)::INT % 72"
+QUERIES["stop_headings"] = (
+    stop_headings,
+    f"""WITH {sql.PATH}, {_PYAW}, walk AS (SELECT DISTINCT floor(x / 0.2)::BIGINT AS cx, floor(z / 0.2)::BIGINT AS cz FROM pts),
+    an AS (SELECT * FROM py WHERE vec_id % 25 = 0 AND path_id % 3 <> 0),
+    so AS (SELECT arg_min(p.vec_id, (sqrt((a.x-p.x)*(a.x-p.x) + (a.y-p.y)*(a.y-p.y) + (a.z-p.z)*(a.z-p.z)), p.vec_id)) AS vec_id FROM an a JOIN py p ON p.path_id = a.path_id AND p.vec_id % 25 <> 0 GROUP BY a.vec_id),
+    sp AS (SELECT path_id, vec_id, x, z, yaw FROM py WHERE vec_id IN (SELECT vec_id FROM so) OR path_id NOT IN (SELECT path_id FROM an)),
+    di AS (SELECT s.vec_id, sqrt((p.x-s.x)*(p.x-s.x) + (p.z-s.z)*(p.z-s.z)) AS d, {_SECTOR.format('atan2(p.x-s.x, p.z-s.z)')} AS bin FROM sp s JOIN py p ON p.path_id = s.path_id),
+    pa AS (SELECT vec_id, bin, min(d) AS d FROM di WHERE d > 0 AND d <= 0.3 GROUP BY vec_id, bin),
+    hd AS (SELECT vec_id, yaw, i, {sql.wrap('yaw + radians(-75 + i * 18.75)')} AS y FROM sp, range(0, 9) t(i)),
+    sc AS (SELECT hd.vec_id, i, y, round(coalesce(quantile_cont(pa.d, 0.5), 0) * (0.5 + 0.5 * count(pa.d) / 6), 9) AS room FROM hd CROSS JOIN range(0, 6) w(j) LEFT JOIN pa ON pa.vec_id = hd.vec_id AND pa.bin = ({_SECTOR.format('y')} - 3 + j + 72) % 72 GROUP BY hd.vec_id, i, y),
+    bs AS (SELECT vec_id, arg_max(y, (room, -i)) AS yaw0 FROM sc GROUP BY vec_id), s0 AS (SELECT sp.vec_id, x, z, yaw0 FROM sp JOIN bs USING (vec_id)),
+    st AS (SELECT vec_id, x, z, yaw0, i AS ii, radians(-60 + 12 * i) AS tt, {sql.wrap('yaw0 + radians(-60 + 12 * i)')} AS yaw FROM s0, range(0, 11) t(i) UNION ALL SELECT vec_id, x, z, yaw0, -1, 0, yaw0 FROM s0),
+    {_clear('st', 'vec_id, yaw0, ii, tt, yaw', '0.15::DOUBLE', 40)}, b AS (SELECT vec_id, yaw0, max(clear) FILTER (WHERE ii < 0) AS c0, arg_max(yaw, (round(clear - 0.05::DOUBLE * abs(tt), 9), -ii)) FILTER (WHERE ii >= 0) AS best FROM clr GROUP BY vec_id, yaw0),
+    rm AS (SELECT vec_id, min(d) AS room FROM pa GROUP BY vec_id)
+    SELECT b.vec_id, round(sp.yaw, 6) + 0.0 AS yaw, round(CASE WHEN c0 >= 0.35 THEN yaw0 ELSE best END, 6) + 0.0 AS best, round(yaw0, 6) + 0.0 AS scanned, round(room, 6) + 0.0 AS room FROM b JOIN sp USING (vec_id) LEFT JOIN rm USING (vec_id)""",
+)
 _VALUES = ", ".join(f"({i}, '{name}', '{value}')" for i, sections in enumerate(settings.PROFILES.values()) for name, value in settings.flat(sections).items())
 _DEFAULTS = ", ".join(f"('{name}', '{value}')" for name, value in settings.flat(settings.DEFAULTS).items())
 QUERIES["scene_settings"] = (
