@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,14 +48,47 @@ def _roots(up: DataFrame) -> DataFrame:
             return up
 
 
+#: Links that a task joins at once.
+_LINKS_AT_ONCE = 1 << 21
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (src, dst), a bounded number at a time, as links between each node and the smallest one that it reaches over these, both ways."""
+
+    def star(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        kind, names = held[0].schema.types[0], held[0].schema.names
+        src, dst = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]) for i in (0, 1))
+        ids, at = np.unique(np.concatenate([src, dst]), return_inverse=True)
+        a, b, root = at[: len(src)], at[len(src) :], np.arange(len(ids))
+        while ((ra := root[a]) != (rb := root[b])).any():
+            np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+            while ((up := root[root]) != root).any():
+                root = up
+        led = np.flatnonzero(root != np.arange(len(ids)))
+        below, above = ids[led], ids[root[led]]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), kind) for c in ((below, above), (above, below))], names)
+
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= _LINKS_AT_ONCE:
+            yield star(held)
+            held, n = [], 0
+    if n:
+        yield star(held)
+
+
 def connected(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, component: the smallest node that can be reached, for every node of ``nodes``.
 
+    At first each task joins the links that it has, so that what it knows to be connected takes no round.
     Each round every component hooks on to its smallest neighbour and follows the hooks to their
     roots, so only components without a smaller neighbour go on to the next round.
     """
     label = settled(nodes.select("node", F.col("node").alias("component")))
-    open_ = settled(links.select("src", "dst").filter("src <> dst").distinct())
+    kind = links.schema["src"].dataType.simpleString()
+    open_ = settled(links.select("src", "dst").filter("src <> dst").mapInArrow(_stars, f"src {kind}, dst {kind}").distinct())
     while not open_.isEmpty():
         up = open_.groupBy("src").agg(F.min("dst").alias("dst")).select(F.col("src").alias("id"), F.least("src", "dst").alias("up"))
         up = _roots(settled(up))

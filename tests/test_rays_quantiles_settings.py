@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lumenvox.operators import planning, quantiles, spatial
+from lumenvox.operators import graph, planning, quantiles, spatial
 from lumenvox.sources import settings
 
 
@@ -92,3 +92,27 @@ def test_view_headings(spark):
     # the nudge that passed; a round's offset; half of the clamped turn; the next round begins anew; a stop without a heading looks along +Z
     expected = [1.0 + math.radians(10), math.pi / 2, math.pi / 2 + turn, 2.0, 2.0 - turn]
     assert [found[i]["yaw"] for i in range(5)] == pytest.approx(expected)
+
+
+def test_links_are_joined_in_tasks_first(spark, monkeypatch):
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(300) if i % 41] + [(rng.randrange(400, 700), rng.randrange(400, 700)) for _ in range(170)]
+    parent = list(range(701))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    both = [*edges, *[(b, a) for a, b in edges]]
+    rng.shuffle(both)
+    monkeypatch.setattr(graph, "_LINKS_AT_ONCE", 50)
+    links = spark.createDataFrame(both, "src int, dst int").repartition(5)
+    found = graph.connected(links, spark.range(701).select(F.col("id").cast("int").alias("node")))
+    assert {r.node: r.component for r in found.collect()} == {x: find(x) for x in range(701)}
+    strings = links.selectExpr("format_string('%04d', src) src", "format_string('%04d', dst) dst")
+    named = graph.connected(strings, spark.range(701).selectExpr("format_string('%04d', id) node"))
+    assert {int(r.node): int(r.component) for r in named.collect()} == {x: find(x) for x in range(701)}
