@@ -24,34 +24,136 @@ def _around(df: DataFrame, axes: list[str], size: float) -> DataFrame:
     return df
 
 
-def nearest(queries: DataFrame, targets: DataFrame, query: str, target: str, axes: tuple[str, ...] = ("x", "y", "z"), size: float = 0.2, on: str | None = None) -> DataFrame:
-    """The nearest target of each query: query, target, d. On equal distances the smallest target.
+#: Rows of a table of cells that are broadcast at most; one is less than 300 bytes.
+FEW_CELLS = 50_000
+#: Levels of cells at most: below, doubles hardly tell positions apart.
+DEEPEST = 50
+#: Levels of cells that are passed in one job.
+LEVELS_AT_ONCE = 5
+#: Cells that every query may meet at first.
+FIRST_CELLS = 64
+
+
+def _few(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= FEW_CELLS else df
+
+
+def _placed(df: DataFrame, key: str, name: str, axes: list[str], on: str | None) -> DataFrame:
+    """``key`` as ``name``, the group _g and the position _p0, _p1, ...; only rows with a finite position and a group."""
+    places = [F.col(c).cast("double").alias(f"_p{i}") for i, c in enumerate(axes)]
+    df = df.select(F.col(key).alias(name), (F.col(on) if on else F.lit(0)).alias("_g"), *places)
+    for i in range(len(axes)):
+        df = df.filter(F.col(f"_p{i}") - F.col(f"_p{i}") == 0)
+    return df.filter("_g is not null")
 
-    ``queries`` and ``targets`` have an id, the ``axes`` and, if given, a column ``on`` that has to be equal. A
-    query looks into its own and the neighbouring cells; what it finds within one cell's width
-    is final. The others look again in cells twice as wide, until cells span the data.
+
+def _cell_tree(t: DataFrame, dims: int, crowd: int) -> tuple[list[tuple[int, DataFrame, int]], DataFrame | None, int]:
+    """Cells of the targets ``t`` (_t, _g, _p..), halved where more than ``crowd`` lie: levels, each with its cells and how many they are at most, what the leaves hold, and the number of targets.
+
+    The first level that is counted is the one at which evenly dealt targets would fill no cell; those above it are sums of it, up to one that every query may meet. Below,
+    only the targets of crowded cells are dealt again, at the next level that parts any of them. A cell has its tight box (_lo.., _hi..), one of its
+    targets' positions (rep) and whether it is a leaf.
     """
-    axes = list(axes)
-    keys = [on] if on else []
-    t = targets.select(F.col(target).alias("_t"), *[F.col(c).alias(f"_{c}") for c in axes], *keys)
-    bounds = queries.select(*axes).unionByName(targets.select(*axes)).agg(*[(F.max(c) - F.min(c)).alias(c) for c in axes]).first()
-    spread = max([b for b in bounds if b is not None], default=0.0)
-    waiting, found = queries.select(F.col(query).alias("_q"), *axes, *keys), None
+    ps, cs = [f"_p{i}" for i in range(dims)], [f"_c{i}" for i in range(dims)]
+    keys = ["_g", *cs]
+    box = t.agg(F.count("*").alias("n"), *[f(p).alias(f"{k}{p}") for p in ps for f, k in ((F.min, "lo"), (F.max, "hi"))]).first()
+    if not box["n"]:
+        return [], None, 0
+    span = max(box[f"hi{p}"] - box[f"lo{p}"] for p in ps) or 1.0
+    start = 0
+    while box["n"] > crowd << (dims * start):
+        start += 1
+
+    def cells(level: int) -> dict[str, Column]:
+        return {c: F.least(F.floor((F.col(p) - box[f"lo{p}"]) / span * float(1 << level)).cast("long"), F.lit((1 << level) - 1).cast("long")) for c, p in zip(cs, ps, strict=True)}
+
+    bounds = [f"_lo{i}" for i in range(dims)], [f"_hi{i}" for i in range(dims)]
+    extent = F.array_max(F.array(*[F.col(b) - F.col(a) for a, b in zip(*bounds, strict=True)]))
+    level, here, held, levels = start, t.withColumns(cells(start)), None, {}
     while True:
-        cells = t.withColumns({f"_c{c}": F.floor(F.col(f"_{c}") / size).cast("long") for c in axes})
-        pairs = _around(waiting, axes, size).join(cells, [*[f"_c{c}" for c in axes], *keys])
-        d = distance([F.col(c) for c in axes], [F.col(f"_{c}") for c in axes])
-        best = pairs.groupBy("_q").agg(F.min(F.struct(d.alias("d"), F.col("_t"))).alias("b")).select("_q", "b.d", "b._t")
-        final = size > spread
-        best = settled(best if final else best.filter(F.col("d") <= size))
-        found = best if found is None else found.unionByName(best)
-        if final:
+        counted = here.groupBy(*keys).agg(
+            F.count("*").alias("n"), *[F.min(p).alias(b) for p, b in zip(ps, bounds[0], strict=True)], *[F.max(p).alias(b) for p, b in zip(ps, bounds[1], strict=True)], F.min(F.struct(*ps)).alias("rep")
+        )
+        nodes = settled(counted.withColumn("leaf", (F.col("n") <= crowd) | F.lit(level >= DEEPEST)))
+        sizes = nodes.agg(F.count("*").alias("all"), F.count_if("leaf").alias("leaves"), F.max(F.when(~F.col("leaf"), extent)).alias("extent")).first()
+        levels[level] = nodes, sizes["all"]
+        mine = here.join(_few(nodes.filter("leaf").select(*keys), sizes["leaves"]), keys)
+        mine = mine.groupBy(*keys).agg(F.collect_list(F.struct(*ps, "_t")).alias("held")).withColumn("level", F.lit(level))  # at most ``crowd``
+        held = mine if held is None else held.unionByName(mine)
+        crowded = sizes["all"] - sizes["leaves"]
+        if not crowded:
             break
-        waiting = settled(waiting.join(best, "_q", "left_anti"))
-        if waiting.isEmpty():
-            break
-        size *= 2
-    return found.select(F.col("_q").alias(query), F.col("_t").alias(target), "d")
+        level = min(DEEPEST, max(level + 1, int(math.log2(span / sizes["extent"]))))  # a crowded cell is still cut in two along an axis at most
+        here = settled(here.join(_few(nodes.filter(~F.col("leaf")).select(*keys), crowded), keys, "left_semi").withColumns(cells(level)))
+    for above in range(start - 1, -1, -1):
+        if levels[above + 1][1] <= FIRST_CELLS:
+            break  # no leaf is above this level
+        below = levels[above + 1][0].withColumns({c: F.shiftright(c, 1) for c in cs}).groupBy(*keys)
+        nodes = below.agg(F.sum("n").alias("n"), *[F.min(b).alias(b) for b in bounds[0]], *[F.max(b).alias(b) for b in bounds[1]], F.min("rep").alias("rep")).withColumn("leaf", F.lit(False))
+        most = levels[above + 1][1]  # no more than the level below has
+        levels[above] = (nodes if most <= FEW_CELLS else settled(nodes)), most
+    return [(i, *levels[i]) for i in sorted(levels)], settled(held), box["n"]
+
+
+def _apart(a: list[Column], b: list[Column]) -> Column:
+    return F.sqrt(sum(((x - y) * (x - y) for x, y in zip(a[1:], b[1:], strict=True)), (a[0] - b[0]) * (a[0] - b[0])))
+
+
+def _descended(waiting: DataFrame, levels: list[tuple[int, DataFrame, int]], dims: int, nearest_only: bool) -> DataFrame:
+    """``waiting`` (_q, _g, _p.., most: how far away a target is at most) with the leaves of its group within that: open.
+
+    On each level a query meets the cells below those that are open, and learns from one target of each how far away one is at most. It
+    keeps those whose box is not further away, or, with ``nearest_only``, just the one whose box is nearest.
+    """
+    ps, cs = [f"_p{i}" for i in range(dims)], [f"_c{i}" for i in range(dims)]
+    who, at = ["_q", "_g", *ps], [F.col(p) for p in ps]
+    root = F.struct(F.lit(0.0).alias("near"), F.lit(0.0).alias("mark"), F.lit(-1).alias("level"), *[F.lit(0).cast("long").alias(c) for c in cs], F.lit(False).alias("leaf"))
+    waiting, before = waiting.select(*who, "most", F.array(root).alias("open")), -1
+    for i, (level, nodes, n) in enumerate(levels):
+        shift, before = min(level - before, 63), level
+        below = nodes.select("_g", *[F.shiftright(c, shift).alias(f"_u{k}") for k, c in enumerate(cs)], *cs, *[f"_{b}{k}" for b in ("lo", "hi") for k in range(dims)], "rep", F.col("leaf").alias("_leaf"))
+        # a leaf has no cells below: it goes by a number of its own that no cell has
+        own = [F.when(F.col("o.leaf"), -1 - F.pmod(F.xxhash64("_q"), F.lit(1 << 20))).otherwise(F.col("o._c0")).alias("_u0"), *[F.col(f"o._c{k}").alias(f"_u{k}") for k in range(1, dims)]]
+        met = waiting.select(*who, "most", F.explode("open").alias("o")).select(*who, "most", "o", *own).join(_few(below, n), ["_g", *[f"_u{k}" for k in range(dims)]], "left")
+        near = _apart(at, [F.greatest(F.col(f"_lo{k}"), F.least(F.col(f"_hi{k}"), F.col(p))) for k, p in enumerate(ps)])
+        mark = _apart(at, [F.col(f"rep.{p}") for p in ps])
+        child = F.struct(near.alias("near"), mark.alias("mark"), F.lit(level).alias("level"), *cs, F.col("_leaf").alias("leaf"))
+        met = met.filter("o.leaf or _leaf is not null").select(*who, "most", F.when(F.col("o.leaf"), F.col("o")).otherwise(child).alias("o"))
+        met = met if nearest_only else met.filter(F.col("o.near") <= F.col("most"))
+        grouped = met.groupBy(*who).agg(F.min(F.least("most", "o.mark")).alias("most"), F.collect_list("o").alias("open"))  # the cells that one query meets
+        waiting = grouped.withColumn("open", F.array(F.array_min("open")) if nearest_only else F.filter("open", lambda o: o["near"] <= F.col("most")))
+        if n > FEW_CELLS or i % LEVELS_AT_ONCE == LEVELS_AT_ONCE - 1:
+            waiting = settled(waiting)
+    return waiting
+
+
+def nearest(queries: DataFrame, targets: DataFrame, query: str, target: str, axes: tuple[str, ...] = ("x", "y", "z"), crowd: int = 64, on: str | None = None) -> DataFrame:
+    """The nearest target of each query: query, target, d. On equal distances the smallest target.
+
+    ``queries`` and ``targets`` have an id, the ``axes`` and, if given, a column ``on`` that has to be equal. Rows with a null or not
+    finite position, or a null ``on``, have no neighbour, nor have queries without a target. Cells adapt to the targets:
+    one with more than ``crowd`` is halved along each axis. All queries go down level by level, first into the nearest cell
+    only, so that each knows how far away a target is at most, then into all cells whose box is not further away. So
+    what it compares depends on ``crowd``, not on how densely or unevenly targets lie.
+    """
+    dims, ps, cs = len(axes), [f"_p{i}" for i in range(len(axes))], [f"_c{i}" for i in range(len(axes))]
+    t = settled(_placed(targets, target, "_t", list(axes), on).groupBy("_g", *ps).agg(F.min("_t").alias("_t")))
+    levels, held, total = _cell_tree(t, dims, max(1, crowd))
+    who = ["_q", "_g", *ps]
+    waiting = _placed(queries, query, "_q", list(axes), on)
+    if held is None:
+        return waiting.join(t, "_g").limit(0).select(F.col("_q").alias(query), F.col("_t").alias(target), F.lit(0.0).alias("d"))
+    leaves = _few(held, total)
+    best = F.array_min(F.transform("held", lambda h: F.struct(_apart([F.col(p) for p in ps], [h[p] for p in ps]).alias("d"), h["_t"].alias("_t"))))
+
+    def compared(waiting: DataFrame) -> DataFrame:
+        ends = waiting.select(*who, F.explode("open").alias("o")).select(*who, "o.level", *[f"o.{c}" for c in cs])
+        return ends.join(leaves, ["level", "_g", *cs]).select(*who, best.alias("b"))
+
+    one = compared(_descended(waiting.repartition(*who).select(*who, F.lit(float("inf")).alias("most")), levels, dims, nearest_only=True))
+    first = settled(one.select(*who, F.col("b.d").alias("most")).repartition(*who))
+    found = compared(_descended(first, levels, dims, nearest_only=False)).groupBy("_q").agg(F.min("b").alias("b"))
+    return settled(found.select(F.col("_q").alias(query), F.col("b._t").alias(target), F.col("b.d").alias("d")))
 
 
 def segment_distance(px: Column, pz: Column, ax: Column, az: Column, bx: Column, bz: Column) -> Column:

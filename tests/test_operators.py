@@ -113,7 +113,7 @@ def test_wrap_range(spark):
 def test_nearest_far_away_and_ties(spark):
     q = spark.createDataFrame([(0, 0.0, 0.0), (1, 100.0, 0.0), (2, 0.5, 0.0)], "q long, x double, z double")
     t = spark.createDataFrame([(7, 0.0, 0.1), (9, 1.0, 0.0), (8, 0.0, -0.1)], "t long, x double, z double")
-    found = {r.q: (r.t, round(r.d, 6)) for r in spatial.nearest(q, t, "q", "t", ("x", "z"), 0.05).collect()}
+    found = {r.q: (r.t, round(r.d, 6)) for r in spatial.nearest(q, t, "q", "t", ("x", "z"), crowd=1).collect()}
     assert found == {0: (7, 0.1), 1: (9, 99.0), 2: (9, 0.5)}
 
 
