@@ -7,6 +7,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +59,26 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+#: Shuffle files go with the job that wrote them, not when the driver happens to forget it; for steps that write what they use again.
+SWEPT = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold for a while."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 class Bucketed:
     """Tables bucketed by a column, in the shared folder, for as long as they are needed."""
 

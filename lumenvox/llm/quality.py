@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import Bucketed, cut, discard, lookup, release, scratch_path, text_of, tidy
+from lumenvox.llm.common import SWEPT, Bucketed, cut, discard, lookup, release, scratch_path, settings, text_of, tidy
 from lumenvox.llm.ngrams import ANSWER, CODED, MESSAGE, Chunk, answered, asked, coded, heard, key_bits, members, rows_of
 
 #: The language number of the model of all trusted text, for null languages and those without trusted text.
@@ -28,6 +28,8 @@ TAIL = 0.0025
 #: Words of average trusted text that a document counts for besides its own when it is compared with the thresholds.
 PRIOR_WORDS = 10
 _PAIRS_AT_ONCE = 1 << 17
+#: While counts are exchanged, a worker is handed a few chunks at once.
+_EXCHANGE = SWEPT | {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _RATES = ("d1", "d2", "d3", "e1", "e2", "e3", "pairs", "spread")
 
 
@@ -126,11 +128,12 @@ def _score(shards: int, bits: int):
             rates = np.full((len(c.languages), len(_RATES)), np.nan)
             for r in row["rates"] or []:
                 rates[np.searchsorted(c.languages, r["language"])] = [r[x] for x in _RATES]
-            d = rates[c.of_word][:, :3]
+            d = rates[:, :3][c.of_word]
             lost = k1 * d[:, 0] + k2 * d[:, 1] + k3 * d[:, 2]
             del d, k1, k2, k3
             # a pair once for each document that has it
             each, times = np.unique(c.doc * len(c.pair_keys) + c.pair, return_counts=True)
+            del c.doc, c.pair
             n = pairs[each % max(1, len(c.pair_keys))] >> 1
             ends_at = np.searchsorted(each, np.arange(docs + 1) * len(c.pair_keys))
             sums, at = np.zeros(docs), 0
@@ -188,6 +191,11 @@ def document_scores(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     ``n`` counts the words and the end, 0 for a text without words; ``total`` is null for languages without counts.
     Of equal trusted texts one is counted. The result is computed at once.
     """
+    with settings(rows.sparkSession, _EXCHANGE):
+        return _document_scores(rows, trusted)
+
+
+def _document_scores(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     shards = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bits = key_bits(rows.agg(F.sum(F.length("text"))).first()[0] or 0)

@@ -2,13 +2,16 @@
 
 import math
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lumenvox.llm import ngrams, quality
+from lumenvox.llm.common import SWEPT, cut
 
 
 def tokens(text):
@@ -116,6 +119,22 @@ def test_every_language_has_its_own_threshold(spark):
     assert found[900].kept and not found[901].kept and found[902].threshold == found[903].threshold
 
 
+def test_shuffle_files_go_with_their_jobs(spark, monkeypatch):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = lambda: {p for d in env.blockManager().diskBlockManager().localDirs() for p in Path(d.toString()).rglob("shuffle_*.data")}
+    for module in ("common", "quality"):  # without what the driver forgets by chance
+        monkeypatch.setattr(f"lumenvox.llm.{module}.release", lambda spark: None)
+    docs = spark.createDataFrame([(i, i, 1, t) for i, t in enumerate(corpus())], "id long, k long, g long, text string").repartition(3)
+    docs, before = cut(docs), files()
+    scores = quality.document_scores(docs, cut(docs.select("id")))
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert scores.count() == 40 and not left
+    assert spark.conf.get(next(iter(SWEPT)), None) is None
+
+
 @pytest.mark.parametrize("kind", ["documents"])
 def test_quality_tells_junk_from_text(spark, kind):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in (kind, "labels"))
