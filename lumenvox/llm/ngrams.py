@@ -20,10 +20,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Documents and words of a chunk at most, about; a longer document is a chunk of its own.
-CHUNK_DOCS, CHUNK_WORDS = 1 << 15, 5 << 18
+CHUNK_DOCS, CHUNK_WORDS = 1 << 15, 1 << 20
 #: Bits of a key beyond those that number all words: a word or pair clashes with another with a chance of 1 in 30,000.
 SLACK_BITS = 15
-_STEP_BYTES = 4 << 20
+_STEP_BYTES = 2 << 20
 _REPEATED = np.uint64(0x5851F42D4C957F2D)
 
 

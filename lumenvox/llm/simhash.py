@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, lookup, release, text_of, tidy
+from lumenvox.llm.common import SWEPT, cut, lookup, settings, text_of, tidy
 from lumenvox.llm.components import components
 from lumenvox.llm.set_links import candidate_links, similar_links
 from lumenvox.llm.unions import merge
@@ -324,6 +324,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     its shingles. Texts are known by two 64-bit hashes. Equal texts are one text, null counts as the empty one; texts without words
     have no shingles and are similar to each other only; very long texts are taken whole; null ids count only where a text has no other.
     """
+    with settings(docs.sparkSession, SWEPT):  # the signatures are the largest of all shuffles
+        return _similar_documents(docs, id_col, text_col, least, words, budget)
+
+
+def _similar_documents(docs: DataFrame, id_col: str, text_col: str, least: float, words: int, budget: int) -> DataFrame:
     kind = Fingerprint(words, distinct=True)
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *_keys(text), text.alias("text"))
@@ -344,8 +349,6 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     whole = _named(docs.select(*_keys(text), text.alias("text")), clashes).select("key", "text")
     candidates = candidate_links(whole, lambda t: shingle_hashes(t, words), least)
     groups = components(equal.unionByName(near).unionByName(candidates))
-    del equal, near, candidates
-    release(docs.sparkSession)  # the signatures are the largest of all shuffles
     sets = whole.join(_few(groups.select(F.col("id").alias("key"))), "key", "left_semi").mapInArrow(tidy(_shingled(words)), "key long, data binary")
     sets = cut(sets.groupBy("key").agg(F.first("data").alias("data")).withColumn("bytes", F.octet_length("data").cast("long")))
     linked = components(similar_links(sets, groups, least))
