@@ -2,7 +2,8 @@
 
 A column of texts is cut where no token can span and dictionary-encoded as a whole; each distinct
 piece is encoded once by the tokenizers library, many of them joined to one text by a separator
-whose id tells them apart, and the ids of all pieces are gathered from one flat buffer. Pieces stay known for the rest of the task, within a bound of ids, so a worker's memory
+whose id tells them apart, and the ids of all pieces are gathered from one flat buffer. Pieces of
+Latin letters go to the tokenizer's model at once, since its rules leave them whole. Pieces stay known for the rest of the task, within a bound of ids, so a worker's memory
 grows neither with the input nor from task to task.
 """
 
@@ -29,6 +30,14 @@ _TAILS = (",", ".")
 #: What a piece must not have to be joined with others: white space and the separators themselves.
 _ODD = re.compile(r"\S*[\s|\x1c-\x1f\x85]|$")
 _CUT = re.compile(r"(?<=\S) ")
+#: Letters that normalization at most makes small, one by one: Latin ones without the dotted capital I.
+_LATIN = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
+#: Such a word with a final sign or none, or two of them with a line feed between; the tokenizer's pattern cuts there.
+_WORDS = re.compile(rf"({_LATIN})([,.]?)(?:(\n)({_LATIN})([,.]?))?")
+#: How a byte-level vocabulary writes the space and the bytes of letters.
+_SPACE = "Ġ"
+_BYTES = {0xAD: 0x143, **{b: b + 0xA2 for b in range(0x80, 0xA1)}}
+_PROBES = ("the", "Zebra", "Größe", "ñandúÀÉ", "łódźŠ", "xqzjkw")
 #: A space at the start or after white space: there a cut at each space would break a run of white space.
 _RUN = r"^ |[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 
@@ -58,10 +67,14 @@ class PieceEncoder:
         self.separator = "\n" if keeps_space else " | "
         ids = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
         self.separator_id = ids[0] if len(ids) == 1 else None
+        self.model = self.tokenizer.model
+        self.direct = all(self._of_letters(p, b) == self.tokenizer.encode(" " * b + p, add_special_tokens=False).ids for p in _PROBES for b in {keeps_space, False})
+        self.lines = keeps_space and self.direct and self.separator_id is not None
         self._forget()
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
+        self.begins: dict[str, int] = {}
         self.flat, self.ends = array("I"), array("q", [0])
 
     def _encoded(self, texts: list[str]) -> Iterator[list[int]]:
@@ -77,9 +90,51 @@ class PieceEncoder:
             self.ends.append(len(self.flat))
         return first
 
+    def _of_letters(self, word: str, spaced: bool) -> list[int]:
+        """ids of Latin letters, with a space before them or not, by the model alone."""
+        if self.folds:
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTES)
+        return [t.id for t in self.model.tokenize(_SPACE + word if spaced else word)]
+
+    def _of_words(self, pieces: list[str]) -> list[str]:
+        """Remember pieces of Latin words, put together from the ids of their letters and signs; the other pieces."""
+        slots, begins, flat, ends = self.slots, self.begins, self.flat, self.ends
+        other: list[str] = []
+        for p in pieces:
+            m = _WORDS.fullmatch(p)
+            if m is None or (m[3] and not self.lines):
+                other.append(p)
+                continue
+            word, sign, line, second, last = m.groups()
+            if (slot := slots.get(word)) is None:
+                slot = slots[word] = len(ends) - 1
+                flat.extend(self._of_letters(word, self.keeps_space))
+                ends.append(len(flat))
+            if len(word) == len(p):
+                continue
+            if line and (begin := begins.get(second)) is None:
+                begin = begins[second] = len(ends) - 1
+                flat.extend(self._of_letters(second, False))
+                ends.append(len(flat))
+            flat.extend(flat[ends[slot] : ends[slot + 1]])
+            if sign:
+                flat.extend(self.tails[sign])
+            if line:
+                flat.append(self.separator_id)
+                flat.extend(flat[ends[begin] : ends[begin + 1]])
+                if last:
+                    flat.extend(self.tails[last])
+            slots[p] = len(ends) - 1
+            ends.append(len(flat))
+        return other
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that a space or nothing goes before, and remember them."""
         before = " " if self.keeps_space else ""
+        if self.direct:
+            pieces = self._of_words(pieces)
         tailed = [p for p in pieces if p[-1:] in self.tails and p[:-1].isalpha()]
         cores = {p[:-1] for p in tailed}.union(set(pieces).difference(tailed)).difference(self.slots)
         joined: list[str] = []
@@ -111,13 +166,15 @@ class PieceEncoder:
     def _slots(self, pieces: pa.Array) -> np.ndarray:
         """The slot of each piece; those seen for the first time are encoded."""
         coded = pieces.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary
         if self.folds:  # ASCII letters count in small letters
-            words = [w.lower() if w.isascii() else w for w in words]
-        if missing := [w for w in words if w not in self.slots]:
+            words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        words = _strings(words)
+        found = list(map(self.slots.get, words))
+        if missing := [w for w, slot in zip(words, found, strict=True) if slot is None]:
             self._learn(missing)
-        slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-        return slot[coded.indices.to_numpy()]
+            found = [self.slots[w] if slot is None else slot for w, slot in zip(words, found, strict=True)]
+        return np.array(found, np.int64)[coded.indices.to_numpy()]
 
     def _gathered(self, pieces: pa.Array, starts: np.ndarray, first: list[str] | None, end_id: int | None) -> Iterator[np.ndarray]:
         """ids of texts that own ``pieces`` from one start to the next; ``first``: each text's first piece, which no space goes before."""
@@ -149,7 +206,7 @@ class PieceEncoder:
         slow = pc.match_substring_regex(texts, _RUN)
         parts = pc.split_pattern(texts.filter(pc.invert(slow)), " ")
         starts, pieces = _starts(parts), parts.flatten()
-        plain = self._gathered(pieces, starts, pieces.take(pa.array(starts[:-1])).to_pylist(), end_id)
+        plain = self._gathered(pieces, starts, _strings(pieces.take(pa.array(starts[:-1]))), end_id)
         split = [_CUT.split(t) for t in texts.filter(slow).to_pylist()]
         starts = np.cumsum([0, *map(len, split)])
         spaced = self._gathered(pa.array([p for parts in split for p in parts], pa.string()), starts, [parts[0] for parts in split], end_id)
@@ -172,5 +229,10 @@ def _starts(parts: pa.ListArray) -> np.ndarray:
     return np.r_[0, np.cumsum(parts.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """The values as a list, without a scalar for each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids) & 0xFFFFFFFF
