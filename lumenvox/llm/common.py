@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Keys that hold at least 1/HEAVY_SHARE of a weight are looked up by broadcast; there are at most HEAVY_SHARE of them.
 HEAVY_SHARE = 1000
+#: Keys that are broadcast to pick rows of a table, at most; with more the table is shuffled.
+FEW_KEYS = 200_000
 
 
 def scratch_dir(spark: SparkSession) -> str:

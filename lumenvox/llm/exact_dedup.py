@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import cut, lookup, text_of
+from lumenvox.llm.common import FEW_KEYS, cut, lookup, text_of
 from lumenvox.llm.grace import grouped
 
 #: Bytes of distinct contents that one task keeps in memory before it spills.
@@ -114,7 +114,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).cast("long").alias("doc_id"),
         F.unhex(F.sha2(F.encode(text_of(text_col), "UTF-8"), 256)).alias("digest"),
     )
-    found = lookup(rows, "digest", classes, "group_size", F.xxhash64("doc_id", "digest"))
+    if classes.count() <= FEW_KEYS:  # complete rows need not be shuffled
+        found = rows.join(F.broadcast(classes), "digest", "left")
+    else:
+        found = lookup(rows, "digest", classes, "group_size", F.xxhash64("doc_id", "digest"))
     kept = found.filter(F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
     if not classes.filter("ties > 1").isEmpty():
         tied = F.coalesce("ties", F.lit(1)) > 1

@@ -1,8 +1,9 @@
 """Exact candidates for similar sets, and their comparison, without pairs of all members of a group.
 
 Two sets with a Jaccard similarity of t or more differ in at most (1 - t) / (1 + t) of their summed sizes. If all possible
-elements are dealt into more segments than that by a hash, some segment holds the same elements of both. So sets send one hash
-for each segment, and every pair that is similar enough meets at one of them. What meets is
+elements are dealt into more segments than that by a hash, some segment holds the same elements of both. So sets ask, with one hash
+for each segment, how many hold the same. Where more segments than may differ are held by no other, a set has no similar one; of the others every pair
+that is similar enough meets at one of the rarest segments of both. What meets is
 brought together, each set once for each pair of blocks, and compared there.
 """
 
@@ -14,6 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,14 @@ from lumenvox.llm.unions import merge
 
 #: Times that a set with too many empty segments is dealt out anew, before its elements themselves are sent.
 SEEDS = 6
-#: Sets of a block and their bytes; segment hashes that a task sorts at once; numbers of an array of comparisons that is in memory at once.
+#: Sets of a block and their bytes; segment hashes of a chunk; numbers of an array of comparisons that is in memory at once.
 BLOCK_SETS, BLOCK_BYTES = 2048, 1 << 25
-_HASHES_AT_ONCE, _AT_ONCE = 1 << 20, 1 << 24
+HASHES_AT_ONCE, _AT_ONCE = 1 << 20, 1 << 24
+#: Bytes of texts for each shard of their segments' hashes; number of dealings of a chunk that end it; the slot of a hash that several dealings of a chunk hold.
+SHARD_BYTES, _SLOTS, _NO_SLOT = 1 << 23, 60_000, 0xFFFF
+_ROWS_AT_ONCE = 64
+_SCHEMA = "shard long, chunk long, first binary, second binary, third binary, fourth binary"
+_MESSAGE = pa.schema([("shard", pa.int64()), ("chunk", pa.int64()), *[(name, pa.binary()) for name in ("first", "second", "third", "fourth")]])
 
 
 @cache
@@ -58,26 +65,35 @@ def _segmented(h: np.ndarray, segments: int, seed: int) -> tuple[np.ndarray, np.
     return place[starts], np.add.reduceat(_mixed(mixed, 3), starts)
 
 
-def signatures(h: np.ndarray, least: float) -> np.ndarray:
-    """Hashes of which similar sets have at least one in common; ``h`` has the hashes (uint64) of the elements, each once."""
+def dealings(h: np.ndarray, least: float) -> list[tuple[int, np.ndarray]]:
+    """Each way in which a set is dealt into segments: the segments that may differ from a similar set's, at most, and hashes of its own.
+
+    ``h`` has the hashes (uint64) of the elements, each once. Similar sets have a way in common in which some segment is the same.
+    """
     if not len(h):
-        return np.zeros(1, np.uint64)
+        return [(0, np.zeros(1, np.uint64))]
     first, most, segments = size_classes(least)
     own = int(np.searchsorted(first, len(h), "right")) - 1
+    differing = math.floor((1 - least) / least * len(h) + 1e-9)
     found = []
     for c in (own, own - 1):
         if c < 0 or (c < own and len(h) > math.floor((first[own] - 1) / least + 1e-9)):
             continue
         for seed in range(SEEDS):
             place, held = _segmented(h, segments[c], c * SEEDS + seed)
-            found.append(_mixed(held ^ (place * np.uint64(0x9E3779B97F4A7C15)), (c + 1) * 1000 + seed))
+            found.append((min(differing, most[c]), _mixed(held ^ (place * np.uint64(0x9E3779B97F4A7C15)), (c + 1) * 1000 + seed)))
             if segments[c] - len(place) < segments[c] - most[c]:  # what is equal cannot all be empty
                 break
         else:
             ordered = np.sort(h)
             prefix = len(h) - math.ceil(least * len(h) - 1e-9) + 1
-            found.append(_mixed(ordered[:prefix], (c + 1) * 1000 + SEEDS))
-    return np.concatenate(found)
+            found.append((prefix - 1, _mixed(ordered[:prefix], (c + 1) * 1000 + SEEDS)))
+    return found
+
+
+def signatures(h: np.ndarray, least: float) -> np.ndarray:
+    """Hashes of which similar sets have at least one in common; ``h`` has the hashes (uint64) of the elements, each once."""
+    return np.concatenate([held for _, held in dealings(h, least)])
 
 
 def _combined(sig: np.ndarray, key: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -93,26 +109,140 @@ def _combined(sig: np.ndarray, key: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["sig", "key", "head"])
 
 
-def _signed(hashes, least: float):
-    """mapInArrow function: (key, text) to signatures, those of a task combined, so that a frequent one is sent once for each task."""
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, all lowest bytes first, so that high bytes that are zero compress well."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, dtype: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def _messages(chunk: int, keys: list[int], most: list[int], held: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """What the dealings of a chunk of sets hold, to the shards of their hashes, and a row (with a shard below zero) of what the chunk needs with the answers.
+
+    A hash that one dealing holds is sent with its slot in the chunk, one that several hold once, with their number and no slot; the chunk's row has their slots.
+    """
+    slot = np.repeat(np.arange(len(held)), [len(x) for x in held])
+    token = np.concatenate(held) >> np.uint64(32 - bits)
+    order = np.lexsort((slot, token))
+    slot, token = slot[order], token[order]
+    new = np.r_[True, (token[1:] != token[:-1]) | (slot[1:] != slot[:-1])]
+    slot, token = slot[new].astype("<u2"), token[new]
+    sizes = np.bincount(slot, minlength=len(held))
+    starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    n = np.diff(np.r_[starts, len(token)])
+    several = np.repeat(n > 1, n)
+    rows = [(-1 - chunk, chunk, np.array(keys, "<i8").tobytes(), np.array([sizes, most], "<i4").tobytes(), token[several].astype("<u8").tobytes(), slot[several].tobytes())]
+    token, slot = token[starts], np.where(n > 1, _NO_SLOT, slot[starts]).astype("<u2")
+    shard = (token >> np.uint64(32)).astype(np.int64)
+    ends = np.r_[np.flatnonzero(shard[1:] != shard[:-1]) + 1, len(shard)]
+    for at, end in zip(np.r_[0, ends[:-1]], ends, strict=True):
+        values = (token[at:end] & np.uint64(0xFFFFFFFF)).astype("<u4")
+        own = n[at:end]
+        rows.append((int(shard[at]), chunk, _planes(np.diff(values, prepend=np.uint32(0))), _planes(slot[at:end]), _planes(own[own > 1].astype("<u4")), None))
+    for at in range(0, len(rows), _ROWS_AT_ONCE):
+        yield pa.RecordBatch.from_pylist([dict(zip(_MESSAGE.names, r, strict=True)) for r in rows[at : at + _ROWS_AT_ONCE]], schema=_MESSAGE)
+
+
+def _asked(hashes, least: float, bits: int, at_once: int):
+    """mapInArrow function: (key, text) to the messages of chunks of sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, keys, n = [], [], 0
+        chunk = TaskContext.get().partitionId() << 24
+        keys, most, held, known, n = [], [], [], set(), 0
         for b in batches:
-            for key, text in zip(b.column(0).to_numpy(), b.column(1), strict=True):
-                found = signatures(np.unique(np.array(hashes(text.as_buffer().to_pybytes()), "<u8")), least).view(np.int64)
-                sigs.append(found)
-                keys.append(np.full(len(found), key, np.int64))
-                n += len(found)
-                if n >= _HASHES_AT_ONCE:
-                    yield from _combined(np.concatenate(sigs), np.concatenate(keys))
-                    sigs, keys, n = [], [], 0
-        if n:
-            yield from _combined(np.concatenate(sigs), np.concatenate(keys))
+            for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if key in known:  # an equal text
+                    continue
+                known.add(key)
+                for differing, x in dealings(np.unique(np.array(hashes(text.as_buffer().to_pybytes()), "<u8")), least):
+                    keys.append(key)
+                    most.append(differing)
+                    held.append(x)
+                    n += len(x)
+                if n >= at_once or len(held) >= _SLOTS:
+                    yield from _messages(chunk, keys, most, held, bits)
+                    chunk += 1
+                    keys, most, held, known, n = [], [], [], set(), 0
+        if held:
+            yield from _messages(chunk, keys, most, held, bits)
 
     return run
 
 
+def _by(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows that share a value of ``column``, by which all are sorted."""
+    now, rows = None, []
+    for b in batches:
+        for row in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            if row[column] != now:
+                if rows:
+                    yield now, rows
+                now, rows = row[column], []
+            rows.append(row)
+    if rows:
+        yield now, rows
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function over messages sorted by shard: to each chunk its hashes that several dealings hold, of all chunks, and how many."""
+    for shard, rows in _by(batches, 0):
+        if shard < 0:
+            yield pa.RecordBatch.from_pylist([dict(zip(_MESSAGE.names, r, strict=True)) for r in rows], schema=_MESSAGE)
+            continue
+        values, slots, counts = [], [], []
+        for row in rows:
+            values.append(np.cumsum(_from_planes(row[2], "<u4"), dtype="<u4"))
+            slots.append(_from_planes(row[3], "<u2"))
+            counts.append(np.ones(len(slots[-1]), np.int64))
+            counts[-1][slots[-1] == _NO_SLOT] = _from_planes(row[4], "<u4")
+        _, which = np.unique(np.concatenate(values), return_inverse=True)
+        total = np.bincount(which, weights=np.concatenate(counts)).astype(np.int64)[which]
+        ends = np.cumsum([len(v) for v in values])
+        answers = []
+        for row, v, s, n in zip(rows, values, slots, np.split(total, ends[:-1]), strict=True):
+            if (met := n > 1).any():
+                answers.append((shard, row[1], v[met].tobytes(), s[met].tobytes(), n[met].astype("<i8").tobytes(), None))
+        for at in range(0, len(answers), _ROWS_AT_ONCE):
+            yield pa.RecordBatch.from_pylist([dict(zip(_MESSAGE.names, r, strict=True)) for r in answers[at : at + _ROWS_AT_ONCE]], schema=_MESSAGE)
+
+
+def rarest(token: np.ndarray, n: np.ndarray, slot: np.ndarray, sizes: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which hashes (held ``n`` times in all, over 1, by ``slot`` and others) are among the ``most`` + 1 rarest of their dealing, which has ``sizes`` of them.
+
+    A set differs from a similar one in ``most`` of its hashes at most. So if more are held by it alone there is none, and of all others the
+    rarest hash that both hold has at most so many before it, in the order of ``n`` and the hash, which is the same for all.
+    """
+    alone = sizes - np.bincount(slot, minlength=len(sizes))
+    order = np.lexsort((token, n, slot))
+    starts = np.flatnonzero(np.r_[True, slot[order][1:] != slot[order][:-1]]) if len(slot) else np.empty(0, np.int64)
+    rank = np.empty(len(slot), np.int64)
+    rank[order] = np.arange(len(slot)) - np.repeat(starts, np.diff(np.r_[starts, len(slot)]))
+    return rank + alone[slot] <= most[slot]
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function over answers sorted by chunk: signatures over which similar sets meet, those of a chunk combined, so that a frequent one is sent once for each chunk."""
+    for _, rows in _by(batches, 1):
+        own = next(r for r in rows if r[0] < 0)
+        keys, (sizes, most) = np.frombuffer(own[2], "<i8"), np.frombuffer(own[3], "<i4").reshape(2, -1)
+        several, slots = np.frombuffer(own[4], "<u8"), np.frombuffer(own[5], "<u2")
+        if len(rows) == 1:
+            continue
+        rows = [r for r in rows if r[0] >= 0]
+        token = np.concatenate([np.frombuffer(r[2], "<u4") | np.uint64(r[0] << 32) for r in rows])
+        slot = np.concatenate([np.frombuffer(r[3], "<u2") for r in rows]).astype(np.int64)
+        n = np.concatenate([np.frombuffer(r[4], "<i8") for r in rows])
+        shared = slot == _NO_SLOT
+        order = np.argsort(token[shared])
+        which = order[np.searchsorted(token[shared], several, sorter=order)] if len(several) else np.empty(0, np.int64)
+        token, n, slot = np.r_[token[~shared], several], np.r_[n[~shared], n[shared][which]], np.r_[slot[~shared], slots]
+        some = rarest(token, n, slot, sizes, most)
+        if some.any():
+            yield from _combined(token[some].view(np.int64), keys[slot[some]])
+
+
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """mapInArrow function over rows sorted by sig: links of the keys of a signature to the first of them."""
     last, first = None, None
@@ -133,10 +263,19 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, first = sig[-1], heads[-1]
 
 
-def candidate_links(texts: DataFrame, hashes, least: float) -> DataFrame:
-    """Links (src, dst) over which all pairs of ``texts`` (key, text) whose sets are similar are connected; ``hashes`` makes a text's set."""
-    signed = texts.mapInArrow(tidy(_signed(hashes, least)), "sig long, key long, head long")
-    # links of a task are few and spread by their key, signatures by themselves
+def candidate_links(texts: DataFrame, hashes, least: float, shard_bytes: int = SHARD_BYTES, at_once: int = HASHES_AT_ONCE) -> DataFrame:
+    """Links (src, dst) over which all pairs of ``texts`` (key, text) whose sets are similar are connected; ``hashes`` makes a text's set.
+
+    Segments that no other set holds are most of all, and each is one by which any other set differs. So chunks of sets first ask how
+    many hold each of theirs, 32 bits of it beyond those that name the shard; only sets that may have a similar one go on, by their rarest segments. A hash that
+    clashes joins what is compared and found different later.
+    """
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(20, int(size // shard_bytes).bit_length())
+    asked = texts.mapInArrow(tidy(_asked(hashes, least, bits, at_once)), _SCHEMA)
+    answered = asked.repartition("shard").sortWithinPartitions("shard").mapInArrow(tidy(_answered), _SCHEMA)
+    signed = answered.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(tidy(_signed), "sig long, key long, head long")
+    # links of a chunk are few and spread by their key, signatures by themselves
     dealt = signed.withColumn("_by", F.coalesce("sig", "key")).repartition("_by")
     return dealt.sortWithinPartitions("_by").select("sig", "key", "head").mapInArrow(tidy(_linked), "src long, dst long")
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenvox.llm.common import SWEPT, cut, lookup, settings, text_of, tidy
+from lumenvox.llm.common import FEW_KEYS, SWEPT, cut, lookup, settings, text_of, tidy
 from lumenvox.llm.components import components
 from lumenvox.llm.set_links import candidate_links, similar_links
 from lumenvox.llm.unions import merge
@@ -51,8 +51,6 @@ class Fingerprint:
 
 #: Words of a shingle and least share of common shingles of near copies in a corpus, and bits by which fingerprints of their sets may differ.
 SHINGLE_WORDS, SIMILARITY, CORPUS_BUDGET = 5, 0.8, 3
-#: Keys that are broadcast to pick rows of a table, at most; with more the table is shuffled.
-FEW_KEYS = 200_000
 
 
 def shingle_hashes(text: bytes, words: int = 3) -> list[int]:

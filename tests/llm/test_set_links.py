@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lumenvox.llm import simhash
-from lumenvox.llm.set_links import connect, signatures, similarity, size_classes
+from lumenvox.llm.set_links import candidate_links, connect, dealings, rarest, signatures, similarity, size_classes
 from lumenvox.llm.simhash import drop_near_duplicates, shingle_hashes, similar_documents
 
 
@@ -140,3 +140,47 @@ def test_classes_hold_all_similar_sizes():
         first, most, segments = size_classes(least)
         for c in range(12):
             assert first[c + 2] - 1 >= (first[c + 1] - 1) / least and segments[c] > most[c]
+
+
+def test_passages_make_no_candidates(spark, vocabulary):
+    """Texts that share a passage are not brought together, however many there are; copies among them are, over several chunks and shards."""
+    rng = random.Random(6)
+    passage = rng.choices(vocabulary, k=60)
+    texts = {i: rng.choices(vocabulary, k=240) + passage for i in range(150)}
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "key long, text string").repartition(3)
+    assert candidate_links(rows, lambda t: shingle_hashes(t, 5), 0.8).count() == 0
+    copies = {1000 + i: edited(rng, vocabulary, texts[i], 3) for i in range(0, 150, 10)} | {2000 + i: edited(rng, vocabulary, texts[7], 2) for i in range(30)}
+    rows = rows.unionByName(spark.createDataFrame([(i, " ".join(t)) for i, t in copies.items()], "key long, text string").repartition(2))
+    links = candidate_links(rows, lambda t: shingle_hashes(t, 5), 0.8, shard_bytes=1 << 14, at_once=5000).collect()
+    root = {i: i for i in texts | copies}
+    for r in links:
+        low, high = sorted((root[r.src], root[r.dst]))
+        root = {i: low if x == high else x for i, x in root.items()}
+    assert root == components_of({i: " ".join(t) for i, t in (texts | copies).items()})[0]
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.integers(1, 500), st.data())
+def test_similar_sets_share_a_rarest_segment(n, data):
+    """Whatever else holds their segments, and however often."""
+    rng = np.random.default_rng(data.draw(st.integers(0, 10**6)))
+    x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    gone = data.draw(st.integers(0, n // 5))
+    new = max(0, int((n - gone) / 0.8 + 1e-9) - n)
+    y = np.unique(np.r_[rng.permutation(x)[gone:], rng.integers(0, 2**63, new, dtype=np.uint64)])
+    common, either = similarity(x, y)
+    if common < 0.8 * either:
+        return
+    ways = [dealings(x, 0.8), dealings(y, 0.8)]
+    every = np.concatenate([held for way in ways for _, held in way])
+    tokens, n_all = np.unique(every, return_counts=True)
+    n_all += rng.integers(0, data.draw(st.integers(1, 9)), len(tokens))  # of other sets
+    sent = []
+    for way in ways:
+        token = np.concatenate([held for _, held in way])
+        slot = np.repeat(np.arange(len(way)), [len(held) for _, held in way])
+        total = n_all[np.searchsorted(tokens, token)]
+        met = total > 1
+        sizes = np.array([len(held) for _, held in way])
+        sent.append(token[met][rarest(token[met], total[met], slot[met], sizes, np.array([most for most, _ in way]))])
+    assert len(np.intersect1d(*sent))
