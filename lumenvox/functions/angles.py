@@ -11,8 +11,12 @@ TAU = 2 * math.pi
 
 
 def wrap(angle: Column) -> Column:
-    """The same direction in [-pi, pi)."""
-    return F.pmod(angle + math.pi, F.lit(TAU)) - math.pi
+    """The same direction in [-pi, pi).
+
+    The remainder is taken twice, so that all directions lie on one grid of doubles and half a turn is one value: pmod leaves what is just
+    below a whole turn as it is, next to pi instead of -pi.
+    """
+    return ((angle + math.pi) % TAU + TAU) % TAU - math.pi
 
 
 def shortest(start: Column, end: Column) -> Column:

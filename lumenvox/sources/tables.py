@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenvox.functions.angles import wrap
+
 TILE = 8
 LINK_REACH = 0.1
 CELL = 0.2
@@ -72,9 +74,7 @@ def headings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     order = Window.partitionBy("user_id").orderBy("ts", "event_id")
     turn = F.col("value") * math.pi / 50
-    return table(spark, sf_dir, "events").select(
-        "user_id", (F.row_number().over(order) - 1).cast("long").alias("seq"), (F.pmod(turn + math.pi, F.lit(2 * math.pi)) - math.pi).alias("yaw")
-    )
+    return table(spark, sf_dir, "events").select("user_id", (F.row_number().over(order) - 1).cast("long").alias("seq"), wrap(turn).alias("yaw"))
 
 
 def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
