@@ -113,23 +113,17 @@ def unwrapped(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("yaw", F.col("yaw") + F.sum("_fix").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_fix")
 
 
-def _turned(step: float) -> float:
-    """A difference of headings as the turn that it stands for; half a turn keeps its sign."""
-    if abs(step) < math.pi:
-        return step
-    folded = (step + math.pi) % TAU - math.pi
-    return math.pi if folded == -math.pi and step > 0 else folded
+def _wrapped(yaw: float) -> float:
+    """``wrap`` for a number, to the bit."""
+    return math.fmod(math.fmod(yaw + math.pi, TAU) + TAU, TAU) - math.pi
 
 
 def _limit(most: float) -> Callable:
-    """A step of the rate limit; the state is the heading before and how far the limited one is ahead of it."""
+    """A step of the rate limit over unwrapped headings; the state is the limited heading before."""
 
-    def step(state: tuple | None, yaw: float) -> tuple[tuple, float]:
-        if state is None:
-            return (yaw, 0.0), (yaw + math.pi) % TAU - math.pi
-        off = state[1] - _turned(yaw - state[0])
-        off -= min(max(off, -most), most)
-        return (yaw, off), (yaw + off + math.pi) % TAU - math.pi
+    def step(state: float | None, yaw: float) -> tuple[float, float]:
+        new = yaw if state is None else state + min(max(yaw - state, -most), most)
+        return new, _wrapped(new)
 
     return step
 
@@ -149,14 +143,6 @@ def _smooth(most: float, alpha: float) -> Callable:
     return step
 
 
-def _same(a: object, b: object) -> bool:
-    """States that differ in nothing that matters."""
-    if a is None or b is None:
-        return a is b
-    pairs = zip(a, b, strict=True) if isinstance(a, tuple) else ((a, b),)
-    return all(abs(x - y) <= 1e-12 for x, y in pairs)
-
-
 def _folded(df: DataFrame, key: str, step: Callable) -> DataFrame:
     """Runs ``step(state, yaw)``, which gives the new state and a heading, over each path in order: key, seq, yaw; the first state is None.
 
@@ -197,8 +183,7 @@ def _folded(df: DataFrame, key: str, step: Callable) -> DataFrame:
                 yield told([(*at, state)])
 
         def told(closed: list[tuple]) -> pa.RecordBatch:
-            states = [None if s is None else list(s) if isinstance(s, tuple) else [s] for *_, s in closed]
-            return pa.RecordBatch.from_arrays([pa.array([k for k, *_ in closed], pa.from_numpy_dtype("int64") if kind in _WHOLE else None), pa.array([p for _, p, _ in closed], pa.int32()), pa.array(states, pa.list_(pa.float64()))], [key, "_part", "state"])
+            return pa.RecordBatch.from_arrays([pa.array([k for k, *_ in closed], pa.from_numpy_dtype("int64") if kind in _WHOLE else None), pa.array([p for _, p, _ in closed], pa.int32()), pa.array([s for *_, s in closed], pa.float64())], [key, "_part", "state"])
 
         return work
 
@@ -213,17 +198,17 @@ def _folded(df: DataFrame, key: str, step: Callable) -> DataFrame:
     changed = {(k, p) for k, own in parts.items() for p in own}
     while changed:
         where = placed.filter(F.col("_part").isin(sorted({p for _, p in changed})) & F.col(key).isin(list({k for k, _ in changed})))
-        told = ordered(where).mapInArrow(run(begin, True), f"{key} {'long' if kind in _WHOLE else kind}, _part int, state array<double>").collect()
-        ends = {(r[key], r["_part"]): None if r["state"] is None else r["state"][0] if len(r["state"]) == 1 else tuple(r["state"]) for r in told}
+        told = ordered(where).mapInArrow(run(begin, True), f"{key} {'long' if kind in _WHOLE else kind}, _part int, state double").collect()
+        ends = {(r[key], r["_part"]): r["state"] for r in told}
         new = {at: ends[prior] for at, prior in before.items() if prior in ends}
-        changed = {at for at, state in new.items() if not _same(state, begin.get(at))}
+        changed = {at for at, state in new.items() if repr(state) != repr(begin.get(at))}  # to the bit
         begin = begin | {at: new[at] for at in changed}
     return ordered(placed).mapInArrow(run(begin, False), f"{key} {kind}, seq {df.schema['seq'].dataType.simpleString()}, yaw double")
 
 
 def rate_limited(df: DataFrame, limit_deg: float, key: str) -> DataFrame:
     """Headings, unwrapped, whose steps are clamped against the clamped row before: key, seq, yaw in [-pi, pi)."""
-    return _folded(df, key, _limit(math.radians(limit_deg)))
+    return _folded(unwrapped(df, key), key, _limit(math.radians(limit_deg)))
 
 
 def smoothed(df: DataFrame, limit_deg: float, alpha: float, key: str) -> DataFrame:
