@@ -135,9 +135,9 @@ def _smooth(most: float, alpha: float) -> Callable:
         if state is None:
             return yaw, yaw
         turn = math.atan2(math.sin(yaw - state), math.cos(yaw - state))
-        new = (state + min(max(turn, -most), most) + math.pi) % TAU - math.pi
+        new = _wrapped(state + min(max(turn, -most), most))
         if alpha > 0:
-            new = (state + alpha * math.atan2(math.sin(new - state), math.cos(new - state)) + math.pi) % TAU - math.pi
+            new = _wrapped(state + alpha * math.atan2(math.sin(new - state), math.cos(new - state)))
         return new, new
 
     return step
