@@ -25,7 +25,7 @@ def events(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["unwrap", "yaw_rate_limit", "ema_clamp"])
+@pytest.mark.parametrize("name", ["unwrap", "yaw_rate_limit", "ema_clamp", "capture_headings"])
 def test_half_turns(spark, events, name):
     mine = catalogue.queries()[name](spark, events)
     con = duckdb.connect()
