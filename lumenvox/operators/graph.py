@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -160,6 +161,22 @@ class _Scene:
                     heapq.heappush(open_, (new, self.to[e]))
         return longest
 
+    def nearest_of(self, starts: np.ndarray) -> np.ndarray:
+        """Length of the shortest way to each point from any of ``starts``; infinite without one."""
+        return np.min([self.ways(int(i)) for i in starts], axis=0) if len(starts) else np.full(len(self.ids), np.inf)
+
+    def lengths(self, i: int, ends: np.ndarray) -> np.ndarray:
+        """Lengths of the shortest ways from the ``i``-th point to ``ends``; they are not kept."""
+        found = self.ways(i)[ends]
+        self.known.clear()
+        return found
+
+    def closest(self, i: int, left: list[int]) -> int | None:
+        """The one of ``left`` with the shortest way, to nine digits, the first on ties; None where there is no way."""
+        d = self.ways(i)
+        best = min(left, key=lambda j: (round(float(d[j]), 9), j))
+        return best if np.isfinite(d[best]) else None
+
     def _from(self, i: int) -> tuple[np.ndarray, list[int]]:
         if i not in self.known:
             d, before, open_ = [float("inf")] * len(self.ids), [-1] * len(self.ids), [(0.0, i)]
@@ -176,68 +193,287 @@ class _Scene:
         return self.known[i]
 
 
-def _by_scene(points: DataFrame, links: DataFrame, key: str, work, columns: str) -> DataFrame:
-    """``work(points in order of id, graph)`` for each scene; a scene's points and links are one group."""
+class _Grid:
+    """Points (numbers, positions, cells) in order of cells, to look around in."""
+
+    def __init__(self, ids: np.ndarray, at: np.ndarray, cells: np.ndarray) -> None:
+        self.ids, self.at, self.cells = ids, at, cells
+        x, y, self.z = cells
+        starts = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])][: len(x)])
+        self.columns = dict(zip(zip(x[starts].tolist(), y[starts].tolist(), strict=True), zip(starts.tolist(), [*starts[1:].tolist(), len(x)], strict=len(x) > 0), strict=True))
+        self.spans = functools.lru_cache(1 << 12)(self._spans)
+
+    def _spans(self, x: int, y: int, z: int) -> list[slice]:
+        """Where the points of a cell and its neighbours are."""
+        found = []
+        for column in ((x + i, y + j) for i in (-1, 0, 1) for j in (-1, 0, 1)):
+            if column in self.columns:
+                a, b = self.columns[column]
+                lo, hi = np.searchsorted(self.z[a:b], (z - 1, z + 2))
+                if lo < hi:
+                    found.append(slice(a + int(lo), a + int(hi)))
+        return found
+
+    def near(self, cell: list[int], at: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """The points within ``reach`` of a position, and how far away they are."""
+        spans = self.spans(*cell)
+        if not spans:
+            return np.zeros(0, int), np.zeros(0)
+        gap = np.concatenate([self.at[:, s] for s in spans], axis=1) - at[:, None]
+        gap *= gap
+        d = np.sqrt(gap[0] + gap[1] + gap[2])
+        hit = np.flatnonzero(d <= reach)
+        return np.concatenate([self.ids[s] for s in spans])[hit], d[hit]
+
+    def only(self, kept: np.ndarray) -> _Grid:
+        """Those points for whose number ``kept`` is true."""
+        here = np.flatnonzero(kept[self.ids])
+        return _Grid(self.ids[here], np.ascontiguousarray(self.at[:, here]), self.cells[:, here])
+
+
+class _Cloud:
+    """The graph of one scene whose points (id, x, y, z) are linked where they are within ``reach``, with what ``_Scene`` tells.
+
+    Links are looked for around a point when it is passed, over cells of that width, and never kept, so memory grows with the points.
+    A way between points within reach is the straight one; a single way is looked for along the straight line first.
+    """
+
+    def __init__(self, points: pd.DataFrame, reach: float) -> None:
+        self.ids, self.reach = points["id"].to_numpy(), reach
+        self.at = np.ascontiguousarray(points[["x", "y", "z"]].to_numpy(float, na_value=np.nan).T)
+        cells = np.floor(np.where(np.isfinite(self.at), self.at, 0.0) / (reach * (1 + 1e-9))).astype(np.int64)
+        order = np.lexsort(cells[::-1])
+        self.grid, self.cell = _Grid(order, np.ascontiguousarray(self.at[:, order]), cells[:, order]), cells.T.tolist()
+        self.known: dict[int, np.ndarray] = {}
+        self.labels: np.ndarray | None = None
+
+    def straight(self, i: int, ends: np.ndarray) -> np.ndarray:
+        gap = self.at[:, ends] - self.at[:, i, None]
+        gap *= gap
+        return np.sqrt(gap[0] + gap[1] + gap[2])
+
+    def near(self, i: int, grid: _Grid | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The points (of ``grid``) within reach of the ``i``-th, itself too, and how far away they are."""
+        return (grid or self.grid).near(self.cell[i], self.at[:, i], self.reach)
+
+    def _dijkstra(self, starts: np.ndarray, within: float = np.inf) -> np.ndarray:
+        """Lengths of the shortest ways from any of ``starts`` to each point, infinite beyond ``within``. Points whose length is final are no longer looked at."""
+        d = np.full(len(self.ids), np.inf)
+        d[starts] = 0.0
+        for i in starts.tolist():
+            to, w = self.near(i)
+            d[to] = np.minimum(d[to], w)  # straight, and no way is shorter
+        d[d > within] = np.inf
+        left = np.isinf(d)
+        known = np.flatnonzero(~left)
+        open_ = list(zip(d[known].tolist(), known.tolist(), strict=True))
+        heapq.heapify(open_)
+        grid, done = self.grid.only(left), 0
+        while open_ and len(grid.ids):
+            far, at = heapq.heappop(open_)
+            if far > d[at]:
+                continue
+            if left[at]:
+                left[at], done = False, done + 1
+                if done > len(grid.ids) // 4:
+                    grid, done = grid.only(left), 0
+            to, new = self.near(at, grid)
+            new = new + far
+            better = np.flatnonzero((new < d[to]) & (new <= within))
+            to, new = to[better], new[better]
+            d[to] = new
+            for offer in zip(new.tolist(), to.tolist(), strict=True):
+                heapq.heappush(open_, offer)
+        return d
+
+    def ways(self, i: int) -> np.ndarray:
+        if i not in self.known:
+            self.known[i] = self._dijkstra(np.array([i]))
+        return self.known[i]
+
+    def nearest_of(self, starts: np.ndarray) -> np.ndarray:
+        return self._dijkstra(np.asarray(starts, dtype=int))
+
+    def sees(self, i: int, near: float, far: float) -> float:
+        d = self._dijkstra(np.array([i]), far)
+        return float(np.max(d, initial=0.0, where=(d >= near) & (d <= far)))
+
+    def island(self) -> np.ndarray:
+        """A number for each point, equal for points that a way joins."""
+        if self.labels is None:
+            self.labels, grid, done = np.full(len(self.ids), -1), self.grid, 0
+            for i in range(len(self.ids)):
+                if self.labels[i] < 0:
+                    self.labels[i], open_, done = i, [i], done + 1
+                    while open_:
+                        to = self.near(open_.pop(), grid)[0]
+                        to = to[self.labels[to] < 0]
+                        self.labels[to], done = i, done + len(to)
+                        open_.extend(to.tolist())
+                        if done > len(grid.ids) // 4:
+                            grid, done = grid.only(self.labels < 0), 0
+        return self.labels
+
+    def few(self, i: int, most: int = 1000) -> np.ndarray | None:
+        """The points that a way joins with the ``i``-th, None where they are more than ``most``."""
+        seen, open_ = {i}, [i]
+        while open_ and len(seen) <= most:
+            new = set(self.near(open_.pop())[0].tolist()) - seen
+            seen |= new
+            open_.extend(new)
+        return np.array(sorted(seen)) if len(seen) <= most else None
+
+    def bounds(self, i: int, ends: np.ndarray, within: float) -> np.ndarray:
+        """Lengths that the shortest ways from the ``i``-th point to ``ends`` don't exceed, or infinite: those over one point of each quarter of a cell's width."""
+        fine = np.floor(np.where(np.isfinite(self.at), self.at, 0.0) / (self.reach / 4)).astype(np.int64)
+        order = np.lexsort(fine[::-1])
+        first = np.r_[True, (np.diff(fine[:, order], axis=1) != 0).any(axis=0)]
+        net = np.union1d(order[first], [i])
+        sparse = _Cloud(pd.DataFrame({"id": net, **dict(zip("xyz", self.at[:, net], strict=True))}), self.reach)
+        known = sparse._dijkstra(np.searchsorted(net, [i]), within)
+        found = np.full(len(ends), np.inf)
+        for n, j in enumerate(ends.tolist()):
+            to, w = sparse.grid.near(self.cell[j], self.at[:, j], self.reach)
+            found[n] = np.min(known[to] + w, initial=np.inf)
+        return found
+
+    def _guess(self, i: int, j: int, within: float) -> float:
+        """The length of some way, found by long steps along the straight line; infinite without one."""
+        way = 0.0
+        while (gap := float(self.straight(i, np.array([j]))[0])) > self.reach:
+            to, w = self.near(i)
+            ahead = self.straight(j, to)
+            fits = np.flatnonzero((w > self.reach / 2) & (ahead < gap))
+            if not len(fits):
+                return np.inf
+            best = fits[(w[fits] + ahead[fits]).argmin()]
+            way, i = way + float(w[best]), int(to[best])
+            if way > within:
+                return np.inf
+        return way + gap if gap <= self.reach else np.inf
+
+    def _search(self, i: int, j: int, within: float = np.inf) -> tuple[float, np.ndarray]:
+        """Length of the shortest way, and of each point that was met the one before it; infinite where it is longer than ``within``. A*."""
+        most = min(within, self._guess(i, j, within)) * (1 + 1e-12)
+        d, before, done = np.full(len(self.ids), np.inf), np.full(len(self.ids), -1), bytearray(len(self.ids))
+        d[i], open_ = 0.0, [(0.0, i)]
+        while open_:
+            at = heapq.heappop(open_)[1]
+            if at == j:
+                break
+            if done[at]:
+                continue
+            done[at] = 1
+            to, new = self.near(at)
+            new = new + d[at]
+            better = np.flatnonzero(new < np.minimum(d[to], d[j]))
+            to, new = to[better], new[better]
+            total = new + self.straight(j, to)
+            fits = np.flatnonzero(total <= min(most, d[j]))
+            to, new = to[fits], new[fits]
+            d[to], before[to] = new, at
+            for offer in zip(total[fits].tolist(), to.tolist(), strict=True):
+                heapq.heappush(open_, offer)
+        return (float(d[j]) if d[j] <= within else np.inf), before
+
+    def length(self, i: int, j: int, within: float = np.inf) -> float:
+        gap = float(self.straight(i, np.array([j]))[0])
+        if i == j or gap <= self.reach:
+            return 0.0 if i == j else gap if gap <= within else np.inf
+        return self._search(i, j, within)[0] if gap <= within else np.inf
+
+    def lengths(self, i: int, ends: np.ndarray) -> np.ndarray:
+        island = self.island()
+        return np.array([self.length(i, int(j)) if island[i] == island[j] else np.inf for j in ends])
+
+    def way(self, i: int, j: int) -> list[int]:
+        if i == j or self.straight(i, np.array([j]))[0] <= self.reach:
+            return [i, j]
+        d, before = self._search(i, j)
+        found = [j] if np.isfinite(d) else [j, i]
+        while found[-1] != i:
+            found.append(int(before[found[-1]]))
+        return found[::-1]
 
-    def run(g: pd.DataFrame, l: pd.DataFrame) -> pd.DataFrame:
+    def closest(self, i: int, left: list[int]) -> int | None:
+        ends = np.array(left)
+        gaps = self.straight(i, ends)
+        if gaps.min() > self.reach:  # else there is a straight way
+            joined = self.island()[ends] == self.island()[i]
+            ends, gaps = ends[joined], gaps[joined]
+        best: tuple[float, int] | None = None
+        for k in np.lexsort((ends, gaps)):
+            if best is not None and round(float(gaps[k]), 9) > best[0]:
+                break
+            d = self.length(i, int(ends[k]), np.inf if best is None else best[0] + 1e-9)
+            if np.isfinite(d) and (best is None or (round(d, 9), int(ends[k])) < best):
+                best = round(d, 9), int(ends[k])
+        return None if best is None else best[1]
+
+
+def _by_scene(points: DataFrame, links: DataFrame | float, key: str, names: list[str], work, columns: str) -> DataFrame:
+    """``work(points in order of id, graph)`` for each scene; a scene's points are one group, with its links or, where these are a reach, with positions."""
+
+    def run(g: pd.DataFrame, graph: pd.DataFrame | float) -> pd.DataFrame:
         if g.empty:
             return pd.DataFrame(columns=[key, *[c.split()[0] for c in columns.split(", ")]])
         g = g.sort_values("id").reset_index(drop=True)
-        found = work(g, _Scene(g, l))
+        found = work(g, _Scene(g, graph) if isinstance(graph, pd.DataFrame) else _Cloud(g, graph))
         return pd.DataFrame({key: [g[key].iloc[0]] * len(next(iter(found.values()))), **found})
 
-    kind = points.schema[key].dataType.simpleString()
-    return points.groupBy(key).cogroup(links.select(key, "src", "dst", "w").groupBy(key)).applyInPandas(run, f"{key} {kind}, {columns}")
+    schema = f"{key} {points.schema[key].dataType.simpleString()}, {columns}"
+    if isinstance(links, DataFrame):
+        return points.select(key, "id", *names).groupBy(key).cogroup(links.select(key, "src", "dst", "w").groupBy(key)).applyInPandas(lambda g, l: run(g, l), schema)
+    places = [F.col(c).cast("double").alias(c) for c in "xyz" if c not in names]
+    # a number of partitions that is given is not lowered, so that scenes, small as tables, don't wait for each other in one task
+    dealt = points.select(key, "id", *names, *places).repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return dealt.groupBy(key).applyInPandas(lambda g: run(g, links), schema)
 
 
-def _toured(scene: _Scene, stops: list[int]) -> list[int]:
+def _toured(scene: _Scene | _Cloud, stops: list[int]) -> list[int]:
     """``stops`` in the order of a greedy tour from the first one; those that cannot be reached are left out."""
     order, left = stops[:1], stops[1:]
-    while left:
-        d = scene.ways(order[-1])
-        best = min(left, key=lambda j: (round(float(d[j]), 9), j))
-        if not np.isfinite(d[best]):
-            break
+    while left and (best := scene.closest(order[-1], left)) is not None:
         order.append(best)
         left.remove(best)
     return order
 
 
-def greedy_tour(points: DataFrame, links: DataFrame, key: str) -> DataFrame:
+def greedy_tour(points: DataFrame, links: DataFrame | float, key: str) -> DataFrame:
     """A way through the stops of each scene that always goes on to the nearest one left: key, ord, id.
 
     ``points`` has key, id and stop (true for the stops), ``links`` key, src, dst, w. Distances are lengths of shortest
     ways. Starts at the smallest id; the smallest id wins ties; stops without a way are left out.
     """
 
-    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+    def work(g: pd.DataFrame, scene: _Scene | _Cloud) -> dict:
         order = _toured(scene, np.flatnonzero(g["stop"].to_numpy()).tolist())
         return {"ord": np.arange(len(order)), "id": scene.ids[order]}
 
-    return _by_scene(points.select(key, "id", "stop"), links, key, work, "ord long, id long")
+    return _by_scene(points, links, key, ["stop"], work, "ord long, id long")
 
 
-def tour_path(points: DataFrame, links: DataFrame, key: str, closed: bool = True) -> DataFrame:
+def tour_path(points: DataFrame, links: DataFrame | float, key: str, closed: bool = True) -> DataFrame:
     """The points of the shortest ways from stop to stop of the greedy tour: key, leg, seq, id; closed back to the first stop.
 
     A leg has both its stops, and ``seq`` begins anew in each; a tour of one stop is one leg of one point.
     """
 
-    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+    def work(g: pd.DataFrame, scene: _Scene | _Cloud) -> dict:
         order = _toured(scene, np.flatnonzero(g["stop"].to_numpy()).tolist())
         ends = [*order, order[0]] if closed and len(order) > 1 else order
         ways = [scene.way(a, b) for a, b in zip(ends, ends[1:], strict=False)] or [ends]
         leg = np.repeat(np.arange(len(ways)), [len(w) for w in ways])
         return {"leg": leg, "seq": np.concatenate([np.arange(len(w)) for w in ways]), "id": scene.ids[np.concatenate(ways).astype(int)]}
 
-    return _by_scene(points.select(key, "id", "stop"), links, key, work, "leg long, seq long, id long")
+    return _by_scene(points, links, key, ["stop"], work, "leg long, seq long, id long")
 
 
 # How thresholds adapt in the selection of anchors, and where it ends.
 _GROW, _SHRINK, _END_SEP, _END_ROOM, _LEAST_SEP, _LEAST_ROOM = 1.05, 0.9, 0.5, 0.6, 0.6, 0.1
 
 
-def spread_anchors(candidates: DataFrame, links: DataFrame, key: str, count: int, sep: float, *, clearance: float = 0.0, most_dy: float = 0.5, vantage: float = 0.0, near: float = 3.0, far: float = 10.0) -> DataFrame:
+def spread_anchors(candidates: DataFrame, links: DataFrame | float, key: str, count: int, sep: float, *, clearance: float = 0.0, most_dy: float = 0.5, vantage: float = 0.0, near: float = 3.0, far: float = 10.0) -> DataFrame:
     """Anchors of each scene by best-candidate sampling with thresholds that adapt: key, ord, id.
 
     ``candidates`` has key, id, y, clear and draw (a fixed random order in place of a random generator),
@@ -249,7 +485,7 @@ def spread_anchors(candidates: DataFrame, links: DataFrame, key: str, count: int
     by 1.05 up to their start, after a failure they shrink by 0.9, and when both are small the search ends.
     """
 
-    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+    def work(g: pd.DataFrame, scene: _Scene | _Cloud) -> dict:
         clear, y = g["clear"].fillna(np.inf).to_numpy(), g["y"].to_numpy()
         order = np.lexsort((g["id"].to_numpy(), g["draw"].to_numpy()))
         first = [i for i in order if clear[i] >= clearance]
@@ -286,13 +522,12 @@ def spread_anchors(candidates: DataFrame, links: DataFrame, key: str, count: int
                 break
         return {"ord": np.arange(len(picks)), "id": scene.ids[picks]}
 
-    return _by_scene(candidates.select(key, "id", "y", "clear", "draw"), links, key, work, "ord long, id long")
+    return _by_scene(candidates, links, key, ["y", "clear", "draw"], work, "ord long, id long")
 
 
-def _filled(scene: _Scene, open_: np.ndarray, anchors: np.ndarray, radius: float, most: int) -> list[int]:
+def _filled(scene: _Scene | _Cloud, open_: np.ndarray, anchors: np.ndarray, radius: float, most: int) -> list[int]:
     """Open points furthest from all anchors first, while one is at least ``radius`` away by a way that exists."""
-    nearest = np.min([scene.ways(int(a)) for a in anchors], axis=0) if len(anchors) else np.full(len(scene.ids), np.inf)
-    nearest = np.where(open_, nearest, -1.0)
+    nearest = np.where(open_, scene.nearest_of(anchors), -1.0)
     picks: list[int] = []
     while len(picks) < most:
         fits = np.flatnonzero(np.isfinite(nearest) & (nearest >= radius))
@@ -303,7 +538,7 @@ def _filled(scene: _Scene, open_: np.ndarray, anchors: np.ndarray, radius: float
     return picks
 
 
-def gap_anchors(candidates: DataFrame, links: DataFrame, key: str, radius: float, factors: tuple[float, ...] = (1.0, 0.8, 0.6, 0.5), floor: float = 0.4, most: int = 12, gate: float = 0.75) -> DataFrame:
+def gap_anchors(candidates: DataFrame, links: DataFrame | float, key: str, radius: float, factors: tuple[float, ...] = (1.0, 0.8, 0.6, 0.5), floor: float = 0.4, most: int = 12, gate: float = 0.75) -> DataFrame:
     """Extra anchors where none is near: key, ord, id, radius, for the first radius of ``factors`` that gives any.
 
     ``candidates`` has key, id, anchor (true for anchors), fits (near the path and with enough clearance) and
@@ -312,7 +547,7 @@ def gap_anchors(candidates: DataFrame, links: DataFrame, key: str, radius: float
     picked furthest first by the shortest way, and those without a way to an anchor never.
     """
 
-    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+    def work(g: pd.DataFrame, scene: _Scene | _Cloud) -> dict:
         anchors = np.flatnonzero(g["anchor"].to_numpy())
         direct = g["direct"].fillna(np.inf).to_numpy()
         for f in factors:
@@ -322,10 +557,10 @@ def gap_anchors(candidates: DataFrame, links: DataFrame, key: str, radius: float
                 return {"ord": np.arange(len(picks)), "id": scene.ids[picks], "radius": [r] * len(picks)}
         return {"ord": [], "id": [], "radius": []}
 
-    return _by_scene(candidates.select(key, "id", "anchor", "fits", "direct"), links, key, work, "ord long, id long, radius double")
+    return _by_scene(candidates, links, key, ["anchor", "fits", "direct"], work, "ord long, id long, radius double")
 
 
-def farthest_anchors(candidates: DataFrame, links: DataFrame, key: str, radius: float, batches: int, most: int, floor: float = 0.4) -> DataFrame:
+def farthest_anchors(candidates: DataFrame, links: DataFrame | float, key: str, radius: float, batches: int, most: int, floor: float = 0.4) -> DataFrame:
     """Extra anchors on the anchors' islands, furthest first: key, ord, id, radius.
 
     ``candidates`` has key, id, anchor, fits and draw, ``links`` key, src, dst, w. Points that a way joins with the first
@@ -333,13 +568,13 @@ def farthest_anchors(candidates: DataFrame, links: DataFrame, key: str, radius:
     away. Every second batch without a point relaxes the radius by 0.9, not below ``floor``; one whose points are too near does not.
     """
 
-    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+    def work(g: pd.DataFrame, scene: _Scene | _Cloud) -> dict:
         anchors = np.flatnonzero(g["anchor"].to_numpy())
         if not len(anchors):
             return {"ord": [], "id": [], "radius": []}
         open_ = g["fits"].to_numpy() & ~g["anchor"].to_numpy() & np.isfinite(scene.ways(int(anchors[0])))
         order = np.lexsort((g["id"].to_numpy(), g["draw"].to_numpy()))
-        nearest = np.min([scene.ways(int(a)) for a in anchors], axis=0)
+        nearest = scene.nearest_of(anchors)
         picks, used, now, stalls = [], [], radius, 0
         for batch in np.array_split(order[open_[order]], batches):
             if len(picks) >= most:
@@ -354,17 +589,17 @@ def farthest_anchors(candidates: DataFrame, links: DataFrame, key: str, radius:
                 nearest = np.minimum(nearest, scene.ways(int(best)))
         return {"ord": np.arange(len(picks)), "id": scene.ids[picks] if picks else [], "radius": used}
 
-    return _by_scene(candidates.select(key, "id", "anchor", "fits", "draw"), links, key, work, "ord long, id long, radius double")
+    return _by_scene(candidates, links, key, ["anchor", "fits", "draw"], work, "ord long, id long, radius double")
 
 
-def pair_ways(candidates: DataFrame, links: DataFrame, key: str, most_points: int = 512, budget: int = 1024) -> DataFrame:
+def pair_ways(candidates: DataFrame, links: DataFrame | float, key: str, most_points: int = 512, budget: int = 1024) -> DataFrame:
     """Lengths of the shortest ways between pairs of drawn points of each scene: key, pair, src, dst, d; d is null where there is no way.
 
     ``candidates`` has key, id and draw. The first ``most_points`` by draw are paired by fixed strides, ``budget`` pairs and four for each
     point at most; a point is not paired with itself. Ways are found from one source after the other and not kept.
     """
 
-    def work(g: pd.DataFrame, scene: _Scene) -> dict:
+    def work(g: pd.DataFrame, scene: _Scene | _Cloud) -> dict:
         drawn = np.lexsort((g["id"].to_numpy(), g["draw"].to_numpy()))[:most_points]
         n = len(drawn)
         k = np.arange(min(budget, 4 * n))
@@ -372,8 +607,54 @@ def pair_ways(candidates: DataFrame, links: DataFrame, key: str, most_points: in
         k, a, b = k[a != b], a[a != b], b[a != b]
         d = np.full(len(k), np.nan)
         for i in np.unique(a):
-            d[a == i] = scene.ways(int(i))[b[a == i]]
-            scene.known.clear()
+            d[a == i] = scene.lengths(int(i), b[a == i])
         return {"pair": k, "src": scene.ids[a], "dst": scene.ids[b], "d": [float(x) if np.isfinite(x) else None for x in d]}
 
-    return _by_scene(candidates.select(key, "id", "draw"), links, key, work, "pair long, src long, dst long, d double")
+    return _by_scene(candidates, links, key, ["draw"], work, "pair long, src long, dst long, d double")
+
+
+def _around(g: pd.DataFrame, scene: _Cloud, far: float) -> tuple[int, np.ndarray]:
+    """The ``first`` point of a scene, and its own points that may be within ``far`` of it."""
+    own, root = np.flatnonzero(g["own"].to_numpy()), int(np.flatnonzero(scene.ids == g["first"].iloc[0])[0])
+    ends = own[scene.straight(root, own) <= far]
+    few = scene.few(root)
+    return root, ends if few is None else np.intersect1d(ends, few)
+
+
+def first_target(points: DataFrame, reach: float, key: str, near: float, far: float) -> DataFrame:
+    """Of the own points of each key the first by draw whose shortest way from its ``first`` point is between ``near``, to nine digits, and ``far`` long: key, id, d.
+
+    ``points`` has key, id, x, y, z, first (an id that is there), own and draw: the points that ways within ``far`` may use, own ones or not, linked where they are within ``reach``.
+    Ways are looked for one after the other, by A*, until one fits.
+    """
+
+    def work(g: pd.DataFrame, scene: _Cloud) -> dict:
+        root, ends = _around(g, scene, far)
+        for i in ends[np.lexsort((scene.ids[ends], g["draw"].to_numpy()[ends]))]:
+            d = scene.length(int(i), root, far)
+            if np.isfinite(d) and round(d, 9) >= near:
+                return {"id": [scene.ids[i]], "d": [d]}
+        return {"id": [], "d": []}
+
+    return _by_scene(points, reach, key, ["first", "own", "draw"], work, "id long, d double")
+
+
+def furthest_way(points: DataFrame, reach: float, key: str, near: float, far: float) -> DataFrame:
+    """The longest of the shortest ways from each key's ``first`` point to its own ones that are between ``near``, to nine digits, and ``far`` long, 0 without one: key, d.
+
+    ``points`` is that of ``first_target``. Lengths that ways don't exceed are found over a sparse part of the points; only
+    where they leave it open whether a way is longer than the longest so far it is looked for, by A*.
+    """
+
+    def work(g: pd.DataFrame, scene: _Cloud) -> dict:
+        root, ends = _around(g, scene, far)
+        most, best = np.minimum(scene.bounds(root, ends, far) * (1 + 1e-12), far), 0.0
+        for k in np.lexsort((-scene.straight(root, ends), -most)):
+            if most[k] <= best:
+                break
+            d = scene.length(int(ends[k]), root, far)
+            if np.isfinite(d) and round(d, 9) >= near:
+                best = max(best, d)
+        return {"d": [best]}
+
+    return _by_scene(points, reach, key, ["first", "own"], work, "d double")

@@ -15,7 +15,7 @@ def distance(a: list[Column], b: list[Column]) -> Column:
     return F.sqrt(sum(((x - y) ** 2 for x, y in zip(a[1:], b[1:], strict=True)), (a[0] - b[0]) ** 2))
 
 
-def _around(df: DataFrame, axes: list[str], size: float) -> DataFrame:
+def around(df: DataFrame, axes: list[str], size: float) -> DataFrame:
     """Each row once for its own and each neighbouring cell."""
     step = F.array(*[F.lit(i).cast("long") for i in (-1, 0, 1)])
     df = df.withColumns({f"_c{c}": F.floor(F.col(c) / size).cast("long") for c in axes})
@@ -235,7 +235,7 @@ def panorama(stops: DataFrame, points: DataFrame, key: str, on: str, reach: floa
     each direction, so a stop ends as a list of fixed length however many points there are around it.
     """
     own = stops.select(key, on, *[F.col(c).alias(f"_s{c}") for c in "xz"])
-    near = _around(own.withColumnsRenamed({"_sx": "x", "_sz": "z"}), ["x", "z"], reach).withColumnsRenamed({"x": "_sx", "z": "_sz"})
+    near = around(own.withColumnsRenamed({"_sx": "x", "_sz": "z"}), ["x", "z"], reach).withColumnsRenamed({"x": "_sx", "z": "_sz"})
     cells = points.select(on, "x", "z", *[F.floor(F.col(c) / reach).cast("long").alias(f"_c{c}") for c in "xz"])
     dx, dz = F.col("x") - F.col("_sx"), F.col("z") - F.col("_sz")
     met = near.join(cells, [on, "_cx", "_cz"]).select(key, F.sqrt(dx**2 + dz**2).alias("d"), sector(F.atan2(dx, dz), bins).alias("bin")).filter((F.col("d") > 0) & (F.col("d") <= reach))
