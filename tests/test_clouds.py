@@ -90,7 +90,7 @@ def test_targets_and_furthest_ways(spark):
     assert found.keys() == furthest.keys() and all(math.isclose(found[k], furthest[k], abs_tol=1e-12) for k in found)
 
 
-NO_LINKS = ["sample_target", "far_score", "span_by_way", "greedy_tour", "path_trajectory", "farthest_anchors", "gap_anchors", "anchors_with_extras", "spread_anchors"]
+NO_LINKS = ["sample_target", "far_score", "span_by_way", "greedy_tour", "path_trajectory", "farthest_anchors", "gap_anchors", "anchors_with_extras", "spread_anchors", "retarget_density"]
 
 
 @pytest.mark.parametrize("name", NO_LINKS)
